@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specfold.llm import packing
+from specfold.llm import feistel, packing, records, trigrams
+from specfold.llm.common import work_dir
 
 
 def tokenizer_path(name: str) -> str:
@@ -25,5 +26,43 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("tokens").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_packing": op1_packing}
+def pii_key(spark: SparkSession) -> bytes:
+    """The secret key; spark.specfold.pii.key has it in production."""
+    return spark.conf.get("spark.specfold.pii.key", "not a secret: set spark.specfold.pii.key").encode()
+
+
+def listed(span: Column) -> Column:
+    return F.concat_ws(":", span["kind"], span["start"].cast("string"), span["end"].cast("string"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = feistel.pseudonymize(table(spark, sf_dir, "documents"), pii_key(spark))
+    return done.select("doc_id", "text", F.size("spans").cast("long").alias("n_values"), F.array_join(F.transform("spans", listed), ",").alias("spans"))
+
+
+def op7_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_dir(spark)
+    records.write(table(spark, sf_dir, "documents"), folder, tokenizer_path("word_bpe_49k.json"))
+    return records.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = [r.kind for r in trigrams.BASE]
+    found = trigrams.scan(table(spark, sf_dir, "documents"))
+    own = lambda kinds: F.filter("spans", lambda s: s["kind"].isin(kinds))
+    joined = lambda spans: F.array_join(F.transform(spans, listed), ",")
+    return found.select(
+        "doc_id",
+        *[F.size(own([k])).cast("long").alias(f"n_{k}") for k in base],
+        F.sha2(joined(own(base)), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
+    "op6_pii": op6_pii,
+    "op7_records": op7_records,
+    "op9_secrets": op9_secrets,
+}
 ORACLES: dict[str, str] = {}
