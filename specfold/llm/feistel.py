@@ -27,6 +27,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from specfold.llm.encode import chunks
 
@@ -228,7 +229,5 @@ def pseudonymize_columns(docs: DataFrame, key: bytes, back: bool = False) -> Dat
                 columns = [pa.array(texts, pa.string()) if n == "text" else part.column(n) for n in names]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, kind)], [*names, "spans"])
 
-    from pyspark.sql import types as T
-
-    out = T.StructType(docs.schema.fields).add("spans", "array<struct<kind: string, start: long, end: long>>")
+    out = T.StructType([*docs.schema.fields, T.StructField("spans", T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])))])
     return docs.mapInArrow(run, out)

@@ -27,14 +27,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from specfold.llm.common import session_of
 from specfold.llm.encode import PieceEncoder, chunks
 
 MAGIC = b"SFREC1"
-_HEAD = struct.Struct("<6sBIIQQ")
-_LEN, _CRC = struct.Struct("<QI"), struct.Struct("<I")
+_HEAD, _LEN, _CRC = "<6sBIIQQ", "<QI", "<I"
 INDEX = "doc_id long, part int, file int, record long, at long, bytes long, start_in_part long, n_tokens long"
 _INDEX = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("file", pa.int32()), ("record", pa.int64()), ("at", pa.int64()), ("bytes", pa.int64()), ("start_in_part", pa.int64()), ("n_tokens", pa.int64())])
 
@@ -47,7 +45,7 @@ def masked(data: bytes | memoryview) -> int:
 
 def frame(payload: bytes) -> bytes:
     size = len(payload).to_bytes(8, "little")
-    return b"".join((size, _CRC.pack(masked(size)), payload, _CRC.pack(masked(payload))))
+    return b"".join((size, struct.pack(_CRC, masked(size)), payload, struct.pack(_CRC, masked(payload))))
 
 
 def frames(data: memoryview) -> Iterator[tuple[int, memoryview]]:
@@ -58,13 +56,13 @@ def frames(data: memoryview) -> Iterator[tuple[int, memoryview]]:
     while at < end:
         if at + 16 > end:
             raise ValueError(f"a frame is cut short at byte {at}")
-        size, check = _LEN.unpack_from(data, at)
+        size, check = struct.unpack_from(_LEN, data, at)
         if masked(data[at : at + 8]) != check:
             raise ValueError(f"wrong checksum of a length at byte {at}")
         if at + 16 + size > end:
             raise ValueError(f"a frame is cut short at byte {at}")
         payload = data[at + 12 : at + 12 + size]
-        if masked(payload) != _CRC.unpack_from(data, at + 12 + size)[0]:
+        if masked(payload) != struct.unpack_from(_CRC, data, at + 12 + size)[0]:
             raise ValueError(f"wrong checksum of a record at byte {at}")
         yield at, payload
         at += 16 + size
@@ -96,7 +94,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, file_by
                 flat, begin = ids.astype(kind), 0
                 for doc, end in zip(some.column("doc_id").to_pylist(), ends.tolist(), strict=True):
                     if not held:
-                        held.append(frame(_HEAD.pack(MAGIC, width, part, file, record, token)))
+                        held.append(frame(struct.pack(_HEAD, MAGIC, width, part, file, record, token)))
                     held.append(frame(struct.pack("<Bq", doc is not None, doc or 0) + np.append(flat[begin:end], kind.type(end_id)).tobytes()))
                     size += len(held[-1])
                     record, token, begin = record + 1, token + end - begin + 1, end
@@ -119,7 +117,7 @@ def _scan(spark: SparkSession, folder: str, with_ids: bool) -> DataFrame:
             for i in range(batch.num_rows):
                 data = memoryview(batch.column("content")[i].as_buffer())
                 all_ = frames(data)
-                magic, width, part, file, record, token = _HEAD.unpack(next(all_)[1])
+                magic, width, part, file, record, token = struct.unpack(_HEAD, next(all_)[1])
                 if magic != MAGIC:
                     raise ValueError("not a record file")
                 rows = []
@@ -130,7 +128,7 @@ def _scan(spark: SparkSession, folder: str, with_ids: bool) -> DataFrame:
                     record, token = record + 1, token + n
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), kind, strict=True)], schema=kind)
 
-    files = spark.read.format("binaryFile").schema(T.StructType([T.StructField("content", T.BinaryType())])).option("pathGlobFilter", "part-*").load(f"{folder}/data")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{folder}/data").select("content")
     return files.mapInArrow(run, INDEX + (", tokens binary" if with_ids else ""))
 
 
