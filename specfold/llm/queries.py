@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specfold.llm import feistel, packing, records, trigrams
+from specfold.llm import feistel, fm, packing, records, trigrams
 from specfold.llm.common import work_dir
 
 
@@ -46,6 +46,16 @@ def op7_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))
 
 
+#: From this score on a document counts as good.
+GOOD = 0.3
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = fm.score(docs, fm.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", fm.held_out().alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = [r.kind for r in trigrams.BASE]
     found = trigrams.scan(table(spark, sf_dir, "documents"))
@@ -63,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op6_pii": op6_pii,
     "op7_records": op7_records,
+    "op8_quality": op8_quality,
     "op9_secrets": op9_secrets,
 }
 ORACLES: dict[str, str] = {}
