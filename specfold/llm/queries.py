@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specfold.llm import feistel, fm, packing, records, trigrams
+from specfold.llm import curriculum, feistel, fm, packing, records, trigrams, warc
 from specfold.llm.common import work_dir
 
 
@@ -26,6 +26,18 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("tokens").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curriculum.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_dir(spark)
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    records = warc.read(spark, folder)
+    digest = warc.sha1_base32(F.col("payload"))
+    return records.select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), digest.alias("payload_digest"), "record_type", "refers_to")
+
+
 def pii_key(spark: SparkSession) -> bytes:
     """The secret key; spark.specfold.pii.key has it in production."""
     return spark.conf.get("spark.specfold.pii.key", "not a secret: set spark.specfold.pii.key").encode()
@@ -71,9 +83,11 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_mixing": op3_mixing,
+    "op4_warc": op4_warc,
     "op6_pii": op6_pii,
     "op7_records": op7_records,
     "op8_quality": op8_quality,
     "op9_secrets": op9_secrets,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_mixing": curriculum.ORACLE, "op4_warc": warc.ORACLE}
