@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specfold.llm import curriculum, feistel, fm, packing, records, trigrams, warc
+from specfold.llm import curriculum, feistel, fm, imatch, packing, records, trigrams, warc
 from specfold.llm.common import work_dir
+from specfold.shipping import ship
 
 
 def tokenizer_path(name: str) -> str:
@@ -18,7 +19,7 @@ def tokenizer_path(name: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +27,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("tokens").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -83,6 +88,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_imatch": op2_imatch,
     "op3_mixing": op3_mixing,
     "op4_warc": op4_warc,
     "op6_pii": op6_pii,
