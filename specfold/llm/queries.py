@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specfold.llm import curriculum, feistel, fm, imatch, packing, records, trigrams, warc
+from specfold.llm import chosenpath, curriculum, feistel, fm, imatch, packing, records, trigrams, warc
 from specfold.llm.common import work_dir
 from specfold.shipping import ship
 
@@ -86,6 +86,10 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosenpath.join(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_imatch": op2_imatch,
@@ -95,5 +99,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_records": op7_records,
     "op8_quality": op8_quality,
     "op9_secrets": op9_secrets,
+    "op10_jaccard": op10_jaccard,
 }
 ORACLES: dict[str, str] = {"op3_mixing": curriculum.ORACLE, "op4_warc": warc.ORACLE}
