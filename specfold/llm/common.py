@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,3 +84,28 @@ def part_of(key: Column, cuts: list) -> Column:
         return F.when(key >= F.lit(cuts[mid]), search(mid + 1, hi)).otherwise(search(lo, mid))
 
     return F.when(key.isNull(), F.lit(0)).otherwise(search(0, len(cuts)))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], block: int = 8_000_000) -> Iterator[pa.Table]:
+    """Tables of whole groups of equal `key` (an integer), of about block bytes; the rows come sorted by it."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= block:
+            table = pa.Table.from_batches(held).combine_chunks()
+            key = table.column("key").to_numpy()
+            cut = int(np.searchsorted(key, key[-1]))
+            if cut:
+                yield table.slice(0, cut)
+            held = table.slice(cut).to_batches()
+            size = sum(b.nbytes for b in held)
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def group_bounds(key: np.ndarray) -> list[tuple[int, int]]:
+    """(begin, end) of each run of equal keys."""
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])).tolist()
+    return list(zip(at[:-1], at[1:], strict=True))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specfold.llm import chosenpath, curriculum, feistel, fm, imatch, packing, records, trigrams, warc
+from specfold.llm import chosenpath, curriculum, feistel, fm, imatch, multiindex, packing, records, trigrams, warc
 from specfold.llm.common import work_dir
 from specfold.shipping import ship
 
@@ -43,6 +43,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), digest.alias("payload_digest"), "record_type", "refers_to")
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def pii_key(spark: SparkSession) -> bytes:
     """The secret key; spark.specfold.pii.key has it in production."""
     return spark.conf.get("spark.specfold.pii.key", "not a secret: set spark.specfold.pii.key").encode()
@@ -95,10 +99,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_imatch": op2_imatch,
     "op3_mixing": op3_mixing,
     "op4_warc": op4_warc,
+    "op5_embeddings": op5_embeddings,
     "op6_pii": op6_pii,
     "op7_records": op7_records,
     "op8_quality": op8_quality,
     "op9_secrets": op9_secrets,
     "op10_jaccard": op10_jaccard,
 }
-ORACLES: dict[str, str] = {"op3_mixing": curriculum.ORACLE, "op4_warc": warc.ORACLE}
+ORACLES: dict[str, str] = {"op3_mixing": curriculum.ORACLE, "op4_warc": warc.ORACLE, "op5_embeddings": multiindex.ORACLE}
