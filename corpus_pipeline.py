@@ -1,20 +1,75 @@
-"""Documents to packed training sequences, in five stages."""
+"""Documents to packed training sequences, in five stages.
+
+Each stage gets all that its predecessor kept and returns the columns of documents; the last
+returns the pieces of the packed sequences with their token ids.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from specfold.llm import chosenpath, curriculum, feistel, fm, packing
+from specfold.llm.common import staged, work_dir
+from specfold.llm.queries import GOOD, pii_key, tokenizer_path
+from specfold.shipping import ship
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents that the classifier scores below GOOD."""
+    labels = ship(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    return fm.score_columns(docs, fm.train(docs, labels)).where(F.col("score") >= GOOD).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group that links of Jaccard similarity join.
+
+    Rows without doc_id stay. Where rows share a doc_id, those of one text stay once, if any row of that doc_id does.
+    """
+    ship(spark)
+    found = staged(chosenpath.join(docs), work_dir(spark), "groups").where("doc_id is not null")
+    stay = found.where("kept").select("doc_id").distinct()
+    named = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi")
+    n, distinct = found.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    if n != distinct:
+        named = named.dropDuplicates(["doc_id", "text"])
+    return named.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Puts pseudonyms in place of personal data."""
+    done = feistel.pseudonymize_columns(docs, pii_key(ship(spark)))
+    return done.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes the words of each source that its target asks for; a document stands once for each time that it is taken."""
+    mixed = curriculum.mix(docs)
+    return mixed.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs all tokens into sequences of 1024."""
+    ship(spark)
+    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("pii", pii),
+    ("mixing", mixing),
+    ("packing", pack),
+]
+#: Tokenizers and models have no SQL; tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stage's rows are written as Parquet and read again as the next one's documents."""
-    from specfold.llm.common import staged, work_dir
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = ship(spark).read.parquet(f"{sf_dir}/documents.parquet")
     folder = work_dir(spark)
     for i, (name, stage) in enumerate(STAGES):
         docs = staged(stage(spark, docs, sf_dir), folder, f"{i}-{name}")
