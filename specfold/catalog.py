@@ -1,4 +1,6 @@
 """All queries of the library by name, and SQL for those that have it."""
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from specfold.plans import relational  # noqa: F401
+from specfold.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
