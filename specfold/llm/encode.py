@@ -10,15 +10,18 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: The piece table starts anew beyond so many entries.
-MOST_PIECES = 400_000
+MOST_PIECES = 1_200_000
 #: Bytes of text that are encoded at once.
 CHUNK_BYTES = 4_000_000
+#: As above, where the piece table serves.
+ENCODE_BYTES = 8_000_000
 
 _LETTER, _STOP, _FOLLOW, _LEAD, _PRINT = (np.zeros(256, bool) for _ in range(5))
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
@@ -54,26 +57,37 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self._reset()
-
-    def _reset(self) -> None:
-        self.rank: dict[str, int] = {}
+        self.pieces = pa.array([], pa.large_string())
         self.ids = np.zeros(1 << 16, np.int32)
         self.ends = np.zeros(1 << 14, np.int64)
+        self.uses = np.zeros(1 << 14, np.int32)
         self.used = 0
 
-    def _add(self, pieces: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        flat = [i for e in found for i in e.ids]
-        need = self.used + len(flat)
+    def _forget(self) -> None:
+        """Keeps the half of the table that was used most."""
+        n = len(self.pieces)
+        keep = np.sort(np.argsort(-self.uses[:n], kind="stable")[: MOST_PIECES // 2])
+        sizes = np.diff(self.ends[: n + 1])[keep]
+        ends = np.cumsum(sizes)
+        self.ids[: ends[-1]] = self.ids[np.arange(ends[-1]) + np.repeat(self.ends[keep] - ends + sizes, sizes)]
+        self.pieces = self.pieces.take(pa.array(keep))
+        self.ends[1 : len(keep) + 1] = ends
+        self.uses[: len(keep)] = self.uses[keep] // 2
+        self.uses[len(keep) :] = 0
+        self.used = int(ends[-1])
+
+    def _add(self, pieces: pa.Array) -> None:
+        found = self.tokenizer.encode_batch_fast(pieces.to_pylist(), add_special_tokens=False)
+        flat = np.array([i for e in found for i in e.ids], np.int32)
+        need, first = self.used + len(flat), len(self.pieces)
         while need > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used : need] = flat
-        first = len(self.rank)
         while first + len(pieces) + 1 > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+            self.uses = np.concatenate([self.uses, np.zeros_like(self.uses)])
+        self.ids[self.used : need] = flat
         self.ends[first + 1 : first + 1 + len(pieces)] = self.used + np.cumsum([len(e.ids) for e in found])
-        self.rank.update(zip(pieces, range(first, first + len(pieces)), strict=True))
+        self.pieces = pa.concat_arrays([self.pieces, pieces])
         self.used = need
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -81,8 +95,8 @@ class PieceEncoder:
         if not len(texts):
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
         texts = texts.cast(pa.large_string())
-        if len(self.rank) > MOST_PIECES:
-            self._reset()
+        if len(self.pieces) > MOST_PIECES:
+            self._forget()
         bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
         bounds = bounds - bounds[0]
@@ -91,16 +105,25 @@ class PieceEncoder:
         at = np.flatnonzero(mark)
         pieces = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(raw))
         coded = pieces.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if new := [p for p in distinct if p not in self.rank]:
-            self._add(new)
-        of = np.fromiter((self.rank[p] for p in distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        rank = pc.fill_null(pc.index_in(coded.dictionary, self.pieces), -1).to_numpy(zero_copy_only=False).copy()
+        new = np.flatnonzero(rank < 0)
+        if len(new):
+            rank[new] = len(self.pieces) + np.arange(len(new))
+            self._add(coded.dictionary.take(pa.array(new)))
+        self.uses[rank] += 1
+        of = rank[coded.indices.to_numpy()]
         begin, size = self.ends[of], self.ends[of + 1] - self.ends[of]
         ends = np.cumsum(size)
         ids = self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + size, size)]
         return ids, np.concatenate([[0], ends])[np.searchsorted(at, bounds[1:])]
 
 
+@lru_cache(2)
+def encoder(path: str) -> PieceEncoder:
+    """The process's own encoder: its piece table serves all tasks that run there."""
+    return PieceEncoder(path)
+
+
 def chunks(batch: pa.RecordBatch, column: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about `most` bytes in the column; a longer text is a slice of its own."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()

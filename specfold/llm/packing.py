@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from specfold.llm.encode import PieceEncoder, chunks
+from specfold.llm.encode import ENCODE_BYTES, chunks, encoder
 
 SCHEMA = "doc_id long, start long, length long, tokens binary, doc_tokens long, sequence_id long, offset long, cost double"
 _ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("tokens", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("cost", pa.float64())])
@@ -75,7 +75,7 @@ def pack(docs: DataFrame, tokenizer: str, seq_len: int = 1024, end_id: int = 0,
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer)
+        coder = encoder(tokenizer)
         sequence = TaskContext.get().partitionId() << 36
         held: list[tuple] = []  # documents of the group: doc_id, ids
         pending = 0
@@ -100,8 +100,8 @@ def pack(docs: DataFrame, tokenizer: str, seq_len: int = 1024, end_id: int = 0,
             pending = 0
 
         for batch in batches:
-            for part in chunks(batch, "text"):
-                ids, ends = encoder.encode(part.column("text"))
+            for part in chunks(batch, "text", ENCODE_BYTES):
+                ids, ends = coder.encode(part.column("text"))
                 flat, begin = ids.astype("<u4"), 0
                 for doc, end in zip(part.column("doc_id").to_pylist(), ends.tolist(), strict=True):
                     own = np.append(flat[begin:end], np.uint32(end_id))

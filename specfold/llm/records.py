@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from specfold.llm.common import session_of
-from specfold.llm.encode import PieceEncoder, chunks
+from specfold.llm.encode import ENCODE_BYTES, chunks, encoder
 
 MAGIC = b"SFREC1"
 _HEAD, _LEN, _CRC = "<6sBIIQQ", "<QI", "<I"
@@ -73,8 +73,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, file_by
     spark = session_of(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer)
-        width = 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
+        coder = encoder(tokenizer)
+        width = 2 if coder.tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
         kind = np.dtype(f"<u{width}")
         part, file, record, token = TaskContext.get().partitionId(), 0, 0, 0
         held: list[bytes] = []
@@ -89,8 +89,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, file_by
             return pa.RecordBatch.from_arrays([pa.StringArray.from_buffers(1, pa.py_buffer(np.array([0, len(data)], np.int32)), pa.py_buffer(data))], ["value"])
 
         for batch in batches:
-            for some in chunks(batch, "text"):
-                ids, ends = encoder.encode(some.column("text"))
+            for some in chunks(batch, "text", ENCODE_BYTES):
+                ids, ends = coder.encode(some.column("text"))
                 flat, begin = ids.astype(kind), 0
                 for doc, end in zip(some.column("doc_id").to_pylist(), ends.tolist(), strict=True):
                     if not held:
