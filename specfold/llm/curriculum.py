@@ -73,14 +73,14 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, schedules: tuple =
     """
     kept = docs.drop("size", "source_size", "target", "taken", "copies")
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = kept.withColumns({"_source": _source_key(), "_size": F.regexp_count(text, F.lit(WORD)).cast("long"), "_hash": F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))})
+    rows = kept.withColumns({"_source": _source_key(), "_size": F.regexp_count(text, F.lit(WORD)).cast("long"), "_hash": F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), "_tie": F.xxhash64(text)})
     rows = rows.withColumn("_bucket", F.substring("_hash", 1, digits))
     sized = rows.select("_source", "source", "_size", "_bucket")
     buckets = sized.groupBy("_source", "_bucket").agg(F.sum("_size").alias("_sum"))
     before = F.sum("_sum").over(Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_sum")
     goal = targets(sized, weights, max_repeats)
     starts = buckets.select("_source", "_bucket", before.alias("_before")).join(goal, "_source")
-    inside = Window.partitionBy("_source", "_bucket").orderBy("_hash", F.col("doc_id"), "_size", F.xxhash64(text)).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("_source", "_bucket").orderBy("_hash", F.col("doc_id"), "_size", "_tie").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.join(starts, ["_source", "_bucket"]).withColumn("_start", F.col("_before") + F.sum("_size").over(inside) - F.col("_size"))
     quota = F.floor(F.col("target") + 0.5).cast("long")
 
