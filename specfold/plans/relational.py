@@ -340,13 +340,13 @@ def telescop_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, CAST(epoch_us(o_orderdate) / 1000000 + o_orderkey % 86400 AS DOUBLE) AS instant FROM orders""")
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, CAST(epoch_us(o_orderdate) / 1000000 + o_orderkey % 86400 AS DOUBLE) AS instant FROM orders""")
 def date_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dates written without padding are read again and joined with seconds of the day."""
     day = F.to_date("o_orderdate")
     short = F.concat_ws("-", F.year(day), F.lpad(F.month(day).cast("string"), 2, "0"), F.dayofmonth(day))
     rows = table(spark, sf_dir, "orders").select("o_orderkey", short.alias("date_obs"))
     fixed = provenance.repaired_date("date_obs")
-    return rows.select("o_orderkey", fixed.alias("day"), provenance.instant(fixed, (F.col("o_orderkey") % 86400).cast("double")).alias("instant"))
+    return rows.select("o_orderkey", fixed.cast("string").alias("day"), provenance.instant(fixed, (F.col("o_orderkey") % 86400).cast("double")).alias("instant"))
 
 
