@@ -23,6 +23,11 @@ def is_finite(x: Column) -> Column:
     return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
 
 
+def let(value: Column, body: Cond) -> Column:
+    """body(value), with the value computed once: the optimizer would copy a projected column into each use, and into loops over arrays."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def finite(arr: Column | str) -> Column:
     return F.filter(col(arr), is_finite)
 
