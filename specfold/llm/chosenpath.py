@@ -5,7 +5,7 @@ Documents with equal sets form a class and go on as one. A class's MinHash sketc
 in WIDTH tokens. In each of several runs the classes are split by one sampled token of the
 sketch; classes that share it meet in a bucket. Buckets of at most `small` classes are compared
 whole, larger ones are split again by tokens that the bucket's path draws: one, and one time in four a second,
-1 / similarity in the mean. Before a bucket is split, all its classes are compared with
+1 / similarity in the mean, and once by size, in overlapping classes. Before a bucket is split, all its classes are compared with
 one of them, the pivot: those likely to be near it are joined to it, and of them those so near that whatever else
 is linked to them must be near the pivot too leave the bucket. What is large at the last level is
 compared whole, in pairs of blocks. Runs are repeated until a pair at the threshold is met with
@@ -25,7 +25,7 @@ are not read.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +33,9 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from specfold.llm.common import hot_join, session_of, staged, work_dir
+from specfold.llm.common import group_bounds, hot_join, session_of, staged, trimmed, whole_groups, work_dir
 from specfold.llm.components import components, forest
 from specfold.llm.encode import chunks
 
@@ -117,8 +118,8 @@ def _sigs(grams: np.ndarray, ends: np.ndarray) -> list[bytes | None]:
 
 
 def sketch(docs: DataFrame, words: int) -> DataFrame:
-    """docs: doc_id, text. Rows: doc_id, sig (of the n-gram set; null: none), n, sketch."""
-    kind = pa.schema([("doc_id", pa.int64()), ("sig", pa.binary()), ("n", pa.int64()), ("sketch", pa.binary())])
+    """docs: doc_id, text. Rows: doc_id, sig (of the n-gram set; null: none), n, sketch, and its lowest bytes alone, short."""
+    kind = pa.schema([("doc_id", pa.int64()), ("sig", pa.binary()), ("n", pa.int64()), ("sketch", pa.binary()), ("short", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,10 +127,10 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
                 grams, ends = shingle_sets(part.column("text"), words)
                 rows = sketches_of(grams, ends)
                 n = np.diff(np.concatenate([[0], ends]))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(_sigs(grams, ends), pa.binary()), pa.array(n, pa.int64()), pa.array([x.tobytes() if k else None for x, k in zip(rows, n, strict=True)], pa.binary())], schema=kind)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(_sigs(grams, ends), pa.binary()), pa.array(n, pa.int64()), *(pa.array([x.tobytes() if k else None for x, k in zip(y, n, strict=True)], pa.binary()) for y in (rows, (rows & 0xFF).astype(np.uint8)))], schema=kind)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, sig binary, n long, sketch binary")
+    return rows.mapInArrow(trimmed(run), "doc_id long, sig binary, n long, sketch binary, short binary")
 
 
 def runs_for(similarity: float, recall: float) -> int:
@@ -141,39 +142,28 @@ def _token(j: Column) -> Column:
     return F.call_function("substring", F.col("sketch"), (4 * j + 1).cast("int"), F.lit(4))
 
 
-def _groups(batches: Iterator[pa.RecordBatch], block: int = 8_000_000) -> Iterator[pa.Table]:
-    """Tables of whole groups of equal `key`, of about block bytes; the rows come sorted by it."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        held.append(batch)
-        if sum(b.nbytes for b in held) >= block:
-            table = pa.Table.from_batches(held).combine_chunks()
-            key = table.column("key").to_numpy()
-            cut = int(np.searchsorted(key, key[-1]))  # ascending
-            if cut:
-                yield table.slice(0, cut)
-            held = table.slice(cut).to_batches()
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks()
+def _short_token(j: Column) -> Column:
+    return F.call_function("substring", F.col("short"), (j + 1).cast("int"), F.lit(1))
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, WIDTH)
+def size_classes(similarity: float) -> Column:
+    """The two size classes of a set of n n-grams; sets of that similarity or more always have one in common."""
+    own = F.floor(F.log(F.col("n_grams")) / -math.log(similarity - 1e-9)).cast("int")
+    return F.array(own, own + 1)
 
 
-def _bounds(key: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, WIDTH)
 
 
 def _likely(rows: DataFrame) -> DataFrame:
-    """rows: key, sig, sketch, side (0: with all others, 1 and 2: only with the other side). Likely pairs of each key, a spanning forest of them: a, b."""
+    """rows: key, sig, short, side (0: with all others, 1 and 2: only with the other side). Likely pairs of each key, a spanning forest of them: a, b."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches):
-            at = _bounds(table.column("key").to_numpy())
-            tokens, side = _matrix(table.column("sketch")), table.column("side").to_numpy()
+        for table in whole_groups(batches):
+            tokens, side = _matrix(table.column("short")), table.column("side").to_numpy()
             a, b = [], []
-            for begin, end in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            for begin, end in group_bounds(table.column("key").to_numpy()):
                 n = end - begin
                 if n < 2:
                     continue
@@ -191,30 +181,31 @@ def _likely(rows: DataFrame) -> DataFrame:
                 sig = table.column("sig").combine_chunks()
                 yield pa.RecordBatch.from_arrays([pa.array(sig.take(pa.array(np.concatenate(a))).to_pylist(), pa.binary()), pa.array(sig.take(pa.array(np.concatenate(b))).to_pylist(), pa.binary())], ["a", "b"])
 
-    return rows.repartition("key").sortWithinPartitions("key").select("key", "sig", "sketch", "side").mapInArrow(run, "a binary, b binary")
+    return rows.repartition("key").sortWithinPartitions("key").select("key", "sig", "short", "side").mapInArrow(trimmed(run), "a binary, b binary")
 
 
 def _pivoted(rows: DataFrame) -> DataFrame:
-    """rows: key, sig, sketch, pivot, pivot_sketch. Adds near (the pair is a candidate) and stays (the row is split further)."""
+    """rows: key, sig, short, pivot, pivot_short. Adds near (the pair is a candidate) and stays (the row is split further)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            share = (_matrix(batch.column("sketch")) == _matrix(batch.column("pivot_sketch"))).mean(1) if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "sig", "pivot", "sketch")), pa.array(share >= NEAR), pa.array(share < SURE)], ["key", "sig", "pivot", "sketch", "near", "stays"])
+            share = (_matrix(batch.column("short")) == _matrix(batch.column("pivot_short"))).mean(1) if batch.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "sig", "pivot", "short")), pa.array(share >= NEAR), pa.array(share < SURE)], ["key", "sig", "pivot", "short", "near", "stays"])
 
-    return rows.mapInArrow(run, "key long, sig binary, pivot binary, sketch binary, near boolean, stays boolean")
+    return rows.mapInArrow(trimmed(run), "key long, sig binary, pivot binary, short binary, near boolean, stays boolean")
 
 
-def candidates(classes: DataFrame, folder: str, runs: int, small: int, block: int) -> DataFrame:
-    """classes: sig, sketch. Likely pairs: a, b."""
+def candidates(classes: DataFrame, folder: str, runs: int, small: int, block: int, similarity: float) -> DataFrame:
+    """classes: sig, n_grams, sketch, short. Likely pairs: a, b."""
     token = lambda j: F.xxhash64(F.lit(j), _token(F.lit(j)))
     rows = classes.select("sig", F.explode(F.array(*[F.xxhash64(F.lit(-1 - r), token(r)) for r in range(runs)])).alias("key"))
+    classes = classes.drop("sketch")
     found: list[DataFrame] = []
     for level in range(LEVELS + 1):
         rows = staged(rows, folder, f"rows-{level}") if level else rows
         counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("sig", F.lit(level)).alias("h"), "sig")).alias("p")).where("n > 1")
         met = staged(rows.join(counts.select("key", "n", F.col("p.sig").alias("pivot")), "key"), folder, f"met-{level}")
-        leaves = met.where(F.col("n") <= small).join(classes, "sig").select("key", "sig", "sketch", F.lit(0).alias("side"))
+        leaves = met.where(F.col("n") <= small).join(classes, "sig").select("key", "sig", "short", F.lit(0).alias("side"))
         found.append(_likely(leaves))
         large = met.where(F.col("n") > small)
         if large.limit(1).count() == 0:
@@ -224,17 +215,21 @@ def candidates(classes: DataFrame, folder: str, runs: int, small: int, block: in
             parts = F.ceil(F.col("n") / block).cast("int")
             own = F.pmod(F.xxhash64("sig", F.lit("part")), parts.cast("long")).cast("int")
             pair = lambda o: F.struct(F.xxhash64("key", F.least(F.col("_own"), o), F.greatest(F.col("_own"), o)).alias("key"), F.when(o == F.col("_own"), 0).when(o > F.col("_own"), 1).otherwise(2).alias("side"))
-            spread = whole.withColumn("_own", own).select("sig", "sketch", F.explode(F.transform(F.sequence(F.lit(0), parts - 1), pair)).alias("_p"))
-            found.append(_likely(spread.select("_p.key", "sig", "sketch", "_p.side")))
+            spread = whole.withColumn("_own", own).select("sig", "short", F.explode(F.transform(F.sequence(F.lit(0), parts - 1), pair)).alias("_p"))
+            found.append(_likely(spread.select("_p.key", "sig", "short", "_p.side")))
             break
-        pivots = classes.select(F.col("sig").alias("pivot"), F.col("sketch").alias("pivot_sketch"))
+        pivots = classes.select(F.col("sig").alias("pivot"), F.col("short").alias("pivot_short"))
         chosen = counts.where(F.col("n") > small).select("key", F.col("p.sig").alias("pivot")).join(pivots, "pivot")
-        compared = staged(_pivoted(whole.drop("pivot").join(chosen, "key").select("key", "sig", "sketch", "pivot", "pivot_sketch")), folder, f"pivoted-{level}")
+        compared = staged(_pivoted(whole.drop("pivot").join(chosen, "key").select("key", "sig", "short", "pivot", "pivot_short")), folder, f"pivoted-{level}")
         found.append(compared.where("near and sig <> pivot").select(F.col("sig").alias("a"), F.col("pivot").alias("b")))
         draw = lambda i: F.pmod(F.xxhash64("key", F.lit(i)), F.lit(WIDTH))
-        child = lambda i: F.xxhash64("key", draw(i), _token(draw(i)))
+        child = lambda i: F.xxhash64("key", draw(i), _short_token(draw(i)))
         drawn = F.when(F.pmod(F.xxhash64("key", F.lit("second")), F.lit(4)) == 0, F.array(child(1), child(2))).otherwise(F.array(child(1)))
-        rows = compared.where("stays").select("sig", F.explode(drawn).alias("key"))
+        split = compared.where("stays").select("sig", F.explode(drawn).alias("key"))
+        if level == 0:  # sets of unlike size part at once
+            sized = split.join(classes.select("sig", "n_grams"), "sig")
+            split = sized.select("sig", "key", F.explode(size_classes(similarity)).alias("_c")).select("sig", F.xxhash64("key", "_c").alias("key"))
+        rows = split
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
@@ -264,12 +259,11 @@ def verified(rows: DataFrame, similarity: float) -> DataFrame:
     kind = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches):
-            at = _bounds(table.column("key").to_numpy())
+        for table in whole_groups(batches):
             sig, copies, side = table.column("sig").to_pylist(), table.column("copies").to_numpy(), table.column("side").to_numpy()
             raw = table.column("grams").to_pylist()
             a, b, links = [], [], []
-            for begin, end in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            for begin, end in group_bounds(table.column("key").to_numpy()):
                 n = end - begin
                 if n < 2:
                     continue
@@ -292,13 +286,14 @@ def verified(rows: DataFrame, similarity: float) -> DataFrame:
                     links.append(0)
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip((a, b, links), kind, strict=True)], schema=kind)
 
-    return rows.repartition("key").sortWithinPartitions("key").select("key", "sig", "copies", "grams", "side").mapInArrow(run, "a binary, b binary, n long")
+    return rows.repartition("key").sortWithinPartitions("key").select("key", "sig", "copies", "grams", "side").mapInArrow(trimmed(run), "a binary, b binary, n long")
 
 
 def _with_grams(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
     """members: sig, first, ... with grams (the set itself) of the document that stands for the class."""
     texts = docs.select(F.col("doc_id").cast("long").alias("first"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    joined = texts.join(members, "first")
+    # of one shape at every size: texts move once, whether or not the members would fit a broadcast
+    joined = texts.hint("merge").join(members, "first")
     names = [c for c in joined.columns if c not in ("text", "first")]
     fields = [joined.schema[c] for c in names]
 
@@ -311,19 +306,17 @@ def _with_grams(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
                 sets = [grams[a:b].tobytes() for a, b in zip(begin.tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(sets, pa.binary())], [*names, "grams"]).filter(pa.array(right))
 
-    from pyspark.sql import types as T
-
-    return joined.mapInArrow(run, T.StructType([*fields, T.StructField("grams", T.BinaryType())])).dropDuplicates(["sig"])
+    return joined.mapInArrow(trimmed(run), T.StructType([*fields, T.StructField("grams", T.BinaryType())])).dropDuplicates(["sig"])
 
 
-def join(docs: DataFrame, similarity: float = 0.8, words: int = 5, recall: float = 0.9995, small: int = 128, block: int = 512, report: Callable[[str], None] | None = None) -> DataFrame:
+def join(docs: DataFrame, similarity: float = 0.8, words: int = 5, recall: float = 0.9995, small: int = 64, block: int = 512) -> DataFrame:
     """docs: doc_id, text. A row for each: doc_id, class_id (smallest doc_id with the same n-gram set), n_links (other rows with at least this Jaccard similarity), group_id (smallest doc_id reachable by links), kept (the row stands for its group)."""
     spark = session_of(docs)
     folder = work_dir(spark)
     every = staged(sketch(docs, words).withColumn("row", F.monotonically_increasing_id()), folder, "sketches")
     linkable = every.where("sig is not null and doc_id is not null")
-    classes = staged(linkable.groupBy("sig").agg(F.first("sketch").alias("sketch"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "row")).alias("first")), folder, "classes")
-    likely = candidates(classes.select("sig", "sketch"), folder, runs_for(similarity, recall), small, block * 2)
+    classes = staged(linkable.groupBy("sig").agg(F.first("sketch").alias("sketch"), F.first("short").alias("short"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "row")).alias("first")), folder, "classes")
+    likely = candidates(classes.select("sig", F.col("n").alias("n_grams"), "sketch", "short"), folder, runs_for(similarity, recall), small, block * 2, similarity)
     likely = staged(likely.distinct(), folder, "likely")
     stars = components(likely, f"{folder}/candidates")
     grouped = stars.select(F.col("u").alias("sig"), F.col("v").alias("root")).union(stars.select("v", "v").distinct())
