@@ -144,7 +144,7 @@ def whiteness_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row_id", r6("whiteness").alias("whiteness"), "whiteflag")
 
 
-@query("SELECT vec_id AS row_id, CAST(i AS INTEGER) AS i, 400000.0 + i * 3000.0 AS v FROM embeddings, range(64) t(i)")
+@query("SELECT vec_id AS row_id, CAST(i AS INTEGER) AS i, CAST(400000.0 + i * 3000.0 AS DOUBLE) AS v FROM embeddings, range(64) t(i)")
 def velocity_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = S.with_axis(spectra(spark, sf_dir))
     return rows.select("row_id", F.posexplode("axis").alias("i", "v"))
@@ -155,12 +155,12 @@ def velocity_to_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spectra(spark, sf_dir).select("row_id", A.channel_of(F.lit(400000.0) + F.col("row_id") * 375.0, "velocity", "deltav", "crpix1").alias("channel"))
 
 
-@query(f"WITH {LONG} SELECT row_id, CAST(i - 17 AS INTEGER) AS i, x, -16.0 AS crpix1 FROM c WHERE 400000 + i * 3000 BETWEEN 450000 AND 520000")
+@query(f"WITH {LONG} SELECT row_id, CAST(i - 17 AS INTEGER) AS i, x, (-16.0)::DOUBLE AS crpix1 FROM c WHERE 400000 + i * 3000 BETWEEN 450000 AND 520000")
 def extract_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long_form(S.extract(spectra(spark, sf_dir), 450000.0, 520000.0), "crpix1")
 
 
-@query(f"WITH {LONG} SELECT row_id, CAST(i // 4 AS INTEGER) AS i, x, 12000.0 AS deltav FROM c WHERE i % 4 = 0")
+@query(f"WITH {LONG} SELECT row_id, CAST(i // 4 AS INTEGER) AS i, x, 12000.0::DOUBLE AS deltav FROM c WHERE i % 4 = 0")
 def decimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long_form(S.decimated(spectra(spark, sf_dir), 4), "deltav")
 
