@@ -12,14 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specfold.llm import chosenpath, curriculum, feistel, fm, packing
-from specfold.llm.common import staged, work_dir
+from specfold.llm.common import prepared_session, staged, work_dir
 from specfold.llm.queries import GOOD, pii_key, tokenizer_path
-from specfold.shipping import ship
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that the classifier scores below GOOD."""
-    labels = ship(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    labels = prepared_session(spark).read.parquet(f"{sf_dir}/labels.parquet")
     return fm.score_columns(docs, fm.train(docs, labels)).where(F.col("score") >= GOOD).select(*docs.columns)
 
 
@@ -28,10 +27,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows without doc_id stay. Where rows share a doc_id, those of one text stay once, if any row of that doc_id does.
     """
-    ship(spark)
+    prepared_session(spark)
     found = staged(chosenpath.join(docs), work_dir(spark), "groups").where("doc_id is not null")
     stay = found.where("kept").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi")
+    named = docs.where("doc_id is not null").hint("merge").join(stay, "doc_id", "left_semi")
     n, distinct = found.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
     if n != distinct:
         named = named.dropDuplicates(["doc_id", "text"])
@@ -40,7 +39,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Puts pseudonyms in place of personal data."""
-    done = feistel.pseudonymize_columns(docs, pii_key(ship(spark)))
+    done = feistel.pseudonymize_columns(docs, pii_key(prepared_session(spark)))
     return done.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
@@ -52,7 +51,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs all tokens into sequences of 1024."""
-    ship(spark)
+    prepared_session(spark)
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
@@ -69,7 +68,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stage's rows are written as Parquet and read again as the next one's documents."""
-    docs = ship(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = prepared_session(spark).read.parquet(f"{sf_dir}/documents.parquet")
     folder = work_dir(spark)
     for i, (name, stage) in enumerate(STAGES):
         docs = staged(stage(spark, docs, sf_dir), folder, f"{i}-{name}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -11,10 +13,40 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from specfold.shipping import ship
+
 #: A key with at least this share of all rows is joined by broadcast; at most 1 / share keys can have it.
 HOT_SHARE = 0.001
 
 
+#: Bytes of an Arrow batch that Python workers get; a longer text makes a batch of its own.
+BATCH_BYTES = "8m"
+
+
+def prepared_session(spark: SparkSession) -> SparkSession:
+    """Sends the package to the executors and keeps Arrow batches small, whatever the texts' length."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return ship(spark)
+
+
+def trimmed(run):
+    """The same Arrow function; when a task is done its worker, which stays for later ones, gives back unused memory."""
+
+    def lean(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return lean
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def session_of(df: DataFrame) -> SparkSession:
     return df.sparkSession
 

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from specfold.llm.common import drop_path, session_of, staged
+from specfold.llm.common import drop_path, session_of, staged, trimmed
 
 
 def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -49,7 +49,7 @@ def _shorten(edges: DataFrame, block: int = 200_000) -> DataFrame:
                 names = ends.dictionary.take(pa.array(order))
                 yield pa.RecordBatch.from_arrays([names.take(pa.array(child)), names.take(pa.array(root[child]))], ["u", "v"])
 
-    return edges.mapInArrow(run, edges.schema)
+    return edges.mapInArrow(trimmed(run), edges.schema)
 
 
 def components(edges: DataFrame, folder: str) -> DataFrame:

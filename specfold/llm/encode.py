@@ -114,7 +114,9 @@ class PieceEncoder:
         of = rank[coded.indices.to_numpy()]
         begin, size = self.ends[of], self.ends[of + 1] - self.ends[of]
         ends = np.cumsum(size)
-        ids = self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + size, size)]
+        place = np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
+        place += np.repeat((begin - ends + size).astype(np.int32), size)
+        ids = self.ids[place]
         return ids, np.concatenate([[0], ends])[np.searchsorted(at, bounds[1:])]
 
 

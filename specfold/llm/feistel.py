@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from specfold.llm.common import trimmed
 from specfold.llm.encode import chunks
 
 ROUNDS = 10
@@ -230,4 +231,4 @@ def pseudonymize_columns(docs: DataFrame, key: bytes, back: bool = False) -> Dat
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, kind)], [*names, "spans"])
 
     out = T.StructType([*docs.schema.fields, T.StructField("spans", T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])))])
-    return docs.mapInArrow(run, out)
+    return docs.mapInArrow(trimmed(run), out)

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from specfold.llm.common import session_of
+from specfold.llm.common import give_back, session_of, trimmed
 from specfold.llm.encode import chunks
 
 WORDS = 1 << 16
@@ -223,13 +223,16 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 12_000) -> Model:
                 cut = lambda x: [x[a:b].tobytes() for a, b in zip(found.ptr[:-1], found.ptr[1:], strict=True)]  # noqa: E731, B023
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), pa.array(cut(found.idx), pa.binary()), pa.array(cut(found.val), pa.binary()), pa.array([x.tobytes() for x in stats], pa.binary())], schema=kind)
 
-    got = rows.mapInArrow(run, "doc_id long, quality int, idx binary, val binary, stats binary").toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending"), ("stats", "ascending"), ("idx", "ascending")])
+    got = rows.mapInArrow(trimmed(run), "doc_id long, quality int, idx binary, val binary, stats binary").toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending"), ("stats", "ascending"), ("idx", "ascending")])
     idx = [np.frombuffer(x, np.int32) for x in got.column("idx").to_pylist()]
     val = [np.frombuffer(x, np.float32) for x in got.column("val").to_pylist()]
     stats = np.array([np.frombuffer(x) for x in got.column("stats").to_pylist()]).reshape(-1, len(STATS))
     ptr = np.concatenate([[0], np.cumsum([len(x) for x in idx])]).astype(np.int64)
     empty = [np.zeros(0)]
-    return fit(Rows(ptr, np.concatenate(idx or empty), np.concatenate(val or empty)), stats, got.column("quality").to_numpy().astype(np.float64))
+    model = fit(Rows(ptr, np.concatenate(idx or empty), np.concatenate(val or empty)), stats, got.column("quality").to_numpy().astype(np.float64))
+    del got, idx, val
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -249,4 +252,4 @@ def score_columns(docs: DataFrame, model: Model) -> DataFrame:
                 out = sent.value.score(pc.fill_null(part.column("text"), ""), part.column("n_chars"))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.float64())], [*names, "score"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(trimmed(run), T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from specfold.llm.common import session_of
+from specfold.llm.common import session_of, trimmed
 from specfold.llm.encode import chunks
 
 REPLICAS = 32
@@ -89,7 +89,7 @@ def frequencies(docs: DataFrame) -> DataFrame:
             yield emit()
 
     texts = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return texts.mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(trimmed(run), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
 class Lexicon:
@@ -257,4 +257,4 @@ def fingerprint_edits(docs: DataFrame, low: float = 0.0005, high: float = 0.2) -
 
     dealt, parts = with_next(docs)
     ordered = dealt.withColumn("_tie", F.xxhash64("text")).repartition(parts, "_part").sortWithinPartitions("_part", "_ahead", F.col("doc_id").asc_nulls_first(), "_tie")
-    return ordered.select("doc_id", "text", "_part", "_ahead").mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return ordered.select("doc_id", "text", "_part", "_ahead").mapInArrow(trimmed(run), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from specfold.llm.common import group_bounds, hot_join, session_of, staged, whole_groups, work_dir
+from specfold.llm.common import group_bounds, hot_join, session_of, staged, trimmed, whole_groups, work_dir
 from specfold.llm.components import components, forest
 
 FIT_ROWS = 16_384
@@ -56,7 +56,7 @@ def prepared(vectors: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(sigs, pa.binary()), pa.array(sizes, pa.int32()), pa.array(vecs, pa.binary())], ["vec_id", "sig", "size", "vec"])
 
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    return rows.mapInArrow(run, "vec_id long, sig binary, size int, vec binary")
+    return rows.mapInArrow(trimmed(run), "vec_id long, sig binary, size int, vec binary")
 
 
 def unit(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -159,7 +159,7 @@ def calibrated(classes: DataFrame, grid: Grid, cosine: float, recall: float) ->
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], ["place", "n"])
 
-    found = classes.select("sig", "vec").mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
+    found = classes.select("sig", "vec").mapInArrow(trimmed(run), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(MOST_CELLS + 1, np.int64)
     for r in found:
         counts[r["place"]] = r["n"]
@@ -197,7 +197,7 @@ def found_pairs(classes: DataFrame, grid: Grid, cosine: float, cells: int, block
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (used, members[used], visitors[used])], ["cell", "members", "visitors"])
 
     # one row a cell, of which there are at most 1024 x 1024
-    sums = classes.select("vec").mapInArrow(count, "cell long, members long, visitors long").groupBy("cell").agg(F.sum("members").alias("m"), F.sum("visitors").alias("v")).toArrow()
+    sums = classes.select("vec").mapInArrow(trimmed(count), "cell long, members long, visitors long").groupBy("cell").agg(F.sum("members").alias("m"), F.sum("visitors").alias("v")).toArrow()
     blocks = np.zeros((2, n_cells), np.int64)
     for row, name in enumerate(("m", "v")):
         blocks[row, sums.column("cell").to_numpy()] = -(-sums.column(name).to_numpy() // block)
@@ -244,8 +244,8 @@ def found_pairs(classes: DataFrame, grid: Grid, cosine: float, cells: int, block
                     b.append(listed[int(root[k])])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
-    dealt = classes.select("sig", "vec").mapInArrow(deal, "key long, sig binary, vec binary, visits boolean")
-    return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(verify, "a binary, b binary")
+    dealt = classes.select("sig", "vec").mapInArrow(trimmed(deal), "key long, sig binary, vec binary, visits boolean")
+    return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(trimmed(verify), "a binary, b binary")
 
 
 def degrees(members: DataFrame, cosine: float, block: int) -> DataFrame:
@@ -271,7 +271,7 @@ def degrees(members: DataFrame, cosine: float, block: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(out, pa.int64())], ["sig", "n"])
 
     keyed = spread.select("_p.key", "sig", "copies", "vec", "_p.side").repartition("key").sortWithinPartitions("key")
-    return keyed.mapInArrow(run, "sig binary, n long").groupBy("sig").agg(F.sum("n").alias("degree"))
+    return keyed.mapInArrow(trimmed(run), "sig binary, n long").groupBy("sig").agg(F.sum("n").alias("degree"))
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.9, recall: float = 0.999, block: int = 1024) -> DataFrame:

@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from specfold.llm.common import trimmed
 from specfold.llm.encode import ENCODE_BYTES, chunks, encoder
 
 SCHEMA = "doc_id long, start long, length long, tokens binary, doc_tokens long, sequence_id long, offset long, cost double"
@@ -121,4 +122,4 @@ def pack(docs: DataFrame, tokenizer: str, seq_len: int = 1024, end_id: int = 0,
         if rows:
             yield emit()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")).mapInArrow(trimmed(run), SCHEMA)

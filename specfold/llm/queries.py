@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specfold.llm import chosenpath, curriculum, feistel, fm, imatch, multiindex, packing, records, trigrams, warc
-from specfold.llm.common import work_dir
-from specfold.shipping import ship
+from specfold.llm.common import prepared_session, work_dir
 
 
 def tokenizer_path(name: str) -> str:
@@ -19,7 +18,7 @@ def tokenizer_path(name: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepared_session(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from specfold.llm.common import session_of
+from specfold.llm.common import session_of, trimmed
 from specfold.llm.encode import ENCODE_BYTES, chunks, encoder
 
 MAGIC = b"SFREC1"
@@ -105,7 +105,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, file_by
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("_tie", F.xxhash64("text"))
     ordered = rows.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").select("doc_id", "text")
-    ordered.mapInArrow(run, "value string").write.mode("overwrite").option("maxRecordsPerFile", 1).text(f"{folder}/data")
+    ordered.mapInArrow(trimmed(run), "value string").write.mode("overwrite").option("maxRecordsPerFile", 1).text(f"{folder}/data")
     _scan(spark, folder, False).write.mode("overwrite").parquet(f"{folder}/index")
 
 
@@ -129,7 +129,7 @@ def _scan(spark: SparkSession, folder: str, with_ids: bool) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), kind, strict=True)], schema=kind)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{folder}/data").select("content")
-    return files.mapInArrow(run, INDEX + (", tokens binary" if with_ids else ""))
+    return files.mapInArrow(trimmed(run), INDEX + (", tokens binary" if with_ids else ""))
 
 
 def index(spark: SparkSession, folder: str) -> DataFrame:

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from specfold.llm.common import trimmed
 from specfold.llm.encode import chunks
 
 
@@ -222,4 +223,4 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(rows, kind.field("spans").type)], schema=kind)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, spans array<struct<kind: string, start: long, end: long>>")
+    return rows.mapInArrow(trimmed(run), "doc_id long, spans array<struct<kind: string, start: long, end: long>>")
