@@ -216,10 +216,11 @@ def group_excess(rows: DataFrame, key: str, window: tuple[int, int], sigmas: flo
 
     Expected: sqrt(sum s^2) / N, or sqrt(sum w^2 s^2) / sum w for weights 1 / s^2. Columns: key, n, expected, noise, excess, threshold, flag.
     """
-    noisy = rows.withColumn("_s", A.std(outside(spectrum, window))).where(A.is_finite(F.col("_s")) & (F.col("_s") > 0))
-    w = 1 / (F.col("_s") * F.col("_s")) if weighted else F.lit(1.0)
-    marked = noisy.withColumn("_w", w)
-    expected = marked.groupBy(key).agg(F.count(F.lit(1)).alias("n"), (F.sqrt(F.sum(F.col("_w") * F.col("_w") * F.col("_s") * F.col("_s"))) / F.sum("_w")).alias("expected"))
+    # the square of each row's noise, null if there is none; no filter on it, which would compute it twice
+    square = A.let(A.std(outside(spectrum, window)), lambda v: F.when(A.is_finite(v) & (v > 0), v * v))
+    w = 1 / F.col("_v") if weighted else F.when(F.col("_v").isNotNull(), 1.0)
+    marked = rows.select(key, spectrum, square.alias("_v")).withColumn("_w", w)
+    expected = marked.groupBy(key).agg(F.count("_v").alias("n"), (F.sqrt(F.sum(F.col("_w") * F.col("_w") * F.col("_v"))) / F.sum("_w")).alias("expected")).where("n > 0")
     mean = average(marked, [key], spectrum, F.col("_w")).where((F.col("pos") < window[0]) | (F.col("pos") >= window[1]))
     noise = mean.groupBy(key).agg(F.stddev_pop("mean").alias("noise"))
     both = expected.join(noise, key).withColumn("excess", F.col("noise") / F.col("expected"))
