@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Cond = Callable[[Column], Column]
@@ -28,6 +28,11 @@ def let(value: Column, body: Cond) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def scalar(one_row: DataFrame) -> Column:
+    """The value of a table of one row and one column, as a scalar subquery."""
+    return one_row.scalar()
+
+
 def finite(arr: Column | str) -> Column:
     return F.filter(col(arr), is_finite)
 

@@ -62,8 +62,7 @@ def snr_masked(map_: DataFrame, noise: DataFrame, least: float, channels: int |
 
 def coverage_masked(map_: DataFrame, least: float) -> DataFrame:
     """Pixels with at least a share of the best coverage."""
-    top = map_.agg(F.max("coverage").alias("_top"))
-    return map_.crossJoin(F.broadcast(top)).where(F.col("coverage") >= least * F.col("_top")).drop("_top")  # one row
+    return map_.where(F.col("coverage") >= least * A.scalar(map_.agg(F.max("coverage"))))
 
 
 def in_circle(cy: float, cx: float, radius: float) -> Column:
@@ -130,13 +129,13 @@ def mean_spectrum(cube: DataFrame, region: Column, spectrum: str = "spectrum") -
     return long.groupBy("pos").agg(F.avg("_x").alias("mean"), F.count(F.lit(1)).alias("n"))
 
 
-def crop_box(map_: DataFrame, empty: float = 0.0) -> DataFrame:
-    """Smallest box without margins that are empty up to a share: y0, y1, x0, x1."""
+def crop_box(map_: DataFrame, filled: float = 0.0) -> DataFrame:
+    """Smallest box without margins whose rows or columns are filled to less than a share: y0, y1, x0, x1."""
     good = map_.where(A.is_finite(F.col("value")))
-    size = good.agg((F.max("x") - F.min("x") + 1).alias("w"), (F.max("y") - F.min("y") + 1).alias("h"))
-    rows = good.groupBy("y").agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(size)).where((F.col("n") > 0) & (1 - F.col("n") / F.col("w") <= 1 - empty))
-    cols = good.groupBy("x").agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(size)).where((F.col("n") > 0) & (1 - F.col("n") / F.col("h") <= 1 - empty))
-    return rows.agg(F.min("y").alias("y0"), F.max("y").alias("y1")).crossJoin(cols.agg(F.min("x").alias("x0"), F.max("x").alias("x1")))
+    span = lambda c: A.scalar(good.agg(F.max(c) - F.min(c) + 1))
+    full = lambda c, across: good.groupBy(c).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") / span(across) >= filled)
+    rows, cols = full("y", "x"), full("x", "y")
+    return rows.agg(F.min("y").alias("y0"), F.max("y").alias("y1")).withColumns({"x0": A.scalar(cols.agg(F.min("x"))), "x1": A.scalar(cols.agg(F.max("x")))})
 
 
 def spectrally_smoothed(cube: DataFrame, sigma: float, spectrum: str = "spectrum") -> DataFrame:
@@ -149,6 +148,5 @@ def shuffled(cube: DataFrame, window: tuple[int, int], velocity: float, deltav:
     strong = snr_masked(moment0(cube, window, deltav, spectrum), noise_map(cube, window, spectrum), least_snr, n, deltav).where("value <> 0")
     field = smoothed(moment1(cube, window, velocity, deltav, spectrum).join(strong.select("y", "x"), ["y", "x"], "left_semi"), sigma)
     here = cube.select("y", "x", spectrum).join(field.withColumnRenamed("value", "_v0"), ["y", "x"])
-    reference = here.agg(F.median("_v0").alias("_ref"))
-    moved = here.crossJoin(F.broadcast(reference)).withColumn("shift", (F.col("_v0") - F.col("_ref")) / deltav).drop("_v0", "_ref")
+    moved = here.withColumn("shift", (F.col("_v0") - A.scalar(here.agg(F.median("_v0")))) / deltav).drop("_v0")
     return map_arrays(moved, spectrum, K.shift_rows, {spectrum: "array<double>"}, ("shift",))

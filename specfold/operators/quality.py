@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from specfold.functions.arrays import is_finite
+from specfold.functions.arrays import is_finite, scalar
 
 C_LIGHT = 299792458.0
 #: A median absolute deviation times this is a normal deviation.
@@ -39,10 +39,10 @@ def metric_stats(rows: DataFrame, column: str, keys: Iterable[str] = ()) -> Data
 def histogram(rows: DataFrame, column: str, bins: int) -> DataFrame:
     """Counts in equal bins over the range of finite values, the last bin closed: bin, low, high, n."""
     good = rows.select(F.col(column).cast("double").alias("x")).where(is_finite(F.col("x")))
-    span = good.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    span = scalar(good.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))))
     step = (F.col("hi") - F.col("lo")) / bins
     bin_ = F.when(step > 0, F.least(F.lit(bins - 1), F.floor((F.col("x") - F.col("lo")) / step).cast("int"))).otherwise(0)
-    joined = good.crossJoin(F.broadcast(span))  # one row
+    joined = good.withColumn("_span", span).select("x", "_span.lo", "_span.hi")
     return joined.groupBy(bin_.alias("bin"), "lo", "hi").agg(F.count(F.lit(1)).alias("n")).select("bin", (F.col("lo") + F.col("bin") * step).alias("low"), (F.col("lo") + (F.col("bin") + 1) * step).alias("high"), "n")
 
 
@@ -63,10 +63,9 @@ def theoretical_rms(tsys: Column, on: Column, off: Column, tau: Column, elevatio
 
 
 def mad_flags(rows: DataFrame, column: str, sigmas: float, flag: str = "flag", least_rows: int = 0) -> DataFrame:
-    """Adds `threshold` = median + sigmas * 1.4826 * MAD of the finite values, and whether a value is above it. The two medians are one-row tables."""
+    """Adds `threshold` = median + sigmas * 1.4826 * MAD of the finite values, and whether a value is above it. The medians are scalar subqueries."""
     good = rows.where(is_finite(F.col(column))).select(F.col(column).alias("_x"))
-    middle = good.agg(F.median("_x").alias("_median"), F.count(F.lit(1)).alias("_n"))
-    spread = good.crossJoin(F.broadcast(middle)).agg(F.median(F.abs(F.col("_x") - F.col("_median"))).alias("_mad"))
-    limit = F.col("_median") + sigmas * MAD * F.col("_mad")
-    out = rows.crossJoin(F.broadcast(middle)).crossJoin(F.broadcast(spread)).withColumn("threshold", F.when(F.col("_n") >= least_rows, limit))
-    return out.withColumn(flag, F.coalesce(is_finite(F.col(column)) & (F.col(column) > F.col("threshold")), F.lit(False))).drop("_median", "_mad", "_n")
+    middle = scalar(good.agg(F.median("_x")))
+    spread = scalar(good.agg(F.median(F.abs(F.col("_x") - middle))))
+    out = rows.withColumn("threshold", F.when(scalar(good.agg(F.count(F.lit(1)))) >= least_rows, middle + sigmas * MAD * spread))
+    return out.withColumn(flag, F.coalesce(is_finite(F.col(column)) & (F.col(column) > F.col("threshold")), F.lit(False)))

@@ -90,7 +90,7 @@ def average_spectra(rows: DataFrame, keys: Iterable[str] = (), spectrum: str = "
     wide = long.groupBy(*keys).agg(packed.alias("_p"), F.avg("std").alias("rms"))
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     out = wide.select(*keys, F.transform("_p", lambda p: p["mean"]).alias("spectrum"), F.transform("_p", lambda p: p["std"]).alias("std"), "rms")
-    return out.join(counts, keys) if keys else out.crossJoin(counts)
+    return out.join(counts, keys) if keys else out.withColumn("n", A.scalar(counts))
 
 
 def outside(spectrum: str, window: tuple[int, int]) -> Column:

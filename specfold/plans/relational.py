@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from specfold.functions.arrays import scalar
 from specfold.operators import droprules, filters, links, provenance, quality
 from specfold.plans.registry import query, table
 
@@ -74,8 +75,7 @@ SELECT l_orderkey, l_linenumber FROM lineitem, t WHERE l_returnflag <> 'N' OR l_
 def filter_adaptive_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem")
     limit = filters.percentile_limit(rows, "l_extendedprice", 80, 50000.0, F.col("l_returnflag") == "N")
-    joined = rows.crossJoin(F.broadcast(limit))  # one row
-    return joined.where((F.col("l_returnflag") != "N") | filters.cut("l_extendedprice", "<=", F.col("limit"))).select("l_orderkey", "l_linenumber")
+    return rows.where((F.col("l_returnflag") != "N") | filters.cut("l_extendedprice", "<=", scalar(limit))).select("l_orderkey", "l_linenumber")
 
 
 @query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_tax > 0.02 AND l_quantity < 10")
