@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specfold.llm.common import hot_join, session_of, staged
+from specfold.llm.common import hot_join, staged
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _CONV = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
