@@ -41,18 +41,16 @@ _LONG = 64
 _FLUSH = 400_000
 
 
-def chunk_terms(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Distinct terms of the texts; and the (document, term) pairs, ascending."""
+def chunk_terms(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct runs of the texts (bytes); and the (document, run) pairs of those that are terms, ascending."""
     low = pc.utf8_lower(texts.cast(pa.large_string()))
     n = len(low)
     none = np.zeros(0, np.int64)
-    if not n:
-        return [], none, none
-    bounds = np.frombuffer(low.buffers()[1], np.int64)[low.offset : low.offset + n + 1]
-    raw = np.frombuffer(low.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
-    bounds = bounds - bounds[0]
+    bounds = np.frombuffer(low.buffers()[1], np.int64)[low.offset : low.offset + n + 1] if n else np.zeros(1, np.int64)
+    raw = np.frombuffer(low.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]] if n else np.zeros(0, np.uint8)
     if not len(raw):
-        return [], none, none
+        return pa.array([], pa.large_binary()), none, none
+    bounds = bounds - bounds[0]
     word = _WORD[raw]
     mark = np.zeros(len(raw) + 1, bool)
     mark[1:-1] = word[1:] != word[:-1]
@@ -60,13 +58,21 @@ def chunk_terms(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     mark[-1] = True
     at = np.flatnonzero(mark).astype(np.int64)
     coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(raw)]).dictionary_encode()
-    names = coded.dictionary.to_pylist()
-    keep = np.fromiter((_WORD[x[0]] if x else False for x in names), bool, len(names))
-    code = coded.indices.to_numpy().astype(np.int64)
-    chosen = keep[code]
+    chosen = word[at[:-1]]
     doc = np.searchsorted(bounds, at[:-1][chosen], "right") - 1
-    pairs = np.unique(doc << 32 | code[chosen])
-    return [x.decode() if len(x) <= _LONG else "#" + xxhash.xxh3_128_hexdigest(x) for x in names], pairs >> 32, pairs & 0xFFFFFFFF
+    pairs = np.unique(doc << 32 | coded.indices.to_numpy()[chosen])
+    return coded.dictionary, pairs >> 32, pairs & 0xFFFFFFFF
+
+
+def names_of(runs: pa.Array) -> pa.Array:
+    """The terms' names: long ones are named by a hash."""
+    long = np.flatnonzero(pc.binary_length(runs).to_numpy() > _LONG)
+    if not len(long):
+        return runs
+    names = runs.to_pylist()
+    for i in long.tolist():
+        names[i] = b"#" + xxhash.xxh3_128_hexdigest(names[i]).encode()
+    return pa.array(names, pa.large_binary())
 
 
 def frequencies(docs: DataFrame) -> DataFrame:
@@ -77,11 +83,11 @@ def frequencies(docs: DataFrame) -> DataFrame:
         emit = lambda: pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["term", "n"])
         for batch in batches:
             for part in chunks(batch, "text"):
-                names, _, term = chunk_terms(part.column("text"))
-                found = np.bincount(term, minlength=len(names))
-                for name, n in zip(names, found.tolist(), strict=True):
-                    if n:
-                        counts[name] = counts.get(name, 0) + n
+                runs, _, term = chunk_terms(part.column("text"))
+                found = np.bincount(term, minlength=len(runs))
+                used = np.flatnonzero(found)
+                for name, n in zip(names_of(runs.take(pa.array(used))).cast(pa.large_string()).to_pylist(), found[used].tolist(), strict=True):
+                    counts[name] = counts.get(name, 0) + n
                 if len(counts) > _FLUSH:
                     yield emit()
                     counts.clear()
@@ -97,17 +103,21 @@ class Lexicon:
 
     def __init__(self, terms: list[str]):
         self.terms = terms
-        self.number: dict[str, int] | None = None
+        self.names: pa.Array | None = None
 
     def ready(self) -> Lexicon:
-        if self.number is None:
-            self.number = {t: i for i, t in enumerate(self.terms)}
+        if self.names is None:
+            self.names = pa.array([t.encode() for t in self.terms], pa.large_binary())
             self.keys = keys_of(self.terms)
             self.levels = levels_of(self.keys)
         return self
 
+    def number(self, names: pa.Array) -> np.ndarray:
+        """Places of the names in the lexicon, -1 if they are not in it."""
+        return pc.fill_null(pc.index_in(names, self.names), -1).to_numpy(zero_copy_only=False).astype(np.int64)
 
-def keys_of(terms: list[str]) -> np.ndarray:
+
+def keys_of(terms: list[str] | list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(t) for t in terms), np.uint64, len(terms))
 
 
@@ -127,23 +137,24 @@ def levels_of(keys: np.ndarray) -> np.ndarray:
 def fingerprints(texts: pa.Array, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray]:
     """First levels (n) and hashes (n x 2 x REPLICAS, uint16)."""
     n = len(texts)
-    names, doc, term = chunk_terms(texts)
-    number = np.fromiter((lexicon.number.get(x, -1) for x in names), np.int64, len(names))
+    runs, doc, term = chunk_terms(texts)
+    names = names_of(runs)
+    number = lexicon.number(names)
     inside = number[term] >= 0
     banded = np.bincount(doc[inside], minlength=n) > 0
-    outside = ~banded[doc]
-    own_keys = keys_of(names)
-    use = inside | outside
+    use = inside | ~banded[doc]
     doc, term = doc[use], term[use]
+    at = number[term]
+    known = at >= 0
+    keys = np.zeros(len(doc), np.uint64)
+    keys[known] = lexicon.keys[at[known]]
+    keys[~known] = keys_of(names.take(pa.array(term[~known])).to_pylist())
     bare = np.flatnonzero(~np.isin(np.arange(n), doc))
     if len(bare):  # no terms at all: the whole text is one
-        own_keys = np.concatenate([own_keys, keys_of([texts[int(i)].as_py() for i in bare])])
-        number = np.concatenate([number, np.full(len(bare), -1)])
-        doc, term = np.concatenate([doc, bare]), np.concatenate([term, len(names) + np.arange(len(bare))])
-    keys = own_keys[term]
+        keys = np.concatenate([keys, keys_of([texts[int(i)].as_py() for i in bare])])
+        doc, at = np.concatenate([doc, bare]), np.concatenate([at, np.full(len(bare), -1)])
     order = np.lexsort((keys, doc))  # sorted distinct terms of each document
-    doc, term, keys = doc[order], term[order], keys[order]
-    at = number[term]
+    doc, at, keys = doc[order], at[order], keys[order]
     levels = np.empty((len(doc), REPLICAS), np.uint8)
     known = at >= 0
     levels[known] = lexicon.levels[at[known]]
