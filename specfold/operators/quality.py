@@ -63,9 +63,9 @@ def theoretical_rms(tsys: Column, on: Column, off: Column, tau: Column, elevatio
 
 
 def mad_flags(rows: DataFrame, column: str, sigmas: float, flag: str = "flag", least_rows: int = 0) -> DataFrame:
-    """Adds `threshold` = median + sigmas * 1.4826 * MAD of the finite values, and whether a value is above it. The medians are scalar subqueries."""
+    """Adds `threshold` = median + sigmas * 1.4826 * MAD of the finite values, and whether a value is above it. The medians are scalar subqueries, each of which reads the rows: write costly rows to a stage first."""
     good = rows.where(is_finite(F.col(column))).select(F.col(column).alias("_x"))
-    middle = scalar(good.agg(F.median("_x")))
-    spread = scalar(good.agg(F.median(F.abs(F.col("_x") - middle))))
-    out = rows.withColumn("threshold", F.when(scalar(good.agg(F.count(F.lit(1)))) >= least_rows, middle + sigmas * MAD * spread))
+    middle = scalar(good.agg(F.struct(F.median("_x").alias("m"), F.count(F.lit(1)).alias("n"))))
+    spread = scalar(good.agg(F.median(F.abs(F.col("_x") - middle["m"]))))
+    out = rows.withColumn("threshold", F.when(middle["n"] >= least_rows, middle["m"] + sigmas * MAD * spread))
     return out.withColumn(flag, F.coalesce(is_finite(F.col(column)) & (F.col(column) > F.col("threshold")), F.lit(False)))
