@@ -15,14 +15,23 @@ def link_calibration(science: DataFrame, calibration: DataFrame, by: Iterable[st
 
     Of the calibration rows with equal keys, the one taken in the subscan before comes first
     (smallest id), else the nearest in time (smallest id on ties); without times the smallest id.
-    The choice is a minimum over candidates, so partial results combine before they are shuffled.
+    Nearest rows come from one pass up and one down the time order of each group, not from pairs:
+    each science row sees the last calibration before it and the first after it.
     """
     keys = list(by)
     cal = calibration.select(*keys, F.col("row_id").alias("_cal"), F.col("subscan").alias("_sub"), F.col("t").alias("_t"))
-    pattern = F.col("_sub") == F.col("subscan") - 1
-    gap = F.when(pattern, F.lit(0.0)).otherwise(F.coalesce(F.abs(F.col("_t").cast("double") - F.col("t").cast("double")), F.lit(float("inf"))))
-    ranked = science.select(*keys, "row_id", "subscan", "t").join(cal, keys).groupBy("row_id").agg(F.min(F.struct((~pattern).alias("late"), gap.alias("gap"), F.col("_cal").alias("id"))).alias("_best"))
-    return science.join(ranked.select("row_id", F.col("_best.id").alias(name)), "row_id", "left")
+    before = cal.groupBy(*keys, (F.col("_sub") + 1).alias("subscan")).agg(F.min("_cal").alias("_before"))
+    lowest = cal.groupBy(*keys).agg(F.min("_cal").alias("_lowest"))
+    timed = cal.where(F.col("_t").isNotNull()).groupBy(*keys, F.col("_t").alias("t")).agg(F.min("_cal").alias("_cal"))
+    wanted = science.where(F.col("t").isNotNull()).select(*keys, "t", "row_id")
+    marks = timed.select(*keys, "t", F.lit(None).cast(wanted.schema["row_id"].dataType).alias("row_id"), F.struct("t", F.col("_cal").alias("id")).alias("_at"))
+    line = wanted.withColumn("_at", F.lit(None).cast(marks.schema["_at"].dataType)).unionByName(marks)
+    seen = lambda order: F.last("_at", ignorenulls=True).over(Window.partitionBy(*keys).orderBy(order, F.col("row_id").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    sides = line.withColumn("_up", seen(F.col("t").asc())).withColumn("_down", seen(F.col("t").desc())).where(F.col("row_id").isNotNull())
+    gap = lambda side: F.struct(F.abs(F.col("t") - F.col(f"{side}.t")).alias("gap"), F.col(f"{side}.id").alias("id"))
+    nearest = F.when(F.col("_up").isNull(), F.col("_down.id")).when(F.col("_down").isNull(), F.col("_up.id")).otherwise(F.least(gap("_up"), gap("_down"))["id"])
+    out = science.join(before, [*keys, "subscan"], "left").join(sides.select("row_id", nearest.alias("_nearest")), "row_id", "left").join(lowest, keys, "left")
+    return out.withColumn(name, F.coalesce("_before", "_nearest", "_lowest")).drop("_before", "_nearest", "_lowest")
 
 
 def check_unique(rows: DataFrame, keys: Iterable[str]) -> DataFrame:
