@@ -2,16 +2,15 @@
 
 Vectors scaled to length one are cut in halves; a codebook for each half, fitted by k-means on a
 bounded sample, makes a product grid of cells, and every vector stands in the cell of its nearest
-centroids. A vector visits cells in the order of its summed squared distance to their centroids,
-by the multi-sequence walk over both halves' sorted distances, until the number of cells that
-reached the target recall: a bounded sample of vectors is compared with all others, and the
-places of the found partners' cells in the sample's walks give that number. Cells that are empty,
-or that lie too far for any link by the bound between two centroids, are passed over. Members of a
-visited cell are verified by cosine in double precision.
+centroids. Cells in their order are packed to blocks of bounded size. A vector visits every block
+with a cell that can hold a link of it, by the bound between two centroids: cells are ruled out by that
+bound alone, never by their number, so no link is lost however few there are. Two blocks meet with the
+vectors of each that reach the other, verified by cosine in double precision. Where the bound rules
+little out, as among vectors without clusters, this is a comparison of all pairs.
 
 Vectors of equal components form a class and go on as one. Links found join classes to components; all
 pairs inside a component are then verified, which counts links exactly. Only spanning forests
-leave a task. Frequented cells and large components are dealt in pairs of blocks.
+leave a task. Cells of many vectors and large components are dealt in pairs of blocks.
 
 Vectors that are null, empty, zero or hold null or non-finite components, or whose length differs
 from most vectors', link with nothing; rows with a null vec_id neither. Repeated rows are copies of one another.
@@ -33,9 +32,9 @@ from specfold.llm.common import group_bounds, hot_join, session_of, staged, trim
 from specfold.llm.components import components, forest
 
 FIT_ROWS = 16_384
-PROBE_ROWS = 512
-MOST_CELLS = 512
-LEAST_CELLS = 16
+#: Bytes of vectors in a block of cells at most, and blocks at least if that makes none smaller than asked for.
+BLOCK_BYTES = 16_000_000
+SPREAD = 12
 
 
 def prepared(vectors: DataFrame) -> DataFrame:
@@ -122,6 +121,17 @@ class Grid:
             total += np.nan_to_num(np.maximum(low, 0), nan=0.0, posinf=0.0) ** 2
         return total <= limit + 1e-9
 
+    def bounds(self, squares: list[np.ndarray]) -> list[np.ndarray]:
+        """For each half the squared distance that each row has at least to vectors of each centroid, by the same planes."""
+        out = []
+        for square, gap in zip(squares, self.gaps, strict=True):
+            own = np.argmin(square, 1)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                low = (square - square[np.arange(len(square)), own][:, None]) / (2 * gap[own])
+            low[np.arange(len(square)), own] = 0
+            out.append(np.nan_to_num(np.maximum(low, 0), nan=0.0, posinf=0.0) ** 2)
+        return out
+
 
 def fit(classes: DataFrame, total: int) -> Grid:
     """Codebooks from at most FIT_ROWS classes, those with the smallest hash."""
@@ -137,115 +147,108 @@ def _wide(x: np.ndarray) -> np.ndarray:
     return x if x.shape[1] > 1 else np.concatenate([x, np.zeros((len(x), 1))], 1)
 
 
-def calibrated(classes: DataFrame, grid: Grid, cosine: float, recall: float) -> tuple[int, float]:
-    """How many cells of a walk hold that share of the links of a probe of at most PROBE_ROWS classes; and the share within them."""
-    got = classes.orderBy(F.xxhash64("sig", F.lit("probe")), "sig").limit(PROBE_ROWS).select("sig", "vec").toArrow()
-    probe, sigs = _wide(unit(got.column("vec"))), got.column("sig").to_pylist()
-    squares = grid.squares(probe)
-    walks = [grid.walk(squares[0][i], squares[1][i], MOST_CELLS) for i in range(len(probe))]
-    sent = session_of(classes).sparkContext.broadcast((probe, sigs, grid, walks))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        probe, sigs, grid, walks = sent.value
-        ranks = [{c: r for r, c in enumerate(w)} for w in walks]
-        counts = np.zeros(MOST_CELLS + 1, np.int64)
-        for batch in batches:
-            x = _wide(unit(batch.column("vec")))
-            cells = grid.cells(grid.squares(x))
-            own = batch.column("sig").to_pylist()
-            for i, j in zip(*np.nonzero(x @ probe.T >= cosine), strict=True):
-                if own[i] != sigs[j]:
-                    counts[ranks[j].get(int(cells[i]), MOST_CELLS)] += 1
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], ["place", "n"])
-
-    found = classes.select("sig", "vec").mapInArrow(trimmed(run), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(MOST_CELLS + 1, np.int64)
-    for r in found:
-        counts[r["place"]] = r["n"]
-    if not counts.sum():
-        return LEAST_CELLS, 1.0
-    share = np.cumsum(counts) / counts.sum()
-    cells = int(np.clip(np.searchsorted(share, recall) + 1, LEAST_CELLS, MOST_CELLS))
-    return cells, float(share[cells - 1])
-
-
-
-def found_pairs(classes: DataFrame, grid: Grid, cosine: float, cells: int, block: int) -> DataFrame:
-    """classes: sig, vec. Verified links between visitors and members of cells, a spanning forest for each cell and block: a, b."""
+def packed(members: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """For the number of vectors of each cell: its first block and its number of blocks. Only a cell of more than `most` vectors has several, all its own."""
+    first, parts = np.zeros(len(members), np.int64), np.ones(len(members), np.int64)
+    now, held = 0, 0
+    for c in np.flatnonzero(members).tolist():
+        m = int(members[c])
+        if held and held + m > most:
+            now, held = now + 1, 0
+        first[c], parts[c] = now, -(-m // most)
+        held += m
+        if parts[c] > 1:
+            now, held = now + int(parts[c]), 0
+    return first, parts
+
+
+def links(x: np.ndarray, y: np.ndarray, cosine: float, rows: int = 512) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of x and y, all of length one, of that cosine, some rows of x at a time. Single precision decides where its error cannot matter."""
+    error = (x.shape[1] + 4) * 2.0**-22
+    x4, y4 = x.astype(np.float32), y.astype(np.float32)
+    for at in range(0, len(x), rows):
+        near = x4[at : at + rows] @ y4.T
+        linked = near >= cosine + error
+        if np.count_nonzero(near >= cosine - error) != np.count_nonzero(linked):
+            linked = x[at : at + rows] @ y.T >= cosine
+        i, j = np.nonzero(linked)
+        yield i + at, j
+
+
+def found_pairs(classes: DataFrame, grid: Grid, cosine: float, block: int) -> DataFrame:
+    """classes: sig, vec. Verified links, at least a spanning forest of those between two blocks of at most `block` vectors: a, b."""
     spark = session_of(classes)
-    limit = 2 - 2 * cosine
+    limit = 2 - 2 * cosine + 1e-9
     n_cells = len(grid.books[0]) * len(grid.books[1])
     sent = spark.sparkContext.broadcast(grid)
 
-    def visits(x: np.ndarray, grid: Grid) -> tuple[np.ndarray, list[np.ndarray]]:
-        squares = grid.squares(x)
-        own = grid.cells(squares)
-        out = []
-        for i in range(len(x)):
-            walk = np.array(grid.walk(squares[0][i], squares[1][i], cells), np.int64)
-            out.append(walk[grid.reachable(squares, i, walk, limit)])
-        return own, out
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        members, visitors = np.zeros(n_cells, np.int64), np.zeros(n_cells, np.int64)
+        members = np.zeros(n_cells, np.int64)
         for batch in batches:
-            own, out = visits(_wide(unit(batch.column("vec"))), sent.value)
-            members += np.bincount(own, minlength=n_cells)
-            visitors += np.bincount(np.concatenate(out), minlength=n_cells)
-        used = np.flatnonzero(members + visitors)
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (used, members[used], visitors[used])], ["cell", "members", "visitors"])
+            members += np.bincount(sent.value.cells(sent.value.squares(_wide(unit(batch.column("vec"))))), minlength=n_cells)
+        used = np.flatnonzero(members)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(members[used], pa.int64())], ["cell", "members"])
 
     # one row a cell, of which there are at most 1024 x 1024
-    sums = classes.select("vec").mapInArrow(trimmed(count), "cell long, members long, visitors long").groupBy("cell").agg(F.sum("members").alias("m"), F.sum("visitors").alias("v")).toArrow()
-    blocks = np.zeros((2, n_cells), np.int64)
-    for row, name in enumerate(("m", "v")):
-        blocks[row, sums.column("cell").to_numpy()] = -(-sums.column(name).to_numpy() // block)
-    shared = spark.sparkContext.broadcast(blocks)
+    sums = classes.select("vec").mapInArrow(trimmed(count), "cell long, members long").groupBy("cell").agg(F.sum("members").alias("m")).toArrow()
+    members = np.zeros(n_cells, np.int64)
+    members[sums.column("cell").to_numpy()] = sums.column("m").to_numpy()
+    first, parts = packed(members, block)
+    used = np.flatnonzero(members)
+    n_blocks = int((first + parts)[used].max())
+    shared = spark.sparkContext.broadcast((used, first, parts))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = shared.value
+        used, first, parts = shared.value
+        grid = sent.value
+        n = len(grid.books[1])
+        starts = np.flatnonzero(np.concatenate([[True], first[used][1:] != first[used][:-1]]))
+        heads, widths = first[used][starts], parts[used][starts]
         for batch in batches:
-            own, out = visits(_wide(unit(batch.column("vec"))), sent.value)
-            hashed = [xxhash.xxh3_64_intdigest(s) for s in batch.column("sig").to_pylist()]
-            keys, rows, sides = [], [], []
-            for i, h in enumerate(hashed):
-                c = int(own[i])
-                for v in range(blocks[1, c]):
-                    keys.append((c << 40) | (h % int(blocks[0, c]) << 20) | v)
-                    rows.append(i)
-                    sides.append(False)
-                for c in out[i].tolist():
-                    if blocks[0, c]:
-                        q = (h >> 20) % int(blocks[1, c])
-                        for m in range(blocks[0, c]):
-                            keys.append((c << 40) | (m << 20) | q)
-                            rows.append(i)
-                            sides.append(True)
-            at = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch.column("sig").take(at), batch.column("vec").take(at), pa.array(sides, pa.bool_())], ["key", "sig", "vec", "visits"])
+            step = max(1, 4_000_000 // len(used))
+            for begin in range(0, batch.num_rows, step):
+                part = batch.slice(begin, step)
+                squares = grid.squares(_wide(unit(part.column("vec"))))
+                cell = grid.cells(squares)
+                hashed = np.array([xxhash.xxh3_64_intdigest(s) for s in part.column("sig").to_pylist()], np.uint64)
+                own = first[cell] + (hashed % parts[cell].astype(np.uint64)).astype(np.int64)
+                a, b = grid.bounds(squares)
+                reached = np.logical_or.reduceat(a[:, used // n] + b[:, used % n] <= limit, starts, axis=1)
+                row, run = np.nonzero(reached)
+                width = widths[run]
+                to = np.repeat(heads[run], width) + np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
+                row = np.repeat(row, width)
+                mine = own[row]
+                key = (np.minimum(mine, to) << 31) | np.maximum(mine, to)
+                # a bounded number of copies leaves at a time
+                for at in range(0, len(row), 16_384):
+                    pick = pa.array(row[at : at + 16_384])
+                    columns = [key[at : at + 16_384], part.column("sig").take(pick), part.column("vec").take(pick), mine[at : at + 16_384] > to[at : at + 16_384], mine[at : at + 16_384] == to[at : at + 16_384]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], ["key", "sig", "vec", "second", "within"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches):
-            sig, side = table.column("sig").to_pylist(), table.column("visits").to_numpy()
-            x = unit(table.column("vec"))
-            a, b = [], []
+            second, within = table.column("second").to_numpy(), table.column("within").to_numpy()
             for begin, end in group_bounds(table.column("key").to_numpy()):
-                who, to = begin + np.flatnonzero(side[begin:end]), begin + np.flatnonzero(~side[begin:end])
-                if not len(who) or not len(to):
+                group = table.slice(begin, end - begin)
+                low = np.flatnonzero(~second[begin:end])
+                high = low if within[begin] else np.flatnonzero(second[begin:end])
+                if not len(low) or not len(high):
                     continue
-                i, j = np.nonzero(x[who] @ x[to].T >= cosine)
-                names = {s: k for k, s in enumerate(dict.fromkeys(sig[begin:end]))}
-                of = np.array([names[s] for s in sig[begin:end]], np.int64)
-                root = forest(of[who[i] - begin], of[to[j] - begin], len(names))
-                listed = list(names)
-                for k in np.flatnonzero(root != np.arange(len(names))).tolist():
-                    a.append(listed[k])
-                    b.append(listed[int(root[k])])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
-
-    dealt = classes.select("sig", "vec").mapInArrow(trimmed(deal), "key long, sig binary, vec binary, visits boolean")
-    return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(trimmed(verify), "a binary, b binary")
+                x = unit(group.column("vec"))
+                a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+                for i, j in links(x[low], x[high], cosine):
+                    if not len(i):
+                        continue
+                    root = forest(np.concatenate([a, low[i]]), np.concatenate([b, high[j]]), len(x))
+                    a = np.flatnonzero(root != np.arange(len(root)))
+                    b = root[a]
+                sig = group.column("sig").combine_chunks()
+                yield pa.RecordBatch.from_arrays([sig.take(pa.array(a)), sig.take(pa.array(b))], ["a", "b"])
+
+    dealt = classes.select("sig", "vec").mapInArrow(trimmed(deal), "key long, sig binary, vec binary, second boolean, within boolean")
+    keys = n_blocks * (n_blocks + 1) // 2
+    return dealt.repartition(min(keys, 8_192), "key").sortWithinPartitions("key").mapInArrow(trimmed(verify), "a binary, b binary")
 
 
 def degrees(members: DataFrame, cosine: float, block: int) -> DataFrame:
@@ -274,7 +277,7 @@ def degrees(members: DataFrame, cosine: float, block: int) -> DataFrame:
     return keyed.mapInArrow(trimmed(run), "sig binary, n long").groupBy("sig").agg(F.sum("n").alias("degree"))
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = 0.9, recall: float = 0.999, block: int = 1024) -> DataFrame:
+def near_duplicates(vectors: DataFrame, cosine: float = 0.9, block: int = 1024) -> DataFrame:
     """vectors: vec_id, embedding. A row for each: vec_id, n_links, component_id, kept."""
     spark = session_of(vectors)
     folder = work_dir(spark)
@@ -288,8 +291,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, recall: float = 0.9
     if not total:
         return alone
     grid = fit(classes, total)
-    cells, _ = calibrated(classes, grid, cosine, recall)
-    pairs = staged(found_pairs(classes, grid, cosine, cells, block).distinct(), folder, "pairs")
+    together = max(4 * block, min(BLOCK_BYTES // (8 * size), total // SPREAD))
+    pairs = staged(found_pairs(classes, grid, cosine, together).distinct(), folder, "pairs")
     stars = components(pairs, f"{folder}/links").select(F.col("u").alias("sig"), F.col("v").alias("root"))
     stars = staged(stars.union(stars.select("root", "root").distinct()), folder, "stars")
     members = stars.join(classes.select("sig", "copies", "vec"), "sig")

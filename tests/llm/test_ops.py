@@ -458,3 +458,23 @@ def test_pipeline(spark, odd):
         assert frames["packing"].agg(F.sum("length")).first()[0] == (sum(len(plain.encode(t, add_special_tokens=False).ids) + 1 for _, t in local(frames["mixing"])) or None)
         for r in frames["pii"].collect():
             assert r["n_chars"] == (None if r["text"] is None else len(r["text"]))
+
+
+def test_embeddings_sparse_links_in_a_fine_grid(spark):
+    """Few links near the threshold, none of them in a probe of some hundred vectors, none lost."""
+    rng = np.random.default_rng(17)
+    x = rng.normal(size=(20_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for i in range(60):
+        c = 0.9005 + 0.02 * i / 60
+        u = rng.normal(size=64)
+        u -= (u @ x[i]) * x[i]
+        x[10_000 + i] = c * x[i] + math.sqrt(1 - c * c) * u / np.linalg.norm(u)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in multiindex.near_duplicates(df).where("n_links > 0").collect()}
+    assert got == {v: (1, i) for i in range(60) for v in (i, 10_000 + i)}
+
+
+def test_blocks_of_cells():
+    first, parts = multiindex.packed(np.array([0, 3, 4, 25, 0, 2, 9, 1]), 10)
+    assert first[[1, 2, 3, 5, 6, 7]].tolist() == [0, 0, 1, 4, 5, 5] and parts.tolist() == [1, 1, 1, 3, 1, 1, 1, 1]
