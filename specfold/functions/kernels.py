@@ -399,30 +399,63 @@ def decompose(y: Array, k: int, excluded: Array | None = None, core: tuple[int,
         return None
     some = np.flatnonzero((~np.isnan(y)).any(0))
     first, last = int(some[0]), int(some[-1])
-    y = y[:, first : last + 1]
     with np.errstate(invalid="ignore"):
-        means = np.nan_to_num(np.nanmean(np.where(np.isinf(y), np.nan, y), 0))
-    y = np.where(np.isnan(y), means[None, :], y)
-    y[np.isinf(y)] = 0
-    n = y.shape[1]
-    out = np.zeros(n, bool) if excluded is None else np.asarray(excluded, bool)[first : last + 1].copy()
-    inner = np.zeros(n, bool)
-    if core:
-        inner[max(0, core[0] - first) : max(0, core[1] - first)] = True
-    y = baseline(y, 1, exclude=np.broadcast_to(out | inner, y.shape))
+        means = np.nan_to_num(np.nanmean(np.where(np.isinf(y[:, first : last + 1]), np.nan, y[:, first : last + 1]), 0))
+    out, inner = zones(first, last, excluded, core)
+    y = levelled(y, first, last, means, out | inner)
     if reject_sigma and inner.any():
         score = y[:, inner].mean(1)
         sigma = score.std()
         keep = np.abs(score - np.median(score)) <= reject_sigma * sigma if sigma > 0 else np.ones(len(y), bool)
         if keep.sum() >= max(k + 2, 10):
             y = y[keep]
-    use = ~(out | inner)
-    if use.sum() < 2:
+    if (~(out | inner)).sum() < 2:
         return None
+    return model_of(moments(y, ~(out | inner)), k, out, inner, first, last, smooth_width)
+
+
+def zones(first: int, last: int, excluded: Array | None, core: tuple[int, int] | None) -> tuple[Array, Array]:
+    """The excluded channels and those of the core, among channels first to last."""
+    n = last - first + 1
+    out = np.zeros(n, bool) if excluded is None else np.asarray(excluded, bool)[first : last + 1].copy()
+    inner = np.zeros(n, bool)
+    if core:
+        inner[max(0, core[0] - first) : max(0, core[1] - first)] = True
+    return out, inner
+
+
+def levelled(y: Array, first: int, last: int, means: Array, off: Array) -> Array:
+    """Channels first to last, missing ones filled with the channels' means and infinities with 0, less a baseline without the channels `off`."""
+    y = y[:, first : last + 1]
+    y = np.where(np.isnan(y), means[None, :], y)
+    y[np.isinf(y)] = 0
+    return baseline(y, 1, exclude=np.broadcast_to(off, y.shape))
+
+
+def moments(y: Array, use: Array) -> tuple[int, Array, Array]:
+    """Number of rows, mean of all channels, and the triangular factor of the rows less their mean in the used channels."""
     mean = y.mean(0)
-    _, s, v = np.linalg.svd(y[:, use] - mean[use], full_matrices=False)
+    return len(y), mean, _triangle(y[:, use] - mean[use])
+
+
+def joined_moments(a: tuple[int, Array, Array], b: tuple[int, Array, Array], use: Array) -> tuple[int, Array, Array]:
+    """The moments of two sets of rows taken together."""
+    n = a[0] + b[0]
+    step = b[1] - a[1]
+    return n, a[1] + step * (b[0] / n), _triangle(np.concatenate([a[2], b[2], (np.sqrt(a[0] * b[0] / n) * step[use])[None, :]]))
+
+
+def _triangle(rows: Array) -> Array:
+    return np.linalg.qr(rows, mode="r") if len(rows) > rows.shape[1] else rows
+
+
+def model_of(known: tuple[int, Array, Array], k: int, out: Array, inner: Array, first: int, last: int, smooth_width: int) -> Model:
+    count, mean, triangle = known
+    n = len(mean)
+    use = ~(out | inner)
+    _, s, v = np.linalg.svd(triangle, full_matrices=False)
     k = min(k, int((s > 1e-12 * max(s[0], 1e-300)).sum()) or 1)
-    variance = s**2 / (len(y) - 1)
+    variance = s**2 / (count - 1)
     x = np.arange(n)
     parts = np.zeros((k, n))
     rough = v[:k]

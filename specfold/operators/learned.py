@@ -25,30 +25,146 @@ def _stack(column: pa.ChunkedArray) -> np.ndarray:
     return max(parts, key=lambda p: len(p[0]))[1] if parts else np.zeros((0, 0))
 
 
-def fit_models(reference: DataFrame, k: int, excluded: np.ndarray | None = None, core: tuple[int, int] | None = None, smooth: int = 1, reject_sigma: float | None = None, most_rows: int = 20_000, spectrum: str = "spectrum", seed: int = 42) -> DataFrame:
-    """reference: row_id, mission_id, telescop, spectrum. One row a group with its model; groups without enough rows have none.
+def _group_blocks(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, str], np.ndarray, np.ndarray]]:
+    """Group, row numbers and spectra of one length, for each group and length of a batch."""
+    keys = list(zip(batch.column("mission_id").to_pylist(), batch.column("telescop").to_pylist(), strict=True))
+    for rows, y in block_of(batch.column("s")):
+        of: dict[tuple[str, str], list[int]] = {}
+        for place, r in enumerate(rows.tolist()):
+            of.setdefault(keys[r], []).append(place)
+        for key, places in of.items():
+            yield key, rows[places], y[places]
 
-    A group of more than most_rows rows is fitted on that many of them, by hashed row id: components of a few
-    channels' width do not gain from more, and a fit must fit in one task. n_rows tells how many it saw.
-    """
-    counted = reference.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("_n"))
-    share = F.lit(float(most_rows)) / F.col("_n")
-    drawn = F.pmod(F.xxhash64(F.lit(seed), "row_id"), F.lit(1 << 30)) / float(1 << 30)
-    rows = reference.join(counted, list(GROUP)).where((F.col("_n") <= most_rows) | (drawn < share)).select("row_id", *GROUP, A.as_doubles(spectrum).alias("s"))
 
-    def fit(table: pa.Table) -> pa.Table:
-        table = table.sort_by("row_id")
-        y = _stack(table.column("s"))
-        model = K.decompose(y, k, excluded, core, smooth, reject_sigma) if len(y) else None
+def _settled(rows: DataFrame, nan_below: float = 0.2) -> DataFrame:
+    """rows: group, s. For each group the length of most of its spectra, and over all of those their number, first and last channel with values, and means."""
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list] = {}
+
+        def leave() -> pa.RecordBatch:
+            columns = [[*k, v[0], v[1], v[2].tobytes(), v[3].tobytes(), v[4].tobytes()] for k, v in held.items()]
+            types = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array([c[i] for c in columns], t) for i, t in enumerate(types)], ["mission_id", "telescop", "size", "n", "kept", "some", "total", "count"])
+
+        for batch in batches:
+            for key, _, y in _group_blocks(batch):
+                n = y.shape[1]
+                good = y[np.isnan(y).mean(1) < nan_below] if n else y[:0]
+                finite = np.isfinite(good)
+                v = held.setdefault((*key, n), [0, 0, np.zeros(n, bool), np.zeros(n), np.zeros(n, np.int64)])
+                held[(*key, n)] = [v[0] + len(y), v[1] + len(good), v[2] | (~np.isnan(good)).any(0), v[3] + np.where(finite, good, 0).sum(0), v[4] + finite.sum(0)]
+            if sum(17 * k[2] for k in held) > 64_000_000:
+                yield leave()
+                held.clear()
+        yield leave()
+
+    def settle(table: pa.Table) -> pa.Table:
+        parts = table.to_pylist()
+        number: dict[int, int] = {}
+        for p in parts:
+            number[p["size"]] = number.get(p["size"], 0) + p["n"]
+        size = min(number, key=lambda n: (-number[n], n))
+        own = [p for p in parts if p["size"] == size]
+        some = np.flatnonzero(np.any([np.frombuffer(p["some"], bool) for p in own], 0))
+        if sum(p["kept"] for p in own) < 2:
+            return settled_rows([])
+        total, count = (np.sum([np.frombuffer(p[c], t) for p in own], 0) for c, t in (("total", np.float64), ("count", np.int64)))
+        means = (total / np.maximum(count, 1))[some[0] : some[-1] + 1]
+        return settled_rows([(parts[0]["mission_id"], parts[0]["telescop"], number[size], size, int(some[0]), int(some[-1]), means.tobytes())])
+
+    def settled_rows(rows: list[tuple]) -> pa.Table:
+        types = (pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+        return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["mission_id", "telescop", "n_rows", "size", "ch_first", "ch_last", "means"])
+
+    partial = rows.mapInArrow(sums, "mission_id string, telescop string, size int, n long, kept long, some binary, total binary, count binary")
+    return partial.groupBy(*GROUP).applyInArrow(settle, "mission_id string, telescop string, n_rows long, size int, ch_first int, ch_last int, means binary")
+
+
+def fit_models(reference: DataFrame, k: int, excluded: np.ndarray | None = None, core: tuple[int, int] | None = None, smooth: int = 1, reject_sigma: float | None = None, spectrum: str = "spectrum") -> DataFrame:
+    """reference: mission_id, telescop, spectrum. One row a group with its model; groups without enough rows have none.
+
+    All rows of a group are fitted, whatever their number: tasks add up channel sums, then triangular factors of
+    the levelled rows, at most channels squared numbers a group, whose singular vectors are those of the rows.
+    Rows too far from the median score leave, by a pass of their own, with reject_sigma. n_rows tells how many it saw.
+    """
+    rows = reference.where(F.col("mission_id").isNotNull() & F.col("telescop").isNotNull()).select(*[F.col(c).cast("string").alias(c) for c in GROUP], A.as_doubles(spectrum).alias("s"))
+    settled = _settled(rows)
+    known = rows.join(settled, list(GROUP)).where(F.size("s") == F.col("size"))
+
+    def level(batch: pa.RecordBatch) -> Iterator[tuple[tuple, int, np.ndarray, np.ndarray, np.ndarray, int, int]]:
+        for key, at, y in _group_blocks(batch):
+            one = int(at[0])
+            first, last = batch.column("ch_first")[one].as_py(), batch.column("ch_last")[one].as_py()
+            out, inner = K.zones(first, last, excluded, core)
+            y = y[np.isnan(y).mean(1) < 0.2]
+            if len(y):
+                yield key, one, K.levelled(y, first, last, np.frombuffer(batch.column("means")[one].as_py()), out | inner), out, inner, first, last
+
+    if reject_sigma:
+
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for key, _, y, _, inner, _, _ in level(batch):
+                    if inner.any():
+                        yield pa.RecordBatch.from_arrays([pa.array([c] * len(y), pa.string()) for c in key] + [pa.array(y[:, inner].mean(1))], [*GROUP, "score"])
+
+        scores = known.mapInArrow(score, "mission_id string, telescop string, score double")
+        limits = scores.groupBy(*GROUP).agg(F.median("score").alias("middle"), F.stddev_pop("score").alias("sigma"))
+        inside = (F.col("sigma") <= 0) | (F.abs(F.col("score") - F.col("middle")) <= reject_sigma * F.col("sigma"))
+        enough = scores.join(limits, list(GROUP)).where(inside).groupBy(*GROUP).agg(F.first("middle").alias("middle"), F.first("sigma").alias("sigma"), F.count(F.lit(1)).alias("_kept"))
+        known = known.join(enough.where((F.col("_kept") >= max(k + 2, 10)) & (F.col("sigma") > 0)).drop("_kept"), list(GROUP), "left")
+
+    names = [*GROUP, "n_rows", "ch_first", "ch_last", "n", "mean", "triangle"]
+    types = (pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+    schema = "mission_id string, telescop string, n_rows long, ch_first int, ch_last int, n long, mean binary, triangle binary"
+
+    def listed(held: dict[tuple, tuple]) -> list[pa.Array]:
+        parts = [(*key, m[0], m[1].tobytes(), m[2].tobytes()) for key, m in held.items()]
+        return [pa.array([p[i] for p in parts], t) for i, t in enumerate(types)]
+
+    def add(held: dict[tuple, tuple], key: tuple, more: tuple, use: np.ndarray) -> None:
+        held[key] = K.joined_moments(held[key], more, use) if key in held else more
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, tuple] = {}
+        for batch in batches:
+            for key, one, y, out, inner, first, last in level(batch):
+                if reject_sigma and (sigma := batch.column("sigma")[one].as_py()) is not None and inner.any():
+                    y = y[np.abs(y[:, inner].mean(1) - batch.column("middle")[one].as_py()) <= reject_sigma * sigma]
+                use = ~(out | inner)
+                if len(y) and use.sum() > 1:
+                    add(held, (*key, batch.column("n_rows")[one].as_py(), first, last), K.moments(y, use), use)
+            if sum(m[2].nbytes for m in held.values()) > 64_000_000:
+                yield pa.RecordBatch.from_arrays(listed(held), names)
+                held.clear()
+        yield pa.RecordBatch.from_arrays(listed(held), names)
+
+    def together(table: pa.Table) -> dict[tuple, tuple]:
+        held: dict[tuple, tuple] = {}
+        for p in table.to_pylist():
+            out, inner = K.zones(p["ch_first"], p["ch_last"], excluded, core)
+            use = ~(out | inner)
+            add(held, tuple(p[c] for c in names[:5]), (p["n"], np.frombuffer(p["mean"]), np.frombuffer(p["triangle"]).reshape(-1, int(use.sum()))), use)
+        return held
+
+    def merge(table: pa.Table) -> pa.Table:
+        return pa.table(listed(together(table.drop_columns("slot"))), names)
+
+    def finish(table: pa.Table) -> pa.Table:
+        ((key, known),) = together(table).items()
+        out, inner = K.zones(key[3], key[4], excluded, core)
+        model = K.model_of(known, k, out, inner, key[3], key[4], smooth) if known[0] > 1 else None
         columns = {
-            "mission_id": pa.array([table.column("mission_id")[0].as_py()], pa.string()), "telescop": pa.array([table.column("telescop")[0].as_py()], pa.string()), "n_rows": pa.array([len(y)], pa.int64()),
+            "mission_id": pa.array([key[0]], pa.string()), "telescop": pa.array([key[1]], pa.string()), "n_rows": pa.array([key[2]], pa.int64()),
             "mean": pa.array([None if model is None else model.mean.tolist()], pa.list_(pa.float64())), "components": pa.array([None if model is None else model.components.tolist()], pa.list_(pa.list_(pa.float64()))),
             "variance": pa.array([None if model is None else model.variance.tolist()], pa.list_(pa.float64())), "ratio": pa.array([None if model is None else model.ratio.tolist()], pa.list_(pa.float64())),
             "ch_first": pa.array([None if model is None else model.first], pa.int32()), "ch_last": pa.array([None if model is None else model.last], pa.int32()),
         }
         return pa.table(columns)
 
-    return rows.groupBy(*GROUP).applyInArrow(fit, MODEL).where("mean is not null")
+    sums = known.drop("size").mapInArrow(partial, schema).withColumn("slot", F.pmod(F.spark_partition_id(), F.lit(32)))
+    return sums.groupBy(*GROUP, "slot").applyInArrow(merge, schema).groupBy(*GROUP).applyInArrow(finish, MODEL).where("mean is not null")
 
 
 def _model(row: dict, k: int | None = None) -> K.Model:

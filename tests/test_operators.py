@@ -252,3 +252,21 @@ def test_coherence_runs(spark):
     assert scores.where("component = 0").first()["score"] == pytest.approx(1.0)
     assert S.chosen_components(scores, 0.9).first()["n_components"] in (1, 2)
     assert K.leading_run([1.0, 0.2]) == 1
+
+
+@pytest.mark.parametrize("reject", [None, 1.5])
+def test_models_of_large_groups_see_all_rows(spark, reject):
+    """More rows than any sample, in a large and a small group, some of them with holes: the fit of all of a group's rows at once."""
+    rng = np.random.default_rng(8)
+    y = rng.normal(size=(24_300, 3)) * [3, 2, 1] @ rng.normal(size=(3, 16)) + 0.1 * rng.normal(size=(24_300, 16)) + 5
+    y[::50, 4] = NAN
+    y[7, 2] = math.inf
+    y[3, :9] = NAN
+    of = ["PX01" if i < 24_000 else "PX02" for i in range(len(y))]
+    rows = spark.createDataFrame([(i, "F1", of[i], v.tolist()) for i, v in enumerate(y)], "row_id long, mission_id string, telescop string, spectrum array<double>")
+    got = {m["telescop"]: m for m in learned.fit_models(rows, 2, core=(6, 10), reject_sigma=reject).collect()}
+    for name, part in (("PX01", y[:24_000]), ("PX02", y[24_000:])):
+        want = K.decompose(part, 2, None, (6, 10), 1, reject)
+        assert got[name]["n_rows"] == len(part)
+        for column in ("mean", "components", "variance", "ratio"):
+            assert np.allclose(got[name][column], getattr(want, column), rtol=1e-8, atol=1e-9)
