@@ -259,6 +259,40 @@ def blur(image: Array, k: int) -> Array:
     return along(along(np.asarray(image, np.float64)).T).T
 
 
+def blurred_rows(image: Array, k: int, at: int, begin: int, end: int, height: int) -> Array:
+    """Rows begin to end of the blurred image of `height` rows, from its rows from `at` on with k // 2 more on both sides."""
+    g, pad = gauss_kernel(k), k // 2
+    index = np.arange(begin - pad, end + pad)
+    period = max(1, 2 * (height - 1))
+    index = np.abs(index) % period
+    index = np.where(index >= height, period - index, index) - at
+    n = image.shape[1]
+    across = np.arange(-pad, n + pad)
+    turn = max(1, 2 * (n - 1))
+    across = np.abs(across) % turn if n > 1 else np.zeros(len(across), int)
+    across = np.where(across >= n, turn - across, across)
+    wide = np.asarray(image, np.float64)[:, across]
+    soft = sum(g[j] * wide[:, j : j + n] for j in range(k))[index]
+    return sum(g[j] * soft[j : j + end - begin] for j in range(k))
+
+
+def windowed(y: Array, window: tuple[int, int]) -> Array:
+    """The finite values in the window, zero elsewhere."""
+    image = np.where(np.isfinite(y), y, 0.0)
+    image[:, : max(0, window[0])] = 0
+    image[:, max(0, window[1]) :] = 0
+    return image
+
+
+def levels(image: Array, low: float, high: float) -> Array:
+    """The image in whole levels from 0 to 100, by way of 8 bits."""
+    return np.rint(np.rint((image - low) / (high - low) * 255) / 255 * 100)
+
+
+def odd_kernel(kernel: int) -> int:
+    return max(3, kernel - (1 - kernel % 2))
+
+
 def find_lines(y: Array, window: tuple[int, int], kernel: int, factor: float) -> Array | None:
     """Which channels of the rows of a group show a line; None if none does.
 
@@ -266,12 +300,10 @@ def find_lines(y: Array, window: tuple[int, int], kernel: int, factor: float) ->
     deviation of what is not zero. Detected pixels leave those statistics until they settle.
     """
     n = len(y)
-    image = np.where(np.isfinite(y), y, 0.0)
-    image[:, : max(0, window[0])] = 0
-    image[:, max(0, window[1]) :] = 0
+    image = windowed(y, window)
     if n == 1:
         image = np.repeat(image, 10, axis=0)
-    kernel = max(3, kernel - (1 - kernel % 2))
+    kernel = odd_kernel(kernel)
     size = np.abs(image).max(1)
     live = size > 1e-10 * size.max() if size.max() > 0 else np.zeros(len(image), bool)
     if not live.any():

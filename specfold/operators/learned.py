@@ -240,21 +240,111 @@ def _empty(table: pa.Table, names: list[str], spectrum: str) -> pa.Table:
 def detect_lines(rows: DataFrame, window: tuple[int, int], kernel: int = 21, factor: float = 1.5, spectrum: str = "spectrum", block: int = 4_096) -> DataFrame:
     """rows: row_id, mission_id, telescop, scan, spectrum. row_id, line_mask, n_line for the rows of all groups, detected group by group.
 
-    A group is an image of its rows in row_id order; one of more than `block` rows is cut into images of that many.
+    A group is one image of its rows in row_id order. The image of a group of more than `block` rows is worked on in blocks
+    with the rows that the blur needs on both sides; its extremes and the mean and deviation of each round are sums over all its blocks.
     """
-    from specfold.operators.links import ranked
-
     keys = ["mission_id", "telescop", "scan"]
-    cut = ranked(rows.select("row_id", *keys, A.as_doubles(spectrum).alias("s")), keys).withColumn("_image", F.floor((F.col("place") - 1) / block)).drop("place")
+    named = rows.select("row_id", *keys, A.as_doubles(spectrum).alias("s"))
+    counted = named.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # one row for at least `block` rows
+    large = counted.where(F.col("_n") > block).toArrow().to_pylist()
 
     def find(table: pa.Table) -> pa.Table:
         table = table.sort_by("row_id")
         y = _stack(table.column("s"))
         found = K.find_lines(y, window, kernel, factor)
         masks = np.zeros(y.shape, bool) if found is None else found
-        return pa.table({"row_id": table.column("row_id"), "line_mask": pa.array(masks.tolist(), pa.list_(pa.bool_())), "n_line": pa.array(masks.sum(1), pa.int64())})
+        return _masks_of(table.column("row_id"), masks)
+
+    if not large:
+        return named.groupBy(*keys).applyInArrow(find, LINES)
+    listed = rows.sparkSession.createDataFrame([(*(g[c] for c in keys), g["_n"]) for g in large], named.select(*keys, F.lit(0).cast("long").alias("_n")).schema)
+    same = lambda other: [named[c].eqNullSafe(other[c]) for c in keys]
+    rest = named.join(listed, same(listed), "left_anti")
+    hot = named.join(listed, same(listed), "left_semi")
+    return rest.groupBy(*keys).applyInArrow(find, LINES).unionByName(_detect_in_blocks(hot, keys, listed, window, K.odd_kernel(kernel), factor, block))
+
+
+LINES = "row_id long, line_mask array<boolean>, n_line long"
+
 
-    return cut.groupBy(*keys, "_image").applyInArrow(find, "row_id long, line_mask array<boolean>, n_line long")
+def _masks_of(row_ids: pa.ChunkedArray, masks: np.ndarray) -> pa.Table:
+    return pa.table({"row_id": row_ids, "line_mask": pa.array(masks.tolist(), pa.list_(pa.bool_())), "n_line": pa.array(masks.sum(1), pa.int64())})
+
+
+def _detect_in_blocks(rows: DataFrame, keys: list[str], sizes: DataFrame, window: tuple[int, int], kernel: int, factor: float, block: int) -> DataFrame:
+    """The lines of groups whose images are too large for one task. rows: row_id, keys, s; sizes: keys, _n."""
+    from specfold.operators.links import ranked
+
+    group = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias("_group")
+    placed = ranked(rows.select("row_id", "s", group), ["_group"]).withColumn("place", F.col("place") - 1)
+    pad = kernel // 2
+    own = F.floor(F.col("place") / block)
+    near = F.sequence(F.greatest(F.lit(0), F.floor((F.col("place") - pad) / block)), F.floor((F.col("place") + pad) / block))
+    images = placed.join(sizes.select(group, "_n"), "_group").withColumn("_image", F.explode(near)).withColumn("_own", F.col("_image") == own).where(F.col("_image") * block < F.col("_n"))
+
+    def extremes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, y in block_of(batch.column("s")):
+                image = K.windowed(y, window)
+                yield pa.RecordBatch.from_arrays([batch.column("_group").take(pa.array(at)), pa.array(image.min(1)), pa.array(image.max(1))], ["_group", "low", "high"])
+
+    ends = placed.select("_group", "s").mapInArrow(extremes, "_group string, low double, high double").groupBy("_group").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    known = {r["_group"]: (r["low"], r["high"]) for r in ends.collect()}  # one row for at least `block` rows
+
+    def soft(table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+        """The own rows of a block, their blurred image, and which of them show anything."""
+        table = table.sort_by("place")
+        low, high = known[table.column("_group")[0].as_py()]
+        place, mine = table.column("place").to_numpy(), table.column("_own").to_numpy()
+        image = K.windowed(_stack(table.column("s")), window)
+        owned = table.filter(table.column("_own"))
+        if high <= low:
+            return owned, np.zeros((len(owned), image.shape[1])), np.zeros(len(owned), bool)
+        at = place[mine]
+        blurred = K.blurred_rows(K.levels(image, low, high), kernel, int(place[0]), int(at[0]), int(at[-1]) + 1, table.column("_n")[0].as_py())
+        return owned, blurred, np.abs(image[mine]).max(1) > 1e-10 * max(abs(low), abs(high))
+
+    def adder(limits: dict[str, float]):
+        def add(table: pa.Table) -> pa.Table:
+            name = table.column("_group")[0].as_py()
+            values = np.zeros(0)
+            if name in limits:
+                _, values, _ = soft(table)
+                values = values[(values != 0) & (values <= limits[name])]
+            mean = float(values.mean()) if len(values) else 0.0
+            return pa.table({"_group": [name], "_image": table.column("_image").slice(0, 1), "n": pa.array([len(values)], pa.int64()), "mean": [mean], "square": [float(((values - mean) ** 2).sum())]})
+
+        return add
+
+    # rounds: of each group the threshold, the lowest so far, and the number of values under it
+    cuts: dict[str, tuple[float, float]] = {g: (math.inf, math.inf) for g, (low, high) in known.items() if high > low}
+    counts: dict[str, int] = {}
+    open_ = set(cuts)
+    for _ in range(100):
+        if not open_:
+            break
+        parts = images.groupBy("_group", "_image").applyInArrow(adder({g: cuts[g][1] for g in open_}), "_group string, _image long, n long, mean double, square double")
+        sums = parts.where("n > 0").groupBy("_group").agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mean"), F.sum("square").alias("inner"), (F.sum(F.col("n") * F.col("mean") ** 2)).alias("_outer"))
+        got = {r["_group"]: r for r in sums.withColumn("square", F.col("inner") + F.greatest(F.lit(0.0), F.col("_outer") - F.col("n") * F.col("mean") ** 2)).collect()}
+        for g in list(open_):
+            r = got.get(g)
+            if r is None or counts.get(g) == r["n"]:
+                open_.discard(g)
+                continue
+            counts[g] = r["n"]
+            cut = r["mean"] + factor * math.sqrt(r["square"] / r["n"])
+            cuts[g] = (cut, min(cut, cuts[g][1]))
+
+    def mark(table: pa.Table) -> pa.Table:
+        owned, values, live = soft(table)
+        found = values > cuts.get(table.column("_group")[0].as_py(), (math.inf,))[0]
+        found[:, : max(0, window[0])] = False
+        found[:, max(0, window[1]) :] = False
+        found[~live] = False
+        return _masks_of(owned.column("row_id"), found)
+
+    return images.groupBy("_group", "_image").applyInArrow(mark, LINES)
 
 
 def noise_ratios(rows: DataFrame, models: DataFrame, gates: K.Gates = K.Gates(), per_group: int = 5_000, spectrum: str = "spectrum") -> DataFrame:

@@ -270,3 +270,21 @@ def test_models_of_large_groups_see_all_rows(spark, reject):
         assert got[name]["n_rows"] == len(part)
         for column in ("mean", "components", "variance", "ratio"):
             assert np.allclose(got[name][column], getattr(want, column), rtol=1e-8, atol=1e-9)
+
+
+def test_lines_of_large_groups_are_those_of_one_image(spark):
+    """A group of more rows than a block, with scales that differ along it, beside a small group and one without values."""
+    rng = np.random.default_rng(9)
+    y = rng.normal(0, 1, (500, 40)) * np.linspace(0.2, 2, 500)[:, None]
+    y[120:400, 18:22] += 6
+    y[5:9] = NAN
+    of = np.where(np.arange(500) % 9 == 0, "PX02", "PX01")
+    data = [(i, "F1", str(of[i]), 1, v.tolist()) for i, v in enumerate(y)] + [(1000 + i, "F2", "PX01", 1, [NAN] * 40) for i in range(150)]
+    rows = spark.createDataFrame(data, "row_id long, mission_id string, telescop string, scan int, spectrum array<double>")
+    got = {r["row_id"]: r for r in learned.detect_lines(rows, (8, 34), 9, 1.5, block=64).collect()}
+    assert len(got) == len(data) and not any(got[1000 + i]["n_line"] for i in range(150))
+    for name in ("PX01", "PX02"):
+        at = np.flatnonzero(of == name)
+        want = K.find_lines(y[at], (8, 34), 9, 1.5)
+        assert want.sum() > 50 and np.array_equal(np.array([got[i]["line_mask"] for i in at.tolist()]), want)
+        assert [got[i]["n_line"] for i in at.tolist()] == want.sum(1).tolist()
