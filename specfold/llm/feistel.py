@@ -10,7 +10,9 @@ the last label, class by class), IBAN (mod 97; country kept, check digits recomp
 card (13 to 19 digits, Luhn; check digit recomputed), social security number, telephone number (8 to
 15 digits after + and country code, which is kept, or ten in the forms (999) 999-9999 and
 999-999-9999), IPv4 address, date (1900 to 2099 as y-m-d, d.m.y, d/m/y or, where only that is a
-date, m/d/y; the day count is permuted). Separators, brackets and letter case stay.
+date, m/d/y; the day count is permuted). Separators, brackets and letter case stay. A number that is not
+valid as a card or IBAN because more digits or words follow it is tried again up to each separator in it, longest first.
+As a pseudonym may form a valid longer number with what follows it, such a value is undone by its span, not by search.
 
 Texts without such values are returned as they are. Null text: null, no values. Empty text:
 empty. Repeated rows are treated alike. A null doc_id stays null; an empty table gives no rows. A
@@ -19,6 +21,7 @@ single pass without shuffle; memory is bounded by an Arrow batch.
 
 from __future__ import annotations
 
+import contextlib
 import datetime
 import hashlib
 import re
@@ -181,6 +184,17 @@ KINDS: tuple[tuple[str, str | None, re.Pattern, Callable[[str, bytes, bool], str
     ("date", None, re.compile(_OUT + r"(?:(?:19|20)\d\d([-/.])\d{2}\1\d{2}|\d{2}([./])\d{2}\2(?:19|20)\d\d)" + _END), _date),
 )
 _DIGIT = re.compile("[0-9]")
+#: What separates the groups of the kinds whose candidates may run on into what follows.
+_CUTS = {"iban": " ", "card": " -"}
+
+
+def candidates(text: str, kind: str, pattern: re.Pattern) -> Iterator[tuple[int, list[int]]]:
+    """Start of each candidate and its possible ends, longest first; the next one begins behind the end that is sent back, if any."""
+    at = 0
+    while m := pattern.search(text, at):
+        start, end = m.span()
+        cuts = [i for i in range(end - 1, start, -1) if text[i] in _CUTS.get(kind, "") and pattern.fullmatch(text, start, i)]
+        at = (yield start, [end, *cuts]) or end
 
 
 def found(text: str, key: bytes, back: bool = False) -> list[tuple[int, int, str, str]]:
@@ -190,10 +204,17 @@ def found(text: str, key: bytes, back: bool = False) -> list[tuple[int, int, str
     for kind, needs, pattern, change in KINDS:
         if needs not in text if needs else not has_digit:
             continue
-        for m in pattern.finditer(text):
-            start, end = m.span()
-            if not any(a < end and start < b for a, b, *_ in out) and (new := change(m.group(), key, back)) is not None:
-                out.append((start, end, kind, new))
+        tried = candidates(text, kind, pattern)
+        taken = None
+        with contextlib.suppress(StopIteration):
+            while True:
+                start, ends = tried.send(taken)
+                taken = None
+                for end in ends:
+                    if not any(a < end and start < b for a, b, *_ in out) and (new := change(text[start:end], key, back)) is not None:
+                        out.append((start, end, kind, new))
+                        taken = end
+                        break
     return sorted(out)
 
 

@@ -478,3 +478,20 @@ def test_embeddings_sparse_links_in_a_fine_grid(spark):
 def test_blocks_of_cells():
     first, parts = multiindex.packed(np.array([0, 3, 4, 25, 0, 2, 9, 1]), 10)
     assert first[[1, 2, 3, 5, 6, 7]].tolist() == [0, 0, 1, 4, 5, 5] and parts.tolist() == [1, 1, 1, 3, 1, 1, 1, 1]
+
+
+def test_pii_candidates_that_run_on():
+    """Valid numbers followed by more digits or words, which alone make no valid number."""
+    key = b"k"
+    for text, want in (
+        ("4111111111111111 123", ["4111111111111111"]),
+        ("card 4111 1111 1111 1111 12/27 ok", ["4111 1111 1111 1111"]),
+        ("4111-1111-1111-1111-123", ["4111-1111-1111-1111"]),
+        ("4111111111111111 4845168114407329", ["4111111111111111", "4845168114407329"]),
+        ("pay AT61 1904 3002 3457 3201 BIC now", ["AT61 1904 3002 3457 3201"]),
+        ("no card 4111 1111 1111 1112 123", []),
+    ):
+        spans = feistel.found(text, key)
+        assert [text[a:b] for a, b, *_ in spans] == want
+        new = feistel.replaced(text, spans)
+        assert len(new) == len(text) and not any(w in new for w in want)
