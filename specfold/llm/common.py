@@ -52,21 +52,38 @@ def session_of(df: DataFrame) -> SparkSession:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A new folder in spark.checkpoint.dir, which driver and executors share; a local one only in a local session that names none."""
+    """A new folder in spark.checkpoint.dir, which driver and executors share, deleted when the application ends; a local one only in a local session that names none."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="specfold-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/specfold-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/specfold-{uuid.uuid4().hex}"
+    store, at = _store(spark, path)
+    store.mkdirs(at)
+    store.deleteOnExit(at)  # results may be read from it as long as the application runs
+    return path
+
+
+def _store(spark: SparkSession, path: str):
+    """The file system of a path, any that Spark knows, and the path there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
-    """Deletes a folder in any file system that Spark knows."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    """Deletes a folder."""
+    store, at = _store(spark, path)
+    store.delete(at, True)
+
+
+def keep_only(spark: SparkSession, folder: str, *names: str) -> None:
+    """Deletes all written stages in a work folder but those that are still read."""
+    store, at = _store(spark, folder)
+    for found in store.listStatus(at):
+        if found.getPath().getName() not in names:
+            store.delete(found.getPath(), True)
 
 
 def staged(df: DataFrame, folder: str, name: str) -> DataFrame:

@@ -12,7 +12,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from specfold.llm import components as llm_components
 from specfold.llm import chosenpath, curriculum, encode, feistel, fm, imatch, multiindex, packing, queries, records, trigrams, warc
+from specfold.llm.common import staged, work_dir
+from specfold.llm.components import components
 
 SF = "/root/testdata/sf0.001"
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
@@ -401,7 +404,7 @@ def test_jaccard_join(odd, spark, words, docs):
     shared = " ".join(rng.choice(words) for _ in range(40))
     rows += [(i, shared + " " + " ".join(rng.choice(words) for _ in range(100))) for i in range(200, 330)]  # a passage in many documents
     many = spark.createDataFrame(rows, "doc_id long, text string")
-    for df, how in ((many, {"small": 16, "block": 32}), (many, {}), (odd, {}), (docs, {"small": 4, "block": 8})):
+    for df, how in ((many, {"small": 16, "most": 60, "block": 32}), (many, {"small": 16}), (odd, {}), (docs, {"small": 4, "most": 20, "block": 8})):
         got = chosenpath.join(df, **how).collect()
         assert Counter((r["doc_id"], r["n_links"], r["group_id"]) for r in got) == plain_join(local(df))
         leaders = Counter(r["group_id"] for r in got if r["kept"] and r["doc_id"] is not None)
@@ -409,9 +412,50 @@ def test_jaccard_join(odd, spark, words, docs):
     assert chosenpath.join(docs.limit(0)).count() == 0
 
 
-def test_components(spark):
-    from specfold.llm.common import work_dir
-    from specfold.llm.components import components
+def near_copies(n, words, seed=12):
+    """n texts, each one text with a few words changed."""
+    rng = random.Random(seed)
+    base = [rng.choice(words) for _ in range(150)]
+    out = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(rng.randint(0, 3)):
+            w[rng.randrange(150)] = f"{rng.choice(words)}{i}"
+        out.append((i, " ".join(w)))
+    return out
+
+
+def test_jaccard_join_of_one_large_group_grows_in_proportion(spark, words):
+    """Candidates and the rows that are verified, for a group four times as large."""
+    made = []
+    for n in (1_000, 4_000):
+        rows = near_copies(n, words)
+        folder = work_dir(spark)
+        classes = chosenpath.sketch(spark.createDataFrame(rows, "doc_id long, text string"), 5).select(F.col("doc_id").alias("cid"), "sig", "n", "sketch", "short")
+        classes = staged(classes.dropDuplicates(["sig"]), folder, "classes")
+        found = chosenpath.candidates(classes, folder, 8, 128, 16_384, 4_096, 0.8)
+        made.append(found.count() / classes.count())
+        stars = components(found, f"{folder}/c")
+        assert stars.count() == classes.count() - 1  # one group
+    assert made[1] < 1.3 * made[0]
+
+
+def test_shared_grams():
+    rng = np.random.default_rng(14)
+    sets = [np.unique(rng.integers(0, 400, rng.integers(1, 120))) for _ in range(150)]
+    grams, doc = np.concatenate(sets).astype(np.uint64), np.repeat(np.arange(150), [len(x) for x in sets])
+    want = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    everything = np.arange(150)
+    got = chosenpath.shared_grams(grams, doc, everything, everything, rare=30)
+    np.fill_diagonal(want, 0)
+    assert (got == want).all()
+    left, right = rng.permutation(150)[:60], np.setdiff1d(everything, rng.permutation(150)[:60])
+    left = np.setdiff1d(everything, right)
+    assert (chosenpath.shared_grams(grams, doc, left, right, rare=30) == want[np.ix_(left, right)]).all()
+
+
+def test_components(spark, monkeypatch):
+    monkeypatch.setattr(llm_components, "EDGES", 10)  # so that rounds are needed
 
     rng = random.Random(8)
     edges = [(i, i + 1) for i in range(200)] + [(rng.randint(300, 500), rng.randint(300, 500)) for _ in range(120)] + [(600, i) for i in range(601, 700)]
@@ -421,6 +465,8 @@ def test_components(spark):
             part[a] = part[b] = min(part[a], part[b])
     got = {r["u"]: r["v"] for r in components(spark.createDataFrame(edges, "a long, b long").repartition(4), work_dir(spark)).collect()}
     assert got == {n: p for n, p in part.items() if n != p}
+    monkeypatch.undo()
+    assert got == {r["u"]: r["v"] for r in components(spark.createDataFrame(edges, "a long, b long").repartition(4), work_dir(spark)).collect()}
     assert components(spark.createDataFrame([], "a long, b long"), work_dir(spark)).count() == 0
 
 
@@ -439,7 +485,6 @@ def test_queries(spark, name):
 
 def test_pipeline(spark, odd):
     import corpus_pipeline
-    from specfold.llm.common import staged, work_dir
 
     for start in (spark.read.parquet(f"{SF}/documents.parquet"), odd.select("doc_id", "text", "lang", "source", "n_chars"), odd.select("doc_id", "text", "lang", "source", "n_chars").limit(0)):
         frames, now = {}, start
