@@ -16,16 +16,37 @@ from specfold.llm.common import prepared_session, staged, work_dir
 from specfold.llm.queries import GOOD, pii_key, tokenizer_path
 
 
+#: What the operators read; all other columns of a stage's input go beside them in one struct, so that no name can clash.
+READ = ("doc_id", "text", "source", "n_chars")
+
+
+def carried(docs: DataFrame) -> DataFrame:
+    """The columns that operators read, and a struct of all others."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in READ]
+    return docs.select(*READ, *([F.struct(*rest).alias("carried")] if rest else []))
+
+
+def restored(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Rows with the columns of docs again; n_chars as the text has them now."""
+    return rows.select(*[F.col(c) if c in READ else F.col("carried").getField(c).alias(c) for c in docs.columns])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that the classifier scores below GOOD."""
+    """Rejects documents that the classifier scores below GOOD.
+
+    Null and empty texts are scored by what is left, as is a null n_chars; long texts are read whole; repeated rows
+    score alike, so all or none of them stay; an empty table gives no rows. No other column has a part in it.
+    """
     labels = prepared_session(spark).read.parquet(f"{sf_dir}/labels.parquet")
-    return fm.score_columns(docs, fm.train(docs, labels)).where(F.col("score") >= GOOD).select(*docs.columns)
+    return restored(fm.score_columns(carried(docs), fm.train(docs, labels)).where(F.col("score") >= GOOD), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group that links of Jaccard similarity join.
+    """Keeps one document of each group that links of Jaccard similarity join: the one with the smallest doc_id.
 
-    Rows without doc_id stay. Where rows share a doc_id, those of one text stay once, if any row of that doc_id does.
+    Rows without doc_id stay, and so do null and empty texts, which nothing is linked with. Where rows share a doc_id,
+    those of one text stay once, if any row of that doc_id does; which of them, if other columns differ, is not fixed. Long texts
+    are compared whole; an empty table gives no rows. Columns but doc_id and text are not read, whatever their names.
     """
     prepared_session(spark)
     found = staged(chosenpath.join(docs), work_dir(spark), "groups").where("doc_id is not null")
@@ -38,19 +59,31 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Puts pseudonyms in place of personal data."""
-    done = feistel.pseudonymize_columns(docs, pii_key(prepared_session(spark)))
-    return done.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Puts pseudonyms in place of personal data; n_chars follows the text.
+
+    A null text stays null, with null n_chars, an empty one empty. Long texts are read whole; repeated rows are
+    treated alike; an empty table gives no rows.
+    """
+    done = feistel.pseudonymize_columns(carried(docs), pii_key(prepared_session(spark)))
+    return restored(done.withColumn("n_chars", F.length("text").cast("long")), docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes the words of each source that its target asks for; a document stands once for each time that it is taken."""
-    mixed = curriculum.mix(docs)
-    return mixed.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Takes the words of each source that its target asks for; a document stands once for each time that it is taken.
+
+    Null and empty texts have no words and are not taken; a null source is one of its own, the last. A text is cut
+    where its source's target ends, and n_chars with it. Repeated rows count each; an empty table gives no rows.
+    """
+    mixed = curriculum.mix(carried(docs))
+    return restored(mixed.withColumn("n_chars", F.length("text").cast("long")), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs all tokens into sequences of 1024."""
+    """Packs all tokens into sequences of 1024.
+
+    A null or empty text is its end token alone; long texts are cut into whole sequences; repeated rows are packed each; an
+    empty table gives no rows. The result has the operator's own columns and none of the documents' but doc_id.
+    """
     prepared_session(spark)
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
 
