@@ -486,13 +486,16 @@ def test_queries(spark, name):
 def test_pipeline(spark, odd):
     import corpus_pipeline
 
-    for start in (spark.read.parquet(f"{SF}/documents.parquet"), odd.select("doc_id", "text", "lang", "source", "n_chars"), odd.select("doc_id", "text", "lang", "source", "n_chars").limit(0)):
+    odd = odd.withColumns({c: F.lit("clash") for c in ("_c", "_start", "_size", "_hash", "_tie", "_source", "carried", "class_id", "n_links")})
+    for start in (spark.read.parquet(f"{SF}/documents.parquet"), odd, odd.limit(0)):
         frames, now = {}, start
         folder = work_dir(spark)
         for name, f in corpus_pipeline.STAGES:
             now = frames[name] = staged(f(spark, now, SF), folder, name)
             if name != "packing":
                 assert now.columns == start.columns
+                extra = [c for c in start.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")]
+                assert not extra or now.where(" or ".join(f"`{c}` is distinct from 'clash'" for c in extra)).count() == 0
         ids = lambda n: Counter(r["doc_id"] for r in frames[n].select("doc_id").collect())
         assert ids("near_duplicates") <= ids("quality") and ids("pii") == ids("near_duplicates")
         assert set(ids("mixing")) <= set(ids("pii")) and set(ids("packing")) == set(ids("mixing"))
