@@ -475,3 +475,17 @@ def join(docs: DataFrame, similarity: float = 0.8, words: int = 5, recall: float
     out = done.select("doc_id", F.col("first.doc_id").alias("class_id"), "n_links", F.col("leader.doc_id").alias("group_id"), (F.struct("doc_id", "row") == F.col("leader")).alias("kept"))
     alone = every.where("sig is null or doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("group_id"), F.lit(True).alias("kept"))
     return out.unionByName(alone)
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \t\n\r\x0b\x0c]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(1, len(w) - 4) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM w WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n, md5(string_agg(md5(g), '' ORDER BY g)) AS sig FROM g GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_ FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+p AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE both_ >= 0.8 * (x.n + y.n - both_) - 1e-9),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, p.b FROM reach JOIN p ON reach.b = p.a),
+r AS (SELECT a AS doc_id, min(b) AS group_id FROM reach GROUP BY a),
+k AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY sig) AS class_id FROM n)
+SELECT r.doc_id, coalesce(class_id, r.doc_id) AS class_id, (SELECT count(*) FROM p WHERE p.a = r.doc_id) AS n_links, group_id, r.doc_id = group_id AS kept
+FROM r LEFT JOIN k USING (doc_id)
+"""

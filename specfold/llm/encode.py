@@ -3,11 +3,13 @@
 A text is cut where pre-tokenizers of the kinds used here always break: before a single space
 that a printable Latin character follows, around a lone line end between such characters, and
 between a Latin letter and a stop. So the ids of a text are the ids of its pieces in a row; each
-distinct piece of a batch is looked up once in a bounded table that the library fills.
+distinct piece of a batch is looked up once in a bounded table that the library fills. Texts are cut only if
+the tokenizer's file names parts that are known to break there; for any other they are encoded whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
@@ -48,6 +50,26 @@ def cuts(raw: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Parts of tokenizers, as their files name them, that break at the cuts and look at nothing beyond them (fixed values).
+NORMALIZERS = (None, ["NFC", "Replace \\s+ to  ", "Lowercase"])
+PRE_TOKENIZERS = (["ByteLevel True"], ["Split 's|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+ Removed", "ByteLevel False"])
+
+
+def _named(part: dict | None) -> list[str] | None:
+    if part is None:
+        return None
+    kind = part["type"]
+    if kind == "Sequence":
+        return [n for p in part.get("normalizers", part.get("pretokenizers", [])) for n in _named(p)]
+    detail = {"Replace": lambda: f" {part['pattern'].get('Regex')} to {part['content']}", "Split": lambda: f" {part['pattern'].get('Regex')} {part['behavior']}", "ByteLevel": lambda: f" {part['use_regex'] and not part['add_prefix_space']}"}
+    return [kind + (detail[kind]() if kind in detail else "")]
+
+
+def can_cut(spec: dict) -> bool:
+    """Whether the ids of a text are the ids of its pieces, by the normalizer and pre-tokenizer that a tokenizer's file names."""
+    return spec["model"]["type"] == "BPE" and spec.get("post_processor") is None and _named(spec.get("normalizer")) in NORMALIZERS and _named(spec.get("pre_tokenizer")) in PRE_TOKENIZERS
+
+
 class PieceEncoder:
     """encode(texts) gives the ids of all texts in a row, and where each text's ids end."""
 
@@ -57,6 +79,7 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.cut = can_cut(json.loads(self.tokenizer.to_str()))
         self.pieces = pa.array([], pa.large_string())
         self.ids = np.zeros(1 << 16, np.int32)
         self.ends = np.zeros(1 << 14, np.int64)
@@ -100,7 +123,7 @@ class PieceEncoder:
         bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
         bounds = bounds - bounds[0]
-        mark = cuts(raw)
+        mark = cuts(raw) if self.cut else np.zeros(len(raw) + 1, bool)
         mark[bounds] = True
         at = np.flatnonzero(mark)
         pieces = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(raw))

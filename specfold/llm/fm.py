@@ -11,8 +11,8 @@ smallest hash of doc_id; the weights (2^16 hashed features, a fixed size) are br
 row is scored in one pass without a shuffle. Seeds are fixed: reruns agree.
 
 Null text counts as empty, an empty text has only metadata and zero statistics and gets a score
-too. A null n_chars has a bucket of its own. Repeated rows score alike; repeated labels count
-each. Rows of labels without doc_id or quality are left out. Without both classes among the labelled rows every score is
+too. A null n_chars has a bucket of its own. Repeated rows score alike. Of rows that share a doc_id one is
+learned from, of the smallest text hash, once for each of its labels. Rows of labels without doc_id or quality are left out. Without both classes among the labelled rows every score is
 the share of label 1 (0.5 without rows). An empty table gives no rows. Further columns are kept by
 score_columns and not read by score.
 """
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -208,12 +208,16 @@ def held_out() -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 12_000) -> Model:
-    """docs: doc_id, text, n_chars; labels: doc_id, quality. Learns from at most fit_rows labelled rows that are not held out."""
+def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 12_000, fit_bytes: int = 256_000_000) -> Model:
+    """docs: doc_id, text, n_chars; labels: doc_id, quality. Learns from at most fit_rows labelled rows that are not held out, with at most fit_bytes of text in all."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality is not null").where(~held_out())
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(fit_rows)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), F.col("n_chars").cast("long").alias("n_chars"))
-    rows = rows.join(F.broadcast(chosen), "doc_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), F.col("n_chars").cast("long").alias("n_chars")).withColumn("_tie", F.xxhash64("text"))
+    # one text of each doc_id, and of those as many as the bytes allow: at most fit_rows narrow rows
+    texts = rows.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id").groupBy("doc_id").agg(F.min(F.struct("_tie", F.octet_length("text").alias("bytes"))).alias("t"))
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    fitting = texts.select("doc_id", "t._tie", F.sum("t.bytes").over(order).alias("_sum")).where(F.col("_sum") <= fit_bytes).drop("_sum")
+    rows = rows.join(F.broadcast(fitting.join(chosen, "doc_id")), ["doc_id", "_tie"])
     kind = pa.schema([("doc_id", pa.int64()), ("quality", pa.int32()), ("idx", pa.binary()), ("val", pa.binary()), ("stats", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +227,8 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 12_000) -> Model:
                 cut = lambda x: [x[a:b].tobytes() for a, b in zip(found.ptr[:-1], found.ptr[1:], strict=True)]  # noqa: E731, B023
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), pa.array(cut(found.idx), pa.binary()), pa.array(cut(found.val), pa.binary()), pa.array([x.tobytes() for x in stats], pa.binary())], schema=kind)
 
-    got = rows.mapInArrow(trimmed(run), "doc_id long, quality int, idx binary, val binary, stats binary").toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending"), ("stats", "ascending"), ("idx", "ascending")])
+    got = rows.mapInArrow(trimmed(run), "doc_id long, quality int, idx binary, val binary, stats binary")
+    got = got.dropDuplicates(["doc_id", "quality"]).toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending"), ("stats", "ascending"), ("idx", "ascending")])
     idx = [np.frombuffer(x, np.int32) for x in got.column("idx").to_pylist()]
     val = [np.frombuffer(x, np.float32) for x in got.column("val").to_pylist()]
     stats = np.array([np.frombuffer(x) for x in got.column("stats").to_pylist()]).reshape(-1, len(STATS))

@@ -5,36 +5,43 @@ The lexicon holds the terms found in at least `low` and at most `high` of all do
 of inverse document frequency counted over the whole table; it has at most (distinct terms of a
 mean document) / low entries however large the table, so it is gathered and broadcast.
 
-REPLICAS random nested families of subsets of the lexicon are drawn by hash: each level keeps half
-of the terms of the one before. A document with T distinct band terms is hashed at the levels next
-to log2 T, where about one of its terms is left, and at the one after. For each family the terms
-left are sorted and hashed to 16 bits (0: none left). A fingerprint is the first level, two
-hexadecimal digits, and the hashes of both levels, four digits each. Two fingerprints' likeness is
-the share of equal hashes among those not 0 on both sides, at the levels they have in common; 0
-without such a level. Equal texts have equal fingerprints of likeness 1.
+REPLICAS families of LEVELS nested subsets of the lexicon are drawn by hash: the first of a family is the whole
+lexicon, each further one keeps half of the terms of the one before. For each subset a document's distinct band
+terms in it are sorted, by their own hash, and the sequence is hashed to 16 bits (0: none in it). All
+documents meet the same subsets. The dense ones agree where no band term differs, as in plain
+I-Match; the sparse ones agree also where some do, as often as no differing term is in them. A fingerprint is the hashes of
+the families in a row, four hexadecimal digits each; the first subsets are equal and stand once. Two fingerprints' likeness is the share of
+equal hashes among those not 0 on both sides, each weighted by one over the share of the lexicon that its subset keeps, so that
+it falls with the number of differing terms and not at the first of them; 0 if all are 0. Equal texts have equal fingerprints of likeness 1.
 
 A document without a band term uses all its terms, one without terms its whole text (null: empty)
-as one term. Repeated rows have equal fingerprints. An empty table gives no rows. Further columns
-are not read.
+as one term. Terms of more than 64 bytes are named by their MD5. Repeated rows have equal fingerprints; for the
+edited text, rows of equal doc_id stand by text hash, then as read, null doc_ids first. Long texts are used whole. An empty table gives no rows.
+Further columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from specfold.llm.common import session_of, trimmed
 from specfold.llm.encode import chunks
 
-REPLICAS = 32
+REPLICAS = 8
+LEVELS = 11
+#: Hashes of a fingerprint: the whole lexicon, and the other levels of each family.
+SUBSETS = 1 + REPLICAS * (LEVELS - 1)
+#: One over the share of the lexicon that a subset keeps.
+WEIGHTS = np.array([1, *[1 << level for _ in range(REPLICAS) for level in range(1, LEVELS)]])
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), 95, *range(128, 256)]] = True
 _LONG = 64
@@ -71,7 +78,7 @@ def names_of(runs: pa.Array) -> pa.Array:
         return runs
     names = runs.to_pylist()
     for i in long.tolist():
-        names[i] = b"#" + xxhash.xxh3_128_hexdigest(names[i]).encode()
+        names[i] = b"#" + hashlib.md5(names[i]).hexdigest().encode()
     return pa.array(names, pa.large_binary())
 
 
@@ -99,7 +106,7 @@ def frequencies(docs: DataFrame) -> DataFrame:
 
 
 class Lexicon:
-    """Terms of the band, each with a key and, for each replica, the last level that keeps it."""
+    """Terms of the band, each with a key and, for each family, the last level that keeps it."""
 
     def __init__(self, terms: list[str]):
         self.terms = terms
@@ -107,9 +114,9 @@ class Lexicon:
 
     def ready(self) -> Lexicon:
         if self.names is None:
-            self.names = pa.array([t.encode() for t in self.terms], pa.large_binary())
-            self.keys = keys_of(self.terms)
-            self.levels = levels_of(self.keys)
+            names = [t.encode() for t in self.terms]
+            self.names = pa.array(names, pa.large_binary())
+            self.keys, self.levels = keys_of(names), levels_of(names)
         return self
 
     def number(self, names: pa.Array) -> np.ndarray:
@@ -117,25 +124,20 @@ class Lexicon:
         return pc.fill_null(pc.index_in(names, self.names), -1).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def keys_of(terms: list[str] | list[bytes]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(t) for t in terms), np.uint64, len(terms))
+def keys_of(terms: list[bytes]) -> np.ndarray:
+    """60 bits of a term's MD5."""
+    return np.fromiter((int.from_bytes(hashlib.md5(t).digest()[:8], "big") >> 4 for t in terms), np.uint64, len(terms))
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def levels_of(terms: list[bytes]) -> np.ndarray:
+    """Terms x REPLICAS: the last level that keeps a term, by the leading zeros of 16 bits for each family."""
+    raw = b"".join(hashlib.md5(b"subsets:" + t).digest()[: 2 * REPLICAS] for t in terms)
+    drawn = np.frombuffer(raw, ">u2").reshape(-1, REPLICAS).astype(np.float64)
+    return np.minimum(LEVELS - 1, 15 - np.floor(np.log2(np.maximum(drawn, 1)))).astype(np.uint8)
 
 
-def levels_of(keys: np.ndarray) -> np.ndarray:
-    """Geometric levels, keys x REPLICAS: a term is in the subset of level l with chance 2^-l."""
-    salt = _mix(np.arange(1, REPLICAS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    drawn = _mix(keys[:, None] ^ salt[None, :]) >> np.uint64(11)
-    return np.minimum(52 - np.floor(np.log2(np.maximum(drawn, np.uint64(1)).astype(np.float64))), 63).astype(np.uint8)
-
-
-def fingerprints(texts: pa.Array, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray]:
-    """First levels (n) and hashes (n x 2 x REPLICAS, uint16)."""
+def fingerprints(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
+    """Hashes (n x SUBSETS, uint16)."""
     n = len(texts)
     runs, doc, term = chunk_terms(texts)
     names = names_of(runs)
@@ -144,54 +146,57 @@ def fingerprints(texts: pa.Array, lexicon: Lexicon) -> tuple[np.ndarray, np.ndar
     banded = np.bincount(doc[inside], minlength=n) > 0
     use = inside | ~banded[doc]
     doc, term = doc[use], term[use]
-    at = number[term]
+    # keys and levels of the distinct terms that are used
+    used, term = np.unique(term, return_inverse=True)
+    at = number[used]
     known = at >= 0
-    keys = np.zeros(len(doc), np.uint64)
-    keys[known] = lexicon.keys[at[known]]
-    keys[~known] = keys_of(names.take(pa.array(term[~known])).to_pylist())
+    keys, levels = np.zeros(len(used), np.uint64), np.zeros((len(used), REPLICAS), np.uint8)
+    keys[known], levels[known] = lexicon.keys[at[known]], lexicon.levels[at[known]]
+    other = names.take(pa.array(used[~known])).to_pylist()
+    keys[~known], levels[~known] = keys_of(other), levels_of(other)
     bare = np.flatnonzero(~np.isin(np.arange(n), doc))
     if len(bare):  # no terms at all: the whole text is one
-        keys = np.concatenate([keys, keys_of([texts[int(i)].as_py() for i in bare])])
-        doc, at = np.concatenate([doc, bare]), np.concatenate([at, np.full(len(bare), -1)])
-    order = np.lexsort((keys, doc))  # sorted distinct terms of each document
-    doc, at, keys = doc[order], at[order], keys[order]
-    levels = np.empty((len(doc), REPLICAS), np.uint8)
-    known = at >= 0
-    levels[known] = lexicon.levels[at[known]]
-    levels[~known] = levels_of(keys[~known])
-    size = np.bincount(doc, minlength=n)
-    first = np.maximum(0, np.rint(np.log2(np.maximum(size, 1)))).astype(np.int64)
-    out = np.zeros((n, 2, REPLICAS), np.uint16)
-    flat = out.reshape(-1)
-    for step in (0, 1):
-        row, replica = np.nonzero(levels >= (first[doc] + step)[:, None])
-        slot = (doc[row] * 2 + step) * REPLICAS + replica
-        by = np.argsort(slot, kind="stable")
-        slot, key = slot[by], keys[row[by]]
-        begin = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]])) if len(slot) else np.zeros(0, np.int64)
-        place = np.arange(len(slot)) - np.repeat(begin, np.diff(np.append(begin, len(slot))))
-        if len(slot):
-            chained = np.add.reduceat(_mix(key + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), begin)
-            flat[slot[begin]] = (_mix(chained) % np.uint64(65535)).astype(np.uint16) + 1
-    return first, out
-
-
-def texts_of(first: np.ndarray, hashes: np.ndarray) -> list[str]:
-    big = np.ascontiguousarray(hashes.reshape(len(hashes), -1).astype(">u2"))
-    return [f"{level:02x}{row.tobytes().hex()}" for level, row in zip(first.tolist(), big, strict=True)]
-
-
-def likeness(first_a: np.ndarray, a: np.ndarray, first_b: np.ndarray, b: np.ndarray) -> np.ndarray:
+        whole = names_of(pa.array([texts[int(i)].as_py().encode() for i in bare], pa.large_binary())).to_pylist()
+        term, doc = np.concatenate([term, len(used) + np.arange(len(bare))]), np.concatenate([doc, bare])
+        keys, levels = np.concatenate([keys, keys_of(whole)]), np.concatenate([levels, levels_of(whole)])
+    by_key = np.argsort(keys, kind="stable")
+    place = np.empty(len(keys), np.int64)
+    place[by_key] = np.arange(len(keys))
+    order = np.lexsort((place[term], doc))  # each document's distinct terms, sorted
+    doc, keys, levels = doc[order], keys[term[order]], levels[term[order]]
+    out = np.zeros((n, SUBSETS), np.uint16)
+    out[:, 0] = _hashed(doc, keys, n)
+    for replica in range(REPLICAS):
+        d, k, v = doc, keys, levels[:, replica]
+        for level in range(1, LEVELS):
+            keep = v >= level
+            d, k, v = d[keep], k[keep], v[keep]
+            out[:, replica * (LEVELS - 1) + level] = _hashed(d, k, n)
+    return out
+
+
+def _hashed(doc: np.ndarray, keys: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each document's sequence of keys (rows stand by document): the sum of key * (2 * place + 1) in 64 bits, to 16 bits but 0; 0 without keys."""
+    count = np.bincount(doc, minlength=n)
+    begin = np.cumsum(count) - count
+    place = (np.arange(len(doc)) - begin[doc]).astype(np.uint64)
+    full = np.flatnonzero(count)
+    out = np.zeros(n, np.uint16)
+    if len(full):
+        total = np.add.reduceat(keys * (place * np.uint64(2) + np.uint64(1)), begin[full])
+        out[full] = ((total >> np.uint64(24)) % np.uint64(65535) + np.uint64(1)).astype(np.uint16)
+    return out
+
+
+def texts_of(hashes: np.ndarray) -> list[str]:
+    big = np.ascontiguousarray(hashes.astype(">u2"))
+    return [row.tobytes().hex() for row in big]
+
+
+def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row by row."""
-    same, n = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
-    for i in (0, 1):
-        for j in (0, 1):
-            at = first_a + i == first_b + j
-            x, y = a[:, i], b[:, j]
-            n += at * ((x > 0) | (y > 0)).sum(1)
-            same += at * ((x == y) & (x > 0)).sum(1)
-    equal = (first_a == first_b) & (a == b).all((1, 2))
-    return np.where(equal, 1.0, same / np.maximum(n, 1))
+    some = ((a > 0) | (b > 0)) @ WEIGHTS
+    return ((a == b) & (a > 0)) @ WEIGHTS / np.maximum(some, 1)
 
 
 def lexicon_of(docs: DataFrame, low: float = 0.0005, high: float = 0.2) -> Lexicon:
@@ -200,36 +205,47 @@ def lexicon_of(docs: DataFrame, low: float = 0.0005, high: float = 0.2) -> Lexic
     return Lexicon(sorted(band.select("term").toArrow().column("term").to_pylist()))
 
 
-def _part(key: Column, cuts: list[int]) -> Column:
-    """How many cut points are at or below the key; null: 0."""
-    points = np.array(cuts, np.int64)
+def _part(columns: list[Column], cuts: list[tuple[int, int, int]]) -> Column:
+    """How many cut points are at or below the key (doc_id, tie, row; a null doc_id is the least number)."""
+    points = np.array(cuts, np.int64).reshape(-1, 3)
+    first = points[:, 0]
 
     @F.pandas_udf("int")
-    def place(x: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(points, x.fillna(np.iinfo(np.int64).min).astype("int64"), "right").astype("int32"))
+    def place(doc_id: pd.Series, tie: pd.Series, row: pd.Series) -> pd.Series:
+        key = doc_id.to_numpy()
+        low, high = np.searchsorted(first, key, "left"), np.searchsorted(first, key, "right")
+        out = high.astype(np.int32)
+        # a doc_id that is a cut point itself, with many rows perhaps: by what follows
+        for i in np.flatnonzero(high > low).tolist():
+            own = points[low[i] : high[i], 1:].tolist()
+            out[i] = low[i] + bisect_right(own, [int(tie.iat[i]), int(row.iat[i])])
+        return pd.Series(out)
 
-    return place(key) if cuts else F.lit(0)
+    return place(*columns) if cuts else F.lit(0)
 
 
 def with_next(docs: DataFrame) -> tuple[DataFrame, int]:
-    """doc_id, text, _part, _ahead: dealt to parts by doc_id, each followed by the first row of the next part (_ahead; after the last part: of the first).
+    """doc_id, text, _key, _tie, _row, _part, _ahead: dealt evenly to parts by doc_id, text hash and place of reading, each part followed by the text of the first row of the next (_ahead; after the last part: of the first).
 
-    Cut points of doc_id, one a part, come from a pass over that column alone; texts move once.
+    Cut points, one a part, come from a pass over those keys alone, so rows of one doc_id are split too; texts move once.
     """
     spark = session_of(docs)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    cuts = sorted({int(x) for x in ids.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts)}) if parts > 1 else []
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    place = _part(F.col("doc_id"), cuts)
-    firsts = ids.select(place.alias("p"), "doc_id").groupBy("p").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("f")).orderBy("p").collect()
-    used = [r["p"] for r in firsts]
-    heads = spark.createDataFrame([(r["f"]["doc_id"], used[i - 1]) for i, r in enumerate(firsts)], "_head long, _before int")
-    joined = rows.withColumn("_p", place).join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("_head")), "left")
-    here = F.struct(F.col("_p").alias("part"), F.lit(False).alias("ahead"))
-    there = F.struct(F.col("_before").alias("part"), F.lit(True).alias("ahead"))
-    dealt = joined.select("doc_id", "text", F.explode(F.when(F.col("_before").isNull(), F.array(here)).otherwise(F.array(here, there))).alias("_d"))
-    return dealt.select("doc_id", "text", F.col("_d.part").alias("_part"), F.col("_d.ahead").alias("_ahead")), parts
+    rows = rows.withColumns({"_key": F.coalesce("doc_id", F.lit(-(1 << 63))), "_tie": F.xxhash64("text"), "_row": F.monotonically_increasing_id()})
+    key = ["_key", "_tie", "_row"]
+    sorted_ = rows.select(*key).repartitionByRange(parts, *key)
+    # one row a part
+    heads = sorted(tuple(h) for h in sorted_.groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct(*key)).alias("h")).select("h.*").collect())
+    dealt = rows.withColumns({"_part": _part([F.col(c) for c in key], heads[1:]), "_ahead": F.lit(False)})
+    if not heads:
+        return dealt, parts
+    # by value, so that it does not matter which of equal rows is read first in this pass
+    first = spark.createDataFrame(sorted({h[:2] for h in heads}), "_key long, _tie long")
+    texts = rows.join(F.broadcast(first), ["_key", "_tie"]).groupBy("_key", "_tie").agg(F.first("text").alias("text"))
+    after = spark.createDataFrame([(*h[:2], (i - 1) % len(heads)) for i, h in enumerate(heads)], "_key long, _tie long, _part int")
+    ahead = texts.join(F.broadcast(after), ["_key", "_tie"]).select(F.lit(None).cast("long").alias("doc_id"), "text", "_key", "_tie", F.lit(0).cast("long").alias("_row"), "_part", F.lit(True).alias("_ahead"))
+    return dealt.unionByName(ahead), parts
 
 
 def fingerprint_edits(docs: DataFrame, low: float = 0.0005, high: float = 0.2) -> DataFrame:
@@ -244,28 +260,57 @@ def fingerprint_edits(docs: DataFrame, low: float = 0.0005, high: float = 0.2) -
     def finish(rows: list[tuple], lexicon: Lexicon) -> pa.RecordBatch:
         """rows: doc_id, text, next text."""
         edited = [t[: len(t) - len(t) // 4] + after[: len(t) // 4] for _, t, after in rows]
-        f, h = fingerprints(pa.array([t for _, t, _ in rows] + [rows[-1][2]], pa.large_string()), lexicon)
-        g, k = fingerprints(pa.array(edited, pa.large_string()), lexicon)
-        columns = [[d for d, _, _ in rows], [len(t) for _, t, _ in rows], [hashlib.sha256(x.encode()).hexdigest() for x in edited], texts_of(f[:-1], h[:-1]), texts_of(g, k), likeness(f[:-1], h[:-1], g, k), likeness(f[:-1], h[:-1], f[1:], h[1:])]
+        own = fingerprints(pa.array([t for _, t, _ in rows] + [rows[-1][2]], pa.large_string()), lexicon)
+        new = fingerprints(pa.array(edited, pa.large_string()), lexicon)
+        columns = [[d for d, _, _ in rows], [len(t) for _, t, _ in rows], [hashlib.sha256(x.encode()).hexdigest() for x in edited], texts_of(own[:-1]), texts_of(new), likeness(own[:-1], new), likeness(own[:-1], own[1:])]
         return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema, strict=True)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = sent.value.ready()
         held: list[tuple] = []  # texts in a row, the last still without its next
-        size, last, closed = 0, None, True
+        size = 0
         for batch in batches:
-            for doc, text, part, ahead in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "_part", "_ahead")), strict=True):
-                if closed and part == last:
-                    continue  # a further copy of the head row
+            for doc, text, ahead in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "_ahead")), strict=True):
                 if held and (ahead or size > 2_000_000):
                     rows = [(*a, b[1]) for a, b in zip(held, [*held[1:], (doc, text)], strict=True)]
                     yield finish(rows, lexicon)
                     held, size = [], 0
-                last, closed = part, ahead
                 if not ahead:
                     held.append((doc, text))
                     size += len(text)
 
     dealt, parts = with_next(docs)
-    ordered = dealt.withColumn("_tie", F.xxhash64("text")).repartition(parts, "_part").sortWithinPartitions("_part", "_ahead", F.col("doc_id").asc_nulls_first(), "_tie")
-    return ordered.select("doc_id", "text", "_part", "_ahead").mapInArrow(trimmed(run), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    # by ranges of the part's number, so that each task gets one part
+    ordered = dealt.repartitionByRange(parts, "_part").sortWithinPartitions("_part", "_ahead", "_key", "_tie", "_row")
+    return ordered.select("doc_id", "text", "_ahead").mapInArrow(trimmed(run), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+
+
+ORACLE = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, len(coalesce(text, '')) AS n FROM documents),
+e AS (SELECT *, left(t, n - n // 4) || left(coalesce(lead(t) OVER (ORDER BY doc_id), first_value(t) OVER (ORDER BY doc_id)), n // 4) AS x,
+        coalesce(lead(doc_id) OVER (ORDER BY doc_id), first_value(doc_id) OVER (ORDER BY doc_id)) AS after FROM d),
+a AS (SELECT doc_id, 0 AS side, t FROM e UNION ALL SELECT doc_id, 1, x FROM e),
+w AS (SELECT doc_id, side, unnest(list_distinct(regexp_extract_all(lower(t), '[0-9A-Za-z_\x{{80}}-\x{{10FFFF}}]+'))) AS w FROM a),
+m AS (SELECT doc_id, side, CASE WHEN strlen(w) > 64 THEN '#' || md5(w) ELSE w END AS w FROM w),
+l AS (SELECT w FROM m WHERE side = 0 GROUP BY w HAVING count(*) >= greatest(2, 0.0005 * (SELECT count(*) FROM d)) AND count(*) <= 0.2 * (SELECT count(*) FROM d)),
+b AS (SELECT m.*, l.w IS NOT NULL AS inside FROM m LEFT JOIN l USING (w)),
+u AS (SELECT doc_id, side, w FROM (SELECT *, bool_or(inside) OVER (PARTITION BY doc_id, side) AS banded FROM b) WHERE inside OR NOT banded
+      UNION ALL SELECT doc_id, side, CASE WHEN strlen(t) > 64 THEN '#' || md5(t) ELSE t END FROM a WHERE NOT EXISTS (SELECT 1 FROM w WHERE w.doc_id = a.doc_id AND w.side = a.side)),
+h AS (SELECT w, CAST(('0x' || substr(md5(w), 1, 15)) AS BIGINT) AS k, md5('subsets:' || w) AS z FROM (SELECT DISTINCT w FROM u)),
+v AS (SELECT w, k, r, CASE WHEN x = 0 THEN 15 ELSE 15 - CAST(floor(log2(x)) AS BIGINT) END AS top
+      FROM (SELECT w, k, r, CAST(('0x' || substr(z, 1 + 4 * r, 4)) AS BIGINT) AS x FROM h, range({REPLICAS}) t(r))),
+s AS (SELECT doc_id, side, CASE WHEN g = 0 THEN 0 ELSE r * {LEVELS - 1} + g END AS s, k,
+             row_number() OVER (PARTITION BY doc_id, side, r, g ORDER BY k) - 1 AS i
+      FROM u JOIN v USING (w), range({LEVELS}) q(g) WHERE g <= top AND (g > 0 OR r = 0)),
+p AS (SELECT doc_id, side, s, CAST(sum(CAST(k AS HUGEINT) * (2 * i + 1)) % 18446744073709551616 AS HUGEINT) AS y FROM s GROUP BY ALL),
+f AS (SELECT doc_id, side, s, CAST((y // 16777216) % 65535 + 1 AS BIGINT) AS y FROM p),
+c AS (SELECT a.doc_id, a.side, q.s, coalesce(f.y, 0) AS y FROM a CROSS JOIN range({SUBSETS}) q(s) LEFT JOIN f ON f.doc_id = a.doc_id AND f.side = a.side AND f.s = q.s),
+t AS (SELECT doc_id, side, string_agg(printf('%04x', y), '' ORDER BY s) AS f FROM c GROUP BY ALL),
+k AS (SELECT e.doc_id,
+        coalesce(sum(q) FILTER (WHERE o.y = n.y AND o.y > 0), 0) / greatest(1, coalesce(sum(q) FILTER (WHERE o.y > 0 OR n.y > 0), 0)) AS near_edited,
+        coalesce(sum(q) FILTER (WHERE o.y = z.y AND o.y > 0), 0) / greatest(1, coalesce(sum(q) FILTER (WHERE o.y > 0 OR z.y > 0), 0)) AS near_next
+      FROM (SELECT s, CASE WHEN s = 0 THEN 1 ELSE 1 << CAST(1 + (s - 1) % {LEVELS - 1} AS INTEGER) END AS q FROM range({SUBSETS}) t(s)) q JOIN e ON true JOIN c o ON o.doc_id = e.doc_id AND o.side = 0 AND o.s = q.s JOIN c n ON n.doc_id = e.doc_id AND n.side = 1 AND n.s = o.s
+      JOIN c z ON z.doc_id = e.after AND z.side = 0 AND z.s = o.s GROUP BY e.doc_id)
+SELECT e.doc_id, n AS n_chars, sha256(x) AS edited_sha256, o.f AS fingerprint, w.f AS edited_fingerprint, near_edited, near_next
+FROM e JOIN t o ON o.doc_id = e.doc_id AND o.side = 0 JOIN t w ON w.doc_id = e.doc_id AND w.side = 1 JOIN k ON k.doc_id = e.doc_id
+"""

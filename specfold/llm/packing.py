@@ -8,7 +8,8 @@ tail that is dealt to sequences whose lengths are powers of two, so nothing is p
 
 A group is a run of documents of one input partition with about group_tokens tokens in rests.
 Packing is a single pass over the table without a shuffle: memory is bounded by a group, a lost
-task repeats alone, and no key can be hot. Splitting of files decides the groups, so results
+task repeats alone, and no key can be hot. A document longer than a sequence leaves whole sequences at once and
+only its rest is held. Splitting of files decides the groups, so results
 repeat for the same files and spark.sql.files settings.
 
 Null or empty text: the document is its end id alone. Repeated rows are packed each. A null
@@ -78,7 +79,7 @@ def pack(docs: DataFrame, tokenizer: str, seq_len: int = 1024, end_id: int = 0,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer)
         sequence = TaskContext.get().partitionId() << 36
-        held: list[tuple] = []  # documents of the group: doc_id, ids
+        held: list[tuple] = []  # rests of the group's documents: doc_id, ids, place of their first, ids of the document
         pending = 0
         rows: list[tuple] = []
 
@@ -87,13 +88,13 @@ def pack(docs: DataFrame, tokenizer: str, seq_len: int = 1024, end_id: int = 0,
             rows.clear()
             return out
 
-        def add(doc, ids, start, n, seq, offset, cost_of=lambda n: linear * n + quadratic * n * n):
-            rows.append((doc, start, n, ids[start : start + n].tobytes(), len(ids), seq, offset, cost_of(n)))
+        def add(doc, ids, first, total, start, n, seq, offset):
+            rows.append((doc, start, n, ids[start - first : start - first + n].tobytes(), total, seq, offset, linear * n + quadratic * n * n))
 
         def close() -> None:
             nonlocal sequence, pending
             most = -1
-            for i, start, n, seq, offset in assign([(i, len(ids) // seq_len * seq_len, len(ids) % seq_len) for i, (_, ids) in enumerate(held) if len(ids) % seq_len], seq_len, linear, quadratic):
+            for i, start, n, seq, offset in assign([(i, first, len(ids)) for i, (_, ids, first, _) in enumerate(held)], seq_len, linear, quadratic):
                 add(*held[i], start, n, sequence + seq, offset)
                 most = max(most, seq)
             sequence += most + 1
@@ -107,14 +108,16 @@ def pack(docs: DataFrame, tokenizer: str, seq_len: int = 1024, end_id: int = 0,
                 for doc, end in zip(part.column("doc_id").to_pylist(), ends.tolist(), strict=True):
                     own = np.append(flat[begin:end], np.uint32(end_id))
                     begin = end
-                    for start in range(0, len(own) // seq_len * seq_len, seq_len):
-                        add(doc, own, start, seq_len, sequence, 0)
+                    whole = len(own) // seq_len * seq_len
+                    for start in range(0, whole, seq_len):
+                        add(doc, own, 0, len(own), start, seq_len, sequence, 0)
                         sequence += 1
                         if len(rows) >= 4096:
                             yield emit()
-                    held.append((doc, own))
-                    pending += len(own) % seq_len
-                    if pending >= group_tokens or len(held) >= 20_000:
+                    if len(own) > whole:  # fewer ids than a sequence has, copied so that the rest of the document is let go
+                        held.append((doc, own[whole:].copy(), whole, len(own)))
+                        pending += len(own) - whole
+                    if pending >= group_tokens:
                         close()
                     if len(rows) >= 4096:
                         yield emit()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,8 +48,12 @@ def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pii_key(spark: SparkSession) -> bytes:
-    """The secret key; spark.specfold.pii.key has it in production."""
-    return spark.conf.get("spark.specfold.pii.key", "not a secret: set spark.specfold.pii.key").encode()
+    """The secret key that spark.specfold.pii.key names; where none is set, one drawn at random for this session and kept there."""
+    key = spark.conf.get("spark.specfold.pii.key", None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set("spark.specfold.pii.key", key)
+    return key.encode()
 
 
 def listed(span: Column) -> Column:
@@ -105,4 +110,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secrets": op9_secrets,
     "op10_jaccard": op10_jaccard,
 }
-ORACLES: dict[str, str] = {"op3_mixing": curriculum.ORACLE, "op4_warc": warc.ORACLE, "op5_embeddings": multiindex.ORACLE}
+ORACLES: dict[str, str] = {"op2_imatch": imatch.ORACLE, "op3_mixing": curriculum.ORACLE, "op4_warc": warc.ORACLE, "op5_embeddings": multiindex.ORACLE, "op9_secrets": trigrams.ORACLE, "op10_jaccard": chosenpath.ORACLE}

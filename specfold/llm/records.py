@@ -25,16 +25,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from specfold.llm.common import session_of, trimmed
 from specfold.llm.encode import ENCODE_BYTES, chunks, encoder
 
 MAGIC = b"SFREC1"
 _HEAD, _LEN, _CRC = "<6sBIIQQ", "<QI", "<I"
-INDEX = "doc_id long, part int, file int, record long, at long, bytes long, start_in_part long, n_tokens long"
-_INDEX = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("file", pa.int32()), ("record", pa.int64()), ("at", pa.int64()), ("bytes", pa.int64()), ("start_in_part", pa.int64()), ("n_tokens", pa.int64())])
+INDEX = "path string, doc_id long, part int, file int, record long, at long, bytes long, start_in_part long, n_tokens long"
+_INDEX = pa.schema([("path", pa.string()), ("doc_id", pa.int64()), ("part", pa.int32()), ("file", pa.int32()), ("record", pa.int64()), ("at", pa.int64()), ("bytes", pa.int64()), ("start_in_part", pa.int64()), ("n_tokens", pa.int64())])
 
 
 def masked(data: bytes | memoryview) -> int:
@@ -68,6 +69,15 @@ def frames(data: memoryview) -> Iterator[tuple[int, memoryview]]:
         at += 16 + size
 
 
+def frame_at(data: memoryview, at: int, size: int) -> memoryview:
+    """The payload of the frame of `size` bytes at an offset."""
+    n, check = struct.unpack_from(_LEN, data, at)
+    payload = data[at + 12 : at + 12 + n]
+    if n + 16 != size or masked(data[at : at + 8]) != check or masked(payload) != struct.unpack_from(_CRC, data, at + 12 + n)[0]:
+        raise ValueError(f"no sound record of {size} bytes at byte {at}")
+    return payload
+
+
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, file_bytes: int = 4 << 20) -> None:
     """docs: doc_id, text. Writes files below folder/data and the index below folder/index."""
     spark = session_of(docs)
@@ -116,6 +126,7 @@ def _scan(spark: SparkSession, folder: str, with_ids: bool) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 data = memoryview(batch.column("content")[i].as_buffer())
+                path = batch.column("path")[i].as_py()
                 all_ = frames(data)
                 magic, width, part, file, record, token = struct.unpack(_HEAD, next(all_)[1])
                 if magic != MAGIC:
@@ -124,16 +135,24 @@ def _scan(spark: SparkSession, folder: str, with_ids: bool) -> DataFrame:
                 for at, payload in all_:
                     known, doc = struct.unpack_from("<Bq", payload)
                     n = (len(payload) - 9) // width
-                    rows.append((doc if known else None, part, file, record, at, len(payload) + 16, token, n, *([np.frombuffer(payload[9:], f"<u{width}").astype("<u4").tobytes()] if with_ids else [])))
+                    rows.append((path, doc if known else None, part, file, record, at, len(payload) + 16, token, n, *([np.frombuffer(payload[9:], f"<u{width}").astype("<u4").tobytes()] if with_ids else [])))
                     record, token = record + 1, token + n
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), kind, strict=True)], schema=kind)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{folder}/data").select("content")
-    return files.mapInArrow(trimmed(run), INDEX + (", tokens binary" if with_ids else ""))
+    return _files(spark, folder).select(_base(F.col("path")).alias("path"), "content").mapInArrow(trimmed(run), INDEX + (", tokens binary" if with_ids else ""))
+
+
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{folder}/data")
+
+
+def _base(path: Column) -> Column:
+    """A file's name without its folder."""
+    return F.substring_index(path, "/", -1)
 
 
 def index(spark: SparkSession, folder: str) -> DataFrame:
-    """One row a record: doc_id, part, file, record and start_in_part (its number and its first token's, in the part), at and bytes (of its frame in the file), n_tokens, start (tokens of all records before it)."""
+    """One row a record: path (its file's name), doc_id, part, file, record and start_in_part (its number and its first token's, in the part), at and bytes (of its frame in the file), n_tokens, start (tokens of all records before it)."""
     own = spark.read.schema(INDEX).parquet(f"{folder}/index")
     return own.join(F.broadcast(_bases(own)), "part").withColumn("start", F.col("_base") + F.col("start_in_part")).drop("_base")
 
@@ -150,7 +169,34 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     return _scan(spark, folder, True).join(F.broadcast(bases), "part").withColumn("start", F.col("_base") + F.col("start_in_part")).drop("_base")
 
 
-def read_shuffled(spark: SparkSession, folder: str, seed: int) -> DataFrame:
-    """All records in an order that seed decides, by the index: (position key, doc_id, tokens)."""
-    order = index(spark, folder).select("part", "file", "at", F.xxhash64(F.lit(seed), "part", "record").alias("key"))
-    return read(spark, folder).join(order, ["part", "file", "at"]).select("key", "doc_id", "tokens").orderBy("key")
+def read_at(spark: SparkSession, folder: str, wanted: DataFrame) -> DataFrame:
+    """The records that `wanted`, rows of the index, points at: its columns, and tokens (little-endian unsigned 32-bit).
+
+    Of each file with such records the wanted frames alone are cut out, by their offsets, and verified; the
+    other frames are not looked at. The offsets of a file, as many as it has records, meet its bytes in one row.
+    """
+    rest = [c for c in wanted.columns if c not in ("path", "at", "bytes")]
+    listed = wanted.groupBy("path").agg(F.collect_list(F.struct("at", "bytes", *rest)).alias("wanted"))
+    files = _files(spark, folder).select(_base(F.col("path")).alias("path"), "content")
+    kinds = [wanted.schema[c] for c in rest]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                data = memoryview(batch.column("content")[i].as_buffer())
+                magic, width = struct.unpack(_HEAD, next(frames(data))[1])[:2]
+                if magic != MAGIC:
+                    raise ValueError("not a record file")
+                own = batch.column("wanted")[i].values
+                tokens = [np.frombuffer(frame_at(data, at, n)[9:], f"<u{width}").astype("<u4").tobytes() for at, n in zip(own.field("at").to_pylist(), own.field("bytes").to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*(own.field(c) for c in rest), pa.array(tokens, pa.binary())], [*rest, "tokens"])
+
+    return listed.join(files, "path").select("content", "wanted").mapInArrow(trimmed(run), T.StructType([*kinds, T.StructField("tokens", T.BinaryType())]))
+
+
+def read_shuffled(spark: SparkSession, folder: str, seed: int, share: float = 1.0) -> DataFrame:
+    """Records in an order that seed decides, or the first share of that order, read by the index: (key, doc_id, tokens)."""
+    order = index(spark, folder).select("path", "at", "bytes", "doc_id", F.xxhash64(F.lit(seed), "part", "record").alias("key"))
+    if share < 1:
+        order = order.where(F.col("key") < int(-(1 << 63) + share * (1 << 64)))
+    return read_at(spark, folder, order).select("key", "doc_id", "tokens").orderBy("key")

@@ -224,3 +224,24 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     return rows.mapInArrow(trimmed(run), "doc_id long, spans array<struct<kind: string, start: long, end: long>>")
+
+
+def _found(rule: Rule, place: int) -> str:
+    """SQL of one rule's matches: a row each, with its place among the rules and its span. Pieces between matches give the starts."""
+    pattern = (("(?i)" if rule.any_case else "") + rule.pattern).replace("'", "''")
+    part = f"regexp_extract(x, '{pattern}', {rule.group})"
+    run = "OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return f"""SELECT doc_id, {place} AS place, '{rule.kind}' AS kind, b - len(x) AS a, b FROM (
+      SELECT doc_id, x, CAST(sum(len(y) + len(x)) {run} AS BIGINT) AS b FROM (
+        SELECT doc_id, unnest(m) AS x, unnest(s[1:len(m)]) AS y, unnest(range(len(m))) AS i
+        FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS m, regexp_split_to_array(t, '{pattern}') AS s FROM d))) WHERE len({part}) >= {rule.least}"""
+
+
+_SPANS = " UNION ALL ".join(_found(r, i) for i, r in enumerate(BASE + MORE))
+_TEXT = "coalesce(string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, place){0}, '')"
+ORACLE = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), f AS ({_SPANS})
+SELECT d.doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+       sha256({_TEXT.format(f" FILTER (WHERE place < {len(BASE)})")}) AS base_sha256, {_TEXT.format("")} AS spans
+FROM d LEFT JOIN f ON d.doc_id = f.doc_id GROUP BY d.doc_id
+"""

@@ -83,6 +83,25 @@ def test_pieces_give_the_ids_of_whole_texts(docs, name):
         encode.MOST_PIECES = old
 
 
+def test_only_known_tokenizers_are_cut(tmp_path):
+    import json
+
+    import pyarrow as pa
+
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        with open(queries.tokenizer_path(name)) as f:
+            spec = json.load(f)
+        assert encode.can_cut(spec)
+        for change in ({"normalizer": {"type": "NFKC"}}, {"pre_tokenizer": None}, {"pre_tokenizer": {"type": "Whitespace"}}, {"post_processor": {"type": "x"}}):
+            assert not encode.can_cut(spec | change)
+    spec["pre_tokenizer"] = None  # words of many texts are one: pieces would give other ids
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec))
+    coder = encode.PieceEncoder(str(path))
+    text = "some words, and some more of them"
+    assert coder.encode(pa.array([text]))[0].tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def check_packing(rows, docs):
     plain = tokenizer("byte_bpe_50k.json")
     length, by_doc = defaultdict(list), defaultdict(list)
@@ -128,6 +147,21 @@ def test_packing_balances_cost():
         fill[seq] += n
     assert sum(fill.values()) == sum(r[2] for r in rests) and all(n == 1024 or n & (n - 1) == 0 for n in fill.values())
     assert len(pieces) < 2.2 * len(rests)
+    # against the plain form: each rest, longest first, to the cheapest sequence that has room, cut where that ends
+    total = sum(r[2] for r in rests)
+    room, cost, plain = [1024] * (total // 1024), [0.0] * (total // 1024), Counter()
+    for doc, _, n in sorted(rests, key=lambda r: (-r[2], r[0])):
+        while n and any(room):
+            seq = min((s for s in range(len(room)) if room[s]), key=lambda s: (cost[s], s))
+            take = min(n, room[seq])
+            plain[seq, doc] += take
+            room[seq], cost[seq], n = room[seq] - take, cost[seq] + take + take * take / 4096, n - take
+    got = Counter()
+    for doc, _, n, seq, _ in pieces:
+        if seq < total // 1024:
+            got[seq, doc] += n
+    assert got == plain
+    assert max(cost) - min(cost) < 0.25 * max(cost)
     assert packing.assign([], 1024, 1, 1) == []
 
 
@@ -309,8 +343,10 @@ def test_records(docs, odd, spark, tmp_path):
         assert ids == sorted(ids)
         index = records.index(spark, folder).collect()
         assert Counter((r["doc_id"], r["start"], r["n_tokens"]) for r in index) == Counter((r["doc_id"], r["start"], r["n_tokens"]) for r in got)
-        mixed = records.read_shuffled(spark, folder, 5).collect()
-        assert Counter((r["doc_id"], bytes(r["tokens"])) for r in mixed) == want
+        mixed = [(r["doc_id"], bytes(r["tokens"])) for r in records.read_shuffled(spark, folder, 5).collect()]
+        assert Counter(mixed) == want and mixed != [(r["doc_id"], bytes(r["tokens"])) for r in ordered]
+        some = [(r["doc_id"], bytes(r["tokens"])) for r in records.read_shuffled(spark, folder, 5, share=0.3).collect()]
+        assert some == mixed[: len(some)] and 0 < len(some) < len(mixed)
     records.write(docs.limit(0), str(tmp_path / "none"), queries.tokenizer_path("word_bpe_49k.json"))
     assert records.read(spark, str(tmp_path / "none")).count() == 0
     data = bytearray(records.frame(b"abc") + b"\n")
@@ -528,6 +564,80 @@ def test_blocks_of_cells():
     assert first[[1, 2, 3, 5, 6, 7]].tolist() == [0, 0, 1, 4, 5, 5] and parts.tolist() == [1, 1, 1, 3, 1, 1, 1, 1]
 
 
+def test_pii_against_plain_validators(docs):
+    """Values found by plain means are all replaced by values of their format, one to one; all else stays."""
+
+    def plain(text):
+        for m in re.finditer(r"(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?!\w)", text):
+            yield "email", m.span()
+        for m in re.finditer(r"(?<![\w.,-])\d{4}-\d{2}-\d{2}(?![\w-])(?![.,]\d)", text):
+            y, mo, d = map(int, m[0].split("-"))
+            if 1900 <= y <= 2099 and 1 <= mo <= 12 and 1 <= d <= [31, 28 + (y % 4 == 0 and (y % 100 != 0 or y % 400 == 0)), 31, 30, 31, 30, 31, 31, 30, 31, 30, 31][mo - 1]:
+                yield "date", m.span()
+        for m in re.finditer(r"(?<![\w.])\d+\.\d+\.\d+\.\d+(?![\w])(?!\.\d)", text):
+            if all(p == str(int(p)) and int(p) < 256 for p in m[0].split(".")):
+                yield "ip", m.span()
+
+    new_of, old_of, seen = {}, {}, Counter()
+    for r in feistel.pseudonymize(docs, b"k").join(docs.select("doc_id", F.col("text").alias("old")), "doc_id").collect():
+        old, new = r["old"] or "", r["text"] or ""
+        spans = [(s["start"], s["end"], s["kind"]) for s in r["spans"]]
+        if any(k == "ip" for *_, k in spans):  # the only format whose length may change
+            count = lambda t: Counter(k for k, _ in plain(t))
+            assert count(old)["ip"] == count(new)["ip"] and count(old)["email"] == count(new)["email"]
+            seen["ip"] += 1
+            continue
+        assert len(old) == len(new)
+        inside = {i for a, b, _ in spans for i in range(a, b)}
+        assert all(x == y for i, (x, y) in enumerate(zip(old, new, strict=True)) if i not in inside)
+        for kind, (a, b) in plain(old):
+            assert any(x <= a and b <= y for x, y, _ in spans)
+            if (a, b, kind) in spans:
+                seen[kind] += 1
+                assert (kind, (a, b)) in list(plain(new))
+        for a, b, kind in spans:
+            if kind in ("email", "ip", "ssn", "iban"):
+                assert new_of.setdefault((kind, old[a:b]), new[a:b]) == new[a:b] and old_of.setdefault((kind, new[a:b]), old[a:b]) == old[a:b]
+    assert seen["email"] > 3
+
+
+def test_pii_key(spark):
+    spark.conf.unset("spark.specfold.pii.key")
+    key = queries.pii_key(spark)
+    assert len(key) == 64 and queries.pii_key(spark) == key
+    spark.conf.set("spark.specfold.pii.key", "own")
+    assert queries.pii_key(spark) == b"own"
+    spark.conf.unset("spark.specfold.pii.key")
+
+
+def test_quality_learns_from_one_row_a_doc_id(spark):
+    """Rows that share a doc_id reach the driver once, and texts within the byte limit only."""
+    docs = spark.createDataFrame([(i % 40, f"word{i % 40} common", "l", "s", 5) for i in range(4_000)], DOCS)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    plain = docs.dropDuplicates(["doc_id"])
+    assert np.array_equal(fm.train(docs, labels).factors, fm.train(plain, labels).factors)
+    few = fm.train(docs, labels, fit_bytes=100)
+    assert np.count_nonzero(few.linear) < np.count_nonzero(fm.train(docs, labels).linear)
+
+
+def test_imatch_of_a_hot_doc_id(spark, words):
+    """Rows of one doc_id are split over parts; each is followed by the next in order."""
+    rng = random.Random(21)
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(4, 40))) for _ in range(60)]
+    rows = [(7, rng.choice(texts)) for _ in range(400)] + [(None, texts[0])] * 200 + [(i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    dealt, parts = imatch.with_next(df)
+    sizes = dealt.where("not _ahead").groupBy("_part").count().collect()
+    assert len(sizes) == parts and max(r["count"] for r in sizes) < 2 * len(rows) / parts
+    got = Counter((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in imatch.fingerprint_edits(df).collect())
+    tie = {r["text"]: r["h"] for r in spark.createDataFrame([(t,) for t in texts], "text string").withColumn("h", F.xxhash64("text")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, tie[r[1]]))
+    want = Counter()
+    for (d, t), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+        want[d, len(t), hashlib.sha256((t[: len(t) - len(t) // 4] + after[: len(t) // 4]).encode()).hexdigest()] += 1
+    assert got == want
+
+
 def test_pii_candidates_that_run_on():
     """Valid numbers followed by more digits or words, which alone make no valid number."""
     key = b"k"
