@@ -2,19 +2,20 @@
 
 Vectors scaled to length one are cut in halves; a codebook for each half, fitted by k-means on a
 bounded sample, makes a product grid of cells, and every vector stands in the cell of its nearest
-centroids. Cells in their order are packed to blocks of bounded size. A vector visits every block
-with a cell that can hold a link of it, by the bound between two centroids: cells are ruled out by that
-bound alone, never by their number, so no link is lost however few there are. Two blocks meet with the
-vectors of each that reach the other, verified by cosine in double precision. Where the bound rules
-little out, as among vectors without clusters, this is a comparison of all pairs.
-
-Vectors of equal components form a class and go on as one. Links found join classes to components; all
-pairs inside a component are then verified, which counts links exactly. Only spanning forests
-leave a task. Cells of many vectors and large components are dealt in pairs of blocks.
-
-Vectors that are null, empty, zero or hold null or non-finite components, or whose length differs
-from most vectors', link with nothing; rows with a null vec_id neither. Repeated rows are copies of one another.
-An empty table gives no rows. Further columns are not read.
+centroids. Cells in their order are packed to blocks of bounded size. The multi-sequence traversal visits all
+blocks with a cell that can hold a link of a vector, by the bound between two centroids: cells are ruled out by that
+bound alone, never by their number, so the target recall is 1 and no link is lost however few there are. Two blocks meet with the
+vectors of each that reach the other, verified by cosine in double precision; each pair of vectors is met by one
+pair of blocks, so links are counted there. Where the bound rules little out, as among vectors without clusters, this is
+a comparison of all pairs.
+
+Vectors of equal components form a class and go on as one. Links join classes to components; only
+spanning forests and a count for each vector leave a task, never all pairs.
+
+Vectors are scaled by their largest component before any product, so that neither very large nor very small ones overflow or
+vanish. Vectors of different lengths (numbers of components) have no cosine: each length is a table of its own. Vectors that are null, empty, zero or
+hold null or non-finite components link with nothing; rows with a null vec_id neither. Repeated rows are copies of one another.
+An empty table gives no rows. Further columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,11 +25,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from specfold.llm.common import group_bounds, hot_join, session_of, staged, trimmed, whole_groups, work_dir
+from specfold.llm.common import group_bounds, hot_join, keep_only, session_of, staged, trimmed, whole_groups, work_dir
 from specfold.llm.components import components, forest
 
 FIT_ROWS = 16_384
@@ -42,26 +44,33 @@ def prepared(vectors: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sigs, sizes, vecs = [], [], []
-            for x in batch.column("embedding"):
-                v = np.array([np.nan if c is None else c for c in x.as_py()], np.float64) if x.is_valid else np.zeros(0)
-                with np.errstate(over="ignore", invalid="ignore"):
-                    norm = float(np.sqrt((v * v).sum())) if len(v) else 0.0
-                good = bool(np.isfinite(norm) and norm > 0)
-                raw = (v + 0.0).tobytes() if good else None
-                sigs.append(xxhash.xxh3_128_digest(raw) if good else None)
-                sizes.append(len(v))
-                vecs.append(raw)
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(sigs, pa.binary()), pa.array(sizes, pa.int32()), pa.array(vecs, pa.binary())], ["vec_id", "sig", "size", "vec"])
+            column = batch.column("embedding").cast(pa.large_list(pa.float64()))
+            sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy().astype(np.int32)
+            begin = column.offsets.to_numpy()[:-1]
+            flat = pc.fill_null(column.values, float("nan")).to_numpy(zero_copy_only=False) + 0.0  # no negative zero
+            sigs: list[bytes | None] = [None] * batch.num_rows
+            vecs: list[bytes | None] = [None] * batch.num_rows
+            for n in np.unique(sizes[sizes > 0]).tolist():
+                rows = np.flatnonzero(sizes == n)
+                x = flat[begin[rows][:, None] + np.arange(n)]
+                most = np.abs(x).max(1)
+                for row, v in zip(rows[np.isfinite(most) & (most > 0)].tolist(), x[np.isfinite(most) & (most > 0)], strict=True):
+                    vecs[row] = v.tobytes()
+                    sigs[row] = xxhash.xxh3_128_digest(vecs[row])
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(sigs, pa.binary()), pa.array(sizes), pa.array(vecs, pa.binary())], ["vec_id", "sig", "size", "vec"])
 
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     return rows.mapInArrow(trimmed(run), "vec_id long, sig binary, size int, vec binary")
 
 
 def unit(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    x = np.array([np.frombuffer(v, np.float64) for v in column.to_pylist()])
+    """The vectors, all of one length, scaled to 1; by their largest component first."""
+    raw = column.to_pylist()
+    x = np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), -1)
     scale = np.abs(x).max(1, keepdims=True)
-    x = x / scale
+    with np.errstate(over="ignore"):
+        tiny = scale < 1e-300  # whose quotients would not be exact
+        x = np.where(tiny, x * 2.0**900, x) / np.where(tiny, scale * 2.0**900, scale)
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
@@ -176,7 +185,7 @@ def links(x: np.ndarray, y: np.ndarray, cosine: float, rows: int = 512) -> Itera
 
 
 def found_pairs(classes: DataFrame, grid: Grid, cosine: float, block: int) -> DataFrame:
-    """classes: sig, vec. Verified links, at least a spanning forest of those between two blocks of at most `block` vectors: a, b."""
+    """classes: cid, vec, copies. From blocks of at most `block` vectors, verified links: a, b, n: b null: a has n links to rows of other classes there; else a and b are linked by a path."""
     spark = session_of(classes)
     limit = 2 - 2 * cosine + 1e-9
     n_cells = len(grid.books[0]) * len(grid.books[1])
@@ -210,8 +219,7 @@ def found_pairs(classes: DataFrame, grid: Grid, cosine: float, block: int) -> Da
                 part = batch.slice(begin, step)
                 squares = grid.squares(_wide(unit(part.column("vec"))))
                 cell = grid.cells(squares)
-                hashed = np.array([xxhash.xxh3_64_intdigest(s) for s in part.column("sig").to_pylist()], np.uint64)
-                own = first[cell] + (hashed % parts[cell].astype(np.uint64)).astype(np.int64)
+                own = first[cell] + part.column("cid").to_numpy() % 1_000_003 % parts[cell]
                 a, b = grid.bounds(squares)
                 reached = np.logical_or.reduceat(a[:, used // n] + b[:, used % n] <= limit, starts, axis=1)
                 row, run = np.nonzero(reached)
@@ -223,84 +231,76 @@ def found_pairs(classes: DataFrame, grid: Grid, cosine: float, block: int) -> Da
                 # a bounded number of copies leaves at a time
                 for at in range(0, len(row), 16_384):
                     pick = pa.array(row[at : at + 16_384])
-                    columns = [key[at : at + 16_384], part.column("sig").take(pick), part.column("vec").take(pick), mine[at : at + 16_384] > to[at : at + 16_384], mine[at : at + 16_384] == to[at : at + 16_384]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], ["key", "sig", "vec", "second", "within"])
+                    columns = [key[at : at + 16_384], part.column("cid").take(pick), part.column("copies").take(pick), part.column("vec").take(pick), mine[at : at + 16_384] > to[at : at + 16_384], mine[at : at + 16_384] == to[at : at + 16_384]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], ["key", "cid", "copies", "vec", "second", "within"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches):
             second, within = table.column("second").to_numpy(), table.column("within").to_numpy()
+            cids, copies = table.column("cid").to_numpy(), table.column("copies").to_numpy()
             for begin, end in group_bounds(table.column("key").to_numpy()):
-                group = table.slice(begin, end - begin)
                 low = np.flatnonzero(~second[begin:end])
                 high = low if within[begin] else np.flatnonzero(second[begin:end])
                 if not len(low) or not len(high):
                     continue
-                x = unit(group.column("vec"))
-                a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+                x, weight, cid = unit(table.column("vec").slice(begin, end - begin)), copies[begin:end], cids[begin:end]
+                a, b, degree = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(end - begin, np.int64)
                 for i, j in links(x[low], x[high], cosine):
+                    i, j = low[i], high[j]
+                    i, j = i[i != j], j[i != j]
                     if not len(i):
                         continue
-                    root = forest(np.concatenate([a, low[i]]), np.concatenate([b, high[j]]), len(x))
+                    np.add.at(degree, i, weight[j])
+                    if high is not low:
+                        np.add.at(degree, j, weight[i])
+                    root = forest(np.concatenate([a, i]), np.concatenate([b, j]), len(x))
                     a = np.flatnonzero(root != np.arange(len(root)))
                     b = root[a]
-                sig = group.column("sig").combine_chunks()
-                yield pa.RecordBatch.from_arrays([sig.take(pa.array(a)), sig.take(pa.array(b))], ["a", "b"])
+                met = np.flatnonzero(degree)
+                if len(met):
+                    columns = (np.concatenate([cid[met], cid[a]]), np.concatenate([np.full(len(met), -1), cid[b]]), np.concatenate([degree[met], np.zeros(len(a), np.int64)]))
+                    yield pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.array(columns[1], mask=columns[1] < 0), pa.array(columns[2])], ["a", "b", "n"])
 
-    dealt = classes.select("sig", "vec").mapInArrow(trimmed(deal), "key long, sig binary, vec binary, second boolean, within boolean")
+    dealt = classes.select("cid", "copies", "vec").mapInArrow(trimmed(deal), "key long, cid long, copies long, vec binary, second boolean, within boolean")
     keys = n_blocks * (n_blocks + 1) // 2
-    return dealt.repartition(min(keys, 8_192), "key").sortWithinPartitions("key").mapInArrow(trimmed(verify), "a binary, b binary")
+    return dealt.repartition(min(keys, 8_192), "key").sortWithinPartitions("key").mapInArrow(trimmed(verify), "a long, b long, n long")
 
 
-def degrees(members: DataFrame, cosine: float, block: int) -> DataFrame:
-    """members: root, sig, copies, vec. For each sig the rows of other classes of its component that it is linked with: sig, degree."""
-    sizes = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
-    own = F.pmod(F.xxhash64("sig", F.lit("part")), F.col("parts").cast("long")).cast("int")
-    pair = lambda o: F.struct(F.xxhash64("root", F.least(F.col("_own"), o), F.greatest(F.col("_own"), o)).alias("key"), F.when(o == F.col("_own"), 0).when(o > F.col("_own"), 1).otherwise(2).alias("side"))
-    spread = members.join(sizes, "root").withColumn("_own", own).select("sig", "copies", "vec", F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), pair)).alias("_p"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches):
-            sig, side, copies = table.column("sig").to_pylist(), table.column("side").to_numpy(), table.column("copies").to_numpy()
-            x = unit(table.column("vec"))
-            names, out = [], []
-            for begin, end in group_bounds(table.column("key").to_numpy()):
-                halves = side[begin:end]
-                linked = (x[begin:end] @ x[begin:end].T >= cosine) & ((halves[:, None] == 0) | (halves[:, None] != halves[None, :]))
-                np.fill_diagonal(linked, False)
-                n = linked @ copies[begin:end]
-                for k in np.flatnonzero(n).tolist():
-                    names.append(sig[begin + k])
-                    out.append(int(n[k]))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(out, pa.int64())], ["sig", "n"])
-
-    keyed = spread.select("_p.key", "sig", "copies", "vec", "_p.side").repartition("key").sortWithinPartitions("key")
-    return keyed.mapInArrow(trimmed(run), "sig binary, n long").groupBy("sig").agg(F.sum("n").alias("degree"))
+def linked(classes: DataFrame, total: int, size: int, cosine: float, block: int) -> DataFrame:
+    """classes: cid, sig, vec, copies of `total` vectors of `size` components. As found_pairs."""
+    together = max(4 * block, min(BLOCK_BYTES // (8 * size), total // SPREAD))
+    return found_pairs(classes, fit(classes, total), cosine, together)
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.9, block: int = 1024) -> DataFrame:
     """vectors: vec_id, embedding. A row for each: vec_id, n_links, component_id, kept."""
     spark = session_of(vectors)
     folder = work_dir(spark)
-    every = staged(prepared(vectors).withColumn("row", F.monotonically_increasing_id()), folder, "vectors")
-    usual = every.where("sig is not null").groupBy("size").count().orderBy(F.desc("count"), "size").limit(1).collect()
-    size = usual[0]["size"] if usual else -1
-    linkable = every.where((F.col("size") == size) & F.col("sig").isNotNull() & F.col("vec_id").isNotNull())
-    alone = every.where((F.col("size") != size) | F.col("sig").isNull() | F.col("vec_id").isNull()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    classes = staged(linkable.groupBy("sig").agg(F.first("vec").alias("vec"), F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("first")), folder, "classes")
-    total = classes.count()
-    if not total:
-        return alone
-    grid = fit(classes, total)
-    together = max(4 * block, min(BLOCK_BYTES // (8 * size), total // SPREAD))
-    pairs = staged(found_pairs(classes, grid, cosine, together).distinct(), folder, "pairs")
-    stars = components(pairs, f"{folder}/links").select(F.col("u").alias("sig"), F.col("v").alias("root"))
-    stars = staged(stars.union(stars.select("root", "root").distinct()), folder, "stars")
-    members = stars.join(classes.select("sig", "copies", "vec"), "sig")
-    degree = staged(degrees(members, cosine, block), folder, "degrees")
-    rooted = classes.select("sig", "copies", "first").join(stars, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-    leader = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    known = rooted.join(leader, "root").join(degree, "sig", "left").select("sig", "copies", "component_id", (F.col("copies") - 1 + F.coalesce("degree", F.lit(0))).alias("n_links"))
+    every = staged(prepared(vectors), folder, "vectors")
+    usable = F.col("sig").isNotNull() & F.col("vec_id").isNotNull()
+    linkable = every.where(usable)
+    alone = every.where(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    grouped = linkable.groupBy("sig", "size").agg(F.first("vec").alias("vec"), F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("first"))
+    classes = staged(grouped.withColumn("cid", F.monotonically_increasing_id()), folder, "classes")
+    # lengths that occur, with the number of their classes; of one class there is nothing to compare
+    sizes = [(r["size"], r["count"]) for r in classes.groupBy("size").count().where("count > 1").orderBy("size").collect()]
+    for i, (size, total) in enumerate(sizes):
+        own = linked(classes.where(F.col("size") == size), total, size, cosine, block)
+        own.write.mode("append" if i else "overwrite").parquet(f"{folder}/links")
+    if sizes:
+        found = spark.read.schema("a long, b long, n long").parquet(f"{folder}/links")
+    else:
+        found = spark.createDataFrame([], "a long, b long, n long")
+    ends = components(found.where("b is not null").select("a", "b"), f"{folder}/ends")
+    degree = found.where("b is null").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("degree"))
+    joined = degree.join(ends.select(F.col("u").alias("cid"), F.col("v").alias("root")), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    joined = staged(joined.join(classes.select("cid", "first"), "cid"), folder, "joined")
+    leader = joined.groupBy("root").agg(F.min("first").alias("leader"), F.count(F.lit(1)).alias("members"))
+    known = hot_join(joined.select("cid", "degree", "root"), leader, "root", "members", joined.count(), "inner").select("cid", "degree", "leader")
+    known = classes.select("cid", "sig", "copies", "first").join(known, "cid", "left")
+    known = known.select("sig", "copies", F.coalesce("leader", "first").alias("component_id"), (F.col("copies") - 1 + F.coalesce("degree", F.lit(0))).alias("n_links"))
     known = staged(known, folder, "known")
+    keep_only(spark, folder, "vectors", "known")
     done = hot_join(linkable.select("vec_id", "sig"), known, "sig", "copies", linkable.count(), "inner")
     return done.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept")).unionByName(alone)
 
