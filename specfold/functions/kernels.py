@@ -362,18 +362,27 @@ def has_line(y: Array, window: tuple[int, int], sigmas: float) -> Array:
         return np.nanmean(inside, 1) > sigmas * sigma / np.sqrt(inside.shape[1])
 
 
-def peak_aligned_mean(y: Array) -> Array:
-    """Mean of rows shifted, by parts of channels, so that their parabola peaks meet at the median peak."""
+def parabola_peaks(y: Array) -> Array:
+    """Where each row's maximum is, by the parabola through it and its neighbours."""
     n = y.shape[1]
     filled = interpolated(y)
     top = np.clip(np.argmax(filled, 1), 1, max(1, n - 2))
     r = np.arange(len(y))
     a, b, c = filled[r, top - 1], filled[r, top], filled[r, np.minimum(top + 1, n - 1)]
     bend = a - 2 * b + c
-    peak = top + np.where(bend < 0, 0.5 * (a - c) / np.where(bend == 0, 1, bend), 0.0)
-    shift = peak - np.median(peak)
-    x = np.arange(n)
-    moved = np.stack([np.interp(x + s, x, row, left=np.nan, right=np.nan) for s, row in zip(shift, filled, strict=True)])
+    return top + np.where(bend < 0, 0.5 * (a - c) / np.where(bend == 0, 1, bend), 0.0)
+
+
+def moved_rows(y: Array, shift: Array) -> Array:
+    """Rows read at i + shift by straight lines; missing channels are filled first, places beyond the ends are missing."""
+    x = np.arange(y.shape[1])
+    return np.stack([np.interp(x + s, x, row, left=np.nan, right=np.nan) for s, row in zip(shift, interpolated(y), strict=True)]) if len(y) else np.array(y, np.float64)
+
+
+def peak_aligned_mean(y: Array) -> Array:
+    """Mean of rows shifted, by parts of channels, so that their parabola peaks meet at the median peak."""
+    peak = parabola_peaks(y)
+    moved = moved_rows(y, peak - np.median(peak))
     good = np.isfinite(moved)
     with np.errstate(invalid="ignore", divide="ignore"):
         return np.where(good, moved, 0).sum(0) / good.sum(0)
@@ -525,15 +534,15 @@ class Gates:
 
 
 def coefficients(y: Array, parts: Array, use: Array, least_squares: bool) -> Array:
-    """Of one row: least squares on the used channels, or projections normalised there (plain ones if all are used)."""
+    """Of one row: plain projections if all channels are used; else least squares on those that are, or projections normalised there."""
     if not len(parts) or not use.any():
         return np.zeros(len(parts))
     p = parts[:, use]
+    if use.all():
+        return p @ y
     if least_squares:
         return np.linalg.lstsq(p.T, y[use], rcond=None)[0]
     dot = p @ y[use]
-    if use.all():
-        return dot
     norm = (p * p).sum(1)
     return np.where(norm > 0, dot / np.where(norm > 0, norm, 1), 0.0)
 
@@ -545,6 +554,23 @@ def noise_ratios(y: Array, parts: Array, coeff: Array, use: Array, smooth_width:
     return np.where(part < 1e-15, 1e10, np.where(spec < 1e-15, 1e5, spec / np.where(part < 1e-15, 1, part)))
 
 
+def fitted(y: Array, parts: Array, gates: Gates) -> tuple[Array, Array, Array, Array]:
+    """Row numbers, components, coefficients and noise ratios of all rows with enough channels (finite and not 0)."""
+    ids, places, coefficient, ratio = [], [], [], []
+    use = np.isfinite(y) & (y != 0)
+    whole = use.all(1)
+    plain = y @ parts.T if whole.all() else None
+    for i in np.flatnonzero(use.sum(1) > len(parts)).tolist():
+        clean = np.where(use[i], y[i], 0.0)
+        c = plain[i] if plain is not None else coefficients(clean, parts, use[i], gates.least_squares)
+        ids.append(np.full(len(parts), i))
+        places.append(np.arange(len(parts)))
+        coefficient.append(c)
+        ratio.append(noise_ratios(np.where(use[i], y[i], np.nan), parts, c, use[i], gates.smooth))
+    none = [np.zeros(0)]
+    return np.concatenate(ids or none).astype(np.int64), np.concatenate(places or none).astype(np.int32), np.concatenate(coefficient or none), np.concatenate(ratio or none)
+
+
 def correct(y: Array, model: Model, fit_mask: Array, subtract_mask: Array, gates: Gates, cutoffs: Array | None = None) -> tuple[Array, Array]:
     """Rows less their components, in two passes: coefficients, gates, coefficients of what passes.
 
@@ -575,13 +601,14 @@ def correct(y: Array, model: Model, fit_mask: Array, subtract_mask: Array, gates
     return out, used
 
 
-def kde_peak(values: Array, bandwidth: float = 1.5, top: float = 60.0, points: int = 60) -> tuple[float, float] | None:
-    """Centre and deviation of the first peak of the values' density: a Gaussian fitted to the peak and two points on each side."""
-    v = np.abs(values[np.isfinite(values)])
-    if len(v) < 3:
+def kde_peak(values: Array, bandwidth: float = 1.5, top: float = 60.0, points: int = 60, counts: Array | None = None) -> tuple[float, float] | None:
+    """Centre and deviation of the first peak of the values' density: a Gaussian fitted to the peak and two points on each side. counts: how often each value stands."""
+    good = np.isfinite(values)
+    v, w = np.abs(values[good]), np.ones(good.sum()) if counts is None else np.asarray(counts, np.float64)[good]
+    if w.sum() < 3:
         return None
     x = np.linspace(0, top, points)
-    density = np.exp(-((x[:, None] - v[None, :]) ** 2) / (2 * bandwidth**2)).mean(1) / (bandwidth * np.sqrt(2 * np.pi))
+    density = np.exp(-((x[:, None] - v[None, :]) ** 2) / (2 * bandwidth**2)) @ (w / w.sum()) / (bandwidth * np.sqrt(2 * np.pi))
     floor = density.min() + 0.3 * (density.max() - density.min())
     peaks = [i for i in range(1, points - 1) if density[i] >= floor and density[i] > density[i - 1] and density[i] >= density[i + 1]]
     if not peaks:
@@ -607,13 +634,13 @@ def kde_peak(values: Array, bandwidth: float = 1.5, top: float = 60.0, points: i
     return float(p[1]), float(p[2])
 
 
-def component_cutoffs(ratios: Array, overall: float | None, fixed: float | None) -> Array:
-    """Noise-ratio limits of a group's components (ratios: rows x components); NaN: do not use, inf: no limit."""
+def component_cutoffs(ratios: Array, overall: float | None, fixed: float | None, counts: Array | None = None) -> Array:
+    """Noise-ratio limits of a group's components (ratios: rows x components; counts: how often each row stands); NaN: do not use, inf: no limit."""
     out = np.full(ratios.shape[1], np.inf)
     if not overall:
         return out
     for j in range(ratios.shape[1]):
-        peak = kde_peak(ratios[:, j])
+        peak = kde_peak(ratios[:, j], counts=counts)
         out[j] = np.nan if peak is None or peak[0] >= overall else fixed if fixed else peak[0] + 3 * abs(peak[1])
     return out
 

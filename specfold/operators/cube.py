@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from specfold.errors import SchemaError
 from specfold.functions import arrays as A
 from specfold.functions import kernels as K
 from specfold.operators.kernel_ops import map_arrays
@@ -109,8 +110,53 @@ def smoothed(map_: DataFrame, sigma: float) -> DataFrame:
     return spread.withColumn("_k", k).groupBy((F.col("y") + F.col("_dy")).alias("y"), (F.col("x") + F.col("_dx")).alias("x")).agg((F.sum(F.col("_k") * F.col("value")) / F.sum("_k")).alias("value"))
 
 
-def subtract(a: DataFrame, b: DataFrame) -> DataFrame:
-    """a - b where both have values."""
+def noise_dropped(map_: DataFrame, noise: DataFrame, most: float) -> DataFrame:
+    """Values of pixels whose noise exceeds the limit, or is not known, become 0."""
+    joined = map_.join(noise.select("y", "x", F.col("value").alias("_n")), ["y", "x"], "left")
+    return joined.withColumn("value", F.when(F.coalesce(A.is_finite(F.col("_n")) & (F.col("_n") <= most), F.lit(False)), F.col("value")).otherwise(0.0)).drop("_n")
+
+
+def compare_maps(maps: dict[str, DataFrame], filled: float = 0.0) -> DataFrame:
+    """Maps of several cubes cut to the box that holds what any of them has: name, y and x counted from the box's corner, value."""
+    out = None
+    for name, m in maps.items():
+        one = m.select(F.lit(name).alias("name"), "y", "x", "value")
+        out = one if out is None else out.unionByName(one)
+    box = A.scalar(crop_box(out.select("y", "x", "value").dropDuplicates(["y", "x"]), filled).select(F.struct("y0", "y1", "x0", "x1")))
+    inside = out.withColumn("_box", box).where(F.col("y").between(F.col("_box.y0"), F.col("_box.y1")) & F.col("x").between(F.col("_box.x0"), F.col("_box.x1")))
+    return inside.select("name", (F.col("y") - F.col("_box.y0")).alias("y"), (F.col("x") - F.col("_box.x0")).alias("x"), "value")
+
+
+COLLAPSES = ("moment0", "moment1", "peak", "peak_range", "mean", "noise")
+
+
+def collapse(cube: DataFrame, how: str, window: tuple[int, int], velocity: float = 0.0, deltav: float = 1.0, around: int = 2, least_snr: float | None = None, low: float | None = None, high: float | None = None, spectrum: str = "spectrum") -> DataFrame:
+    """A cube's map by name, then cut by signal over noise, and clipped: y, x, value."""
+    made = {
+        "moment0": lambda: moment0(cube, window, deltav, spectrum),
+        "moment1": lambda: moment1(cube, window, velocity, deltav, spectrum),
+        "peak": lambda: peak(cube, spectrum).select("y", "x", "value"),
+        "peak_range": lambda: peak_range(cube, window, around, deltav, spectrum),
+        "mean": lambda: cube.select("y", "x", A.mean(_inside(spectrum, window)).alias("value")),
+        "noise": lambda: noise_map(cube, window, spectrum),
+    }
+    if how not in made:
+        raise ValueError(f"no collapse {how}: {', '.join(COLLAPSES)}")
+    out = made[how]()
+    if least_snr is not None:
+        n = window[1] - window[0] + 1
+        out = snr_masked(out, noise_map(cube, window, spectrum), least_snr, n if how == "moment0" else None, deltav if how == "moment0" else None).drop("snr")
+    return clipped(out, low, high).select("y", "x", "value")
+
+
+def subtract(a: DataFrame, b: DataFrame, units: tuple[str | None, str | None] = (None, None), frames: tuple | None = None, kernel: float | None = None) -> DataFrame:
+    """a - b where both have values. Units, if both are known, must be equal; where frames (of a and b) are given and differ, b is gridded into that of a first, with the kernel."""
+    if None not in units and units[0] != units[1]:
+        raise SchemaError(f"maps in {units[0]} and {units[1]} cannot be subtracted")
+    if frames is not None and frames[0] != frames[1]:
+        from specfold.operators.grid import regrid
+
+        b = regrid(b, frames[1], frames[0], kernel if kernel is not None else 2 * frames[0].pixel)
     return a.select("y", "x", F.col("value").alias("_a")).join(b.select("y", "x", F.col("value").alias("_b")), ["y", "x"]).select("y", "x", (F.col("_a") - F.col("_b")).alias("value"))
 
 

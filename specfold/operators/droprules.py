@@ -33,28 +33,49 @@ def parse_rules(tree: dict) -> list[tuple]:
     return out
 
 
-def _match(rows: DataFrame, rules: DataFrame):
-    """A telescope rule matches the exact name, or a receiver's name before an underscore."""
-    a, b = rows, rules
-    mission = (b["mission_id"] == EVERY) | (a["mission_id"] == b["mission_id"])
-    scope = b["telescop"].isNull() | (a["telescop"] == b["telescop"]) | F.startswith(a["telescop"], F.concat(b["telescop"], F.lit("_")))
-    scan = b["scan"].isNull() | (a["scan"] == b["scan"])
-    return mission & scope & scan
+#: The values that a rule without that part has in the joins; no name begins with NUL.
+_ANY, _ANY_SCAN = "\0", -(1 << 31)
+
+
+def _named(rules: DataFrame) -> DataFrame:
+    """Rules with a value in each part of the key: any mission, any telescope, any scan have one of their own."""
+    return rules.select("rule_id", F.when(F.col("mission_id") == EVERY, _ANY).otherwise(F.col("mission_id")).alias("_mission"), F.coalesce("telescop", F.lit(_ANY)).alias("_telescop"), F.coalesce("scan", F.lit(_ANY_SCAN)).alias("_scan"))
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    """Each row once for every key by which a rule may name it: its mission or any, its scan or any, and its telescope's name, the parts of it before each underscore, or any."""
+    parts = F.split("telescop", "_")
+    names = F.when(F.col("telescop").isNotNull(), F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "_"))).otherwise(F.array().cast("array<string>"))
+    names = F.array_append(names, F.lit(_ANY))
+    some = lambda value, every: F.array_distinct(F.array_compact(F.array(value, every)))
+    out = rows.withColumn("_mission", F.explode(some(F.col("mission_id"), F.lit(_ANY)))).withColumn("_telescop", F.explode(names))
+    return out.withColumn("_scan", F.explode(some(F.col("scan"), F.lit(_ANY_SCAN))))
+
+
+_KEY = ["_mission", "_telescop", "_scan"]
 
 
 def _small(rules: DataFrame) -> DataFrame:
     return F.broadcast(rules) if rules.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else rules
 
 
+def dropped_keys(rows: DataFrame, rules: DataFrame) -> DataFrame:
+    """The distinct (mission_id, telescop, scan) of rows that a rule names. A telescope rule names the exact name, or a receiver's name before an underscore."""
+    keys = rows.select("mission_id", "telescop", "scan").distinct()
+    return _keyed(keys).join(_small(_named(rules).select(*_KEY).distinct()), _KEY, "left_semi").select("mission_id", "telescop", "scan").distinct()
+
+
 def apply_rules(rows: DataFrame, rules: DataFrame) -> DataFrame:
-    """Rows (mission_id, telescop, scan, ...) that no rule drops."""
-    return rows.join(_small(rules), _match(rows, rules), "left_anti")
+    """Rows (mission_id, telescop, scan, ...) that no rule drops, by joins on equal keys at every number of rules."""
+    gone = dropped_keys(rows, rules)
+    same = [rows[c].eqNullSafe(gone[c]) for c in ("mission_id", "telescop", "scan")]
+    return rows.join(gone, same, "left_anti")
 
 
 def rule_counts(rows: DataFrame, rules: DataFrame) -> DataFrame:
     """Rows that each rule matches, 0 included: rules without effect are worth a warning. Rows are added up by key first."""
     keys = rows.groupBy("mission_id", "telescop", "scan").agg(F.count(F.lit(1)).alias("n"))
-    hits = keys.join(_small(rules), _match(keys, rules)).groupBy("rule_id").agg(F.sum("n").alias("hits"))
+    hits = _keyed(keys).join(_small(_named(rules)), _KEY).groupBy("rule_id").agg(F.sum("n").alias("hits"))
     return rules.join(hits, "rule_id", "left").select("rule_id", F.coalesce("hits", F.lit(0)).cast("long").alias("hits"))
 
 

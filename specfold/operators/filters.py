@@ -92,6 +92,81 @@ def science_rows(object_column: str = "object", mode_column: str | None = None,
     return good
 
 
+#: Columns that stand for one another where a table has only one of them.
+STAND_IN = {"rmsratio": "rmsratiob", "rmsratiob": "rmsratio"}
+
+
+def prepare_cuts(rows: DataFrame, cuts: Iterable[tuple[str, str, float]], object_column: str = "object") -> DataFrame:
+    """Science and reference rows on the right side of all limits, and all calibration rows. A column that the table lacks is replaced by its stand-in, else its limit is left out."""
+    keep = F.lit(True)
+    for column, op, value in cuts:
+        name = column if column in rows.columns else STAND_IN.get(column)
+        if name in rows.columns:
+            keep &= cut(name, op, value)
+    return rows.where(F.col(object_column).isin(*CALIBRATION) | keep)
+
+
+def selected(columns: Mapping[str, tuple[str, Iterable]]) -> Column:
+    """All of the conditions hold: column -> ("is", values), which it must equal one of, or ("has", parts), which it must contain one of; empty lists ask nothing."""
+    out = F.lit(True)
+    for column, (how, values) in columns.items():
+        values = list(values)
+        if values:
+            out &= contains_any(column, values) if how == "has" else F.col(column).isin(values)
+    return out
+
+
+def prepare_selector(source: str, part: str | None = None, missions: Iterable[str] = (), flights: Iterable[str] = (), scans: Iterable[int] = (), aors: Iterable[str] = (), object_column: str = "object") -> Column:
+    """Rows of the source, of objects whose name contains `part` (any case), and calibration; of the missions, flights (parts of mission names), scans and AORs asked for."""
+    named = (F.col(object_column) == source) | F.col(object_column).isin(*CALIBRATION)
+    if part:
+        named |= F.contains(F.upper(object_column), F.lit(part.upper()))
+    good = named & selected({"mission_id": ("is", missions), "scan": ("is", scans), "aor_id": ("has", aors)})
+    return good & contains_any("mission_id", flights) if list(flights) else good
+
+
+@dataclass(frozen=True)
+class CorrectionRows:
+    """Which rows a correction is for; empty parts ask nothing. faintest: least amplitude over the largest of all rows asked for."""
+
+    part: str = ""
+    missions: tuple[str, ...] = ()
+    flights: tuple[str, ...] = ()
+    scans: tuple[int, ...] = ()
+    subscans: tuple[int, ...] = ()
+    telescopes: tuple[str, ...] = ()
+    aors: tuple[str, ...] = ()
+    faintest: float = 1e-10
+
+
+def correction_rows(rows: DataFrame, spec: CorrectionRows, spectrum: str = "spectrum", object_column: str = "object") -> DataFrame:
+    """The rows to correct: those asked for whose largest channel exceeds the faintest share of the largest channel of all."""
+    good = selected({"mission_id": ("is", spec.missions), "scan": ("is", spec.scans), "subscan": ("is", spec.subscans), "telescop": ("is", spec.telescopes), "aor_id": ("has", spec.aors)})
+    if spec.flights:
+        good &= contains_any("mission_id", spec.flights)
+    if spec.part:
+        good &= F.contains(F.upper(object_column), F.lit(spec.part.upper()))
+    amplitude = F.array_max(F.transform(F.filter(spectrum, is_finite), lambda x: F.abs(x)))
+    asked = rows.where(good).withColumn("_amplitude", amplitude)
+    top = asked.agg(F.max("_amplitude")).scalar()
+    return asked.where(F.col("_amplitude") > spec.faintest * top).drop("_amplitude")
+
+
+def in_cycles(scans: Iterable[int] = (), subscans: Iterable[int] = (), cycles: Iterable[tuple[int, int]] = ()) -> Column:
+    """Rows of the scans, of the subscans, and of the (scan, subscan) cycles; empty lists ask nothing."""
+    good = selected({"scan": ("is", scans), "subscan": ("is", subscans)})
+    pairs = list(cycles)
+    return good & any_of((F.col("scan") == a) & (F.col("subscan") == b) for a, b in pairs) if pairs else good
+
+
+def parse_cycle(text: str) -> tuple[int, int]:
+    """(scan, subscan) of "scan:subscan"."""
+    scan, sep, subscan = text.partition(":")
+    if not sep or not scan.strip().isdigit() or not subscan.strip().isdigit():
+        raise ValueError(f"not of the form scan:subscan: {text!r}")
+    return int(scan), int(subscan)
+
+
 @dataclass(frozen=True)
 class FilterSpec:
     """What the master filter asks; every part is optional, and parts apply in the order of the fields."""

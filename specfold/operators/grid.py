@@ -47,6 +47,16 @@ def frame_of(samples: DataFrame, pixel: float, pad: float = 0.1) -> Frame:
     return Frame(ra, dec, pixel, nx, ny, nx / 2 + 1, ny / 2 + 1)
 
 
+def map_frame_of(samples: DataFrame, pixel: float) -> Frame:
+    """A frame for maps of scalars: the samples' range without a margin, in whole pixels and one more."""
+    low_a, high_a, low_d, high_d = samples.agg(F.min("ra"), F.max("ra"), F.min("dec"), F.max("dec")).first()
+    if low_a is None:
+        raise NoDataError("no samples to grid")
+    ra, dec = (low_a + high_a) / 2, (low_d + high_d) / 2
+    nx, ny = int((high_a - low_a) * math.cos(math.radians(dec)) / pixel) + 1, int((high_d - low_d) / pixel) + 1
+    return Frame(ra, dec, pixel, nx, ny, nx / 2 + 0.5, ny / 2 + 0.5)
+
+
 def sky(rows: DataFrame, crval2: float, crval3: float) -> DataFrame:
     """ra and dec from offsets cdelt2, cdelt3 (degrees) to a reference position."""
     dec = F.lit(crval3) + F.col("cdelt3")
@@ -204,6 +214,15 @@ def integrated_map(samples: DataFrame, frame: Frame, kernel: float, first: int,
     return grid_map(summed, frame, kernel, "_sum", weight).withColumn("integral", F.col("value") * abs(deltav))
 
 
+def compare_integrated(stages: dict[str, DataFrame], frame: Frame, kernel: float, first: int, last: int, deltav: float, spectrum: str = "spectrum") -> DataFrame:
+    """Integrated maps of several stages of one data set on one frame: stage and the columns of integrated_map."""
+    out = None
+    for name, samples in stages.items():
+        one = integrated_map(samples, frame, kernel, first, last, deltav, spectrum).select(F.lit(name).alias("stage"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def regrid(map_: DataFrame, source: Frame, target: Frame, kernel: float) -> DataFrame:
     """A map's pixels gridded into another frame; pixels whose nearest source pixel has no value are left out."""
     ra, dec = _center(source, F.col("x"), F.col("y"))

@@ -88,7 +88,7 @@ def fit_models(reference: DataFrame, k: int, excluded: np.ndarray | None = None,
     the levelled rows, at most channels squared numbers a group, whose singular vectors are those of the rows.
     Rows too far from the median score leave, by a pass of their own, with reject_sigma. n_rows tells how many it saw.
     """
-    rows = reference.where(F.col("mission_id").isNotNull() & F.col("telescop").isNotNull()).select(*[F.col(c).cast("string").alias(c) for c in GROUP], A.as_doubles(spectrum).alias("s"))
+    rows = _reference_groups(reference, spectrum)
     settled = _settled(rows)
     known = rows.join(settled, list(GROUP)).where(F.size("s") == F.col("size"))
 
@@ -347,24 +347,44 @@ def _detect_in_blocks(rows: DataFrame, keys: list[str], sizes: DataFrame, window
     return images.groupBy("_group", "_image").applyInArrow(mark, LINES)
 
 
-def noise_ratios(rows: DataFrame, models: DataFrame, gates: K.Gates = K.Gates(), per_group: int = 5_000, spectrum: str = "spectrum") -> DataFrame:
-    """Long form of the noise ratios of each group's rows: mission_id, telescop, component, ratio."""
-    both = rows.select("row_id", *GROUP, A.as_doubles(spectrum).alias("s")).join(models.select(*GROUP, "components", "ratio", "ch_first", "ch_last"), list(GROUP))
+def _reference_groups(rows: DataFrame, spectrum: str) -> DataFrame:
+    return rows.where(F.col("mission_id").isNotNull() & F.col("telescop").isNotNull()).select(*[F.col(c).cast("string").alias(c) for c in GROUP], A.as_doubles(spectrum).alias("s"))
+
+
+def reference_groups(reference: DataFrame, spectrum: str = "spectrum") -> DataFrame:
+    """The groups that components are fitted for, with n_rows, their first and last channel with values, and the channels' means that fill gaps."""
+    settled = _settled(_reference_groups(reference, spectrum))
+
+    def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*GROUP, "n_rows", "ch_first", "ch_last")), lists_of([np.frombuffer(v) for v in batch.column("means").to_pylist()])], [*GROUP, "n_rows", "ch_first", "ch_last", "means"])
+
+    return settled.mapInArrow(means, "mission_id string, telescop string, n_rows long, ch_first int, ch_last int, means array<double>")
+
+
+def row_coefficients(rows: DataFrame, models: DataFrame, gates: K.Gates = K.Gates(), spectrum: str = "spectrum") -> DataFrame:
+    """Each row's coefficients and noise ratios: row_id, mission_id, telescop, component, coefficient, ratio. Models meet their rows by broadcast if they are few, else by a join."""
+    few = models.select(*GROUP, "components", "ch_first", "ch_last")
+    few = F.broadcast(few) if models.limit(20_001).count() <= 20_000 else few
+    both = rows.select("row_id", *GROUP, A.as_doubles(spectrum).alias("s")).join(few, list(GROUP))
+    names = ["row_id", *GROUP, "component", "coefficient", "ratio"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            for r in batch.to_pylist():
-                parts = np.array(r["components"], np.float64)
-                y = np.array([np.nan if v is None else v for v in r["s"]], np.float64)[r["ch_first"] : r["ch_last"] + 1]
-                use = np.isfinite(y) & (y != 0)
-                if use.sum() <= len(parts):
-                    continue
-                coeff = K.coefficients(np.where(use, y, 0), parts, use, gates.least_squares)
-                out += [(r["mission_id"], r["telescop"], j, float(v)) for j, v in enumerate(K.noise_ratios(np.where(use, y, np.nan), parts, coeff, use, gates.smooth))]
-            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.string(), pa.string(), pa.int32(), pa.float64()))], ["mission_id", "telescop", "component", "ratio"])
+            for key, at, y in _group_blocks(batch):
+                one = int(at[0])
+                parts = np.array(batch.column("components")[one].as_py(), np.float64)
+                y = y[:, batch.column("ch_first")[one].as_py() : batch.column("ch_last")[one].as_py() + 1]
+                ids, place, coefficient, ratio = K.fitted(y, parts, gates)
+                if len(ids):
+                    yield pa.RecordBatch.from_arrays([batch.column("row_id").take(pa.array(at[ids])), *(pa.array([k] * len(ids), pa.string()) for k in key), pa.array(place, pa.int32()), pa.array(coefficient), pa.array(ratio)], names)
+
+    return both.mapInArrow(run, "row_id long, mission_id string, telescop string, component int, coefficient double, ratio double")
 
-    return both.mapInArrow(run, "mission_id string, telescop string, component int, ratio double")
+
+def noise_ratios(rows: DataFrame, models: DataFrame, gates: K.Gates = K.Gates(), spectrum: str = "spectrum") -> DataFrame:
+    """Long form of the noise ratios of each group's rows: mission_id, telescop, component, ratio."""
+    return row_coefficients(rows, models, gates, spectrum).select(*GROUP, "component", "ratio")
 
 
 def cutoffs(ratios: DataFrame, overall: float | None, fixed: float | None = None, bins: int = 600, top: float = 60.0) -> DataFrame:
@@ -373,11 +393,7 @@ def cutoffs(ratios: DataFrame, overall: float | None, fixed: float | None = None
     binned = ratios.where(A.is_finite(F.col("ratio"))).withColumn("b", F.least(F.lit(bins), F.floor(F.abs("ratio") / step)).cast("int")).groupBy(*GROUP, "component", "b").agg(F.count(F.lit(1)).alias("n"))
 
     def fit(table: pa.Table) -> pa.Table:
-        n = table.column("n").to_numpy()
-        # at most 100 000 values stand for the counts in proportion
-        n = np.maximum(1, n * 100_000 // max(100_000, int(n.sum())))
-        values = np.repeat((table.column("b").to_numpy() + 0.5) * step, n)
-        limit = K.component_cutoffs(values[:, None], overall, fixed)[0]
+        limit = K.component_cutoffs(((table.column("b").to_numpy() + 0.5) * step)[:, None], overall, fixed, table.column("n").to_numpy())[0]
         return pa.table({"mission_id": table.column("mission_id").slice(0, 1), "telescop": table.column("telescop").slice(0, 1), "component": table.column("component").slice(0, 1), "cutoff": pa.array([limit])})
 
     return binned.groupBy(*GROUP, "component").applyInArrow(fit, "mission_id string, telescop string, component int, cutoff double")

@@ -31,7 +31,20 @@ def manifest(rows: DataFrame, keys: Iterable[str], never: str, object_column: st
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.bool_or(F.col(object_column) != never).alias("science"))
 
 
-def write_split(rows: DataFrame, path: str, keys: Iterable[str]) -> None:
+def chunked_links(rows: DataFrame, keys: Iterable[str], links: Iterable[str] = ("tsys_id", "tau_id"), row_id: str = "row_id") -> DataFrame:
+    """Links that leave their row's chunk (its keys) become null."""
+    keys = list(keys)
+    for link in links:
+        there = rows.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(row_id).alias("_there"))
+        same = [F.col(link) == F.col("_there"), *[F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]]
+        rows = rows.join(there, same, "left").withColumn(link, F.col("_there")).drop("_there", *[f"_{k}" for k in keys])
+    return rows
+
+
+def write_split(rows: DataFrame, path: str, keys: Iterable[str], links: Iterable[str] = ()) -> None:
+    """A folder for each chunk; links among its rows stay, others become null."""
+    keys = list(keys)
+    rows = chunked_links(rows, keys, links) if links else rows
     rows.write.mode("overwrite").partitionBy(*keys).parquet(path)
 
 

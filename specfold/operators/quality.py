@@ -36,6 +36,24 @@ def metric_stats(rows: DataFrame, column: str, keys: Iterable[str] = ()) -> Data
     return good.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg(column).alias("mean"), at(0.5).alias("median"), F.stddev_pop(column).alias("std"), F.min(column).alias("least"), F.max(column).alias("most"), at(0.05).alias("p5"), at(0.95).alias("p95"))
 
 
+def metric_table(rows: DataFrame, scalars: Iterable[str] = (), arrays: Iterable[str] = ()) -> DataFrame:
+    """metric_stats of several columns at once, a row each named by metric; of an array column the mean of each row's finite elements counts. Columns that the table lacks are left out."""
+    from specfold.functions.arrays import mean
+
+    parts = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in scalars if c in rows.columns]
+    parts += [F.struct(F.lit(c).alias("metric"), mean(c).alias("value")) for c in arrays if c in rows.columns]
+    return metric_stats(rows.select(F.inline(F.array(*parts))), "value", ["metric"])
+
+
+def value_census(rows: DataFrame, spectrum: str = "spectrum", tiny: float = 1e-10, keys: Iterable[str] = ()) -> DataFrame:
+    """Of all channels: how many, not finite, zero, negative, tiny but not zero; mean, deviation and extremes of the finite ones."""
+    x = F.col("_x")
+    good = is_finite(x)
+    long = rows.select(*keys, F.explode(F.col(spectrum).cast("array<double>")).alias("_x"))
+    own = F.when(good, x)
+    return long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(~good).alias("n_missing"), F.count_if(good & (x == 0)).alias("n_zero"), F.count_if(good & (x < 0)).alias("n_negative"), F.count_if(good & (x != 0) & (F.abs(x) < tiny)).alias("n_tiny"), F.avg(own).alias("mean"), F.stddev_pop(own).alias("std"), F.min(own).alias("least"), F.max(own).alias("most"))
+
+
 def histogram(rows: DataFrame, column: str, bins: int) -> DataFrame:
     """Counts in equal bins over the range of finite values, the last bin closed: bin, low, high, n."""
     good = rows.select(F.col(column).cast("double").alias("x")).where(is_finite(F.col("x")))

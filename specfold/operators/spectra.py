@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from specfold.errors import NoDataError, SchemaError
 from specfold.functions import arrays as A
 from specfold.functions import kernels as K
+from specfold.operators.axes import spectral_parameters
 from specfold.operators.filters import CALIBRATION, nan_fraction
 from specfold.operators.kernel_ops import map_arrays
-from specfold.operators.quality import C_LIGHT, mad_flags
+from specfold.operators.quality import C_LIGHT, MAD, mad_flags
 
 
 def table_crpix(rows: DataFrame, column: str = "crpix1") -> DataFrame:
@@ -93,6 +94,46 @@ def average_spectra(rows: DataFrame, keys: Iterable[str] = (), spectrum: str = "
     return out.join(counts, keys) if keys else out.withColumn("n", A.scalar(counts))
 
 
+#: Classes of observed and fitted sky spectra.
+SKY = ("S-H_OBS", "S-H_FIT")
+
+
+def telluric_average(rows: DataFrame, keys: Iterable[str] = ("mission_id",), objects: Iterable[str] = SKY, spectrum: str = "spectrum") -> DataFrame:
+    """Average of the observed and of the fitted sky of each mission: keys, object, pos, mean, std, n."""
+    return average(rows.where(F.col("object").isin(*objects)), [*keys, "object"], spectrum)
+
+
+def receiver_averages(rows: DataFrame, keys: Iterable[str] = ("receiver", "polarization", "pixel"), weight: Column | None = None, spectrum: str = "spectrum") -> DataFrame:
+    """Averages by receiver, polarization or pixel, as the telescope's name tells them. Rows whose name does not are left out."""
+    from specfold.operators.provenance import parse_telescop
+
+    keys = list(keys)
+    named = rows.select("*", *[p for p, k in zip(parse_telescop("telescop"), ("receiver", "polarization", "pixel"), strict=True) if k in keys])
+    return average(named.where(" and ".join(f"{k} is not null" for k in keys)), keys, spectrum, weight)
+
+
+def residual_rms(observed: DataFrame, fitted: DataFrame, keys: Iterable[str], window: tuple[int, int], spectrum: str = "spectrum") -> DataFrame:
+    """observed and fitted: row_id, the keys of a pair, spectrum. Noise of their difference in the window's channels, both ends included: keys, row_id (the observed row's), rms."""
+    keys = list(keys)
+    other = fitted.select(*keys, F.col(spectrum).alias("_fit"))
+    diff = F.zip_with(spectrum, "_fit", lambda x, y: x - y)
+    both = observed.select("row_id", *keys, spectrum).join(other, keys)
+    return both.select(*keys, "row_id", A.std(A.where_index(diff, lambda i: (i >= window[0]) & (i <= window[1]))).alias("rms"))
+
+
+def waterfall(rows: DataFrame, keys: Iterable[str] = ("mission_id", "scan", "telescop")) -> DataFrame:
+    """The images of a waterfall display: keys, row_id and place, the row's line (from 1) in its group's image by row_id."""
+    from specfold.operators.links import ranked
+
+    return ranked(rows.select(*keys, "row_id"), keys)
+
+
+def spectrum_statistics(spectrum: str) -> list[Column]:
+    """mean, std, least, most and rms of the finite channels."""
+    good = A.finite(A.as_doubles(spectrum))
+    return [A.mean(spectrum).alias("mean"), A.std(spectrum).alias("std"), F.array_min(good).alias("least"), F.array_max(good).alias("most"), A.rms(spectrum).alias("rms")]
+
+
 def outside(spectrum: str, window: tuple[int, int]) -> Column:
     """The channels outside [start, end)."""
     return A.where_index(spectrum, lambda i: (i < window[0]) | (i >= window[1]))
@@ -134,9 +175,9 @@ def baselined(rows: DataFrame, order: int = 1, window: tuple[int, int] | None =
     return done.withColumn(spectrum, F.coalesce("_y", A.as_doubles(spectrum))).drop("_y")
 
 
-def auto_baselined(rows: DataFrame, theoretical: str, window: tuple[int, int] | None = None, spectrum: str = "spectrum") -> DataFrame:
-    """Baseline of the lowest order that brings the noise near the theoretical one; adds blorder."""
-    return map_arrays(rows, spectrum, lambda y, t: K.auto_order(y, t, window), {spectrum: "array<double>", "blorder": "long"}, (theoretical,))
+def auto_baselined(rows: DataFrame, theoretical: str, window: tuple[int, int] | None = None, spectrum: str = "spectrum", most: int = 3) -> DataFrame:
+    """Baseline of the lowest order, up to `most`, that brings the noise near the theoretical one; adds blorder."""
+    return map_arrays(rows, spectrum, lambda y, t: K.auto_order(y, t, window, most), {spectrum: "array<double>", "blorder": "long"}, (theoretical,))
 
 
 def noise_filled(rows: DataFrame, missions: DataFrame, seed: int, centered: bool, spectrum: str = "spectrum", window: tuple[int, int] | None = None, default_width: float = 30.0) -> DataFrame:
@@ -186,8 +227,8 @@ def reduce_spectra(rows: DataFrame, steps: Reduction, spectrum: str = "spectrum"
     if steps.baseline is not None:
         window = None
         if steps.line_window:
-            first = out.select("velocity", "deltav", "crpix1").first()
-            if first:
+            first = spectral_parameters(out, ("velocity", "deltav", "crpix1")).first() if "row_id" in out.columns else out.select("velocity", "deltav", "crpix1").first()
+            if first and first[0] is not None:
                 ends = sorted(int(np.rint((v - first[0]) / first[1] + first[2] - 1)) for v in steps.line_window)
                 window = (max(0, ends[0]), max(0, ends[1]))
         out = baselined(out, steps.baseline, window, spectrum=spectrum, object_column=object_column)
@@ -203,6 +244,18 @@ def reduce_spectra(rows: DataFrame, steps: Reduction, spectrum: str = "spectrum"
     return out
 
 
+def whiteness_sweep(rows: DataFrame, widths: Iterable[int], sigmas: Iterable[float], line_free: np.ndarray, spectrum: str = "spectrum", least_rows: int = 10) -> DataFrame:
+    """How many rows each width and limit would flag: k, z, n (rows with a value), threshold, n_flagged. Each row is scored once for all widths."""
+    widths, sigmas = list(widths), list(sigmas)
+    scored = map_arrays(rows, spectrum, lambda y: tuple(K.whiteness(y, line_free, k) for k in widths) if len(widths) > 1 else K.whiteness(y, line_free, widths[0]), {f"_{k}": "double" for k in widths})
+    long = scored.select(F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"_{k}").alias("x")) for k in widths]))).where(A.is_finite(F.col("x")))
+    middle = long.groupBy("k").agg(F.median("x").alias("m"), F.count(F.lit(1)).alias("n"))
+    spread = long.join(F.broadcast(middle), "k").groupBy("k", "m", "n").agg(F.median(F.abs(F.col("x") - F.col("m"))).alias("s"))
+    limits = spread.withColumn("z", F.explode(F.array(*[F.lit(float(z)) for z in sigmas]))).withColumn("threshold", F.when(F.col("n") >= least_rows, F.col("m") + F.col("z") * MAD * F.col("s")))
+    # as many rows as widths times limits
+    return long.join(F.broadcast(limits.select("k", "z", "n", "threshold")), "k").groupBy("k", "z", "n", "threshold").agg(F.count_if(F.col("x") > F.col("threshold")).alias("n_flagged"))
+
+
 def whiteness_flags(rows: DataFrame, k: int, sigmas: float, line_free: np.ndarray, spectrum: str = "spectrum") -> DataFrame:
     """Adds whiteness and whiteflag: 1 above the robust threshold, 0 below, -1 without a value or with fewer than 10 rows."""
     scored = map_arrays(rows, spectrum, lambda y: K.whiteness(y, line_free, k), {"whiteness": "double"})

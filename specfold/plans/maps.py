@@ -1,4 +1,4 @@
-"""Queries of gridding, cubes, maps, components and lines: spectra on a raster of 20 columns."""
+"""Queries of gridding, cubes, maps, components and lines: spectra on a raster of 20 columns and 28 rows, which further ones scan again."""
 
 from __future__ import annotations
 
@@ -20,7 +20,7 @@ WINDOW = (28, 36)
 
 #: Samples, pixel centres and their kernel.
 CELLS = f"""
-s AS (SELECT vec_id AS row_id, 202.5 + (vec_id % 20) * 0.002 AS ra, 47.2 + (vec_id // 20) * 0.002 AS dec, CAST(embedding[1] AS DOUBLE) AS v, 1.0 / (1 + vec_id % 3) AS w FROM embeddings),
+s AS (SELECT vec_id AS row_id, 202.5 + (vec_id % 20) * 0.002 AS ra, 47.2 + (vec_id // 20 % 28) * 0.002 AS dec, CAST(embedding[1] AS DOUBLE) AS v, 1.0 / (1 + vec_id % 3) AS w FROM embeddings),
 p AS (SELECT CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS x, radians(-(x + 1 - 13.0) * 0.002) AS e, radians((y + 1 - 15.0) * 0.002) AS n FROM range(28) a(y), range(24) b(x)),
 h AS (SELECT y, x, radians(202.519) + atan2(e, cos(radians(47.224)) * sqrt(1 - e * e - n * n) - sin(radians(47.224)) * n) AS r,
              asin(n * cos(radians(47.224)) + sin(radians(47.224)) * sqrt(1 - e * e - n * n)) AS d FROM p),
@@ -32,7 +32,7 @@ q AS (SELECT y, x, i, sum(k * c.x_) / sum(k) AS v, sum(k) AS cov FROM k JOIN (SE
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = {"ra": F.lit(202.5) + (F.col("row_id") % 20) * 0.002, "dec": F.lit(47.2) + F.floor(F.col("row_id") / 20) * 0.002}
+    at = {"ra": F.lit(202.5) + (F.col("row_id") % 20) * 0.002, "dec": F.lit(47.2) + F.floor(F.col("row_id") / 20) % 28 * 0.002}
     return spectra(spark, sf_dir).withColumns({**at, "value": F.col("spectrum")[0], "w": 1.0 / (1 + F.col("row_id") % 3)})
 
 

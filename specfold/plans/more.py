@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specfold.functions import arrays as A
+from specfold.operators import axes, droprules, filters, provenance, quality
 from specfold.operators import cube as C
-from specfold.operators import droprules, filters, provenance, quality
 from specfold.operators import grid as G
 from specfold.operators import spectra as S
 from specfold.plans import pipeline
@@ -24,9 +23,9 @@ WITH {LONG}, m(mission, c, w) AS (VALUES (0, 460.0, 20.0), (1, 520.0, 30.0))
 SELECT row_id, CAST(i AS INTEGER) AS i FROM c JOIN m USING (mission) WHERE abs(400 + i * 3 - m.c) <= m.w / 2""")
 def telluric_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Channels within half the width (30 km/s where none is given) of each mission's telluric line."""
-    missions = spark.createDataFrame(MISSIONS, "mission_id string, c double, w double").withColumn("w", F.coalesce("w", F.lit(30.0)))
-    rows = S.with_axis(spectra(spark, sf_dir)).withColumn("mission_id", F.col("mission").cast("string")).join(F.broadcast(missions), "mission_id")
-    return rows.select("row_id", "c", "w", F.posexplode("axis").alias("i", "v")).where(F.abs(F.col("v") / 1000 - F.col("c")) <= F.col("w") / 2).select("row_id", "i")
+    missions = spark.createDataFrame(MISSIONS, "mission_id string, telluric_line_center double, telluric_line_width double")
+    rows = axes.with_telluric_mask(spectra(spark, sf_dir).withColumn("mission_id", F.col("mission").cast("string")), missions, "mask")
+    return rows.select("row_id", F.posexplode("mask").alias("i", "m")).where("m").select("row_id", "i")
 
 
 @query(f"""
@@ -107,19 +106,19 @@ def chosen_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.chosen_components(scores, 0.05)
 
 
-@query(f"WITH {LONG} SELECT telescop, CAST(i AS INTEGER) AS pos, {R6.format('avg(x)')} AS mean, {R6.format('stddev_pop(x)')} AS std, count(*) AS n FROM c WHERE telescop % 2 = 0 GROUP BY telescop, i")
+@query(f"WITH {LONG}, o AS (SELECT *, ['S-H_OBS', 'S-H_FIT', 'M51', 'SKYCHOPDIFF'][1 + row_id % 4] AS object FROM c) SELECT CAST(mission AS VARCHAR) AS mission_id, object, CAST(i AS INTEGER) AS pos, {R6.format('avg(x)')} AS mean, {R6.format('stddev_pop(x)')} AS std, count(*) AS n FROM o WHERE object IN ('S-H_OBS', 'S-H_FIT') GROUP BY ALL")
 def telluric_average(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.average(spectra(spark, sf_dir).where("telescop % 2 = 0"), ["telescop"]).withColumns({"mean": r6("mean"), "std": r6("std")})
+    """Observed and fitted sky of each mission, among four classes of rows."""
+    rows = spectra(spark, sf_dir).withColumns({"mission_id": F.col("mission").cast("string"), "object": F.element_at(F.array(*map(F.lit, ("S-H_OBS", "S-H_FIT", "M51", "SKYCHOPDIFF"))), (F.col("row_id") % 4 + 1).cast("int"))})
+    return S.telluric_average(rows).withColumns({"mean": r6("mean"), "std": r6("std")})
 
 
 @query(f"WITH {HOLED} SELECT a.row_id, {R6.format('stddev_pop(a.x - b.x)')} AS rms FROM c a JOIN c b ON b.row_id = a.row_id + 1 AND a.i = b.i WHERE a.row_id % 2 = 0 AND NOT isnan(a.x) AND NOT isnan(b.x) AND a.i BETWEEN 10 AND 50 GROUP BY a.row_id")
 def residual_rms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Noise of the difference of paired spectra in a window."""
     rows = spectra(spark, sf_dir, True)
-    a = rows.where("row_id % 2 = 0").select("row_id", "spectrum")
-    b = rows.select((F.col("row_id") - 1).alias("row_id"), F.col("spectrum").alias("other"))
-    diff = F.zip_with("spectrum", "other", lambda x, y: x - y)
-    return a.join(b, "row_id").select("row_id", r6(A.std(A.where_index(diff, lambda i: (i >= 10) & (i <= 50)))).alias("rms"))
+    keyed = rows.select("row_id", F.floor(F.col("row_id") / 2).alias("pair"), (F.col("row_id") % 2 == 0).alias("observed"), "spectrum")
+    return S.residual_rms(keyed.where("observed"), keyed.where("not observed"), ["pair"], (10, 50)).select("row_id", r6("rms").alias("rms"))
 
 
 @query("""

@@ -40,15 +40,21 @@ def prepare(rows: DataFrame, science: str, rules: DataFrame | None = None) -> Da
     return targets.unionByName(calibration, allowMissingColumns=True)
 
 
-def post_process(rows: DataFrame, window: tuple[int, int], whiteness_width: int = 4, sigmas: float = 3.0) -> DataFrame:
-    """Baseline of automatic order, ripple, line-free noise and its ratio to the theoretical one, and whiteness flags. rows: rms_theoretical."""
+def post_process(rows: DataFrame, window: tuple[int, int], whiteness_width: int = 4, sigmas: float = 3.0, most_order: int = 3, folder: str | None = None) -> DataFrame:
+    """Baseline of automatic order, ripple, line-free noise and its ratio to the theoretical one, and whiteness flags. rows: rms_theoretical.
+
+    The flags read the scored rows three times: with a folder these are written there first.
+    """
     import numpy as np
 
-    n = rows.select(F.size("spectrum").alias("n")).first()
-    free = np.array([i < window[0] or i >= window[1] for i in range(n["n"] if n else 0)])
-    out = S.auto_baselined(rows, "rms_theoretical", window)
+    n = rows.agg(F.max(F.size("spectrum")).alias("n")).first()
+    free = np.array([i < window[0] or i >= window[1] for i in range(n["n"] or 0)])
+    out = S.auto_baselined(rows, "rms_theoretical", window, most=most_order)
     out = S.map_arrays(out, "spectrum", lambda y: K.ripple_ratio(y, free), {"ripple": "double"})
     out = out.withColumn("rms_baseline", A.std(S.outside("spectrum", window))).withColumn("rmsratiob", F.col("rms_baseline") / F.col("rms_theoretical"))
+    if folder:
+        out.write.mode("overwrite").parquet(f"{folder}/scored")
+        out = rows.sparkSession.read.parquet(f"{folder}/scored")
     return S.whiteness_flags(out, whiteness_width, sigmas, free)
 
 

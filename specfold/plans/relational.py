@@ -331,12 +331,15 @@ def radiometer_rms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-SELECT p_partkey, regexp_extract(p_brand, '^([A-Za-z]+)#', 1) AS receiver, regexp_extract(p_type, '^(\w+) ', 1) AS polarization,
-  CAST(regexp_extract(p_brand, '#(\d+)$', 1) AS INTEGER) AS pixel FROM part""")
+WITH t AS (SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN p_brand ELSE upper(left(p_name, 3)) || ['H', 'V', 'X'][1 + p_partkey % 3] || '_PX' || lpad(CAST(p_partkey % 14 AS VARCHAR), 2, '0') || '_S' END AS t FROM part)
+SELECT p_partkey, nullif(regexp_extract(t, '^([A-Z]{3})([HV])_PX(\d+)', 1), '') AS receiver, nullif(regexp_extract(t, '^([A-Z]{3})([HV])_PX(\d+)', 2), '') AS polarization,
+  CAST(nullif(regexp_extract(t, '^([A-Z]{3})([HV])_PX(\d+)', 3), '') AS INTEGER) AS pixel FROM t""")
 def telescop_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "part")
-    pixel = F.regexp_extract("p_brand", r"#(\d+)$", 1)
-    return rows.select("p_partkey", F.regexp_extract("p_brand", "^([A-Za-z]+)#", 1).alias("receiver"), F.regexp_extract("p_type", r"^(\w+) ", 1).alias("polarization"), F.when(pixel != "", pixel.cast("int")).alias("pixel"))
+    """Receiver, polarization and pixel of names, some of which are of another form."""
+    key = F.col("p_partkey")
+    kind = F.element_at(F.array(F.lit("H"), F.lit("V"), F.lit("X")), (key % 3 + 1).cast("int"))
+    name = F.when(key % 5 == 0, F.col("p_brand")).otherwise(F.concat(F.upper(F.substring("p_name", 1, 3)), kind, F.lit("_PX"), F.lpad((key % 14).cast("string"), 2, "0"), F.lit("_S")))
+    return table(spark, sf_dir, "part").withColumn("telescop", name).select("p_partkey", *provenance.parse_telescop("telescop"))
 
 
 @query("""
