@@ -128,20 +128,6 @@ def mad_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.mad_flags(table(spark, sf_dir, "lineitem"), "l_extendedprice", 1.5).select("l_orderkey", "l_linenumber", "flag")
 
 
-@query()
-def post_process(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Automatic baselines, ripple, noise ratio and whiteness of all rows."""
-    rows = spectra(spark, sf_dir).withColumn("rms_theoretical", F.lit(0.1))
-    return pipeline.post_process(rows, LINE).select("row_id", "blorder", "ripple", "rmsratiob", "whiteness", "whiteflag")
-
-
-@query()
-def regrid_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A map on a coarser frame."""
-    coarse = G.Frame(202.519, 47.224, 0.004, 12, 14, 7.0, 8.0)
-    return G.regrid(G.grid_map(samples(spark, sf_dir), FRAME, KERNEL), FRAME, coarse, 0.006)
-
-
 @query()
 def noise_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Telluric channels replaced by seeded noise."""

@@ -20,11 +20,14 @@ from specfold.plans.registry import query, table
 from specfold.plans.relational import _LINK, OBS, _tau_links, observations
 from specfold.plans.spectral import _FREE, CHANNELS, HOLED, LINE, LONG, R6, long_form, r6, spectra
 
-ROW = F.col("row_id")
 OFF = f"(i < {LINE[0]} OR i >= {LINE[1]})"
 
 
-def pick(values: tuple, place) -> F.Column:
+def rid():
+    return F.col("row_id")
+
+
+def pick(values: tuple, place):
     return F.element_at(F.array(*map(F.lit, values)), (place + 1).cast("int"))
 
 
@@ -39,7 +42,7 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
 def row_reference_pixel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows without a finite pixel take their file's; files without one take 1."""
     rows = spectra(spark, sf_dir).withColumn("file", F.col("telescop"))
-    own = F.when(ROW % 3 == 1, F.lit(float("nan"))).when(ROW % 3 == 2, (10 + ROW % 5).cast("double"))
+    own = F.when(rid() % 3 == 1, F.lit(float("nan"))).when(rid() % 3 == 2, (10 + rid() % 5).cast("double"))
     headers = rows.where("file % 2 = 0").select("file", (F.col("file") + 0.5).cast("double").alias("crpix1")).distinct()
     return axes.with_reference_pixel(rows.withColumn("crpix1", own), headers).select("row_id", "crpix1")
 
@@ -47,7 +50,7 @@ def row_reference_pixel(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT (SELECT arg_min(400000.0::DOUBLE + vec_id, vec_id) FROM embeddings WHERE vec_id >= 5) AS velocity, (-38.0)::DOUBLE AS deltav, 1.0::DOUBLE AS crpix1, 1.9005e12::DOUBLE AS restfreq")
 def spectral_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first row with a value decides; where none has one, the header."""
-    rows = spectra(spark, sf_dir).select("row_id", F.when(ROW >= 5, 400000.0 + ROW).alias("velocity"), F.lit(float("nan")).alias("deltav"))
+    rows = spectra(spark, sf_dir).select("row_id", F.when(rid() >= 5, 400000.0 + rid()).alias("velocity"), F.lit(float("nan")).alias("deltav"))
     return axes.spectral_parameters(rows, headers={"deltav": -38.0, "restfreq": 1.9005e12})
 
 
@@ -56,7 +59,7 @@ _TURNED = "t AS (SELECT vec_id AS row_id, i, CASE WHEN vec_id % 2 = 0 THEN 40000
 
 def _turned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every second axis descends."""
-    even = ROW % 2 == 0
+    even = rid() % 2 == 0
     return spectra(spark, sf_dir).withColumns({"velocity": F.when(even, 400000.0).otherwise(589000.0), "deltav": F.when(even, 3000.0).otherwise(-3000.0)})
 
 
@@ -79,8 +82,8 @@ WITH t AS (SELECT label % 3 AS mission, 400000 + CASE label % 3 WHEN 0 THEN 0 WH
 g AS (SELECT mission, (max(v) - min(v)) / abs(max(d)) AS shift, (max(d) - min(d)) / abs(max(d)) AS stretch FROM t GROUP BY mission)
 SELECT mission, round(shift, 6) + 0.0 AS shift, round(stretch, 6) + 0.0 AS stretch, shift <= 0.1 AND abs(stretch) <= 0.001 AS uniform FROM g""")
 def grid_uniformity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    move = F.when(F.col("mission") == 0, 0).when(F.col("mission") == 1, ROW % 2 * 1000).otherwise(ROW % 2 * 200)
-    rows = spectra(spark, sf_dir).withColumns({"velocity": 400000.0 + move, "deltav": 3000.0 + F.when(F.col("mission") == 2, ROW % 3 * 2).otherwise(0)})
+    move = F.when(F.col("mission") == 0, 0).when(F.col("mission") == 1, rid() % 2 * 1000).otherwise(rid() % 2 * 200)
+    rows = spectra(spark, sf_dir).withColumns({"velocity": 400000.0 + move, "deltav": 3000.0 + F.when(F.col("mission") == 2, rid() % 3 * 2).otherwise(0)})
     return rounded(axes.uniformity(rows, ["mission"]), "shift", "stretch")
 
 
@@ -140,8 +143,8 @@ WITH {LONG}, a AS (SELECT row_id, any_value(telescop) AS telescop, max(abs(CASE
 SELECT row_id FROM a WHERE a > 1e-10 * (SELECT max(a) FROM a)""")
 def correction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of two missions, three telescopes and two subscans that are not all but zero."""
-    faint = F.transform("spectrum", lambda x: F.when(ROW % 11 == 0, x * 1e-12).otherwise(x))
-    rows = spectra(spark, sf_dir).withColumns({"spectrum": faint, "mission_id": F.concat(F.lit("F"), F.col("mission")), "telescop": F.concat(F.lit("PX"), F.col("telescop") % 5), "subscan": (ROW % 4).cast("int"), "scan": F.lit(1), "object": F.lit("M51CENTER")})
+    faint = F.transform("spectrum", lambda x: F.when(rid() % 11 == 0, x * 1e-12).otherwise(x))
+    rows = spectra(spark, sf_dir).withColumns({"spectrum": faint, "mission_id": F.concat(F.lit("F"), F.col("mission")), "telescop": F.concat(F.lit("PX"), F.col("telescop") % 5), "subscan": (rid() % 4).cast("int"), "scan": F.lit(1), "object": F.lit("M51CENTER")})
     spec = filters.CorrectionRows(part="m51", missions=("F0", "F2"), telescopes=("PX0", "PX1", "PX3"), subscans=(1, 2))
     return filters.correction_rows(rows, spec).select("row_id")
 
@@ -172,8 +175,8 @@ _NAMES = "n AS (SELECT *, CASE WHEN row_id % 9 = 0 THEN 'OTHER' ELSE ['LFA', 'HF
 
 
 def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = F.concat(pick(("LFA", "HFA"), ROW % 2), pick(("H", "V"), F.floor(ROW / 2) % 2), F.lit("_PX0"), F.col("telescop") % 3, F.lit("_S"))
-    return spectra(spark, sf_dir, True).withColumn("telescop", F.when(ROW % 9 == 0, "OTHER").otherwise(name))
+    name = F.concat(pick(("LFA", "HFA"), rid() % 2), pick(("H", "V"), F.floor(rid() / 2) % 2), F.lit("_PX0"), F.col("telescop") % 3, F.lit("_S"))
+    return spectra(spark, sf_dir, True).withColumn("telescop", F.when(rid() % 9 == 0, "OTHER").otherwise(name))
 
 
 @query(f"""
@@ -186,7 +189,7 @@ def receiver_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {HOLED}, {_NAMES} SELECT CAST(regexp_extract(name, '_PX(\\d+)', 1) AS INTEGER) AS pixel, CAST(i AS INTEGER) AS pos, {R6.format('sum(x * (1 + row_id % 3)) / sum(1 + row_id % 3)')} AS mean FROM n WHERE name <> 'OTHER' AND NOT isnan(x) GROUP BY ALL")
 def pixel_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighted, by pixel alone."""
-    return rounded(S.receiver_averages(_named(spark, sf_dir), ["pixel"], weight=(1 + ROW % 3).cast("double")).select("pixel", "pos", "mean"), "mean")
+    return rounded(S.receiver_averages(_named(spark, sf_dir), ["pixel"], weight=(1 + rid() % 3).cast("double")).select("pixel", "pos", "mean"), "mean")
 
 
 @query(f"WITH {OBS} SELECT mission_id, scan, telescop, row_id, row_number() OVER (PARTITION BY mission_id, scan, telescop ORDER BY row_id) AS place FROM o")
@@ -215,7 +218,7 @@ WITH {HOLED}, z AS (SELECT CASE WHEN row_id % 10 = 0 AND i % 9 = 0 THEN 0 WHEN r
 SELECT count(*) AS n, count(*) FILTER (WHERE isnan(x)) AS n_missing, count(*) FILTER (WHERE x = 0) AS n_zero, count(*) FILTER (WHERE x < 0) AS n_negative, count(*) FILTER (WHERE x <> 0 AND abs(x) < 1e-10) AS n_tiny,
   {R6.format('avg(x) FILTER (WHERE NOT isnan(x))')} AS mean, {R6.format('stddev_pop(x) FILTER (WHERE NOT isnan(x))')} AS std, {R6.format('min(x) FILTER (WHERE NOT isnan(x))')} AS least, {R6.format('max(x) FILTER (WHERE NOT isnan(x))')} AS most FROM z""")
 def value_census(spark: SparkSession, sf_dir: str) -> DataFrame:
-    odd = F.transform("spectrum", lambda v, i: F.when((ROW % 10 == 0) & (i % 9 == 0), 0.0).when(ROW % 10 == 1, v * 1e-10).otherwise(v))
+    odd = F.transform("spectrum", lambda v, i: F.when((rid() % 10 == 0) & (i % 9 == 0), 0.0).when(rid() % 10 == 1, v * 1e-10).otherwise(v))
     return rounded(quality.value_census(spectra(spark, sf_dir, True).withColumn("spectrum", odd)), "mean", "std", "least", "most")
 
 
@@ -287,7 +290,7 @@ def reference_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mask_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two masks joined, and the channels that neither blanks."""
     n = F.size("spectrum")
-    mask = A.any_mask(A.channel_mask(n, 20 + ROW % 3, 6), axes.window_mask("spectrum", channels=(40, 45)))
+    mask = A.any_mask(A.channel_mask(n, 20 + rid() % 3, 6), axes.window_mask("spectrum", channels=(40, 45)))
     out = long_form(spectra(spark, sf_dir).withColumn("spectrum", A.apply_mask("spectrum", mask)))
     return out.where(~F.isnan("x")).withColumn("x", r6("x"))
 
@@ -299,7 +302,7 @@ def normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.where(~F.isnan("v.x")).select("row_id", "i", r6("v.x").alias("x"), r6("v.back").alias("back"))
 
 
-@query(f"WITH {LONG} SELECT row_id, CAST(i AS INTEGER) AS i, {R6.format('max(x) OVER (PARTITION BY row_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)')} AS top FROM c QUALIFY i <= 59")
+@query(f"WITH {LONG} SELECT row_id, CAST(i AS INTEGER) AS i, {R6.format('max(x) OVER (PARTITION BY row_id ORDER BY i ROWS BETWEEN CURRENT rid() AND 4 FOLLOWING)')} AS top FROM c QUALIFY i <= 59")
 def rolling_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The largest channel of each window of five."""
     return spectra(spark, sf_dir).select("row_id", F.posexplode(axes.rolling("spectrum", 5)).alias("i", "w")).select("row_id", "i", r6(F.array_max("w")).alias("top"))
@@ -325,7 +328,7 @@ _SPIKED = "c AS (SELECT vec_id AS row_id, label AS telescop, label % 3 AS missio
 
 
 def _spiked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spectra(spark, sf_dir, True).withColumn("spectrum", F.transform("spectrum", lambda x, i: x + F.when((ROW % 5 == 0) & i.isin(11, 50), 3.0).otherwise(0.0)))
+    return spectra(spark, sf_dir, True).withColumn("spectrum", F.transform("spectrum", lambda x, i: x + F.when((rid() % 5 == 0) & i.isin(11, 50), 3.0).otherwise(0.0)))
 
 
 @query(f"WITH {_SPIKED}, {clipped_fits(1)} SELECT row_id, CAST(i AS INTEGER) AS i, {R6.format('x - (a + b * i)')} AS x FROM c JOIN b USING (row_id) WHERE NOT isnan(x)")
@@ -337,7 +340,7 @@ def baseline_clipped_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_SPIKED}, {clipped_fits(0, rounds=10)} SELECT row_id, CAST(i AS INTEGER) AS i, {R6.format('CASE WHEN row_id % 4 = 0 THEN x ELSE x - a END')} AS x FROM c JOIN b USING (row_id) WHERE NOT isnan(x)")
 def baseline_skips_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order 0, ten rounds; calibration rows stay as they are."""
-    rows = _spiked(spark, sf_dir).withColumn("object", F.when(ROW % 4 == 0, "TSYS").otherwise("M51"))
+    rows = _spiked(spark, sf_dir).withColumn("object", F.when(rid() % 4 == 0, "TSYS").otherwise("M51"))
     out = long_form(S.baselined(rows, 0, LINE, rounds=10, object_column="object"))
     return out.where(~F.isnan("x")).withColumn("x", r6("x"))
 
@@ -368,7 +371,7 @@ t AS (SELECT row_id, i - 4 AS i, x FROM c JOIN g USING (row_id) WHERE 400000 + i
 y AS (SELECT row_id, i, x - (a + b * i) AS x FROM t JOIN b USING (row_id)), s AS (SELECT row_id, stddev_pop(x) AS r FROM y WHERE NOT isnan(x) AND (i < 24 OR i > 32) GROUP BY row_id),
 m AS (SELECT p.row_id, p.i, sum(q.x) / 3 AS x FROM y p JOIN y q ON p.row_id = q.row_id AND q.i BETWEEN p.i - 1 AND p.i + 1 GROUP BY ALL)
 SELECT row_id, CAST(i // 3 AS INTEGER) AS i, {R6.format('x')} AS x, {R6.format('r')} AS rms_baseline, 9000.0::DOUBLE AS deltav FROM m JOIN s USING (row_id) WHERE i % 3 = 0 AND NOT isnan(x)""")
-def reduce_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reduce_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unblank, extract, clipped baseline, line-free noise, smooth and decimate in one go."""
     steps = S.Reduction(unblank=0.25, extract=(412000.0, 580000.0), baseline=1, line_window=(484000.0, 508000.0), smooth=3, decimate=True)
     out = long_form(S.reduce_spectra(spectra(spark, sf_dir, True), steps, object_column=None), "rms_baseline", "deltav")
@@ -384,7 +387,7 @@ h AS (SELECT row_id, 2 * stddev_pop(m) / any_value(r) AS whiteness FROM b4 JOIN
 z AS (SELECT median(whiteness) AS med FROM h), v AS (SELECT median(abs(whiteness - med)) AS mad FROM h, z)
 SELECT row_id, CAST(blorder AS BIGINT) AS blorder, {R6.format('total / white')} AS ripple, {R6.format('r / 0.1')} AS rmsratiob, {R6.format('whiteness')} AS whiteness, CAST(whiteness > med + 3 * 1.4826 * mad AS INTEGER) AS whiteflag
 FROM o JOIN t USING (row_id) JOIN w USING (row_id) JOIN r USING (row_id) JOIN h USING (row_id), z, v""")
-def post_process_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def post_process(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stage after the correction, with baselines up to lines."""
     rows = spectra(spark, sf_dir).withColumn("rms_theoretical", F.lit(0.1))
     out = pipeline.post_process(rows, LINE, most_order=1).select("row_id", "blorder", "ripple", "rmsratiob", "whiteness", "whiteflag")
@@ -539,7 +542,7 @@ j2 AS (SELECT h2.y, h2.x, v, degrees(2 * asin(sqrt(pow(sin((d - radians(dec)) /
 g AS (SELECT y, x, sum(exp(-far * far / (2 * pow(0.006 / 2.355, 2))) * v) / sum(exp(-far * far / (2 * pow(0.006 / 2.355, 2)))) AS v FROM j2 WHERE far <= 0.018 GROUP BY y, x)
 SELECT g.y, g.x, {R6.format('g.v')} AS value FROM g JOIN h2 ON g.y = h2.y AND g.x = h2.x
 JOIN a ON a.x = CAST(round_even(13.0 - degrees(e) / 0.002, 0) AS INTEGER) - 1 AND a.y = CAST(round_even(15.0 + degrees(n) / 0.002, 0) AS INTEGER) - 1""")
-def regrid_coarse(spark: SparkSession, sf_dir: str) -> DataFrame:
+def regrid_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A map on a frame with pixels twice as large."""
     coarse = G.Frame(202.519, 47.224, 0.004, 12, 14, 7.0, 8.0)
     return rounded(G.regrid(G.grid_map(samples(spark, sf_dir), FRAME, KERNEL), FRAME, coarse, 0.006).select("y", "x", "value"), "value")

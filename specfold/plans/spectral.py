@@ -199,10 +199,3 @@ def baseline_sigma_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def baseline_auto_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spectra(spark, sf_dir).withColumn("rms_theoretical", F.lit(0.1))
     return S.auto_baselined(rows, "rms_theoretical", LINE).select("row_id", "spectrum", "blorder")
-
-
-@query()
-def reduce_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole reduction of one row set: unblank, extract, baseline, smooth, decimate."""
-    steps = S.Reduction(unblank=0.25, extract=(412000.0, 580000.0), baseline=1, line_window=(484000.0, 508000.0), smooth=3, decimate=True)
-    return S.reduce_spectra(spectra(spark, sf_dir, True), steps, object_column=None).select("row_id", "spectrum", "rms_baseline", "deltav", "crpix1")
