@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from specfold.errors import NoDataError
+from specfold.errors import NoDataError, SchemaError
 from specfold.functions import arrays as A
 from specfold.functions import kernels as K
 from specfold.operators.kernel_ops import block_of, lists_of, map_arrays
@@ -440,29 +440,55 @@ def pass_through(rows: DataFrame, overrides: DataFrame) -> tuple[DataFrame, Data
     return rows.join(skip, "mission_id", "left_anti"), rows.join(skip, "mission_id", "left_semi")
 
 
-def cube_components(cube: DataFrame, k: int, spectrum: str = "spectrum") -> tuple[np.ndarray, np.ndarray]:
-    """Mean and first k components over a cube's spaxels, from sums of products that tasks add up: n channels squared numbers reach the driver."""
+def cube_components(cube: DataFrame, k: int, spectrum: str = "spectrum", most_channels: int = 4_096) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and first k components over a cube's spaxels, from the triangular factors of the rows that tasks add up: channels squared numbers, of one row, reach the driver.
+
+    Cubes of more than most_channels channels are refused; smooth or decimate them first.
+    """
     first = cube.select(F.size(spectrum).alias("n")).first()
     if first is None:
         raise NoDataError("the cube has no pixels")
     n = first["n"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, square, count = np.zeros(n), np.zeros((n, n)), 0
+    if n > most_channels:
+        raise SchemaError(f"the cube has {n} channels, more than {most_channels}")
+    every = np.ones(n, bool)
+    kind = "n long, mean binary, triangle binary"
+
+    def row_of(known: tuple[int, np.ndarray, np.ndarray] | None) -> pa.RecordBatch:
+        values = [] if known is None else [known]
+        return pa.RecordBatch.from_arrays([pa.array([v[0] for v in values], pa.int64()), *(pa.array([v[i].tobytes() for v in values], pa.binary()) for i in (1, 2))], ["n", "mean", "triangle"])
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = None
         for batch in batches:
             for _, y in block_of(batch.column("s")):
-                y = y[np.isfinite(y).all(1)]
-                total, square, count = total + y.sum(0), square + y.T @ y, count + len(y)
-        yield pa.RecordBatch.from_arrays([pa.array([count], pa.int64()), pa.array([total.tobytes()], pa.binary()), pa.array([square.tobytes()], pa.binary())], ["n", "total", "square"])
+                y = y[np.isfinite(y).all(1)] if y.shape[1] == n else y[:0]
+                if len(y):
+                    more = K.moments(y, every)
+                    known = more if known is None else K.joined_moments(known, more, every)
+        yield row_of(known)
 
-    parts = cube.select(A.as_doubles(spectrum).alias("s")).coalesce(64).mapInArrow(run, "n long, total binary, square binary").toArrow().to_pylist()
-    count = sum(p["n"] for p in parts)
-    if count < 2:
+    def merge(table: pa.Table) -> pa.Table:
+        known = None
+        for p in table.to_pylist():
+            more = (p["n"], np.frombuffer(p["mean"]), np.frombuffer(p["triangle"]).reshape(-1, n))
+            known = more if known is None else K.joined_moments(known, more, every)
+        return pa.Table.from_batches([row_of(known)])
+
+    parts = cube.select(A.as_doubles(spectrum).alias("s")).mapInArrow(partial, kind).withColumn("slot", F.pmod(F.spark_partition_id(), F.lit(32)))
+    merged = parts.groupBy("slot").applyInArrow(lambda t: merge(t.drop_columns("slot")), kind).groupBy().applyInArrow(merge, kind).first()
+    if merged is None or merged["n"] < 2:
         raise NoDataError("too few complete spaxels")
-    mean = sum(np.frombuffer(p["total"]) for p in parts) / count
-    cov = sum(np.frombuffer(p["square"]).reshape(n, n) for p in parts) / count - np.outer(mean, mean)
-    _, vectors = np.linalg.eigh(cov)
-    return mean, vectors[:, ::-1][:, :k].T
+    _, _, vectors = np.linalg.svd(np.frombuffer(merged["triangle"]).reshape(-1, n), full_matrices=False)
+    return np.frombuffer(merged["mean"]), vectors[:k]
+
+
+def recommended_components(reference: DataFrame, velocity: float, deltav: float, most: int = 10, least: float = 0.4, **how) -> DataFrame:
+    """How many components each mission should use: models with up to `most` are fitted once, and components count up to the first that unlike pixels do not share. mission_id, n_components."""
+    from specfold.operators.spectra import chosen_components, coherence
+
+    return chosen_components(coherence(component_long(fit_models(reference, most, **how), velocity, deltav)), least)
 
 
 def cube_filtered(cube: DataFrame, mean: np.ndarray, components: np.ndarray, spectrum: str = "spectrum") -> DataFrame:

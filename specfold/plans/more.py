@@ -13,7 +13,7 @@ from specfold.plans import pipeline
 from specfold.plans.maps import CELLS, FRAME, KERNEL, samples
 from specfold.plans.registry import query, table
 from specfold.plans.relational import _LINK, _RULES, OBS, RULES, observations
-from specfold.plans.spectral import HOLED, LINE, LONG, R6, long_form, r6, spectra
+from specfold.plans.spectral import HOLED, LONG, R6, long_form, r6, spectra
 
 MISSIONS = (("0", 460.0, 20.0), ("1", 520.0, None))
 
@@ -41,6 +41,20 @@ def prepare_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row_id", "object", "tsys_id", "tau_id")
 
 
+@query(f"""
+WITH {OBS}, {_RULES},
+k AS (SELECT * FROM o WHERE (object IN ('view', 'TSYS', 'TAU_SIG') OR contains(upper(object), 'CLI')) AND scan IN (1, 2, 4, 6, 9, 12, 20) AND (object IN ('TSYS', 'TAU_SIG') OR value <= 180) AND NOT EXISTS (SELECT 1 FROM r WHERE
+  (r.mission_id = 'all_missions' OR r.mission_id = o.mission_id) AND (r.telescop IS NULL OR o.telescop = r.telescop OR starts_with(o.telescop, r.telescop || '_')) AND (r.scan IS NULL OR r.scan = o.scan))),
+a AS ({_LINK.format(name="tsys_id", kind="TSYS").replace("FROM o s JOIN o c", "FROM k s JOIN k c")}),
+b AS ({_LINK.format(name="tau_id", kind="TAU_SIG").replace("FROM o s JOIN o c", "FROM k s JOIN k c")})
+SELECT k.row_id, object, tsys_id, tau_id FROM k LEFT JOIN a USING (row_id) LEFT JOIN b USING (row_id)""")
+def prepare_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole stage: source or named object, scans, rules, value cuts, links."""
+    chosen = filters.prepare_selector("view", "cli", scans=(1, 2, 4, 6, 9, 12, 20))
+    out = pipeline.prepare(observations(spark, sf_dir), "view", droprules.rules_frame(spark, RULES), selector=chosen, cuts=(("value", "<=", 180.0),))
+    return out.select("row_id", "object", "tsys_id", "tau_id")
+
+
 @query(f"WITH {OBS}, v(mission_id, nc, vc) AS (VALUES ('3', 7, NULL), ('5', NULL, 0.25)) SELECT row_id, coalesce(v.nc, 5) AS nc, CAST(coalesce(v.vc, 0.005) AS DOUBLE) AS vc FROM o LEFT JOIN v USING (mission_id)")
 def mission_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = S.overrides_frame(spark, {"3": {"nc": 7}, "5": {"vc": 0.25}}, "nc int, vc double")

@@ -347,13 +347,32 @@ def write_map(map_: DataFrame, frame, path: str, value: str = "value", keywords:
 
 
 def write_cube(cube: DataFrame, frame, path: str, channels: int, velocity: float, deltav: float, keywords: dict[str, object] | None = None) -> None:
-    """A cube as an image of channels, with the velocity axis as a table behind it. Channels are written one at a time from memory of one cube."""
-    data = np.full((channels, frame.ny, frame.nx), np.nan, ">f4")
-    for batch in cube.select("y", "x", "spectrum").toArrow().to_batches():
-        y, x = batch.column("y").to_numpy(), batch.column("x").to_numpy()
-        data[:, y, x] = np.array(batch.column("spectrum").to_pylist(), ">f4").T
+    """A cube as an image of channels, with the velocity axis as a table behind it, then the pixels' coverage and weight as images if the cube has them.
+
+    The image is filled in a mapped file, so that the driver holds the spectra once; the frame bounds them.
+    """
     head = {"SIMPLE": True, "BITPIX": -32, "NAXIS": 3, "NAXIS1": frame.nx, "NAXIS2": frame.ny, "NAXIS3": channels} | {k: v for k, v in frame.keywords().items() if not k.startswith("NAXIS")} | {"CTYPE3": "VELO-LSR", "CRVAL3": velocity, "CDELT3": deltav, "CRPIX3": 1.0} | (keywords or {})
-    raw = data.tobytes()
-    axis = pa.table({"channel": pa.array(np.arange(channels), pa.int32()), "velocity": pa.array(velocity + np.arange(channels) * deltav)})
+    start = header_bytes(head)
+    size = 4 * channels * frame.ny * frame.nx
+    more = [c for c in ("coverage", "weight") if c in cube.columns]
+    images = {c: np.full((frame.ny, frame.nx), np.nan, ">f4") for c in more}
     with open(path, "wb") as f:
-        f.write(header_bytes(head) + raw + b"\0" * (-len(raw) % BLOCK) + table_bytes(axis, {"EXTNAME": "SPECTRUM"}))
+        f.write(start)
+        f.truncate(len(start) + size + -size % BLOCK)
+    data = np.memmap(path, ">f4", "r+", len(start), (channels, frame.ny, frame.nx))
+    for plane in data:
+        plane[:] = np.nan
+    for batch in cube.select("y", "x", "spectrum", *more).toArrow().to_batches(65_536):
+        y, x = batch.column("y").to_numpy(), batch.column("x").to_numpy()
+        values = batch.column("spectrum").cast(pa.large_list(pa.float64()))
+        data[:, y, x] = values.flatten().to_numpy(zero_copy_only=False).reshape(len(y), channels).T
+        for c in more:
+            images[c][y, x] = batch.column(c).to_numpy(zero_copy_only=False)
+    data.flush()
+    axis = pa.table({"channel": pa.array(np.arange(channels), pa.int32()), "velocity": pa.array(velocity + np.arange(channels) * deltav)})
+    with open(path, "ab") as f:
+        f.write(table_bytes(axis, {"EXTNAME": "SPECTRUM"}))
+        for c, image in images.items():
+            raw = image.tobytes()
+            extra = {"XTENSION": "IMAGE", "BITPIX": -32, "NAXIS": 2, "NAXIS1": frame.nx, "NAXIS2": frame.ny, "PCOUNT": 0, "GCOUNT": 1, "EXTNAME": c.upper()}
+            f.write(header_bytes(extra | {k: v for k, v in frame.keywords().items() if not k.startswith("NAXIS")}) + raw + b"\0" * (-len(raw) % BLOCK))
