@@ -197,13 +197,6 @@ def resample(y: Array, velocity: Array, start: float, step: float, n: int) -> Ar
         return (total / count).reshape(len(y), n)
 
 
-def grid_of(velocity: Array, step: float) -> tuple[float, int]:
-    """Start and number of grid points that hold all end channels, at multiples of the step."""
-    ends = velocity[:, [0, -1]]
-    low, high = np.floor(ends.min() / step) * step, np.ceil(ends.max() / step) * step
-    return float(low), int(round((high - low) / step)) + 1
-
-
 def detect_line(y: Array, method: str = "waterfall", kernel: int = 5, prominence: float = 5.0) -> tuple[int, float]:
     """Channel of a science line in many rows, and a confidence from 0 to 1.
 
@@ -333,35 +326,6 @@ def find_lines(y: Array, window: tuple[int, int], kernel: int, factor: float) ->
     return found if found.any() else None
 
 
-def without_spikes(y: Array, sigmas: float) -> Array:
-    """Channels further than so many deviations from the row's mean become missing."""
-    use = np.isfinite(y)
-    sigma = masked_std(np.where(use, y, 0), use)
-    with np.errstate(invalid="ignore"):
-        mean = np.where(use, y, 0).sum(1) / use.sum(1)
-        return np.where(np.abs(y - mean[:, None]) > sigmas * sigma[:, None], np.nan, y)
-
-
-def cut_range(y: Array, low: int, high: int) -> Array:
-    """The channels outside [low, high) joined together."""
-    return np.concatenate([y[:, :low], y[:, high:]], 1)
-
-
-def put_range(y: Array, low: int, high: int, value: float = 0.0) -> Array:
-    """Undoes cut_range, with a constant in the range."""
-    return np.concatenate([y[:, :low], np.full((len(y), high - low), value), y[:, low:]], 1)
-
-
-def has_line(y: Array, window: tuple[int, int], sigmas: float) -> Array:
-    """Whether the window's mean exceeds so many deviations of means elsewhere."""
-    free = np.isfinite(y)
-    free[:, window[0] : window[1]] = False
-    sigma = masked_std(np.where(np.isfinite(y), y, 0), free)
-    inside = y[:, window[0] : window[1]]
-    with np.errstate(invalid="ignore"):
-        return np.nanmean(inside, 1) > sigmas * sigma / np.sqrt(inside.shape[1])
-
-
 def parabola_peaks(y: Array) -> Array:
     """Where each row's maximum is, by the parabola through it and its neighbours."""
     n = y.shape[1]
@@ -643,9 +607,3 @@ def component_cutoffs(ratios: Array, overall: float | None, fixed: float | None,
         peak = kde_peak(ratios[:, j], counts=counts)
         out[j] = np.nan if peak is None or peak[0] >= overall else fixed if fixed else peak[0] + 3 * abs(peak[1])
     return out
-
-
-def leading_run(scores: Array, least: float = 0.4) -> int:
-    """How many scores from the first on reach the limit; 1 at least."""
-    fail = np.flatnonzero(~(np.asarray(scores) >= least))
-    return max(1, int(fail[0]) if len(fail) else len(scores))

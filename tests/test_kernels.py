@@ -130,10 +130,8 @@ def test_kde_peak_finds_the_centre():
 
 
 def test_small_ones():
-    assert K.leading_run([0.9, 0.5, 0.1, 0.9]) == 2 and K.leading_run([0.1]) == 1
     y = np.array([[0.0, 1, 4, 1, 0], [0, 0, 1, 4, 1]])
     assert np.allclose(K.shift_rows(y, np.array([1.0, -1.0]))[0, :4], [1, 4, 1, 0])
-    assert np.allclose(K.put_range(K.cut_range(y, 1, 3), 1, 3)[:, [0, 3, 4]], y[:, [0, 3, 4]])
     assert K.detect_line(np.tile(y[:1], (4, 1)), kernel=3)[0] == 2 and K.width_at_half(y[0], 2) == 1
     t = K.taper(30, 10, 26)
     assert (t[:10] == 1).all() and (t[15:20] == 0).all() and 0 < t[10] < 1

@@ -86,14 +86,19 @@ def test_masks(spark):
     assert row.select(A.fill(A.apply_mask("s", mask), -1.0)).first()[0] == [-1, -1, -1, 3, 4, -1]
 
 
-def test_more_kernels():
-    y = np.zeros((2, 50))
+def test_spikes_and_line_tests(spark):
+    from specfold.operators import lines
+
+    y = np.random.default_rng(1).normal(0, 1, (2, 50))
     y[0, 10] = 99
-    assert np.isnan(K.without_spikes(y + np.random.default_rng(1).normal(0, 1, y.shape), 5)[0, 10])
+    frame = lambda rows: spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "row_id long, spectrum array<double>")
+    assert np.flatnonzero(np.isnan(lines.despiked(frame(y), 5.0).orderBy("row_id").first()["spectrum"])).tolist() == [10]
     y = np.random.default_rng(2).normal(0, 1, (2, 50))
     y[0, 20:30] += 9
-    assert K.has_line(y, (20, 30), 3).tolist() == [True, False]
-    assert K.grid_of(np.array([[401.0, 402, 409]]), 5.0) == (400.0, 3)
+    assert [r["has_line"] for r in lines.with_line_test(frame(y), (20, 30), 3.0).orderBy("row_id").collect()] == [True, False]
+    back = lines.with_range(lines.without_range(frame(y), 20, 30), 20, 30, -1.0).orderBy("row_id").first()["spectrum"]
+    assert back == [*y[0, :20].tolist(), *[-1.0] * 10, *y[0, 30:].tolist()]
+
 
 
 def test_windows_on_streams(spark, tmp_path):

@@ -251,7 +251,6 @@ def test_coherence_runs(spark):
     scores = S.coherence(rows)
     assert scores.where("component = 0").first()["score"] == pytest.approx(1.0)
     assert S.chosen_components(scores, 0.9).first()["n_components"] in (1, 2)
-    assert K.leading_run([1.0, 0.2]) == 1
 
 
 @pytest.mark.parametrize("reject", [None, 1.5])
