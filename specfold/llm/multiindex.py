@@ -2,12 +2,14 @@
 
 Vectors scaled to length one are cut in halves; a codebook for each half, fitted by k-means on a
 bounded sample, makes a product grid of cells, and every vector stands in the cell of its nearest
-centroids. Cells in their order are packed to blocks of bounded size. The multi-sequence traversal visits all
-blocks with a cell that can hold a link of a vector, by the bound between two centroids: cells are ruled out by that
-bound alone, never by their number, so the target recall is 1 and no link is lost however few there are. Two blocks meet with the
-vectors of each that reach the other, verified by cosine in double precision; each pair of vectors is met by one
-pair of blocks, so links are counted there. Where the bound rules little out, as among vectors without clusters, this is
-a comparison of all pairs.
+centroids. The multi-sequence traversal visits the cells nearest to a vector in the order of its distance from them. How many it visits
+is measured on partners made for sampled vectors at exactly the threshold cosine, the hardest that have to be found, so it does not depend
+on the links that the sample happens to hold: as many cells as let the share `recall` of these pairs meet from both sides. No other cap ends
+the traversal, up to all cells. Of the cells visited, those that cannot hold a link by the bound between two centroids are passed over.
+
+Cells in their order are packed to blocks of bounded size, and a visit to a cell is one to its block. Two blocks meet with the
+vectors of each that visit the other, verified by cosine in double precision; each pair of vectors is met by one
+pair of blocks, so links are counted there.
 
 Vectors of equal components form a class and go on as one. Links join classes to components; only
 spanning forests and a count for each vector leave a task, never all pairs.
@@ -20,7 +22,6 @@ An empty table gives no rows. Further columns are not read, whatever their names
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,8 @@ from specfold.llm.common import group_bounds, hot_join, keep_only, session_of, s
 from specfold.llm.components import components, forest
 
 FIT_ROWS = 16_384
+#: Sampled vectors for which partners are made, two each.
+PROBES = 4_096
 #: Bytes of vectors in a block of cells at most, and blocks at least if that makes none smaller than asked for.
 BLOCK_BYTES = 16_000_000
 SPREAD = 12
@@ -104,31 +107,35 @@ class Grid:
     def cells(self, squares: list[np.ndarray]) -> np.ndarray:
         return np.argmin(squares[0], 1) * len(self.books[1]) + np.argmin(squares[1], 1)
 
-    def walk(self, a: np.ndarray, b: np.ndarray, most: int) -> list[int]:
-        """The first `most` cells by a[i] + b[j], for the squared distances of one vector's halves."""
-        at_a, at_b = np.argsort(a, kind="stable").tolist(), np.argsort(b, kind="stable").tolist()
-        low_a, low_b = a[at_a].tolist(), b[at_b].tolist()
-        n, out = len(low_b), []
-        heap = [(low_a[0] + low_b[0], 0, 0)]
-        while heap and len(out) < most:
-            _, i, j = heapq.heappop(heap)
-            out.append(at_a[i] * n + at_b[j])
-            if j + 1 < n:
-                heapq.heappush(heap, (low_a[i] + low_b[j + 1], i, j + 1))
-            if j == 0 and i + 1 < len(low_a):
-                heapq.heappush(heap, (low_a[i + 1] + low_b[0], i + 1, 0))
-        return out
-
-    def reachable(self, squares: list[np.ndarray], row: int, cells: np.ndarray, limit: float) -> np.ndarray:
-        """Which cells can hold a vector within the squared distance, by the plane between their centroids and the vector's own."""
-        total = np.zeros(len(cells))
-        for half, (square, gap) in enumerate(zip(squares, self.gaps, strict=True)):
-            i = cells // len(self.books[1]) if half == 0 else cells % len(self.books[1])
-            own = int(np.argmin(square[row]))
-            with np.errstate(divide="ignore", invalid="ignore"):
-                low = np.where(i == own, 0.0, (square[row][i] - square[row][own]) / (2 * gap[own][i]))
-            total += np.nan_to_num(np.maximum(low, 0), nan=0.0, posinf=0.0) ** 2
-        return total <= limit + 1e-9
+    def walk(self, squares: list[np.ndarray], most: int) -> np.ndarray:
+        """For each row the first `most` cells in the order of the multi-sequence traversal.
+
+        At places i and j of the two orders of centroids, (i + 1) (j + 1) cells come no later; so places where that is more than `most` need no look.
+        """
+        near = [np.argsort(s, axis=1, kind="stable") for s in squares]
+        low = [np.take_along_axis(s, o, 1) for s, o in zip(squares, near, strict=True)]
+        i, j = self.corner(most)
+        cost = low[0][:, i] + low[1][:, j]
+        if cost.shape[1] > most:
+            pick = np.argpartition(cost, most - 1, axis=1)[:, :most]
+        else:
+            pick = np.broadcast_to(np.arange(cost.shape[1]), cost.shape)
+        pick = np.take_along_axis(pick, np.argsort(np.take_along_axis(cost, pick, 1), axis=1, kind="stable"), 1)
+        return np.take_along_axis(near[0], i[pick], 1) * len(self.books[1]) + np.take_along_axis(near[1], j[pick], 1)
+
+    def corner(self, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """The places that can be among the first `most`."""
+        i = np.arange(min(len(self.books[0]), most))
+        widths = np.minimum(len(self.books[1]), most // (i + 1))
+        return np.repeat(i, widths), np.arange(widths.sum()) - np.repeat(np.cumsum(widths) - widths, widths)
+
+    def rank(self, squares: list[np.ndarray], cells: np.ndarray) -> np.ndarray:
+        """How many cells the traversal of each row has visited when it reaches the row's cell in `cells`."""
+        a, b = squares
+        rows, n = np.arange(len(cells)), len(self.books[1])
+        cost = (a[rows, cells // n] + b[rows, cells % n]) * (1 + 1e-12)
+        order = np.sort(b, axis=1)
+        return np.array([np.searchsorted(order[r], cost[r] - a[r], side="right").sum() for r in rows.tolist()], np.int64)
 
     def bounds(self, squares: list[np.ndarray]) -> list[np.ndarray]:
         """For each half the squared distance that each row has at least to vectors of each centroid, by the same planes."""
@@ -142,14 +149,34 @@ class Grid:
         return out
 
 
-def fit(classes: DataFrame, total: int) -> Grid:
-    """Codebooks from at most FIT_ROWS classes, those with the smallest hash."""
+def fit(classes: DataFrame, total: int, cosine: float, recall: float) -> tuple[Grid, int]:
+    """Codebooks from at most FIT_ROWS classes, those with the smallest hash, and the number of cells to visit for the recall."""
     got = classes.orderBy(F.xxhash64("sig"), "sig").limit(FIT_ROWS).select("vec").toArrow()
     x = unit(got.column("vec"))
     half = max(1, x.shape[1] // 2)
     k = min(1024, len(x), max(4, int(np.sqrt(total / 64))))
-    second = x[:, half:] if x.shape[1] > 1 else np.zeros((len(x), 1))
-    return Grid(kmeans(x[:, :half], k), kmeans(second, k, seed=12))
+    grid = Grid(kmeans(x[:, :half], k), kmeans(_wide(x)[:, half:], k, seed=12))
+    return grid, visits(grid, x[:PROBES], cosine, recall)
+
+
+def partners(x: np.ndarray, cosine: float, seed: int = 13) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of x beside vectors at exactly that cosine from them: away in any direction, then in the direction from one row to another."""
+    rng = np.random.default_rng(seed)
+    for way in (rng.normal(size=x.shape), x[rng.permutation(len(x))] - x[rng.permutation(len(x))]):
+        way = way - (way * x).sum(1, keepdims=True) * x
+        length = np.sqrt((way * way).sum(1))
+        some = length > 1e-6
+        yield x[some], cosine * x[some] + np.sqrt(1 - cosine * cosine) * way[some] / length[some, None]
+
+
+def visits(grid: Grid, x: np.ndarray, cosine: float, recall: float) -> int:
+    """How many cells each of two vectors at that cosine visits until the share `recall` of such pairs have met from both sides."""
+    need = [np.zeros(0, np.int64)]
+    for one, other in partners(x, cosine):
+        a, b = grid.squares(_wide(one)), grid.squares(_wide(other))
+        need.append(np.maximum(grid.rank(a, grid.cells(b)), grid.rank(b, grid.cells(a))))
+    ranks, every = np.concatenate(need), len(grid.books[0]) * len(grid.books[1])
+    return min(every, int(np.quantile(ranks, recall, method="higher"))) if len(ranks) else every
 
 
 def _wide(x: np.ndarray) -> np.ndarray:
@@ -184,8 +211,8 @@ def links(x: np.ndarray, y: np.ndarray, cosine: float, rows: int = 512) -> Itera
         yield i + at, j
 
 
-def found_pairs(classes: DataFrame, grid: Grid, cosine: float, block: int) -> DataFrame:
-    """classes: cid, vec, copies. From blocks of at most `block` vectors, verified links: a, b, n: b null: a has n links to rows of other classes there; else a and b are linked by a path."""
+def found_pairs(classes: DataFrame, grid: Grid, most: int, cosine: float, block: int) -> DataFrame:
+    """classes: cid, vec, copies, of which each visits `most` cells. From blocks of at most `block` vectors, verified links: a, b, n: b null: a has n links to rows of other classes there; else a and b are linked by a path."""
     spark = session_of(classes)
     limit = 2 - 2 * cosine + 1e-9
     n_cells = len(grid.books[0]) * len(grid.books[1])
@@ -211,17 +238,24 @@ def found_pairs(classes: DataFrame, grid: Grid, cosine: float, block: int) -> Da
         used, first, parts = shared.value
         grid = sent.value
         n = len(grid.books[1])
-        starts = np.flatnonzero(np.concatenate([[True], first[used][1:] != first[used][:-1]]))
-        heads, widths = first[used][starts], parts[used][starts]
+        opens = np.concatenate([[True], first[used][1:] != first[used][:-1]])
+        heads, widths = first[used][opens], parts[used][opens]
+        run_of = np.full(len(first), -1, np.int32)  # cells that share a block are one run
+        run_of[used] = np.cumsum(opens) - 1
+        step = max(1, 4_000_000 // max(len(grid.corner(most)[0]), len(heads)))
         for batch in batches:
-            step = max(1, 4_000_000 // len(used))
             for begin in range(0, batch.num_rows, step):
                 part = batch.slice(begin, step)
                 squares = grid.squares(_wide(unit(part.column("vec"))))
                 cell = grid.cells(squares)
                 own = first[cell] + part.column("cid").to_numpy() % 1_000_003 % parts[cell]
+                seen = grid.walk(squares, most)
                 a, b = grid.bounds(squares)
-                reached = np.logical_or.reduceat(a[:, used // n] + b[:, used % n] <= limit, starts, axis=1)
+                can = np.take_along_axis(a, seen // n, 1) + np.take_along_axis(b, seen % n, 1) <= limit
+                row, at = np.nonzero(can & (run_of[seen] >= 0))
+                reached = np.zeros((part.num_rows, len(heads)), bool)
+                reached[row, run_of[seen[row, at]]] = True
+                reached[np.arange(part.num_rows), run_of[cell]] = True
                 row, run = np.nonzero(reached)
                 width = widths[run]
                 to = np.repeat(heads[run], width) + np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
@@ -266,14 +300,14 @@ def found_pairs(classes: DataFrame, grid: Grid, cosine: float, block: int) -> Da
     return dealt.repartition(min(keys, 8_192), "key").sortWithinPartitions("key").mapInArrow(trimmed(verify), "a long, b long, n long")
 
 
-def linked(classes: DataFrame, total: int, size: int, cosine: float, block: int) -> DataFrame:
+def linked(classes: DataFrame, total: int, size: int, cosine: float, recall: float, block: int) -> DataFrame:
     """classes: cid, sig, vec, copies of `total` vectors of `size` components. As found_pairs."""
     together = max(4 * block, min(BLOCK_BYTES // (8 * size), total // SPREAD))
-    return found_pairs(classes, fit(classes, total), cosine, together)
+    return found_pairs(classes, *fit(classes, total, cosine, recall), cosine, together)
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = 0.9, block: int = 1024) -> DataFrame:
-    """vectors: vec_id, embedding. A row for each: vec_id, n_links, component_id, kept."""
+def near_duplicates(vectors: DataFrame, cosine: float = 0.9, recall: float = 0.9999, block: int = 1024) -> DataFrame:
+    """vectors: vec_id, embedding. A row for each: vec_id, n_links, component_id, kept. recall: share of pairs at exactly that cosine to be found; nearer ones are found more surely."""
     spark = session_of(vectors)
     folder = work_dir(spark)
     every = staged(prepared(vectors), folder, "vectors")
@@ -285,7 +319,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, block: int = 1024)
     # lengths that occur, with the number of their classes; of one class there is nothing to compare
     sizes = [(r["size"], r["count"]) for r in classes.groupBy("size").count().where("count > 1").orderBy("size").collect()]
     for i, (size, total) in enumerate(sizes):
-        own = linked(classes.where(F.col("size") == size), total, size, cosine, block)
+        own = linked(classes.where(F.col("size") == size), total, size, cosine, recall, block)
         own.write.mode("append" if i else "overwrite").parquet(f"{folder}/links")
     if sizes:
         found = spark.read.schema("a long, b long, n long").parquet(f"{folder}/links")

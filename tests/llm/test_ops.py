@@ -298,15 +298,39 @@ def test_multi_sequence_walk_is_sorted():
     rng = np.random.default_rng(5)
     grid = multiindex.Grid(rng.normal(size=(6, 4)), rng.normal(size=(7, 4)))
     a, b = rng.uniform(size=6), rng.uniform(size=7)
-    walk = grid.walk(a, b, 42)
+    walk = grid.walk([a[None], b[None]], 42)[0].tolist()
     cost = [a[c // 7] + b[c % 7] for c in walk]
     assert sorted(walk) == list(range(42)) and cost == sorted(cost)
     x = rng.normal(size=(50, 8)) * 0.3
     squares = grid.squares(x)
     own = grid.cells(squares)
+    every = squares[0][:, :, None] + squares[1][:, None, :]
+    for most in (1, 2, 5, 17, 41, 42):  # the nearest cells, whatever their number
+        seen = grid.walk(squares, most)
+        assert np.allclose(np.take_along_axis(every.reshape(50, 42), seen, 1), np.sort(every.reshape(50, 42), axis=1)[:, :most])
+    assert (grid.rank(squares, own) == 1).all()
+    for place in (3, 20):
+        assert (grid.rank(squares, grid.walk(squares, 42)[:, place]) == place + 1).all()
+    a, b = grid.bounds(squares)
     for i in range(50):  # no cell with a near enough vector is passed over
         near = np.flatnonzero(((x - x[i]) ** 2).sum(1) <= 0.5)
-        assert grid.reachable(squares, i, own[near], 0.5).all()
+        assert (a[i, own[near] // 7] + b[i, own[near] % 7] <= 0.5 + 1e-9).all()
+
+
+def test_visits_reach_the_recall():
+    """Of pairs at the threshold cosine that the calibration has not seen, the traversal of a fine grid misses next to none; it visits few cells."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(6_000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    grid = multiindex.Grid(multiindex.kmeans(x[:, :16], 128), multiindex.kmeans(x[:, 16:], 128, seed=12))
+    most = multiindex.visits(grid, x[:2_000], 0.9, 0.999)
+    assert most < 128 * 128 / 4
+    for one, other in multiindex.partners(x[3_000:], 0.9, seed=99):
+        a, b = grid.squares(one), grid.squares(other)
+        met = (grid.rank(a, grid.cells(b)) <= most) & (grid.rank(b, grid.cells(a)) <= most)
+        assert np.allclose((one * other).sum(1), 0.9) and met.mean() > 0.995
+    line = np.ones((5, 1))
+    assert multiindex.visits(multiindex.Grid(line, line), line, 0.9, 0.999) == 25  # no direction to go: all cells
 
 
 def test_pii(odd, spark):
