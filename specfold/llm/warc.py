@@ -1,13 +1,16 @@
 """Content-addressed archive of web records.
 
 Payload bytes are stored once each, under their SHA-256; the exact header of every record is
-kept apart from them. A join brings the original records back, and every payload is verified
-against its digest when it is read.
+kept apart from them. A join brings the original records back, headers and blocks as they were, and
+every record is verified when it is read: its payload by SHA-256 and by the digest of its header,
+its block by the header's length. A record's id is its page_id and the number of its row, so ids of
+repeated or null page_ids differ.
 
 Of records with equal payloads of at least min_bytes, the one with the smallest page_id (null
 last, then the row read first) is a response and the others revisit it. Null html is the empty
 payload. Line ends in a url are percent-encoded; a null url gives a record without target. A
-repeated row is a record of its own, and revisits the first. An empty table gives an empty archive.
+repeated row is a record of its own, and revisits the first. Html of any length is one payload, never
+cut; it has to fit a row. An empty table gives an empty archive.
 Further columns of the input are not read.
 
 Copies of one payload meet map-side first. Narrow rows of frequent digests are joined by broadcast
@@ -35,23 +38,23 @@ def sha1_base32(payload: Column) -> Column:
     return F.translate(F.concat(*groups), _CONV, BASE32)
 
 
-def _record_id(page_id: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("none")), F.lit(">"))
+def _record_id(page_id: Column, row: Column) -> Column:
+    return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("none")), F.lit(":"), row.cast("string"), F.lit(">"))
 
 
 def header(date: str) -> Column:
-    """The header lines of a record from page_id, url, _bytes, _sha1, record_type, refers_to, _revisits_null."""
+    """The header lines of a record from page_id, url, _row, _bytes, _sha1, record_type, refers_to, _refers_row."""
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     uri = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
     revisit = F.col("record_type") == "revisit"
     return F.concat(
         F.lit("WARC/1.1\r\n"),
         line("WARC-Type", F.col("record_type")),
-        line("WARC-Record-ID", _record_id(F.col("page_id"))),
+        line("WARC-Record-ID", _record_id(F.col("page_id"), F.col("_row"))),
         line("WARC-Date", F.lit(date)),
         F.coalesce(line("WARC-Target-URI", uri), F.lit("")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("_sha1"))),
-        F.when(revisit, F.concat(line("WARC-Refers-To", _record_id(F.col("refers_to"))), line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")))).otherwise(""),
+        F.when(revisit, F.concat(line("WARC-Refers-To", _record_id(F.col("refers_to"), F.col("_refers_row"))), line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")))).otherwise(""),
         line("Content-Type", F.lit("text/html; charset=utf-8")),
         line("Content-Length", F.when(revisit, F.lit("0")).otherwise(F.col("_bytes").cast("string"))),
         F.lit("\r\n"),
@@ -70,21 +73,34 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0, date: str = "1970-0
     stored.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/payloads")
     joined = hot_join(narrow, first, "sha256", "copies", narrow.count())
     revisit = (F.col("_bytes") >= min_bytes) & (F.col("_row") != F.col("_first._row"))
-    typed = joined.withColumn("record_type", F.when(revisit, "revisit").otherwise("response")).withColumn("refers_to", F.when(revisit, F.col("_first.page_id")))
+    typed = joined.withColumn("record_type", F.when(revisit, "revisit").otherwise("response")).withColumns({"refers_to": F.when(revisit, F.col("_first.page_id")), "_refers_row": F.when(revisit, F.col("_first._row"))})
     typed.select("page_id", header(date).alias("header"), "sha256", "copies").write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/headers")
 
 
 def read(spark: SparkSession, folder: str, salt_rows: int = 2_000) -> DataFrame:
-    """The original records: page_id, header, payload (a revisit's is that of the record it refers to), and record_type, refers_to from the header."""
+    """The original records: page_id, header, payload (a revisit's is that of the record it refers to), its digest, record (the bytes of the whole record), and record_type, refers_to from the header."""
     salts = F.ceil(F.col("copies") / salt_rows).cast("int")
     heads = spark.read.schema(HEADERS).parquet(f"{folder}/headers").withColumn("_salt", F.pmod(F.xxhash64("page_id", "header"), salts.cast("long")).cast("int")).drop("copies")
     bad = F.raise_error(F.concat(F.lit("payload does not match its digest: "), F.col("sha256"))).cast("binary")
     stored = spark.read.schema(PAYLOADS).parquet(f"{folder}/payloads")
     stored = stored.withColumn("payload", F.when(F.sha2("payload", 256) == F.col("sha256"), F.col("payload")).otherwise(bad))
     stored = stored.select("sha256", "payload", F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt"))
-    rows = heads.join(stored, ["sha256", "_salt"])
-    refers = F.regexp_extract("header", r"\r\nWARC-Refers-To: <urn:page:(-?\d+)>", 1)
-    return rows.select("page_id", "header", "payload", F.regexp_extract("header", r"\r\nWARC-Type: (\w+)", 1).alias("record_type"), F.when(refers != "", refers.cast("long")).alias("refers_to"))
+    said = lambda name, value: F.regexp_extract("header", rf"\r\n{name}: {value}\r\n", 1)
+    rows = heads.join(stored, ["sha256", "_salt"]).withColumns({"digest": sha1_base32(F.col("payload")), "record_type": said("WARC-Type", r"(\w+)")})
+    block = F.when(F.col("record_type") == "revisit", F.lit("").cast("binary")).otherwise(F.col("payload"))
+    whole = (said("WARC-Payload-Digest", r"sha1:(\w+)") == F.col("digest")) & (said("Content-Length", r"(\d+)") == F.octet_length(block).cast("string"))
+    broken = F.raise_error(F.concat(F.lit("record does not match its header: "), F.col("header")))
+    sound = lambda value, kind: F.when(whole, value).otherwise(broken.cast(kind))
+    refers = said("WARC-Refers-To", r"<urn:page:(-?\d+):\d+>")
+    return rows.select(
+        "page_id",
+        "header",
+        sound(F.col("payload"), "binary").alias("payload"),
+        sound(F.col("digest"), "string").alias("digest"),
+        sound(F.concat(F.col("header").cast("binary"), block, F.lit("\r\n\r\n").cast("binary")), "binary").alias("record"),
+        "record_type",
+        F.when(refers != "", refers.cast("long")).alias("refers_to"),
+    )
 
 
 ORACLE = """
