@@ -120,15 +120,24 @@ c AS (SELECT *, CAST(sum(source_size) OVER () - sum(cap) OVER o + cap AS BIGINT)
                 CAST(sum(w) OVER () - sum(w) OVER o + w AS BIGINT) AS weights
       FROM r WINDOW o AS (ORDER BY cap / w, turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 f AS (SELECT rest AS l_rest, weights AS l_weights FROM c WHERE rest * w <= cap * weights ORDER BY cap / w, turn LIMIT 1),
-t AS (SELECT source, source_size,
+t AS (SELECT source, source_size, turn,
              CASE WHEN rest * w <= cap * weights THEN CAST(l_rest * w AS DOUBLE) / CAST(l_weights AS DOUBLE)
                   ELSE CAST(cap AS DOUBLE) END AS target
       FROM c CROSS JOIN f),
-o AS (SELECT doc_id, size, source_size, target, CAST(floor(target + 0.5) AS BIGINT) AS quota,
+o AS (SELECT doc_id, size, source_size, target, turn, CAST(floor(target + 0.5) AS BIGINT) AS quota,
              CAST(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS BIGINT) AS start
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       greatest(0, least(size, quota - start)) + greatest(0, least(size, quota - start - source_size))
-       + greatest(0, least(size, quota - start - 2 * source_size)) AS taken
-FROM o
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+w AS (SELECT *, greatest(0, least(size, quota - start)) AS w0, greatest(0, least(size, quota - start - source_size)) AS w1,
+             greatest(0, least(size, quota - start - 2 * source_size)) AS w2,
+             CAST(start AS DOUBLE) / CAST(greatest(quota, 1) AS DOUBLE) AS share FROM o)
+SELECT doc_id, size, source_size, target, w0 + w1 + w2 AS taken,
+       CAST((w0 > 0) AS BIGINT) + CAST((w1 > 0) AS BIGINT) + CAST((w2 > 0) AS BIGINT) AS n_copies,
+       CASE WHEN w0 <= 0 THEN NULL
+            WHEN share <= 0 THEN 0.0::DOUBLE
+            WHEN turn % 3 = 1 THEN 2.0::DOUBLE * share / (0.5::DOUBLE + sqrt(0.25::DOUBLE + 2.0::DOUBLE * share))
+            WHEN turn % 3 = 2 THEN share
+            WHEN share <= 0.625::DOUBLE THEN 2.0::DOUBLE * share / (1.5::DOUBLE + sqrt(2.25::DOUBLE - 2.0::DOUBLE * share))
+            ELSE 0.5::DOUBLE + 2.0::DOUBLE * (share - 0.625::DOUBLE) / (1.0::DOUBLE + sqrt(1.0::DOUBLE - 2.0::DOUBLE * (share - 0.625::DOUBLE)))
+       END AS position
+FROM w
 """

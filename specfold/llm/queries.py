@@ -32,15 +32,16 @@ def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curriculum.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    rows = curriculum.plan(table(spark, sf_dir, "documents"))
+    narrow = rows.select("doc_id", "size", "source_size", "target", "taken", F.size("copies").cast("long").alias("n_copies"), F.get("copies", F.lit(0))["position"].alias("position"))
+    return narrow.orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark)
     warc.write(table(spark, sf_dir, "pages"), folder)
     records = warc.read(spark, folder)
-    digest = warc.sha1_base32(F.col("payload"))
-    return records.select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), digest.alias("payload_digest"), "record_type", "refers_to")
+    return records.select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to")
 
 
 def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:

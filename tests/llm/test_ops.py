@@ -247,7 +247,20 @@ def test_warc(spark, tmp_path):
             assert r["page_id"] == first[text] and r["refers_to"] is None and f"Content-Length: {len(bytes(r['payload']))}\r\n" in r["header"]
         else:
             assert r["refers_to"] == first[text] and "Content-Length: 0\r\n" in r["header"]
+        block = b"" if r["record_type"] == "revisit" else bytes(r["payload"])
+        assert bytes(r["record"]) == r["header"].encode() + block + b"\r\n\r\n" and r["digest"] == digest
     assert Counter(r["record_type"] for r in got) == {"response": 4, "revisit": 4}
+    ids = {re.search(r"WARC-Record-ID: (\S+)", r["header"])[1]: r for r in got}
+    assert len(ids) == len(rows)  # repeated and null page_ids too
+    for r in got:
+        if r["record_type"] == "revisit":
+            to = ids[re.search(r"WARC-Refers-To: (\S+)", r["header"])[1]]
+            assert to["record_type"] == "response" and to["page_id"] == r["refers_to"] and to["payload"] == r["payload"]
+    heads = spark.read.parquet(str(tmp_path / "a" / "headers"))
+    heads.withColumn("header", F.regexp_replace("header", "Content-Length: 4\r", "Content-Length: 5\r")).write.parquet(str(tmp_path / "d" / "headers"))
+    spark.read.parquet(str(tmp_path / "a" / "payloads")).write.parquet(str(tmp_path / "d" / "payloads"))
+    with pytest.raises(Exception, match="does not match its header"):
+        warc.read(spark, str(tmp_path / "d")).collect()
     assert spark.read.parquet(str(tmp_path / "a" / "payloads")).count() == 4
     warc.write(pages, str(tmp_path / "b"), min_bytes=3)
     assert Counter(r["record_type"] for r in warc.read(spark, str(tmp_path / "b")).collect()) == {"response": 5, "revisit": 3}
