@@ -50,9 +50,10 @@ def _source_key() -> Column:
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...], max_repeats: int) -> DataFrame:
-    """sized: _source, source, _size. One row a source: _source, _turn (its place), source_size, target."""
-    own = sized.groupBy("_source").agg(F.first("source").alias("_name"), F.sum("_size").alias("source_size"))
-    place = F.row_number().over(Window.orderBy(F.col("_name").asc_nulls_last())) - 1
+    """sized: _source, _size. One row a source: _source, _turn (its place), source_size, target."""
+    own = sized.groupBy("_source").agg(F.sum("_size").alias("source_size"))
+    name = F.when(F.col("_source").startswith("s"), F.substr("_source", F.lit(2)))
+    place = F.row_number().over(Window.orderBy(name.asc_nulls_last())) - 1
     w = F.element_at(F.array(*map(F.lit, weights)), (F.col("_turn") % len(weights) + 1).cast("int")).cast("long")
     rows = own.withColumn("_turn", place).withColumn("_w", w).withColumn("_cap", max_repeats * F.col("source_size"))
     order = Window.orderBy(F.col("_cap") / F.col("_w"), "_turn").rowsBetween(Window.unboundedPreceding, 0)
@@ -75,10 +76,10 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, schedules: tuple =
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = kept.withColumns({"_source": _source_key(), "_size": F.regexp_count(text, F.lit(WORD)).cast("long"), "_hash": F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), "_tie": F.xxhash64(text)})
     rows = rows.withColumn("_bucket", F.substring("_hash", 1, digits))
-    sized = rows.select("_source", "source", "_size", "_bucket")
-    buckets = sized.groupBy("_source", "_bucket").agg(F.sum("_size").alias("_sum"))
+    # read twice, for the order and for the targets, but made once: both have the same exchange
+    buckets = rows.groupBy("_source", "_bucket").agg(F.sum("_size").alias("_sum"))
     before = F.sum("_sum").over(Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_sum")
-    goal = targets(sized, weights, max_repeats)
+    goal = targets(buckets.select("_source", F.col("_sum").alias("_size")), weights, max_repeats)
     starts = buckets.select("_source", "_bucket", before.alias("_before")).join(goal, "_source")
     inside = Window.partitionBy("_source", "_bucket").orderBy("_hash", F.col("doc_id"), "_size", "_tie").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.join(starts, ["_source", "_bucket"]).withColumn("_start", F.col("_before") + F.sum("_size").over(inside) - F.col("_size"))
