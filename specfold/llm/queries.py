@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specfold.llm import chosenpath, curriculum, feistel, fm, imatch, multiindex, packing, records, trigrams, warc
+from specfold.llm import chosenpath, curriculum, feistel, fm, imatch, infill, multiindex, packing, records, trigrams, warc
 from specfold.llm.common import prepared_session, work_dir
 
 
@@ -99,6 +99,13 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosenpath.join(table(spark, sf_dir, "documents"))
 
 
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = infill.arrange(table(spark, sf_dir, "documents"))
+    chars = lambda part: F.char_length(part).cast("long").alias(f"{part}_chars")
+    back = infill.restored(F.col("output"), F.col("form"))
+    return rows.select("doc_id", "n", "form", chars("prefix"), chars("middle"), F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_imatch": op2_imatch,
@@ -110,5 +117,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_secrets": op9_secrets,
     "op10_jaccard": op10_jaccard,
+    "op11_infill": op11_infill,
 }
-ORACLES: dict[str, str] = {"op2_imatch": imatch.ORACLE, "op3_mixing": curriculum.ORACLE, "op4_warc": warc.ORACLE, "op5_embeddings": multiindex.ORACLE, "op9_secrets": trigrams.ORACLE, "op10_jaccard": chosenpath.ORACLE}
+ORACLES: dict[str, str] = {"op2_imatch": imatch.ORACLE, "op3_mixing": curriculum.ORACLE, "op4_warc": warc.ORACLE, "op5_embeddings": multiindex.ORACLE, "op9_secrets": trigrams.ORACLE, "op10_jaccard": chosenpath.ORACLE, "op11_infill": infill.ORACLE}
