@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specfold.llm import chosenpath, curriculum, feistel, fm, imatch, infill, multiindex, packing, records, trigrams, warc
+from specfold.llm import chosenpath, curriculum, feistel, fm, imatch, infill, multiindex, packing, records, sharding, trigrams, warc
 from specfold.llm.common import prepared_session, work_dir
 
 
@@ -106,6 +106,14 @@ def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n", "form", chars("prefix"), chars("middle"), F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_dir(spark)
+    sharding.write(table(spark, sf_dir, "documents"), folder)
+    text = F.coalesce(F.col("record.text"), F.lit("")).cast("binary")
+    rows = sharding.read(spark, folder).select(F.col("record.doc_id").alias("doc_id"), text.alias("text"), "shard", "slot")
+    return rows.select("doc_id", (F.octet_length("text") + 1).cast("long").alias("size"), F.crc32("text").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_imatch": op2_imatch,
@@ -118,5 +126,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secrets": op9_secrets,
     "op10_jaccard": op10_jaccard,
     "op11_infill": op11_infill,
+    "op12_sharding": op12_sharding,
 }
-ORACLES: dict[str, str] = {"op2_imatch": imatch.ORACLE, "op3_mixing": curriculum.ORACLE, "op4_warc": warc.ORACLE, "op5_embeddings": multiindex.ORACLE, "op9_secrets": trigrams.ORACLE, "op10_jaccard": chosenpath.ORACLE, "op11_infill": infill.ORACLE}
+ORACLES: dict[str, str] = {"op2_imatch": imatch.ORACLE, "op3_mixing": curriculum.ORACLE, "op4_warc": warc.ORACLE, "op5_embeddings": multiindex.ORACLE, "op9_secrets": trigrams.ORACLE, "op10_jaccard": chosenpath.ORACLE, "op11_infill": infill.ORACLE, "op12_sharding": sharding.ORACLE}
