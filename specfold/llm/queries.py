@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import secrets
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specfold.llm import chosenpath, curriculum, feistel, fm, imatch, infill, multiindex, packing, records, sharding, trigrams, warc
+from specfold.llm import chosenpath, curriculum, feistel, fm, imatch, infill, merkle, multiindex, packing, records, sharding, trigrams, warc
 from specfold.llm.common import prepared_session, work_dir
 
 
@@ -114,6 +115,18 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", (F.octet_length("text") + 1).cast("long").alias("size"), F.crc32("text").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every leaf and its proof; documents whose doc_id has a CRC-32 divisible by 3 are proved with their text in lower case."""
+    folder = work_dir(spark)
+    tampered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    shown = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, tampered).otherwise(F.col("text"))
+    seen = merkle.digest([shown if c == "text" else F.col(c) for c in merkle.COLUMNS])
+    merkle.write(table(spark, sf_dir, "documents"), folder, beside={"seen": seen})
+    rows = merkle.proofs(spark, folder)
+    rows = rows.select(F.col("doc").alias("doc_id"), F.col("digest").alias("leaf"), "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"), merkle.folded(F.col("path"), F.col("beside.seen")).alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_imatch": op2_imatch,
@@ -127,5 +140,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_jaccard": op10_jaccard,
     "op11_infill": op11_infill,
     "op12_sharding": op12_sharding,
+    "op13_manifest": op13_manifest,
 }
-ORACLES: dict[str, str] = {"op2_imatch": imatch.ORACLE, "op3_mixing": curriculum.ORACLE, "op4_warc": warc.ORACLE, "op5_embeddings": multiindex.ORACLE, "op9_secrets": trigrams.ORACLE, "op10_jaccard": chosenpath.ORACLE, "op11_infill": infill.ORACLE, "op12_sharding": sharding.ORACLE}
+ORACLES: dict[str, str] = {"op2_imatch": imatch.ORACLE, "op3_mixing": curriculum.ORACLE, "op4_warc": warc.ORACLE, "op5_embeddings": multiindex.ORACLE, "op9_secrets": trigrams.ORACLE, "op10_jaccard": chosenpath.ORACLE, "op11_infill": infill.ORACLE, "op12_sharding": sharding.ORACLE, "op13_manifest": merkle.ORACLE}
