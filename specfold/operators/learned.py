@@ -15,8 +15,8 @@ from specfold.errors import NoDataError, SchemaError
 from specfold.functions import arrays as A
 from specfold.functions import kernels as K
 from specfold.operators.kernel_ops import block_of, lists_of, map_arrays
+from specfold.operators.modelled import GROUP, MOST_BYTES, by_model
 
-GROUP = ("mission_id", "telescop")
 MODEL = "mission_id string, telescop string, n_rows long, mean array<double>, components array<array<double>>, variance array<double>, ratio array<double>, ch_first int, ch_last int"
 
 
@@ -172,25 +172,23 @@ def _model(row: dict, k: int | None = None) -> K.Model:
     return K.Model(np.array(row["mean"]), parts, np.array(row["variance"])[:k], np.array(row["ratio"])[:k], row["ch_first"], row["ch_last"])
 
 
-def correct(rows: DataFrame, models: DataFrame, gates: K.Gates = K.Gates(), n_components: int | None = None, masks: bool = False, cutoffs: bool = False, protect: bool = False, most_broadcast: int = 20_000, spectrum: str = "spectrum") -> DataFrame:
+def correct(rows: DataFrame, models: DataFrame, gates: K.Gates = K.Gates(), n_components: int | None = None, masks: bool = False, cutoffs: bool = False, protect: bool = False, most_bytes: int = MOST_BYTES, spectrum: str = "spectrum") -> DataFrame:
     """Subtracts each row's components. Adds n_used, the components used; rows without a model stay as they are, with null.
 
     rows: row_id, mission_id, telescop, spectrum, and for masks fit_mask, line_mask (arrays of booleans: never fitted nor
-    subtracted; not fitted, and not subtracted if protect). models: as fitted; for cutoffs with an array of limits.
+    subtracted; not fitted, and not subtracted if protect). models: as fitted; for cutoffs with an array of limits. Models of at
+    most most_bytes are broadcast; more meet their rows in sorted streams, one at a time.
     """
-    if models.limit(most_broadcast + 1).count() > most_broadcast:
-        return _joined_correct(rows, models, gates, n_components, masks, cutoffs, protect, spectrum)
-    table = models.toArrow().to_pylist()  # at most most_broadcast models, one a flight and pixel
-    sent = rows.sparkSession.sparkContext.broadcast({(m["mission_id"], m["telescop"]): (_model(m, n_components), m.get("cutoffs") if cutoffs else None) for m in table})
     names = rows.columns
-    work = rows.withColumn(spectrum, A.as_doubles(spectrum)).withColumn("n_used", F.lit(None).cast("long"))
+    work = rows.withColumn(spectrum, A.as_doubles(spectrum))
+    schema = work.withColumn("n_used", F.lit(None).cast("long")).schema
+    parse = lambda m: (_model(m, n_components), m.get("cutoffs") if cutoffs else None)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                yield _corrected(batch.slice(at, 2048), sent.value, gates, masks, protect, spectrum, names)
+    def kernel(part: pa.RecordBatch, model: tuple | None) -> pa.RecordBatch:
+        key = tuple(part.column(c)[0].as_py() for c in GROUP)
+        return _corrected(part, {} if model is None else {key: model}, gates, masks, protect, spectrum, names)
 
-    return work.mapInArrow(run, work.schema)
+    return by_model(work, models, parse, kernel, schema, most_bytes)
 
 
 def _corrected(part: pa.RecordBatch, known: dict, gates: K.Gates, masks: bool, protect: bool, spectrum: str, names: list[str]) -> pa.RecordBatch:
@@ -217,26 +215,6 @@ def _corrected(part: pa.RecordBatch, known: dict, gates: K.Gates, masks: bool, p
     return pa.RecordBatch.from_arrays([*columns, pa.array(used, pa.int64())], [*names, "n_used"])
 
 
-def _joined_correct(rows, models, gates, n_components, masks, cutoffs, protect, spectrum) -> DataFrame:
-    """For more models than may be broadcast: rows meet their model by a cogroup on flight and pixel, cut into slices by row id."""
-    names = rows.columns
-    slices = 64
-    work = rows.withColumn(spectrum, A.as_doubles(spectrum)).withColumn("_slice", F.pmod(F.xxhash64("row_id"), F.lit(slices)))
-    keyed = models.withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))))
-    schema = rows.withColumn(spectrum, A.as_doubles(spectrum)).withColumn("n_used", F.lit(None).cast("long")).schema
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        known = {(m["mission_id"], m["telescop"]): (_model(m, n_components), m.get("cutoffs") if cutoffs else None) for m in right.to_pylist()}
-        return pa.Table.from_batches([_corrected(b, known, gates, masks, protect, spectrum, names) for b in left.combine_chunks().to_batches(2048)], schema=None) if left.num_rows else _empty(left, names, spectrum)
-
-    keys = [*GROUP, "_slice"]
-    return work.groupBy(*keys).cogroup(keyed.groupBy(*keys)).applyInArrow(run, schema)
-
-
-def _empty(table: pa.Table, names: list[str], spectrum: str) -> pa.Table:
-    return table.select(names).append_column("n_used", pa.array([], pa.int64()))
-
-
 def detect_lines(rows: DataFrame, window: tuple[int, int], kernel: int = 21, factor: float = 1.5, spectrum: str = "spectrum", block: int = 4_096) -> DataFrame:
     """rows: row_id, mission_id, telescop, scan, spectrum. row_id, line_mask, n_line for the rows of all groups, detected group by group.
 
@@ -362,24 +340,25 @@ def reference_groups(reference: DataFrame, spectrum: str = "spectrum") -> DataFr
     return settled.mapInArrow(means, "mission_id string, telescop string, n_rows long, ch_first int, ch_last int, means array<double>")
 
 
-def row_coefficients(rows: DataFrame, models: DataFrame, gates: K.Gates = K.Gates(), spectrum: str = "spectrum") -> DataFrame:
-    """Each row's coefficients and noise ratios: row_id, mission_id, telescop, component, coefficient, ratio. Models meet their rows by broadcast if they are few, else by a join."""
-    few = models.select(*GROUP, "components", "ch_first", "ch_last")
-    few = F.broadcast(few) if models.limit(20_001).count() <= 20_000 else few
-    both = rows.select("row_id", *GROUP, A.as_doubles(spectrum).alias("s")).join(few, list(GROUP))
+def row_coefficients(rows: DataFrame, models: DataFrame, gates: K.Gates = K.Gates(), spectrum: str = "spectrum", most_bytes: int = MOST_BYTES) -> DataFrame:
+    """Each row's coefficients and noise ratios: row_id, mission_id, telescop, component, coefficient, ratio. Models meet their rows as in correct()."""
+    work = rows.select("row_id", *GROUP, A.as_doubles(spectrum).alias("s"))
     names = ["row_id", *GROUP, "component", "coefficient", "ratio"]
+    kinds = (pa.int64(), pa.string(), pa.string(), pa.int32(), pa.float64(), pa.float64())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, at, y in _group_blocks(batch):
-                one = int(at[0])
-                parts = np.array(batch.column("components")[one].as_py(), np.float64)
-                y = y[:, batch.column("ch_first")[one].as_py() : batch.column("ch_last")[one].as_py() + 1]
-                ids, place, coefficient, ratio = K.fitted(y, parts, gates)
-                if len(ids):
-                    yield pa.RecordBatch.from_arrays([batch.column("row_id").take(pa.array(at[ids])), *(pa.array([k] * len(ids), pa.string()) for k in key), pa.array(place, pa.int32()), pa.array(coefficient), pa.array(ratio)], names)
-
-    return both.mapInArrow(run, "row_id long, mission_id string, telescop string, component int, coefficient double, ratio double")
+    def parse(model: dict) -> tuple[np.ndarray, int, int]:
+        return np.array(model["components"], np.float64), model["ch_first"], model["ch_last"]
+
+    def kernel(part: pa.RecordBatch, model: tuple | None) -> pa.RecordBatch:
+        found: list[list] = [[] for _ in names]
+        for at, y in block_of(part.column("s")) if model else ():
+            ids, place, coefficient, ratio = K.fitted(y[:, model[1] : model[2] + 1], model[0], gates)
+            own = part.take(pa.array(at[ids], pa.int64()))
+            for values, more in zip(found, (*(own.column(c).to_pylist() for c in ("row_id", *GROUP)), place, coefficient, ratio), strict=True):
+                values.extend(more)
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(found, kinds, strict=True)], names)
+
+    return by_model(work, models.select(*GROUP, "components", "ch_first", "ch_last"), parse, kernel, "row_id long, mission_id string, telescop string, component int, coefficient double, ratio double", most_bytes)
 
 
 def noise_ratios(rows: DataFrame, models: DataFrame, gates: K.Gates = K.Gates(), spectrum: str = "spectrum") -> DataFrame:

@@ -159,8 +159,8 @@ def test_models_are_fitted_matched_and_subtracted(spark, tmp_path):
     rows = spark.createDataFrame(data, "row_id long, mission_id string, telescop string, scan int, spectrum array<double>")
     rows = S.baselined(rows, 1)
     models = learned.fit_models(rows, 1)
-    for how in (20_000, 0):  # broadcast, and cogrouped
-        out = learned.correct(rows, models, most_broadcast=how)
+    for how in (20_000, 0):  # broadcast, and streamed
+        out = learned.correct(rows, models, most_bytes=how)
         assert np.abs(np.array([r["spectrum"] for r in out.collect()])).max() < 0.2 and out.where("n_used = 1").count() == 60
     assert learned.correct(rows.withColumn("telescop", F.lit("PX09")), models).where("n_used is null").count() == 60
     again = learned.correct_with_lines(rows, models, (10, 30), str(tmp_path), rounds=1, overall=50.0)
