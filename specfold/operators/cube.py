@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from specfold.errors import SchemaError
 from specfold.functions import arrays as A
 from specfold.functions import kernels as K
+from specfold.operators import footprint
 from specfold.operators.kernel_ops import map_arrays
 
 
@@ -81,14 +82,11 @@ def in_polygon(points: Sequence[tuple[float, float]]) -> Column:
     return crossings % 2 == 1
 
 
-def eroded(map_: DataFrame, rings: int) -> DataFrame:
-    """Pixels with values whose neighbours, up to so many pixels in any direction, all have values."""
-    good = map_.where(A.is_finite(F.col("value")))
-    n = 2 * rings + 1
-    step = F.sequence(F.lit(-rings), F.lit(rings))
-    seen = good.select(F.explode(F.transform(step, lambda d: F.col("y") + d)).alias("y"), "x").select("y", F.explode(F.transform(step, lambda d: F.col("x") + d)).alias("x"))
-    whole = seen.groupBy("y", "x").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == n * n)
-    return good.join(whole.select("y", "x"), ["y", "x"], "left_semi")
+def eroded(map_: DataFrame, rings: int, shape: tuple[int, int] | None = None, folder: str | None = None) -> DataFrame:
+    """Pixels with values but the outermost so many rings; pixels round inner holes stay. shape: rows and columns of the frame, those of the map's last pixels if not given."""
+    if shape is None:
+        shape = tuple((n or 0) + 1 for n in map_.agg(F.max("y"), F.max("x")).first())
+    return footprint.trimmed(map_, rings, *shape, folder)
 
 
 def clipped(map_: DataFrame, low: float | None = None, high: float | None = None) -> DataFrame:
@@ -127,11 +125,14 @@ def compare_maps(maps: dict[str, DataFrame], filled: float = 0.0) -> DataFrame:
     return inside.select("name", (F.col("y") - F.col("_box.y0")).alias("y"), (F.col("x") - F.col("_box.x0")).alias("x"), "value")
 
 
-COLLAPSES = ("moment0", "moment1", "peak", "peak_range", "mean", "noise")
+COLLAPSES = ("moment0", "moment1", "peak", "peak_range", "mean", "noise", "weight")
+
 
+def collapse(cube: DataFrame, how: str, window: tuple[int, int], velocity: float = 0.0, deltav: float = 1.0, around: int = 2, least_snr: float | None = None, low: float | None = None, high: float | None = None, spectrum: str = "spectrum", trim: tuple[int, int, int] | None = None, folder: str | None = None) -> DataFrame:
+    """A cube's map by name, then cut by signal over noise, less the outer rings, and clipped: y, x, value.
 
-def collapse(cube: DataFrame, how: str, window: tuple[int, int], velocity: float = 0.0, deltav: float = 1.0, around: int = 2, least_snr: float | None = None, low: float | None = None, high: float | None = None, spectrum: str = "spectrum") -> DataFrame:
-    """A cube's map by name, then cut by signal over noise, and clipped: y, x, value."""
+    weight is the sum of the channels' weights (column weights) in the window, without channel width. trim: rings, and rows and columns of the frame.
+    """
     made = {
         "moment0": lambda: moment0(cube, window, deltav, spectrum),
         "moment1": lambda: moment1(cube, window, velocity, deltav, spectrum),
@@ -139,6 +140,7 @@ def collapse(cube: DataFrame, how: str, window: tuple[int, int], velocity: float
         "peak_range": lambda: peak_range(cube, window, around, deltav, spectrum),
         "mean": lambda: cube.select("y", "x", A.mean(_inside(spectrum, window)).alias("value")),
         "noise": lambda: noise_map(cube, window, spectrum),
+        "weight": lambda: cube.select("y", "x", A.total(_inside("weights", window)).alias("value")),
     }
     if how not in made:
         raise ValueError(f"no collapse {how}: {', '.join(COLLAPSES)}")
@@ -146,6 +148,8 @@ def collapse(cube: DataFrame, how: str, window: tuple[int, int], velocity: float
     if least_snr is not None:
         n = window[1] - window[0] + 1
         out = snr_masked(out, noise_map(cube, window, spectrum), least_snr, n if how == "moment0" else None, deltav if how == "moment0" else None).drop("snr")
+    if trim is not None:
+        out = eroded(out, trim[0], trim[1:], folder)
     return clipped(out, low, high).select("y", "x", "value")
 
 

@@ -8,7 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from specfold.functions.arrays import count_where, is_finite
+from specfold.functions.arrays import count_where, is_finite, scalar
+from specfold.operators.ranks import quantiles
 
 #: Calibration and reference classes that object filters leave alone.
 PROTECTED = ("SKYCHOPDIFF", "SKYDIFF", "SKY-DIFF", "TAU_SIG", "TSYS")
@@ -78,8 +79,8 @@ def valid(spectrum: str, least: int) -> Column:
 def percentile_limit(df: DataFrame, column: str, percent: float, limit: float, where: Column | None = None) -> DataFrame:
     """One row, `limit`: the percentile of the column's finite values, or the given limit if that is lower."""
     rows = df if where is None else df.where(where)
-    value = F.percentile(F.when(is_finite(F.col(column).cast("double")), F.col(column)), F.lit(percent / 100))
-    return rows.agg(F.least(value, F.lit(limit)).alias("limit"))
+    value = scalar(quantiles(rows, column, (percent / 100,)).select(F.col("values")[0]))
+    return df.sparkSession.range(1).select(F.least(value, F.lit(limit)).alias("limit"))
 
 
 def science_rows(object_column: str = "object", mode_column: str | None = None, contains: str | None = None, calibration: Iterable[str] = CALIBRATION) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from specfold.errors import NoDataError
 from specfold.functions import arrays as A
 from specfold.functions.groups import sorted_groups
+from specfold.operators import ranks
 from specfold.operators.kernel_ops import block_of, lists_of
 
 FWHM = 2.355
@@ -123,6 +124,31 @@ def noise_weight(ratio: str | None = None, rms: str | None = None) -> Column:
     return F.when(A.is_finite(v) & (v != 0), 1 / (v * v)).otherwise(F.lit(A.NAN))
 
 
+def with_inverse_weight(rows: DataFrame, column: str, name: str = "w") -> DataFrame:
+    """Weights for maps from a column of which less is better: the inverse of its size over the largest such; 0 where it is 0 or missing."""
+    v = F.abs(F.col(column))
+    raw = rows.withColumn("_inverse", F.when(A.is_finite(F.col(column)) & (v > 0), 1 / v).otherwise(0.0))
+    top = A.scalar(raw.agg(F.max("_inverse")))
+    return raw.withColumn(name, F.when(top > 0, F.col("_inverse") / top).otherwise(F.col("_inverse"))).drop("_inverse")
+
+
+def with_channel_quality(rows: DataFrame, calibration: DataFrame, window: tuple[int, int] | None = None, name: str = "quality", spectrum: str = "spectrum") -> DataFrame:
+    """Weights for maps from calibration: the sum over a row's channels (of the window, ends included) of (e^-tau / Tsys)^2, over the median of all rows that have one; 1 for the others.
+
+    rows: row_id, tsys_id, tau_id and others; calibration: row_id, spectrum. Channels without both, or with Tsys of 0 or less, add nothing.
+    """
+    cal = calibration.select(F.col("row_id").alias("_id"), F.col(spectrum).alias("_s"))
+    both = rows.join(cal.select(F.col("_id").alias("tsys_id"), F.col("_s").alias("_tsys")), "tsys_id", "left").join(cal.select(F.col("_id").alias("tau_id"), F.col("_s").alias("_tau")), "tau_id", "left")
+    pairs = F.arrays_zip(F.col("_tsys").alias("s"), F.col("_tau").alias("t"))
+    if window:
+        pairs = F.slice(pairs, window[0] + 1, window[1] - window[0] + 1)
+    good = F.filter(pairs, lambda p: A.is_finite(p["s"]) & A.is_finite(p["t"]) & (p["s"] > 0))
+    total = F.aggregate(good, F.lit(0.0), lambda a, p: a + F.pow(F.exp(-p["t"]) / p["s"], F.lit(2.0)))
+    raw = both.withColumn("_sum", F.when((total > 0) & A.is_finite(total), total)).drop("_tsys", "_tau")
+    middle = A.scalar(ranks.quantiles(raw.where("_sum is not null"), "_sum", (0.5,)).select(F.col("values")[0]))
+    return raw.withColumn(name, F.coalesce(F.col("_sum") / middle, F.lit(1.0))).drop("_sum")
+
+
 def channel_weights(rows: DataFrame, calibration: DataFrame, spectrum: str = "spectrum") -> DataFrame:
     """rows: row_id, tsys_id, tau_id; calibration: row_id, spectrum. Long form: row_id, pos, w = (e^-tau / Tsys)^2 over the channel's median; 1 where calibration is missing.
 
@@ -135,7 +161,7 @@ def channel_weights(rows: DataFrame, calibration: DataFrame, spectrum: str = "sp
     raw = F.transform(F.arrays_zip(F.col("_tsys").alias("s"), F.col("_tau").alias("t")), lambda p: F.pow(F.exp(-p["t"]) / p["s"], F.lit(2.0)))
     long = both.where(F.col("_tsys").isNotNull() & F.col("_tau").isNotNull()).select("row_id", F.posexplode(raw).alias("pos", "_w"))
     good = long.where(A.is_finite(F.col("_w")) & (F.col("_w") > 0))
-    middle = good.groupBy("pos").agg(F.percentile("_w", F.lit(0.5)).alias("_m"))
+    middle = ranks.quantiles(good, "_w", (0.5,), ["pos"]).select("pos", F.col("values")[0].alias("_m"))  # one row a channel
     return long.join(F.broadcast(middle), "pos", "left").select("row_id", "pos", F.when(A.is_finite(F.col("_w")) & (F.col("_w") > 0), F.col("_w") / F.col("_m")).otherwise(1.0).alias("w"))
 
 

@@ -16,6 +16,8 @@ from specfold.functions import arrays as A
 from specfold.functions import kernels as K
 from specfold.operators.kernel_ops import block_of, lists_of, map_arrays
 from specfold.operators.modelled import GROUP, MOST_BYTES, by_model
+from specfold.operators.ranks import quantiles
+from specfold.work import work_folder, written
 
 MODEL = "mission_id string, telescop string, n_rows long, mean array<double>, components array<array<double>>, variance array<double>, ratio array<double>, ch_first int, ch_last int"
 
@@ -110,7 +112,9 @@ def fit_models(reference: DataFrame, k: int, excluded: np.ndarray | None = None,
                         yield pa.RecordBatch.from_arrays([pa.array([c] * len(y), pa.string()) for c in key] + [pa.array(y[:, inner].mean(1))], [*GROUP, "score"])
 
         scores = known.mapInArrow(score, "mission_id string, telescop string, score double")
-        limits = scores.groupBy(*GROUP).agg(F.median("score").alias("middle"), F.stddev_pop("score").alias("sigma"))
+        scores = written(scores, f"{work_folder(reference.sparkSession)}/scores")
+        middles = quantiles(scores, "score", (0.5,), GROUP).select(*GROUP, F.col("values")[0].alias("middle"))
+        limits = middles.join(scores.groupBy(*GROUP).agg(F.stddev_pop("score").alias("sigma")), list(GROUP))
         inside = (F.col("sigma") <= 0) | (F.abs(F.col("score") - F.col("middle")) <= reject_sigma * F.col("sigma"))
         enough = scores.join(limits, list(GROUP)).where(inside).groupBy(*GROUP).agg(F.first("middle").alias("middle"), F.first("sigma").alias("sigma"), F.count(F.lit(1)).alias("_kept"))
         known = known.join(enough.where((F.col("_kept") >= max(k + 2, 10)) & (F.col("sigma") > 0)).drop("_kept"), list(GROUP), "left")

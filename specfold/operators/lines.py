@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from specfold.functions import arrays as A
 from specfold.functions import kernels as K
 from specfold.operators.kernel_ops import map_arrays
+from specfold.operators.ranks import quantiles
 from specfold.operators.spectra import average
+from specfold.work import work_folder, written
 
 METHODS = ("waterfall", "max", "centroid")
 
@@ -98,11 +100,12 @@ def peak_places(rows: DataFrame, spectrum: str = "spectrum") -> DataFrame:
 def aligned_mean(rows: DataFrame, keys: Iterable[str] = (), spectrum: str = "spectrum") -> DataFrame:
     """keys, pos, mean, n: the mean of a group's rows, shifted by parts of channels so that their peaks meet at the group's median peak.
 
-    The median is an aggregate and the mean is made of partial sums, so a group may have any number of rows.
+    The median is found in rounds of histograms and the mean is made of partial sums, so a group may have any number of rows.
     """
     keys = list(keys)
     placed = peak_places(rows.select(*keys, A.as_doubles(spectrum).alias("_s")), "_s")
-    middle = placed.groupBy(*keys).agg(F.median("peak").alias("_m"))
+    placed = written(placed, f"{work_folder(rows.sparkSession)}/placed")
+    middle = quantiles(placed, "peak", (0.5,), keys).select(*keys, F.col("values")[0].alias("_m"))
     both = placed.join(middle, keys) if keys else placed.withColumn("_m", A.scalar(middle))
     moved = map_arrays(both, "_s", lambda y, peak, m: K.moved_rows(y, peak - m), {"_s": "array<double>"}, ("peak", "_m"))
     return average(moved, keys, "_s").select(*keys, "pos", "mean", "n")

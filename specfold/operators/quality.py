@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from specfold.functions.arrays import is_finite, scalar
+from specfold.operators.ranks import quantiles
 
 C_LIGHT = 299792458.0
 #: A median absolute deviation times this is a normal deviation.
@@ -31,9 +32,14 @@ def top_values(rows: DataFrame, column: str, most: int) -> DataFrame:
 
 def metric_stats(rows: DataFrame, column: str, keys: Iterable[str] = ()) -> DataFrame:
     """Count, mean, median, population deviation, extremes and 5 and 95 % points of the finite values. Percentiles are exact."""
+    keys = list(keys)
     good = rows.where(is_finite(F.col(column).cast("double")))
-    at = lambda p: F.percentile(column, F.lit(p))
-    return good.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg(column).alias("mean"), at(0.5).alias("median"), F.stddev_pop(column).alias("std"), F.min(column).alias("least"), F.max(column).alias("most"), at(0.05).alias("p5"), at(0.95).alias("p95"))
+    sums = good.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg(column).alias("mean"), F.stddev_pop(column).alias("std"), F.min(column).alias("least"), F.max(column).alias("most"))
+    points = quantiles(good, column, (0.05, 0.5, 0.95), keys).select(*[F.col(k).alias(f"_{k}") for k in keys], "values")
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    both = sums.join(points, same, "left") if keys else sums.withColumn("values", scalar(points))
+    at = lambda i: F.col("values")[i]
+    return both.select(*keys, "n", "mean", at(1).alias("median"), "std", "least", "most", at(0).alias("p5"), at(2).alias("p95"))
 
 
 def metric_table(rows: DataFrame, scalars: Iterable[str] = (), arrays: Iterable[str] = ()) -> DataFrame:
@@ -81,9 +87,9 @@ def theoretical_rms(tsys: Column, on: Column, off: Column, tau: Column, elevatio
 
 
 def mad_flags(rows: DataFrame, column: str, sigmas: float, flag: str = "flag", least_rows: int = 0) -> DataFrame:
-    """Adds `threshold` = median + sigmas * 1.4826 * MAD of the finite values, and whether a value is above it. The medians are scalar subqueries, each of which reads the rows: write costly rows to a stage first."""
+    """Adds `threshold` = median + sigmas * 1.4826 * MAD of the finite values, and whether a value is above it. The medians are exact and found in rounds; each of the two reads the rows once: write costly rows to a stage first."""
     good = rows.where(is_finite(F.col(column))).select(F.col(column).alias("_x"))
-    middle = scalar(good.agg(F.struct(F.median("_x").alias("m"), F.count(F.lit(1)).alias("n"))))
-    spread = scalar(good.agg(F.median(F.abs(F.col("_x") - middle["m"]))))
+    middle = scalar(quantiles(good, "_x", (0.5,)).select(F.struct(F.col("values")[0].alias("m"), "n")))
+    spread = scalar(quantiles(good, F.abs(F.col("_x") - middle["m"]), (0.5,)).select(F.col("values")[0]))
     out = rows.withColumn("threshold", F.when(middle["n"] >= least_rows, middle["m"] + sigmas * MAD * spread))
     return out.withColumn(flag, F.coalesce(is_finite(F.col(column)) & (F.col(column) > F.col("threshold")), F.lit(False)))

@@ -16,6 +16,8 @@ from specfold.operators.axes import spectral_parameters
 from specfold.operators.filters import CALIBRATION, nan_fraction
 from specfold.operators.kernel_ops import map_arrays
 from specfold.operators.quality import C_LIGHT, MAD, mad_flags
+from specfold.operators.ranks import quantiles
+from specfold.work import work_folder, written
 
 
 def table_crpix(rows: DataFrame, column: str = "crpix1") -> DataFrame:
@@ -249,16 +251,17 @@ def whiteness_sweep(rows: DataFrame, widths: Iterable[int], sigmas: Iterable[flo
     widths, sigmas = list(widths), list(sigmas)
     scored = map_arrays(rows, spectrum, lambda y: tuple(K.whiteness(y, line_free, k) for k in widths) if len(widths) > 1 else K.whiteness(y, line_free, widths[0]), {f"_{k}": "double" for k in widths})
     long = scored.select(F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"_{k}").alias("x")) for k in widths]))).where(A.is_finite(F.col("x")))
-    middle = long.groupBy("k").agg(F.median("x").alias("m"), F.count(F.lit(1)).alias("n"))
-    spread = long.join(F.broadcast(middle), "k").groupBy("k", "m", "n").agg(F.median(F.abs(F.col("x") - F.col("m"))).alias("s"))
-    limits = spread.withColumn("z", F.explode(F.array(*[F.lit(float(z)) for z in sigmas]))).withColumn("threshold", F.when(F.col("n") >= least_rows, F.col("m") + F.col("z") * MAD * F.col("s")))
+    long = written(long, f"{work_folder(rows.sparkSession)}/scored")
+    middle = quantiles(long, "x", (0.5,), ["k"]).select("k", "n", F.col("values")[0].alias("m"))
+    spread = quantiles(long.join(F.broadcast(middle), "k"), F.abs(F.col("x") - F.col("m")), (0.5,), ["k"]).select("k", F.col("values")[0].alias("s"))
+    limits = middle.join(spread, "k").withColumn("z", F.explode(F.array(*[F.lit(float(z)) for z in sigmas]))).withColumn("threshold", F.when(F.col("n") >= least_rows, F.col("m") + F.col("z") * MAD * F.col("s")))
     # as many rows as widths times limits
     return long.join(F.broadcast(limits.select("k", "z", "n", "threshold")), "k").groupBy("k", "z", "n", "threshold").agg(F.count_if(F.col("x") > F.col("threshold")).alias("n_flagged"))
 
 
 def whiteness_flags(rows: DataFrame, k: int, sigmas: float, line_free: np.ndarray, spectrum: str = "spectrum") -> DataFrame:
     """Adds whiteness and whiteflag: 1 above the robust threshold, 0 below, -1 without a value or with fewer than 10 rows."""
-    scored = map_arrays(rows, spectrum, lambda y: K.whiteness(y, line_free, k), {"whiteness": "double"})
+    scored = written(map_arrays(rows, spectrum, lambda y: K.whiteness(y, line_free, k), {"whiteness": "double"}), f"{work_folder(rows.sparkSession)}/scored")
     flagged = mad_flags(scored, "whiteness", sigmas, "_f", 10)
     value = F.when(F.col("threshold").isNull() | ~A.is_finite(F.col("whiteness")), -1).otherwise(F.col("_f").cast("int"))
     return flagged.withColumn("whiteflag", value).drop("_f")
@@ -277,7 +280,7 @@ def group_excess(rows: DataFrame, key: str, window: tuple[int, int], sigmas: flo
     mean = average(marked, [key], spectrum, F.col("_w")).where((F.col("pos") < window[0]) | (F.col("pos") >= window[1]))
     noise = mean.groupBy(key).agg(F.stddev_pop("mean").alias("noise"))
     both = expected.join(noise, key).withColumn("excess", F.col("noise") / F.col("expected"))
-    return mad_flags(both, "excess", sigmas)
+    return mad_flags(written(both, f"{work_folder(rows.sparkSession)}/excess"), "excess", sigmas)
 
 
 def window_mean(spectrum: str, first: Column, last: Column) -> Column:

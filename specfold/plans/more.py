@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specfold.operators import axes, droprules, filters, provenance, quality
+from specfold.operators import axes, droprules, filters, footprint, provenance, quality
 from specfold.operators import cube as C
 from specfold.operators import grid as G
 from specfold.operators import spectra as S
@@ -87,14 +87,39 @@ def frequency_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.rescaled_frequency(rows, F.col("l_linenumber") + 1)
 
 
+#: Background that is joined to the frame's border, holes filled, and the n rings of a map m taken off.
+_FLOOD = """g AS (SELECT y, x FROM range(28) a(y), range(24) b(x) WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.y = a.y AND m.x = b.x)),
+o AS (SELECT y, x FROM g WHERE y IN (0, 27) OR x IN (0, 23) UNION SELECT g.y, g.x FROM o JOIN g ON abs(o.y - g.y) + abs(o.x - g.x) = 1),
+f AS (SELECT y, x FROM range(28) a(y), range(24) b(x) WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.y = a.y AND o.x = b.x)),
+e AS (SELECT a.y, a.x FROM f a JOIN f b ON abs(a.y - b.y) <= {n} AND abs(a.x - b.x) <= {n} GROUP BY a.y, a.x HAVING count(*) = (2 * {n} + 1) * (2 * {n} + 1))"""
+_HOLED = "NOT (x BETWEEN 10 AND 11 AND y = 12) AND NOT (x BETWEEN 5 AND 8 AND y BETWEEN 6 AND 9 AND NOT (x = 7 AND y = 8)) AND NOT (x >= 14 AND y = 9)"
+
+
 @query(f"""
-WITH {CELLS}, m AS (SELECT DISTINCT y, x FROM k WHERE NOT (x BETWEEN 10 AND 11 AND y = 12)),
-e AS (SELECT a.y, a.x FROM m a JOIN m b ON abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 GROUP BY a.y, a.x HAVING count(*) = 9)
-SELECT y, x FROM e WHERE pow(y - 14, 2) + pow(x - 12, 2) <= 64""")
+WITH RECURSIVE {CELLS}, m AS (SELECT DISTINCT y, x FROM k WHERE NOT (x BETWEEN 10 AND 11 AND y = 12)), {_FLOOD.format(n=1)}
+SELECT m.y, m.x FROM m JOIN e USING (y, x) WHERE pow(m.y - 14, 2) + pow(m.x - 12, 2) <= 64""")
 def map_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A hole, one ring eroded, and a circle."""
+    """A hole, one ring eroded off the outer edge, and a circle."""
     m = G.grid_map(samples(spark, sf_dir), FRAME, KERNEL).where("not (x between 10 and 11 and y = 12)")
-    return C.eroded(m, 1).where(C.in_circle(14, 12, 8)).select("y", "x")
+    return C.eroded(m, 1, (FRAME.ny, FRAME.nx)).where(C.in_circle(14, 12, 8)).select("y", "x")
+
+
+def _holed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A map with two inner holes, one of them round an island, and a cut that is open to the border."""
+    return G.grid_map(samples(spark, sf_dir), FRAME, KERNEL).where(_HOLED)
+
+
+@query(f"WITH RECURSIVE {CELLS}, m AS (SELECT DISTINCT y, x FROM k WHERE {_HOLED}), {_FLOOD.format(n=0)} SELECT CAST(f.y AS INTEGER) AS y, CAST(f.x AS INTEGER) AS x FROM f WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.y = f.y AND m.x = f.x)")
+def map_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Background that no path joins to the border; the strips are small, so that it is found over several rounds."""
+    return footprint.holes(_holed(spark, sf_dir).select("y", "x"), FRAME.ny, FRAME.nx, strip_pixels=240)
+
+
+@query(f"WITH RECURSIVE {CELLS}, v AS (SELECT y, x, sum(k * v) / sum(k) AS v FROM k GROUP BY y, x), m AS (SELECT y, x, v FROM v WHERE {_HOLED}), {_FLOOD.format(n=2)} SELECT m.y, m.x, {R6.format('v')} AS value FROM m JOIN e USING (y, x)")
+def map_trim_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The map less a border of eight per cent of its shorter side: two rings."""
+    rings = footprint.border_rings("8%", FRAME.pixel * 3600, FRAME.ny, FRAME.nx)
+    return C.eroded(_holed(spark, sf_dir), rings, (FRAME.ny, FRAME.nx)).select("y", "x", r6("value").alias("value"))
 
 
 @query(f"WITH {CELLS} SELECT DISTINCT y, x FROM k WHERE x > 3 AND x < 15 AND y > 2 AND y < 20 AND y < x + 8")
@@ -148,3 +173,40 @@ def noise_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     missions = spark.createDataFrame(MISSIONS, "mission_id string, telluric_line_center double, telluric_line_width double")
     rows = spectra(spark, sf_dir).withColumn("mission_id", F.col("mission").cast("string"))
     return S.noise_filled(rows, missions, 42, True).select("row_id", "spectrum")
+
+
+@query(f"""
+WITH {CELLS}, r AS (SELECT vec_id AS row_id, CASE WHEN vec_id % 9 = 0 THEN 0 ELSE 1 / abs(CAST(embedding[2] AS DOUBLE)) END AS r FROM embeddings), u AS (SELECT row_id, r / (SELECT max(r) FROM r) AS u FROM r)
+SELECT y, x, {R6.format('sum(k * u * v) / sum(k * u)')} AS value, {R6.format('sum(k * u)')} AS weight FROM k JOIN u USING (row_id) GROUP BY y, x HAVING sum(k * u) > 0""")
+def map_inverse_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A map weighted by the inverse size of a column, over its largest; every ninth row has none."""
+    rows = samples(spark, sf_dir).withColumn("noise", F.when(F.col("row_id") % 9 != 0, F.col("spectrum")[1]))
+    out = G.grid_map(G.with_inverse_weight(rows, "noise", "u"), FRAME, KERNEL, weight=F.col("u")).where("weight > 0")
+    return out.select("y", "x", r6("value").alias("value"), r6("weight").alias("weight"))
+
+
+@query(f"""
+WITH {CELLS}, c AS (SELECT vec_id AS row_id, i, 2000 + 100 * (vec_id % 7) + i AS s, CASE WHEN i = 3 THEN NULL ELSE 0.1 * (1 + vec_id % 5) END AS t FROM embeddings, range(64) r(i)),
+q AS (SELECT row_id, sum(pow(exp(-t) / s, 2)) AS q FROM c WHERE row_id % 4 <> 0 AND i BETWEEN 2 AND 40 GROUP BY row_id),
+w AS (SELECT s.row_id, coalesce(q / (SELECT quantile_cont(q, 0.5) FROM q), 1) AS u FROM (SELECT vec_id AS row_id FROM embeddings) s LEFT JOIN q USING (row_id))
+SELECT y, x, {R6.format('sum(k * u * v) / sum(k * u)')} AS value, {R6.format('sum(k * u)')} AS weight FROM k JOIN w USING (row_id) GROUP BY y, x""")
+def map_channel_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A map weighted by the sums of the calibration rows' channel weights, over their median; every fourth row has no calibration."""
+    rows = samples(spark, sf_dir)
+    cal = lambda k, f: rows.select("row_id", F.transform(F.sequence(F.lit(0), F.lit(63)), f).alias("spectrum")).withColumn("row_id", F.col("row_id") * 2 + k)
+    tsys = cal(0, lambda i: (2000 + 100 * (F.col("row_id") % 7) + i).cast("double"))
+    tau = cal(1, lambda i: F.when(i == 3, F.lit(float("nan"))).otherwise(0.1 * (1 + F.col("row_id") % 5)))
+    linked = rows.withColumns({"tsys_id": F.when(F.col("row_id") % 4 != 0, F.col("row_id") * 2), "tau_id": F.when(F.col("row_id") % 4 != 0, F.col("row_id") * 2 + 1)})
+    out = G.grid_map(G.with_channel_quality(linked, tsys.unionByName(tau), (2, 40)), FRAME, KERNEL, weight=F.col("quality"))
+    return out.select("y", "x", r6("value").alias("value"), r6("weight").alias("weight"))
+
+
+@query(f"""WITH RECURSIVE {CELLS}, z AS (SELECT vec_id AS row_id, i, CASE WHEN vec_id % 7 = 0 AND i % 5 = 0 THEN 0 ELSE 1 END AS has FROM embeddings, range(64) r(i)),
+d AS (SELECT y, x, sum(k * w * has) AS s FROM k JOIN z USING (row_id) WHERE i BETWEEN 28 AND 36 GROUP BY y, x), m AS (SELECT y, x, s FROM d WHERE {_HOLED}), {_FLOOD.format(n=1)}
+SELECT m.y, m.x, {R6.format('s')} AS value FROM m JOIN e USING (y, x)""")
+def collapse_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum of the channels' weights over a window, in a cube of spectra with holes; one outer ring trimmed, the map's own holes kept apart."""
+    rows = samples(spark, sf_dir).drop("spectrum").join(spectra(spark, sf_dir, True).select("row_id", "spectrum"), "row_id")
+    cube = G.grid_cube(rows, FRAME, KERNEL, weight=F.col("w")).where(_HOLED)
+    out = C.collapse(cube, "weight", (28, 36), trim=(1, FRAME.ny, FRAME.nx))
+    return out.select("y", "x", r6("value").alias("value"))
