@@ -11,16 +11,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from specfold.errors import NoDataError, SchemaError
+from specfold.errors import NoDataError
 from specfold.functions import arrays as A
 from specfold.functions import kernels as K
 from specfold.operators.kernel_ops import block_of, lists_of, map_arrays
 from specfold.operators.modelled import GROUP, MOST_BYTES, by_model
 from specfold.operators.ranks import quantiles
+from specfold.operators.separations import wide_components
 from specfold.work import work_folder, written
 
 MODEL = "mission_id string, telescop string, n_rows long, mean array<double>, components array<array<double>>, variance array<double>, ratio array<double>, ch_first int, ch_last int"
 
+_MODEL_KINDS = (pa.string(), pa.string(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.list_(pa.float64())), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.int32(), pa.int32())
+#: Up to so many channels components come from triangular factors (channels squared numbers), beyond by subspace iterations.
+WIDE_CHANNELS = 4_096
+
 
 def _stack(column: pa.ChunkedArray) -> np.ndarray:
     parts = block_of(column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column)
@@ -83,15 +88,17 @@ def _settled(rows: DataFrame, nan_below: float = 0.2) -> DataFrame:
     return partial.groupBy(*GROUP).applyInArrow(settle, "mission_id string, telescop string, n_rows long, size int, ch_first int, ch_last int, means binary")
 
 
-def fit_models(reference: DataFrame, k: int, excluded: np.ndarray | None = None, core: tuple[int, int] | None = None, smooth: int = 1, reject_sigma: float | None = None, spectrum: str = "spectrum") -> DataFrame:
+def fit_models(reference: DataFrame, k: int, excluded: np.ndarray | None = None, core: tuple[int, int] | None = None, smooth: int = 1, reject_sigma: float | None = None, spectrum: str = "spectrum", wide_channels: int = WIDE_CHANNELS) -> DataFrame:
     """reference: mission_id, telescop, spectrum. One row a group with its model; groups without enough rows have none.
 
     All rows of a group are fitted, whatever their number: tasks add up channel sums, then triangular factors of
     the levelled rows, at most channels squared numbers a group, whose singular vectors are those of the rows.
+    Groups of more than wide_channels channels are fitted by subspace iterations, which hold channels times components numbers.
     Rows too far from the median score leave, by a pass of their own, with reject_sigma. n_rows tells how many it saw.
     """
     rows = _reference_groups(reference, spectrum)
-    settled = _settled(rows)
+    folder = work_folder(reference.sparkSession)
+    settled = written(_settled(rows), f"{folder}/settled")
     known = rows.join(settled, list(GROUP)).where(F.size("s") == F.col("size"))
 
     def level(batch: pa.RecordBatch) -> Iterator[tuple[tuple, int, np.ndarray, np.ndarray, np.ndarray, int, int]]:
@@ -112,7 +119,7 @@ def fit_models(reference: DataFrame, k: int, excluded: np.ndarray | None = None,
                         yield pa.RecordBatch.from_arrays([pa.array([c] * len(y), pa.string()) for c in key] + [pa.array(y[:, inner].mean(1))], [*GROUP, "score"])
 
         scores = known.mapInArrow(score, "mission_id string, telescop string, score double")
-        scores = written(scores, f"{work_folder(reference.sparkSession)}/scores")
+        scores = written(scores, f"{folder}/scores")
         middles = quantiles(scores, "score", (0.5,), GROUP).select(*GROUP, F.col("values")[0].alias("middle"))
         limits = middles.join(scores.groupBy(*GROUP).agg(F.stddev_pop("score").alias("sigma")), list(GROUP))
         inside = (F.col("sigma") <= 0) | (F.abs(F.col("score") - F.col("middle")) <= reject_sigma * F.col("sigma"))
@@ -167,8 +174,36 @@ def fit_models(reference: DataFrame, k: int, excluded: np.ndarray | None = None,
         }
         return pa.table(columns)
 
-    sums = known.drop("size").mapInArrow(partial, schema).withColumn("slot", F.pmod(F.spark_partition_id(), F.lit(32)))
-    return sums.groupBy(*GROUP, "slot").applyInArrow(merge, schema).groupBy(*GROUP).applyInArrow(finish, MODEL).where("mean is not null")
+    width = F.col("ch_last") - F.col("ch_first") + 1
+    narrow = known.where(width <= wide_channels)
+    sums = narrow.drop("size").mapInArrow(partial, schema).withColumn("slot", F.pmod(F.spark_partition_id(), F.lit(32)))
+    models = sums.groupBy(*GROUP, "slot").applyInArrow(merge, schema).groupBy(*GROUP).applyInArrow(finish, MODEL).where("mean is not null")
+    if settled.where(width > wide_channels).isEmpty():
+        return models
+
+    def levelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, one, y, out, inner, _, _ in level(batch):
+                if reject_sigma and (sigma := batch.column("sigma")[one].as_py()) is not None and inner.any():
+                    y = y[np.abs(y[:, inner].mean(1) - batch.column("middle")[one].as_py()) <= reject_sigma * sigma]
+                use = ~(out | inner)
+                if len(y) and use.sum() > 1:
+                    yield pa.RecordBatch.from_arrays([*(pa.array([c] * len(y), pa.string()) for c in key), lists_of(list(y[:, use]))], [*GROUP, "spectrum"])
+
+    def modelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for w in batch.to_pylist():
+                out, inner = K.zones(w["ch_first"], w["ch_last"], excluded, core)
+                mean = np.zeros(len(out))
+                mean[~(out | inner)] = w["mean"]
+                triangle = np.sqrt(np.array(w["variance"]) * (w["seen"] - 1))[:, None] * np.array(w["components"])
+                m = K.model_of((w["seen"], mean, triangle), k, out, inner, w["ch_first"], w["ch_last"], smooth)
+                values = [[w["mission_id"]], [w["telescop"]], [w["n_rows"]], [m.mean.tolist()], [m.components.tolist()], [m.variance.tolist()], [w["ratio"][: len(m.components)]], [m.first], [m.last]]
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, _MODEL_KINDS, strict=True)], [f.split()[0] for f in MODEL.split(", ")])
+
+    numbered = known.where(width > wide_channels).drop("size").mapInArrow(levelled, "mission_id string, telescop string, spectrum array<double>").withColumn("row_id", F.monotonically_increasing_id())
+    found = wide_components(numbered, k, folder=folder).withColumnRenamed("n_rows", "seen").join(settled.select(*GROUP, "n_rows", "ch_first", "ch_last"), list(GROUP))
+    return models.unionByName(found.mapInArrow(modelled, MODEL))
 
 
 def _model(row: dict, k: int | None = None) -> K.Model:
@@ -423,10 +458,10 @@ def pass_through(rows: DataFrame, overrides: DataFrame) -> tuple[DataFrame, Data
     return rows.join(skip, "mission_id", "left_anti"), rows.join(skip, "mission_id", "left_semi")
 
 
-def cube_components(cube: DataFrame, k: int, spectrum: str = "spectrum", most_channels: int = 4_096) -> tuple[np.ndarray, np.ndarray]:
+def cube_components(cube: DataFrame, k: int, spectrum: str = "spectrum", most_channels: int = WIDE_CHANNELS) -> tuple[np.ndarray, np.ndarray]:
     """Mean and first k components over a cube's spaxels, from the triangular factors of the rows that tasks add up: channels squared numbers, of one row, reach the driver.
 
-    Cubes of more than most_channels channels are refused; smooth or decimate them first.
+    Cubes of more than most_channels channels are taken by subspace iterations; k times their channels numbers reach the driver.
     """
     first = cube.select(F.size(spectrum).alias("n")).first()
     if first is None:
@@ -434,7 +469,11 @@ def cube_components(cube: DataFrame, k: int, spectrum: str = "spectrum", most_ch
     n = first["n"]
 
     if n > most_channels:
-        raise SchemaError(f"the cube has {n} channels, more than {most_channels}")
+        group = cube.select(F.monotonically_increasing_id().alias("row_id"), F.lit("cube").alias("mission_id"), F.lit("cube").alias("telescop"), F.col(spectrum).alias("spectrum")).where(F.size("spectrum") == n)
+        found = wide_components(group, k).first()
+        if found is None:
+            raise NoDataError("too few complete spaxels")
+        return np.array(found["mean"]), np.array(found["components"])
     every = np.ones(n, bool)
     kind = "n long, mean binary, triangle binary"
 

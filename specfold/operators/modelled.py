@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 GROUP = ("mission_id", "telescop")
 #: Models of at most so many bytes of numbers are broadcast; each worker process holds them once.
 MOST_BYTES = 64 << 20
-#: A kernel gets at most so many rows.
+#: A kernel gets at most so many rows, of about so many bytes.
 BLOCK_ROWS = 2048
+BLOCK_BYTES = 32 << 20
 #: A stream gets a group's rows in slices of about so many.
 SLICE_ROWS = 100_000
 
@@ -31,6 +32,10 @@ def runs_of(keys: list[tuple]) -> Iterator[tuple[tuple, list[int]]]:
     yield from of.items()
 
 
+def _step(batch: pa.RecordBatch) -> int:
+    return max(1, min(BLOCK_ROWS, BLOCK_BYTES // max(1, batch.nbytes // max(1, batch.num_rows))))
+
+
 def by_model(rows: DataFrame, models: DataFrame, parse: Callable[[dict], object], kernel: Callable[[pa.RecordBatch, object | None], pa.RecordBatch], schema, most_bytes: int = MOST_BYTES) -> DataFrame:
     """kernel(rows of one group, its parsed model or None) over all rows: row_id, mission_id, telescop and others.
 
@@ -47,8 +52,8 @@ def by_model(rows: DataFrame, models: DataFrame, parse: Callable[[dict], object]
                 keys = list(zip(*(batch.column(c).to_pylist() for c in GROUP), strict=True))
                 for key, places in runs_of(keys):
                     part = batch if len(places) == batch.num_rows else batch.take(pa.array(places))
-                    for i in range(0, part.num_rows, BLOCK_ROWS):
-                        yield kernel(part.slice(i, BLOCK_ROWS), sent.value.get(key))
+                    for i in range(0, part.num_rows, _step(batch)):
+                        yield kernel(part.slice(i, _step(batch)), sent.value.get(key))
 
         return rows.mapInArrow(look, schema)
 
@@ -73,8 +78,9 @@ def by_model(rows: DataFrame, models: DataFrame, parse: Callable[[dict], object]
                 if kinds[first] == 0:
                     held = (key, parse(batch.column("_model").slice(first, 1).to_pylist()[0]))
                     places = places[1:]
-                for i in range(0, len(places), BLOCK_ROWS):
-                    inner = batch.column("_row").take(pa.array(places[i : i + BLOCK_ROWS]))
+                step = _step(batch)
+                for i in range(0, len(places), step):
+                    inner = batch.column("_row").take(pa.array(places[i : i + step]))
                     part = pa.RecordBatch.from_arrays(inner.flatten(), [f.name for f in inner.type])
                     yield kernel(part, held[1] if held and held[0] == key else None)
 

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specfold.operators import rotation as R
+from specfold.operators import separations as P
 from specfold.plans.registry import query
-from specfold.plans.shapes import CHANNELS, rounded
+from specfold.plans.maps import _keyed
+from specfold.plans.shapes import _MODEL, CHANNELS, _models, rounded
 from specfold.plans.spectral import LONG, R6, long_form, r6, spectra
 
 #: Every fourth row is a reference, the others are science; two cosines and a mean are the model.
@@ -85,3 +87,30 @@ def rotation_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much the correction changes the coefficients' sizes."""
     science, models, found = _found(spark, sf_dir)
     return rounded(R.correction_strength(R.corrected(R.projected(science, models), found)).drop("telescop"), "before", "after", "change")
+
+
+@query(f"""
+WITH {_MODEL}, w AS (SELECT component, stddev_pop(p) OVER (PARTITION BY component ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS w, i, p FROM p),
+a AS (SELECT component, stddev_pop(p) / avg(w) FILTER (WHERE i <= {CHANNELS} - 8) AS score FROM w GROUP BY component), m AS (SELECT DISTINCT CAST(label % 3 AS VARCHAR) AS mission_id FROM embeddings)
+SELECT mission_id, CAST(component AS INTEGER) AS component, {R6.format('score')} AS score FROM a, m""")
+def component_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deviation of each component over that in windows of eight channels."""
+    return rounded(P.structure_scores(_models(spark, sf_dir), 8).drop("telescop"), "score")
+
+
+@query()
+def sparse_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three sparse components of each mission and pixel."""
+    return P.sparse_components(_keyed(spark, sf_dir), 3, 0.5)
+
+
+@query()
+def independent_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two independent components of each mission's rows."""
+    return P.independent_components(_keyed(spark, sf_dir).withColumn("telescop", F.lit("PX")), 2, tol=1e-4)
+
+
+@query()
+def wide_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three principal components of each mission's rows by subspace iteration."""
+    return P.wide_components(_keyed(spark, sf_dir).withColumn("telescop", F.lit("PX")), 3, tol=1e-6)
