@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from specfold.errors import PairingError
+from specfold.work import work_folder, written
 
 
-def link_calibration(science: DataFrame, calibration: DataFrame, by: Iterable[str] = ("mission_id", "scan"), name: str = "cal_id") -> DataFrame:
+def link_calibration(science: DataFrame, calibration: DataFrame, by: Iterable[str] = ("mission_id", "scan"), name: str = "cal_id", blocks: int | None = None, folder: str | None = None) -> DataFrame:
     """science: row_id, subscan, t and the keys; calibration: the same. Adds the linked calibration row's id, or null.
 
     Of the calibration rows with equal keys, the one taken in the subscan before comes first
     (smallest id), else the nearest in time (smallest id on ties); without times the smallest id.
     Nearest rows come from one pass up and one down the time order of each group, not from pairs:
-    each science row sees the last calibration before it and the first after it.
+    each science row sees the last calibration before it and the first after it. Rows are range-sorted by group and time into blocks
+    (as many as the shuffle makes, or `blocks`), so that a group of any size spreads over tasks; the last and first calibration of
+    each block are handed on to the blocks that follow and go before.
     """
     keys = list(by)
     cal = calibration.select(*keys, F.col("row_id").alias("_cal"), F.col("subscan").alias("_sub"), F.col("t").alias("_t"))
@@ -26,8 +29,16 @@ def link_calibration(science: DataFrame, calibration: DataFrame, by: Iterable[st
     wanted = science.where(F.col("t").isNotNull()).select(*keys, "t", "row_id")
     marks = timed.select(*keys, "t", F.lit(None).cast(wanted.schema["row_id"].dataType).alias("row_id"), F.struct("t", F.col("_cal").alias("id")).alias("_at"))
     line = wanted.withColumn("_at", F.lit(None).cast(marks.schema["_at"].dataType)).unionByName(marks)
-    seen = lambda order: F.last("_at", ignorenulls=True).over(Window.partitionBy(*keys).orderBy(order, F.col("row_id").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    at = [*keys, "t", "row_id"]
+    ranged = line.repartitionByRange(blocks, *at) if blocks else line.repartitionByRange(*at)
+    line = written(ranged.withColumn("_block", F.spark_partition_id()), f"{folder or work_folder(science.sparkSession)}/line")
+    ends = line.groupBy(*keys, "_block").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+    carried = lambda end, order: end.over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    hand = ends.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_block").alias("_b"), carried(F.max("_last"), F.col("_block").asc()).alias("_from"), carried(F.min("_first"), F.col("_block").desc()).alias("_to"))
+    seen = lambda order: F.last("_at", ignorenulls=True).over(Window.partitionBy(*keys, "_block").orderBy(order, F.col("row_id").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
     sides = line.withColumn("_up", seen(F.col("t").asc())).withColumn("_down", seen(F.col("t").desc())).where(F.col("row_id").isNotNull())
+    sides = sides.join(hand, [*[F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.col("_block") == F.col("_b")])
+    sides = sides.select("row_id", "t", F.coalesce("_up", "_from").alias("_up"), F.coalesce("_down", "_to").alias("_down"))
     gap = lambda side: F.struct(F.abs(F.col("t") - F.col(f"{side}.t")).alias("gap"), F.col(f"{side}.id").alias("id"))
     nearest = F.when(F.col("_up").isNull(), F.col("_down.id")).when(F.col("_down").isNull(), F.col("_up.id")).otherwise(F.least(gap("_up"), gap("_down"))["id"])
     out = science.join(before, [*keys, "subscan"], "left").join(sides.select("row_id", nearest.alias("_nearest")), "row_id", "left").join(lowest, keys, "left")

@@ -106,11 +106,11 @@ def sparse_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def independent_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two independent components of each mission's rows."""
-    return P.independent_components(_keyed(spark, sf_dir).withColumn("telescop", F.lit("PX")), 2, tol=1e-4)
+    """Two independent components of each mission's rows, after at most 25 rounds."""
+    return P.independent_components(_keyed(spark, sf_dir).withColumn("telescop", F.lit("PX")), 2, tol=1e-4, rounds=25)
 
 
 @query()
 def wide_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three principal components of each mission's rows by subspace iteration."""
-    return P.wide_components(_keyed(spark, sf_dir).withColumn("telescop", F.lit("PX")), 3, tol=1e-6)
+    return P.wide_components(_keyed(spark, sf_dir).withColumn("telescop", F.lit("PX")), 3, extra=40, tol=1e-6)
