@@ -21,8 +21,10 @@ single pass without shuffle; memory is bounded by an Arrow batch.
 
 from __future__ import annotations
 
+import bisect
 import contextlib
 import datetime
+import heapq
 import hashlib
 import re
 from collections.abc import Callable, Iterator
@@ -189,33 +191,46 @@ _CUTS = {"iban": " ", "card": " -"}
 
 
 def candidates(text: str, kind: str, pattern: re.Pattern) -> Iterator[tuple[int, list[int]]]:
-    """Start of each candidate and its possible ends, longest first; the next one begins behind the end that is sent back, if any."""
-    at = 0
+    """Start of each candidate and its possible ends, longest first. The next one begins behind the end that is sent back; if none is, behind the next separator inside, so that a number behind another group is seen."""
+    at, cut = 0, _CUTS.get(kind, "")
     while m := pattern.search(text, at):
         start, end = m.span()
-        cuts = [i for i in range(end - 1, start, -1) if text[i] in _CUTS.get(kind, "") and pattern.fullmatch(text, start, i)]
-        at = (yield start, [end, *cuts]) or end
+        breaks = [i for i in range(start + 1, end) if text[i] in cut] if cut else []
+        taken = yield start, [end, *(i for i in reversed(breaks) if pattern.fullmatch(text, start, i))]
+        at = taken or (breaks[0] + 1 if breaks else end)
+
+
+def _outdone(text: str, pattern: re.Pattern, start: int, end: int, whole: int, cut: str, valid: Callable[[str], bool]) -> bool:
+    """Whether a shortened candidate is chance: a longer valid one, not shortened, begins behind a separator inside."""
+    for i in range(start + 1, whole):
+        if text[i] in cut and (m := pattern.match(text, i + 1)) and m.end() > end and m.end() - m.start() > end - start and valid(m.group()):
+            return True
+    return False
 
 
 def found(text: str, key: bytes, back: bool = False) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, pseudonym) of the values in a text, in order."""
     has_digit = _DIGIT.search(text) is not None
-    out: list[tuple[int, int, str, str]] = []
+    out: list[tuple[int, int, str, str]] = []  # in order, none overlaps another
     for kind, needs, pattern, change in KINDS:
         if needs not in text if needs else not has_digit:
             continue
-        tried = candidates(text, kind, pattern)
-        taken = None
+        tried, taken, own = candidates(text, kind, pattern), None, []
+        valid = lambda s, f=change: f(s, key, back) is not None
         with contextlib.suppress(StopIteration):
             while True:
                 start, ends = tried.send(taken)
                 taken = None
                 for end in ends:
-                    if not any(a < end and start < b for a, b, *_ in out) and (new := change(text[start:end], key, back)) is not None:
-                        out.append((start, end, kind, new))
+                    before = bisect.bisect_left(out, (end,)) - 1  # the last span that begins ahead of this end
+                    if (before < 0 or out[before][1] <= start) and (new := change(text[start:end], key, back)) is not None:
+                        if end != ends[0] and _outdone(text, pattern, start, end, ends[0], _CUTS[kind], valid):
+                            break
+                        own.append((start, end, kind, new))
                         taken = end
                         break
-    return sorted(out)
+        out = list(heapq.merge(out, own))
+    return out
 
 
 def replaced(text: str, spans: list[tuple[int, int, str, str]]) -> str:

@@ -50,11 +50,11 @@ def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pii_key(spark: SparkSession) -> bytes:
-    """The secret key that spark.specfold.pii.key names; where none is set, one drawn at random for this session and kept there."""
-    key = spark.conf.get("spark.specfold.pii.key", None)
+    """The key that spark.specfold.pii.key or spark.specfold.pii.secret names; where none is set, one drawn at random for this session and kept as the latter, a name that Spark leaves out of logs and pages."""
+    key = spark.conf.get("spark.specfold.pii.key", None) or spark.conf.get("spark.specfold.pii.secret", None)
     if not key:
         key = secrets.token_hex(32)
-        spark.conf.set("spark.specfold.pii.key", key)
+        spark.conf.set("spark.specfold.pii.secret", key)
     return key.encode()
 
 
