@@ -164,8 +164,8 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.raw(rows)[0].astype(np.float64), -50, 50)))
 
 
-def fit(rows: Rows, stats: np.ndarray, label: np.ndarray, rank: int = 8, rounds: int = 8, batch: int = 256, rate: float = 0.02, decay: float = 1e-5, seed: int = 7) -> Model:
-    """Adam on the logistic loss; rows in a fixed random order."""
+def fit(rows: Rows, stats: np.ndarray, label: np.ndarray, rank: int = 8, rounds: int = 8, batch: int = 256, rate: float = 0.02, decay: float = 1e-5, seed: int = 7, steps: int = 350) -> Model:
+    """Adam on the logistic loss; rows in a fixed random order. At least so many rounds over the rows, and at least so many steps, however few the rows are."""
     n = len(label)
     share = (label.sum() + 1.0) / (n + 2.0)
     model = Model(float(np.log(share / (1 - share))), np.zeros(SIZE, np.float32), np.zeros((SIZE, rank), np.float32), stats.mean(0) if n else np.zeros(len(STATS)), np.maximum(stats.std(0), 1e-6) if n else np.ones(len(STATS)))
@@ -177,7 +177,7 @@ def fit(rows: Rows, stats: np.ndarray, label: np.ndarray, rank: int = 8, rounds:
     weights = np.concatenate([model.linear[:, None], model.factors], 1)
     first, second = np.zeros_like(weights), np.zeros_like(weights)
     step = 0
-    for _ in range(rounds):
+    for _ in range(max(rounds, -(-steps * batch // max(n, batch)))):
         order = rng.permutation(n)
         for at in range(0, n, batch):
             pick = np.sort(order[at : at + batch])
@@ -205,7 +205,8 @@ def fit(rows: Rows, stats: np.ndarray, label: np.ndarray, rank: int = 8, rounds:
 
 
 def held_out() -> Column:
-    return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    """Whether a row is kept from fitting; a row without doc_id, which no label can name, is not held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 12_000, fit_bytes: int = 256_000_000) -> Model:
