@@ -1,7 +1,7 @@
 """Exact quantiles of groups of any size, by rounds of refined histograms.
 
-A round counts the values of a group in bins between the least and the largest value that a wanted rank may be: in powers of two while these
-differ in sign or by more than a factor, in equal bins from then on, so that some eight rounds end any search. Counts, minima and maxima
+A round counts the values of a group in bins between the least and the largest value that a wanted rank may be: in equal bins, and every
+second time in powers of two if these differ in sign or by more than a factor, so that some ten rounds end any search. Counts, minima and maxima
 meet map-side. Of each bin that holds a wanted rank its values alone are kept for the next round, whose range is that of the values
 found in it. A rank is known when its bin holds one value, however often; bins of at most `most` values are sorted as they are. So no task
 ever holds a group's values, and each round reads a small part of the one before.
@@ -36,14 +36,14 @@ def _sorted_out(joined: DataFrame) -> DataFrame:
     return ranked.select("g", "rank", F.get("_xs", (F.col("rank") - F.col("below")).cast("int")).alias("value"))
 
 
-def _refined(joined: DataFrame, bins: int) -> DataFrame:
+def _refined(joined: DataFrame, bins: int, powers: bool) -> DataFrame:
     """The bins of spans that hold wanted ranks, as spans."""
     scale = F.when(F.greatest(F.abs("lo"), F.abs("hi")) > 1, 0.5).otherwise(1.0)  # differences of halves cannot overflow, those of small numbers not vanish
     part = lambda c: F.col(c) * scale
     even = F.least(F.floor((part("x") - part("lo")) / (part("hi") - part("lo")) * bins), F.lit(bins - 1)).cast("int")
     power = F.when(F.col("x") == 0, 0).otherwise(F.signum("x") * (F.floor(F.log2(F.abs("x"))) + 1100)).cast("int")
     far = (F.signum("lo") != F.signum("hi")) | (F.greatest(F.abs("lo"), F.abs("hi")) / 4 > F.least(F.abs("lo"), F.abs("hi")))
-    place = F.when(far, power).otherwise(even)
+    place = F.when(far, power).otherwise(even) if powers else even
     sums = joined.groupBy("g", "below", "ranks", place.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
     before = F.sum("n").over(Window.partitionBy("g", "below").orderBy("bin")) - F.col("n") + F.col("below")
     inside = lambda r: (r >= F.col("from")) & (r < F.col("from") + F.col("n"))
@@ -73,7 +73,7 @@ def quantiles(rows: DataFrame, column: str | Column, shares: Sequence[float], ke
         if spans.where((F.col("lo") < F.col("hi")) & (F.col("n") > most)).isEmpty():
             break
         turn += 1
-        spans = written(_refined(joined.where(F.col("n") > most), bins), f"{folder}/spans-{turn}")
+        spans = written(_refined(joined.where(F.col("n") > most), bins, turn % 2 == 0), f"{folder}/spans-{turn}")
         values = written(_within(values, spans.where("lo < hi")).select("g", "x"), f"{folder}/values-{turn}")
     ranked = reduce(DataFrame.unionByName, found).groupBy("g").agg(F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("_v"))
     both = sizes.alias("s").join(ranked.alias("r"), F.col("s.g").eqNullSafe(F.col("r.g"))).select("s.g", "n", "_v")
