@@ -4,12 +4,13 @@ Vectors scaled to length one are cut in halves; a codebook for each half, fitted
 bounded sample, makes a product grid of cells, and every vector stands in the cell of its nearest
 centroids. The multi-sequence traversal visits the cells nearest to a vector in the order of its distance from them. How many it visits
 is measured on partners made for sampled vectors at exactly the threshold cosine, the hardest that have to be found, so it does not depend
-on the links that the sample happens to hold: as many cells as let the share `recall` of these pairs meet from both sides. No other cap ends
-the traversal, up to all cells. Of the cells visited, those that cannot hold a link by the bound between two centroids are passed over.
+on the links that the sample happens to hold: as many cells as let the share `recall` of these pairs meet, that is one of the two visits the
+cell of the other. No other cap ends the traversal, up to all cells. Of the cells visited, those that cannot hold a link by the bound between two centroids are passed over.
 
-Cells in their order are packed to blocks of bounded size, and a visit to a cell is one to its block. Two blocks meet with the
-vectors of each that visit the other, verified by cosine in double precision; each pair of vectors is met by one
-pair of blocks, so links are counted there.
+Centroids of each half are put in an order in which neighbours are near one another, and the product grid is tiled by runs of both orders.
+The cells of a tile are packed to blocks of bounded size, which are thus compact in both halves, and a visit to a cell is one to its block.
+A vector is copied to each block that it visits, and verified there by cosine in double precision against the vectors that stand in it.
+A pair whose blocks are both visited by the other is met in the first of them alone, so links are counted once.
 
 Vectors of equal components form a class and go on as one. Links join classes to components; only
 spanning forests and a count for each vector leave a task, never all pairs.
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from specfold.llm.common import group_bounds, hot_join, keep_only, session_of, staged, trimmed, whole_groups, work_dir
+from specfold.llm.common import group_bounds, hot_join, keep_only, session_of, staged, trimmed, work_dir
 from specfold.llm.components import components, forest
 
 FIT_ROWS = 16_384
@@ -39,7 +40,10 @@ FIT_ROWS = 16_384
 PROBES = 4_096
 #: Bytes of vectors in a block of cells at most, and blocks at least if that makes none smaller than asked for.
 BLOCK_BYTES = 16_000_000
-SPREAD = 12
+#: Blocks that a table is cut into as soon as they hold the vectors asked for.
+SPREAD = 1_000
+#: Blocks whose visitors of one block are dealt over one more task.
+SHARE = 64
 
 
 def prepared(vectors: DataFrame) -> DataFrame:
@@ -154,9 +158,10 @@ def fit(classes: DataFrame, total: int, cosine: float, recall: float) -> tuple[G
     got = classes.orderBy(F.xxhash64("sig"), "sig").limit(FIT_ROWS).select("vec").toArrow()
     x = unit(got.column("vec"))
     half = max(1, x.shape[1] // 2)
-    k = min(1024, len(x), max(4, int(np.sqrt(total / 64))))
-    grid = Grid(kmeans(x[:, :half], k), kmeans(_wide(x)[:, half:], k, seed=12))
-    return grid, visits(grid, x[:PROBES], cosine, recall)
+    known = x[PROBES:] if len(x) > 2 * PROBES else x  # where there are enough, vectors that the codebooks have not seen are probed
+    k = min(1024, len(known), max(4, int(np.sqrt(total / 64))))
+    grid = Grid(kmeans(known[:, :half], k), kmeans(_wide(known)[:, half:], k, seed=12))
+    return grid, visits(grid, x[:PROBES], cosine, recall, both=False)
 
 
 def partners(x: np.ndarray, cosine: float, seed: int = 13) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -169,12 +174,12 @@ def partners(x: np.ndarray, cosine: float, seed: int = 13) -> Iterator[tuple[np.
         yield x[some], cosine * x[some] + np.sqrt(1 - cosine * cosine) * way[some] / length[some, None]
 
 
-def visits(grid: Grid, x: np.ndarray, cosine: float, recall: float) -> int:
-    """How many cells each of two vectors at that cosine visits until the share `recall` of such pairs have met from both sides."""
+def visits(grid: Grid, x: np.ndarray, cosine: float, recall: float, both: bool = True) -> int:
+    """How many cells each of two vectors at that cosine visits until both have visited the other's, or one of them has, for the share `recall` of such pairs."""
     need = [np.zeros(0, np.int64)]
     for one, other in partners(x, cosine):
         a, b = grid.squares(_wide(one)), grid.squares(_wide(other))
-        need.append(np.maximum(grid.rank(a, grid.cells(b)), grid.rank(b, grid.cells(a))))
+        need.append((np.maximum if both else np.minimum)(grid.rank(a, grid.cells(b)), grid.rank(b, grid.cells(a))))
     ranks, every = np.concatenate(need), len(grid.books[0]) * len(grid.books[1])
     return min(every, int(np.quantile(ranks, recall, method="higher"))) if len(ranks) else every
 
@@ -183,13 +188,47 @@ def _wide(x: np.ndarray) -> np.ndarray:
     return x if x.shape[1] > 1 else np.concatenate([x, np.zeros((len(x), 1))], 1)
 
 
-def packed(members: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """For the number of vectors of each cell: its first block and its number of blocks. Only a cell of more than `most` vectors has several, all its own."""
+def neighbours(centers: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Order of the centers in which near ones stand together: halved by weight across their longest direction, again and again."""
+    if len(centers) < 3:
+        return np.arange(len(centers))
+    away = centers - centers.mean(0)
+    order = np.argsort(away @ np.linalg.svd(away, full_matrices=False)[2][0], kind="stable")
+    sums = np.cumsum(weight[order])
+    cut = min(max(1, int(np.searchsorted(sums, sums[-1] / 2)) + 1), len(order) - 1) if sums[-1] else len(order) // 2
+    return np.concatenate([part[neighbours(centers[part], weight[part])] for part in (order[:cut], order[cut:])])
+
+
+def tiled(grid: Grid, members: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The cells in an order in which tiles of near cells stand together, and the tile of each in that order. A tile holds about `most` vectors."""
+    table = members.reshape(len(grid.books[0]), -1)
+    n = max(1, int(np.ceil(np.sqrt(members.sum() / most))))
+    place, tile = [], []
+    for book, weight in zip(grid.books, (table.sum(1), table.sum(0)), strict=True):
+        order = neighbours(book, weight)
+        place.append(np.empty(len(order), np.int64))
+        place[-1][order] = np.arange(len(order))
+        tile.append(np.empty(len(order), np.int64))
+        tile[-1][order] = np.minimum(n - 1, (np.cumsum(weight[order]) - weight[order] / 2) * n // max(1, weight.sum()))
+    first, second = np.divmod(np.arange(len(members)), len(grid.books[1]))
+    tiles = tile[0][first] * n + tile[1][second]
+    cells = np.lexsort((place[1][second], place[0][first], tiles))
+    return cells, tiles[cells]
+
+
+def packed(members: np.ndarray, most: int, tiles: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """For the number of vectors of each cell: its first block and its number of blocks. Only a cell of more than `most` vectors has several, all its own.
+
+    tiles: the tile of each cell, in ascending order; a block ends with its tile unless all of the next one finds room in it.
+    """
     first, parts = np.zeros(len(members), np.int64), np.ones(len(members), np.int64)
-    now, held = 0, 0
+    whole = None if tiles is None else np.bincount(tiles, members)
+    now, held, tile = 0, 0, None
     for c in np.flatnonzero(members).tolist():
         m = int(members[c])
-        if held and held + m > most:
+        room = m if whole is None or tiles[c] == tile else max(m, int(whole[tiles[c]]))
+        tile = None if whole is None else tiles[c]
+        if held and held + room > most:
             now, held = now + 1, 0
         first[c], parts[c] = now, -(-m // most)
         held += m
@@ -229,9 +268,12 @@ def found_pairs(classes: DataFrame, grid: Grid, most: int, cosine: float, block:
     sums = classes.select("vec").mapInArrow(trimmed(count), "cell long, members long").groupBy("cell").agg(F.sum("members").alias("m")).toArrow()
     members = np.zeros(n_cells, np.int64)
     members[sums.column("cell").to_numpy()] = sums.column("m").to_numpy()
-    first, parts = packed(members, block)
-    used = np.flatnonzero(members)
+    cells, tiles = tiled(grid, members, block)
+    first, parts = np.zeros(n_cells, np.int64), np.ones(n_cells, np.int64)
+    first[cells], parts[cells] = packed(members[cells], block, tiles)
+    used = cells[members[cells] > 0]
     n_blocks = int((first + parts)[used].max())
+    shares = -(-n_blocks // SHARE)
     shared = spark.sparkContext.broadcast((used, first, parts))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,74 +281,121 @@ def found_pairs(classes: DataFrame, grid: Grid, most: int, cosine: float, block:
         grid = sent.value
         n = len(grid.books[1])
         opens = np.concatenate([[True], first[used][1:] != first[used][:-1]])
-        heads, widths = first[used][opens], parts[used][opens]
         run_of = np.full(len(first), -1, np.int32)  # cells that share a block are one run
         run_of[used] = np.cumsum(opens) - 1
-        step = max(1, 4_000_000 // max(len(grid.corner(most)[0]), len(heads)))
+        run_of_block = np.repeat(np.arange(opens.sum()), parts[used][opens])
+        step = max(1, 4_000_000 // max(len(grid.corner(most)[0]), n_blocks))
         for batch in batches:
             for begin in range(0, batch.num_rows, step):
                 part = batch.slice(begin, step)
                 squares = grid.squares(_wide(unit(part.column("vec"))))
                 cell = grid.cells(squares)
-                own = first[cell] + part.column("cid").to_numpy() % 1_000_003 % parts[cell]
+                number = part.column("cid").to_numpy() % 1_000_003
+                home, share = first[cell] + number % parts[cell], number // parts[cell] % shares
                 seen = grid.walk(squares, most)
                 a, b = grid.bounds(squares)
                 can = np.take_along_axis(a, seen // n, 1) + np.take_along_axis(b, seen % n, 1) <= limit
                 row, at = np.nonzero(can & (run_of[seen] >= 0))
-                reached = np.zeros((part.num_rows, len(heads)), bool)
+                reached = np.zeros((part.num_rows, int(opens.sum())), bool)
                 reached[row, run_of[seen[row, at]]] = True
                 reached[np.arange(part.num_rows), run_of[cell]] = True
-                row, run = np.nonzero(reached)
-                width = widths[run]
-                to = np.repeat(heads[run], width) + np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
-                row = np.repeat(row, width)
-                mine = own[row]
-                key = (np.minimum(mine, to) << 31) | np.maximum(mine, to)
-                # a bounded number of copies leaves at a time
-                for at in range(0, len(row), 16_384):
-                    pick = pa.array(row[at : at + 16_384])
-                    columns = [key[at : at + 16_384], part.column("cid").take(pick), part.column("copies").take(pick), part.column("vec").take(pick), mine[at : at + 16_384] > to[at : at + 16_384], mine[at : at + 16_384] == to[at : at + 16_384]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], ["key", "cid", "copies", "vec", "second", "within"])
+                reached = reached[:, run_of_block]
+                ways = pa.array([w.tobytes() for w in np.packbits(reached, axis=1)], pa.binary())
+                # at home once for each share of the block's visitors, elsewhere as a visitor
+                row = np.repeat(np.arange(part.num_rows), shares)
+                yield from copies_of(part, row, home[row] * shares + np.tile(np.arange(shares), part.num_rows), home, share, ways)
+                reached[np.arange(part.num_rows), home] = False
+                row, to = np.nonzero(reached)
+                yield from copies_of(part, row, to * shares + share[row], home, share, None)
+
+    def copies_of(part: pa.RecordBatch, row: np.ndarray, key: np.ndarray, home: np.ndarray, share: np.ndarray, ways: pa.Array | None) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(row), 16_384):  # a bounded number leaves at a time
+            own = row[at : at + 16_384]
+            pick = pa.array(own)
+            visitor = pa.array(np.full(len(own), ways is None))
+            columns = [pa.array(key[at : at + 16_384]), visitor, part.column("cid").take(pick), part.column("copies").take(pick), part.column("vec").take(pick), pa.array(home[own]), pa.array(share[own]), pa.nulls(len(own), pa.binary()) if ways is None else ways.take(pick)]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "visitor", "cid", "copies", "vec", "home", "share", "ways"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches):
-            second, within = table.column("second").to_numpy(), table.column("within").to_numpy()
-            cids, copies = table.column("cid").to_numpy(), table.column("copies").to_numpy()
-            for begin, end in group_bounds(table.column("key").to_numpy()):
-                low = np.flatnonzero(~second[begin:end])
-                high = low if within[begin] else np.flatnonzero(second[begin:end])
-                if not len(low) or not len(high):
-                    continue
-                x, weight, cid = unit(table.column("vec").slice(begin, end - begin)), copies[begin:end], cids[begin:end]
-                a, b, degree = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(end - begin, np.int64)
-                for i, j in links(x[low], x[high], cosine):
-                    i, j = low[i], high[j]
-                    i, j = i[i != j], j[i != j]
-                    if not len(i):
-                        continue
-                    np.add.at(degree, i, weight[j])
-                    if high is not low:
-                        np.add.at(degree, j, weight[i])
-                    root = forest(np.concatenate([a, i]), np.concatenate([b, j]), len(x))
-                    a = np.flatnonzero(root != np.arange(len(root)))
-                    b = root[a]
-                met = np.flatnonzero(degree)
-                if len(met):
-                    columns = (np.concatenate([cid[met], cid[a]]), np.concatenate([np.full(len(met), -1), cid[b]]), np.concatenate([degree[met], np.zeros(len(a), np.int64)]))
-                    yield pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.array(columns[1], mask=columns[1] < 0), pa.array(columns[2])], ["a", "b", "n"])
-
-    dealt = classes.select("cid", "copies", "vec").mapInArrow(trimmed(deal), "key long, cid long, copies long, vec binary, second boolean, within boolean")
-    keys = n_blocks * (n_blocks + 1) // 2
-    return dealt.repartition(min(keys, 8_192), "key").sortWithinPartitions("key").mapInArrow(trimmed(verify), "a long, b long, n long")
+        """Rows come sorted by key, those at home first; these are held, at most a block of them, and visitors pass by in batches."""
+        now, held, at_home = None, [], None
+        for batch in batches:
+            keys = batch.column("key").to_numpy()
+            visitor = batch.column("visitor").to_numpy(zero_copy_only=False)
+            for begin, end in group_bounds(keys * 2 + visitor):
+                part = batch.slice(begin, end - begin)
+                if held and (keys[begin] != now or visitor[begin]):
+                    at_home = Home(pa.Table.from_batches(held), now // shares)
+                    held = []
+                    yield from at_home.among(now % shares, cosine)
+                if keys[begin] != now:
+                    at_home = None
+                now = int(keys[begin])
+                if not visitor[begin]:
+                    held.append(part)
+                elif at_home is not None:  # a part of a cell may have no vector
+                    yield from at_home.visited(part, cosine)
+        if held:
+            yield from Home(pa.Table.from_batches(held), now // shares).among(now % shares, cosine)
+
+    dealt = classes.select("cid", "copies", "vec").mapInArrow(trimmed(deal), "key long, visitor boolean, cid long, copies long, vec binary, home long, share long, ways binary")
+    return dealt.repartition(min(n_blocks * shares, 8_192), "key").sortWithinPartitions("key", "visitor").mapInArrow(trimmed(verify), "a long, b long, n long")
+
+
+class Home:
+    """The vectors of one block, and what they are linked with."""
+
+    def __init__(self, rows: pa.Table, block: int):
+        self.block = block
+        self.x = unit(rows.column("vec"))
+        self.cid, self.copies, self.share = (rows.column(c).to_numpy() for c in ("cid", "copies", "share"))
+        raw = rows.column("ways").to_pylist()
+        self.ways = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), -1)
+
+    def among(self, share: int, cosine: float) -> Iterator[pa.RecordBatch]:
+        """Links of this share of the vectors with all of the block; those of the others are counted with their own share."""
+        mine = np.flatnonzero(self.share == share)
+        pairs = ((mine[i], j) for i, j in links(self.x[mine], self.x, cosine))
+        yield from _found(((i[i != j], j[i != j]) for i, j in pairs), self.cid, self.copies, both=False)
+
+    def visited(self, part: pa.RecordBatch, cosine: float) -> Iterator[pa.RecordBatch]:
+        """Links of visitors, but for those that are met in the visitor's own block, which comes before."""
+        n, home = len(self.x), part.column("home").to_numpy()
+
+        def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for i, j in links(unit(part.column("vec")), self.x, cosine):
+                at = home[i]
+                first = (at > self.block) | (self.ways[j, at >> 3] >> (7 - (at & 7)) & 1 == 0)
+                yield i[first] + n, j[first]
+
+        yield from _found(pairs(), np.concatenate([self.cid, part.column("cid").to_numpy()]), np.concatenate([self.copies, part.column("copies").to_numpy()]), both=True)
+
+
+def _found(pairs: Iterator[tuple[np.ndarray, np.ndarray]], cid: np.ndarray, copies: np.ndarray, both: bool) -> Iterator[pa.RecordBatch]:
+    """Counts of links, of the first of each pair or of both, and a spanning forest of them."""
+    a, b, degree = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(cid), np.int64)
+    for i, j in pairs:
+        if not len(i):
+            continue
+        np.add.at(degree, i, copies[j])
+        if both:
+            np.add.at(degree, j, copies[i])
+        root = forest(np.concatenate([a, i]), np.concatenate([b, j]), len(cid))
+        a = np.flatnonzero(root != np.arange(len(root)))
+        b = root[a]
+    met = np.flatnonzero(degree)
+    if len(met):
+        columns = (np.concatenate([cid[met], cid[a]]), np.concatenate([np.full(len(met), -1), cid[b]]), np.concatenate([degree[met], np.zeros(len(a), np.int64)]))
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.array(columns[1], mask=columns[1] < 0), pa.array(columns[2])], ["a", "b", "n"])
 
 
 def linked(classes: DataFrame, total: int, size: int, cosine: float, recall: float, block: int) -> DataFrame:
     """classes: cid, sig, vec, copies of `total` vectors of `size` components. As found_pairs."""
-    together = max(4 * block, min(BLOCK_BYTES // (8 * size), total // SPREAD))
+    together = max(block, min(BLOCK_BYTES // (8 * size), total // SPREAD))
     return found_pairs(classes, *fit(classes, total, cosine, recall), cosine, together)
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = 0.9, recall: float = 0.9999, block: int = 1024) -> DataFrame:
+def near_duplicates(vectors: DataFrame, cosine: float = 0.9, recall: float = 0.995, block: int = 1024) -> DataFrame:
     """vectors: vec_id, embedding. A row for each: vec_id, n_links, component_id, kept. recall: share of pairs at exactly that cosine to be found; nearer ones are found more surely."""
     spark = session_of(vectors)
     folder = work_dir(spark)
