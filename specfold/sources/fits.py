@@ -5,24 +5,33 @@
     rows.write.format("fits").mode("overwrite").save("/data/out")
 
 Paths are those of a file system that every executor mounts. Rows have a fixed length in a file, so a file is read
-in ranges of rows by many tasks, and of each row only the columns that are asked for are decoded.
+in ranges of rows by many tasks, and of each row only the columns that are asked for are read. Comparisons with single values are
+tried before a row's other columns are read; tables that lack such a column are not opened. With the extremes that write_index keeps of each range of rows, neither are ranges
+that cannot hold a match, nor any file in order to plan the read:
+
+    fits.write_index(spark, "/data/*.fits", "/data/index")
+    fits.load(spark, "/data/*.fits", "/data/index", mission_id="2016-02-11_GR_F277", scan=(100, 200))
 Columns are named in lower case; row_id = file number * 2^40 + row, hdu and file are added.
 """
 
 from __future__ import annotations
 
 import glob
+import json
+import math
 import os
 import re
 import uuid
-from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import asdict, dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualNullSafe, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual, WriterCommitMessage
 
 from specfold.errors import FitsError
 
@@ -30,6 +39,8 @@ BLOCK = 2880
 #: FITS letter of a column: NumPy type, Spark type, bytes.
 KINDS = {"E": (">f4", T.FloatType(), 4), "D": (">f8", T.DoubleType(), 8), "J": (">i4", T.IntegerType(), 4), "I": (">i2", T.ShortType(), 2), "K": (">i8", T.LongType(), 8), "B": ("u1", T.ShortType(), 1), "A": ("S", T.StringType(), 1)}
 ROWS = 4096
+#: Bytes of a range of rows, the work of a task.
+RANGE_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -141,41 +152,213 @@ class Range(InputPartition):
     last: int
 
 
+@dataclass(frozen=True)
+class Test:
+    """A comparison of a column with values: of "=", "<", "<=", ">" and ">=" with one, "in" with any, "set" with none."""
+
+    column: str
+    how: str
+    values: tuple = ()
+
+    def may_hold(self, low: float | str, high: float | str) -> bool:
+        """Whether a value from low to high can pass."""
+        if self.how == "set":
+            return True
+        if self.how in ("=", "in"):
+            return any(low <= v <= high for v in self.values)
+        (v,) = self.values
+        return {"<": low < v, "<=": low <= v, ">": high > v, ">=": high >= v}[self.how]
+
+    def passing(self, x: np.ndarray) -> np.ndarray:
+        """Rows that may pass. NaN is above all numbers and equal to itself, so its rows are left to Spark."""
+        if self.how == "set":
+            return np.ones(len(x), bool)
+        if self.how in ("=", "in"):
+            ok = np.isin(x, np.array(self.values))
+        else:
+            (v,) = self.values
+            ok = {"<": np.less, "<=": np.less_equal, ">": np.greater, ">=": np.greater_equal}[self.how](x, v)
+        return ok | np.isnan(x) if x.dtype.kind == "f" else ok
+
+
+_HOW = {EqualTo: "=", EqualNullSafe: "=", LessThan: "<", LessThanOrEqual: "<=", GreaterThan: ">", GreaterThanOrEqual: ">="}
+
+
+def test_of(f: Filter, kinds: dict[str, T.DataType]) -> Test | None:
+    """A filter that ranges and rows can be tried by, or None."""
+    name = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
+    kind = kinds.get(name)
+    if kind is None or isinstance(kind, T.ArrayType):
+        return None
+    if isinstance(f, IsNotNull):
+        return Test(name, "set")
+    values = tuple(f.value) if isinstance(f, In) else (f.value,) if type(f) in _HOW else ()
+    want = (str,) if isinstance(kind, T.StringType) else (int, float)
+    # whole numbers beyond 2^53 and NaN are not compared here
+    if not values or not all(isinstance(v, want) and not isinstance(v, bool) and (want == (str,) or abs(v) <= 2**53) for v in values):
+        return None
+    return Test(name, "in" if isinstance(f, In) else _HOW[type(f)], values)
+
+
 class FitsReader(DataSourceReader):
-    def __init__(self, tables: list[Table], schema: T.StructType):
-        self.tables, self.schema = tables, schema
+    """known: by table (path, hdu) its ranges with the extremes of their columns, where an index holds them."""
+
+    def __init__(self, tables: list[Table], schema: T.StructType, known: dict[tuple[str, int], list[tuple[int, int, dict]]] | None = None):
+        self.tables, self.schema, self.known = tables, schema, known or {}
+        self.tests: list[Test] = []
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:  # noqa: N802
+        """All filters are left to Spark as well, so what is tried here need not be exact, only never too strict."""
+        kinds = {c.name: c.spark_type() for t in self.tables for c in t.columns}
+        for c in (c for t in self.tables for c in t.columns if c.repeat != 1 and c.letter != "A"):
+            kinds.pop(c.name, None)  # an array in one table
+        self.tests = [t for f in filters if (t := test_of(f, kinds)) is not None]
+        return filters
 
     def partitions(self) -> Sequence[Range]:
         out = []
         for n, t in enumerate(self.tables):
-            step = max(1, (64 << 20) // max(1, t.row_bytes))
-            out += [Range(t, n, a, min(t.n_rows, a + step)) for a in range(0, t.n_rows, step)]
+            own = {c.name for c in t.columns}
+            if any(test.column not in own for test in self.tests):
+                continue  # null in every row
+            for first, last, extremes in self.known.get((t.path, t.hdu)) or [(a, b, {}) for a, b in ranges_of(t)]:
+                if all(test.may_hold(*extremes[test.column]) for test in self.tests if test.column in extremes):
+                    out.append(Range(t, n, first, last))
         return out or [Range(self.tables[0], 0, 0, 0)]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         t = partition.table
         own = {c.name: c for c in t.columns}
-        with open(t.path, "rb") as f:
-            for first in range(partition.first, partition.last, ROWS):
-                n = min(ROWS, partition.last - first)
-                f.seek(t.start + first * t.row_bytes)
-                raw = f.read(n * t.row_bytes)
-                if len(raw) < n * t.row_bytes:
-                    raise FitsError(f"{t.path} is cut short")
-                block = np.frombuffer(raw, np.uint8).reshape(n, t.row_bytes)
-                columns = []
-                for field in self.schema.fields:
-                    if field.name == "row_id":
-                        columns.append(pa.array((partition.number << 40) + np.arange(first, first + n), pa.int64()))
-                    elif field.name == "hdu":
-                        columns.append(pa.array([t.hdu] * n, pa.int32()))
-                    elif field.name == "file":
-                        columns.append(pa.array([t.path] * n, pa.string()))
-                    elif field.name not in own:
-                        columns.append(pa.nulls(n, _arrow(field.dataType)))
-                    else:
-                        columns.append(_decoded(block, own[field.name]))
-                yield pa.RecordBatch.from_arrays(columns, [x.name for x in self.schema.fields])
+        for first in range(partition.first, partition.last, ROWS):
+            block = mapped(t, first, min(ROWS, partition.last - first))
+            rows = np.arange(len(block))
+            for test in self.tests:
+                rows = rows[test.passing(values_of(block, own[test.column], rows))]
+            if not len(rows):
+                continue
+            n, columns = len(rows), []
+            for f in self.schema.fields:
+                if f.name == "row_id":
+                    columns.append(pa.array((partition.number << 40) + first + rows, pa.int64()))
+                elif f.name == "hdu":
+                    columns.append(pa.array([t.hdu] * n, pa.int32()))
+                elif f.name == "file":
+                    columns.append(pa.array([t.path] * n, pa.string()))
+                elif f.name not in own:
+                    columns.append(pa.nulls(n, _arrow(f.dataType)))
+                else:
+                    columns.append(_decoded(block, own[f.name], rows, isinstance(f.dataType, T.ArrayType)))
+            yield pa.RecordBatch.from_arrays(columns, [x.name for x in self.schema.fields])
+
+
+def ranges_of(t: Table) -> list[tuple[int, int]]:
+    step = max(1, RANGE_BYTES // max(1, t.row_bytes))
+    return [(a, min(t.n_rows, a + step)) for a in range(0, t.n_rows, step)]
+
+
+def mapped(t: Table, first: int, n: int) -> np.ndarray:
+    """The bytes of n rows, of which only those that are looked at are read from the file."""
+    start = t.start + first * t.row_bytes
+    if os.path.getsize(t.path) < start + n * t.row_bytes:
+        raise FitsError(f"{t.path} is cut short")
+    if not n * t.row_bytes:
+        return np.zeros((n, t.row_bytes), np.uint8)
+    return np.memmap(t.path, np.uint8, "r", start, (n, t.row_bytes))
+
+
+def values_of(block: np.ndarray, c: Column, rows: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """A column of one value a row: texts as they are read, or numbers."""
+    kind, _, size = KINDS[c.letter]
+    if c.letter == "A":
+        return np.array(_decoded(block, c, rows).to_pylist(), dtype=str)
+    values = np.ascontiguousarray(block[:, c.offset : c.offset + size][rows]).view(kind)[:, 0]
+    return values.astype(values.dtype.newbyteorder("="))
+
+
+def extremes_of(t: Table, first: int, last: int, columns: Sequence[str] | None = None) -> dict[str, list]:
+    """Least and greatest value of each column of single values; with a NaN, which is above all numbers, the greatest is infinite."""
+    out: dict[str, list] = {}
+    for c in t.columns:
+        if (c.repeat != 1 and c.letter != "A") or (columns is not None and c.name not in columns):
+            continue
+        low = high = None
+        for a in range(first, last, ROWS):
+            x = values_of(mapped(t, a, min(ROWS, last - a)), c)
+            missing = bool(x.dtype.kind == "f" and np.isnan(x).any())
+            x = x[~np.isnan(x)] if missing else x
+            few = [] if not len(x) else [x.min(), x.max()] if x.dtype.kind != "U" else [min(x.tolist()), max(x.tolist())]
+            few += [math.inf] if missing else []
+            if few:
+                low = min(few) if low is None else min(low, *few)
+                high = max(few) if high is None else max(high, *few)
+        if low is not None:
+            out[c.name] = [v if isinstance(v, str) else float(v) for v in (low, high)]
+    return out
+
+
+INDEX = "file string, bytes long, changed long, hdu int, layout string, first long, last long, extremes string"
+
+
+def write_index(spark: SparkSession, path: str, index: str, columns: Sequence[str] | None = None) -> None:
+    """Keeps the layout of all tables of path and, for each range of rows, the extremes of its columns of single values (or of those named), as Parquet in a folder.
+
+    Files are read by the executors, of their rows only these columns. A file that changed since is planned and read as if it were not in the index.
+    """
+    only = None if columns is None else [c.lower() for c in columns]
+
+    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for p in batch.column("file").to_pylist():
+                found = [(p, *_state(p), t.hdu, json.dumps(asdict(t)), a, b) for t in tables_of(p) for a, b in ranges_of(t) or [(0, 0)]]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], k) for i, k in enumerate((pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64()))], ["file", "bytes", "changed", "hdu", "layout", "first", "last"])
+
+    def extremes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [json.dumps(extremes_of(table_of(layout), a, b, only)) for layout, a, b in zip(*(batch.column(c).to_pylist() for c in ("layout", "first", "last")), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.string())], [*batch.schema.names, "extremes"])
+
+    files = paths_of(path)
+    listed = spark.createDataFrame([(f,) for f in files], "file string").repartition(max(1, min(len(files), 256)))
+    found = listed.mapInArrow(tables, INDEX.rsplit(",", 1)[0])
+    found.repartition(256, "file", "hdu", "first").mapInArrow(extremes, INDEX).coalesce(8).write.mode("overwrite").parquet(index)
+
+
+def _state(path: str) -> tuple[int, int]:
+    at = os.stat(path)
+    return at.st_size, at.st_mtime_ns
+
+
+def table_of(layout: str) -> Table:
+    d = json.loads(layout)
+    return Table(d["path"], d["hdu"], d["start"], d["row_bytes"], d["n_rows"], tuple(Column(**c) for c in d["columns"]), tuple((k, v) for k, v in d["header"]))
+
+
+def read_index(index: str) -> dict[str, tuple[tuple[int, int], dict[int, Table], dict[int, list[tuple[int, int, dict]]]]]:
+    """By file: its size and time, its tables, and their ranges."""
+    out: dict = {}
+    for r in pq.read_table(index).to_pylist():
+        _, tables, ranges = out.setdefault(r["file"], ((r["bytes"], r["changed"]), {}, {}))
+        if r["hdu"] not in tables:
+            tables[r["hdu"]] = table_of(r["layout"])
+        ranges.setdefault(r["hdu"], []).append((r["first"], r["last"], json.loads(r["extremes"])))
+    for _, _, ranges in out.values():
+        for own in ranges.values():
+            own.sort(key=lambda x: x[0])
+    return out
+
+
+def load(spark: SparkSession, path: str, index: str | None = None, must: str = "spectrum", **wanted: object) -> DataFrame:
+    """The rows of path with the wanted values: one, a list of them, or a pair (from, to), both included and either of them None for no limit."""
+    reader = register(spark).read.format("fits").option("path", path).option("with", must)
+    out = (reader.option("index", index) if index else reader).load()
+    for name, value in wanted.items():
+        if isinstance(value, tuple):
+            low, high = value
+            out = out.where(F.col(name) >= low) if low is not None else out
+            out = out.where(F.col(name) <= high) if high is not None else out
+        else:
+            out = out.where(F.col(name).isin(value) if isinstance(value, list) else F.col(name) == value)
+    return out
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:
@@ -184,21 +367,21 @@ def _arrow(kind: T.DataType) -> pa.DataType:
     return to_arrow_type(kind)
 
 
-def _decoded(block: np.ndarray, c: Column) -> pa.Array:
+def _decoded(block: np.ndarray, c: Column, rows: np.ndarray | slice = slice(None), listed: bool = False) -> pa.Array:
     kind, spark, size = KINDS[c.letter]
-    part = np.ascontiguousarray(block[:, c.offset : c.offset + c.repeat * size])
+    part = np.ascontiguousarray(block[:, c.offset : c.offset + c.repeat * size][rows])
     if c.letter == "A":
         return pa.array([bytes(r).split(b"\0")[0].decode("latin-1").strip() for r in part], pa.string())
     values = part.view(kind)
     values = values.astype(values.dtype.newbyteorder("=")) if c.letter != "B" else values.astype(np.int16)
     arrow = pa.from_numpy_dtype(values.dtype)
-    if c.repeat == 1:
+    if c.repeat == 1 and not listed:
         return pa.array(values[:, 0], arrow)
-    return pa.ListArray.from_arrays(pa.array(np.arange(len(block) + 1, dtype=np.int32) * c.repeat), pa.array(values.ravel(), arrow))
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * c.repeat), pa.array(values.ravel(), arrow))
 
 
 class FitsSource(DataSource):
-    """Options: path (files, folders or patterns, comma-separated); with (a column that a table must have; default spectrum, empty: any)."""
+    """Options: path (files, folders or patterns, comma-separated); with (a column that a table must have; default spectrum, empty: any); index (what write_index wrote)."""
 
     @classmethod
     def name(cls) -> str:
@@ -206,20 +389,29 @@ class FitsSource(DataSource):
 
     def _tables(self) -> list[Table]:
         must = self.options.get("with", "spectrum").lower()
-        found = [t for p in paths_of(self.options["path"]) for t in tables_of(p) if not must or must in {c.name for c in t.columns}]
+        known = self._index()
+        every = ((known[p][1][h] for h in sorted(known[p][1])) if p in known else tables_of(p) for p in paths_of(self.options["path"]))
+        found = [t for own in every for t in own if not must or must in {c.name for c in t.columns}]
         if not found:
             raise FitsError(f"no table with a {must or 'column'} in {self.options['path']}")
         return found
 
+    def _index(self) -> dict:
+        """Of files that are as they were."""
+        index = self.options.get("index")
+        return {p: v for p, v in read_index(index).items() if os.path.exists(p) and _state(p) == v[0]} if index else {}
+
     def schema(self) -> T.StructType:
         fields: dict[str, T.StructField] = {}
         for t in self._tables():
             for c in t.columns:
-                fields.setdefault(c.name, T.StructField(c.name, c.spark_type()))
+                if c.name not in fields or c.repeat != 1:  # an array in one table is an array in all
+                    fields[c.name] = T.StructField(c.name, c.spark_type())
         return T.StructType([*fields.values(), T.StructField("row_id", T.LongType()), T.StructField("hdu", T.IntegerType()), T.StructField("file", T.StringType())])
 
     def reader(self, schema: T.StructType) -> FitsReader:
-        return FitsReader(self._tables(), schema)
+        known = {(p, h): ranges for p, (_, _, own) in self._index().items() for h, ranges in own.items()}
+        return FitsReader(self._tables(), schema, known)
 
     def writer(self, schema: T.StructType, overwrite: bool) -> FitsWriter:
         return FitsWriter(self.options["path"], schema, overwrite)
@@ -228,6 +420,7 @@ class FitsSource(DataSource):
 def register(spark: SparkSession) -> SparkSession:
     from specfold.shipping import ship
 
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(FitsSource)
     return ship(spark)
 
