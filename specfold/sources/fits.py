@@ -539,33 +539,81 @@ def write_map(map_: DataFrame, frame, path: str, value: str = "value", keywords:
         f.write(header_bytes(head) + raw + b"\0" * (-len(raw) % BLOCK))
 
 
-def write_cube(cube: DataFrame, frame, path: str, channels: int, velocity: float, deltav: float, keywords: dict[str, object] | None = None) -> None:
+def write_cube(cube: DataFrame, frame, path: str, channels: int, velocity: float, deltav: float, keywords: dict[str, object] | None = None, block_bytes: int = 16 << 20) -> None:
     """A cube as an image of channels, with the velocity axis as a table behind it, then the pixels' coverage and weight as images if the cube has them.
 
-    The image is filled in a mapped file, so that the driver holds the spectra once; the frame bounds them.
+    Executors turn spectra into planes: a task gets some channels of some rows of the image, at most about block_bytes of it, and writes them where they
+    stand in the file, which repeated tasks do with the same bytes. Pixels that the cube lacks are NaN. The file takes its name when it is whole.
+    Only coverage and weight, a number a pixel, reach the driver.
     """
     head = {"SIMPLE": True, "BITPIX": -32, "NAXIS": 3, "NAXIS1": frame.nx, "NAXIS2": frame.ny, "NAXIS3": channels} | {k: v for k, v in frame.keywords().items() if not k.startswith("NAXIS")} | {"CTYPE3": "VELO-LSR", "CRVAL3": velocity, "CDELT3": deltav, "CRPIX3": 1.0} | (keywords or {})
     start = header_bytes(head)
     size = 4 * channels * frame.ny * frame.nx
-    more = [c for c in ("coverage", "weight") if c in cube.columns]
-    images = {c: np.full((frame.ny, frame.nx), np.nan, ">f4") for c in more}
-    with open(path, "wb") as f:
+    temporary = f"{path}.{uuid.uuid4().hex}.tmp"
+    with open(temporary, "wb") as f:
         f.write(start)
         f.truncate(len(start) + size + -size % BLOCK)
-    data = np.memmap(path, ">f4", "r+", len(start), (channels, frame.ny, frame.nx))
-    for plane in data:
-        plane[:] = np.nan
-    for batch in cube.select("y", "x", "spectrum", *more).toArrow().to_batches(65_536):
-        y, x = batch.column("y").to_numpy(), batch.column("x").to_numpy()
-        values = batch.column("spectrum").cast(pa.large_list(pa.float64()))
-        data[:, y, x] = values.flatten().to_numpy(zero_copy_only=False).reshape(len(y), channels).T
-        for c in more:
-            images[c][y, x] = batch.column(c).to_numpy(zero_copy_only=False)
-    data.flush()
-    axis = pa.table({"channel": pa.array(np.arange(channels), pa.int32()), "velocity": pa.array(velocity + np.arange(channels) * deltav)})
-    with open(path, "ab") as f:
-        f.write(table_bytes(axis, {"EXTNAME": "SPECTRUM"}))
-        for c, image in images.items():
-            raw = image.tobytes()
-            extra = {"XTENSION": "IMAGE", "BITPIX": -32, "NAXIS": 2, "NAXIS1": frame.nx, "NAXIS2": frame.ny, "PCOUNT": 0, "GCOUNT": 1, "EXTNAME": c.upper()}
-            f.write(header_bytes(extra | {k: v for k, v in frame.keywords().items() if not k.startswith("NAXIS")}) + raw + b"\0" * (-len(raw) % BLOCK))
+    try:
+        if size:
+            _write_planes(cube, temporary, len(start), channels, frame.ny, frame.nx, block_bytes)
+        axis = pa.table({"channel": pa.array(np.arange(channels), pa.int32()), "velocity": pa.array(velocity + np.arange(channels) * deltav)})
+        with open(temporary, "ab") as f:
+            f.write(table_bytes(axis, {"EXTNAME": "SPECTRUM"}))
+            for c in ("coverage", "weight"):
+                if c not in cube.columns:
+                    continue
+                image = np.full((frame.ny, frame.nx), np.nan, ">f4")
+                for batch in cube.select("y", "x", c).toArrow().to_batches():
+                    y, x, v = (part.to_numpy(zero_copy_only=False) for part in batch.columns)
+                    image[y, x] = v
+                raw = image.tobytes()
+                extra = {"XTENSION": "IMAGE", "BITPIX": -32, "NAXIS": 2, "NAXIS1": frame.nx, "NAXIS2": frame.ny, "PCOUNT": 0, "GCOUNT": 1, "EXTNAME": c.upper()}
+                f.write(header_bytes(extra | {k: v for k, v in frame.keywords().items() if not k.startswith("NAXIS")}) + raw + b"\0" * (-len(raw) % BLOCK))
+        os.replace(temporary, path)
+    finally:
+        if os.path.exists(temporary):
+            os.remove(temporary)
+
+
+def _write_planes(cube: DataFrame, path: str, start: int, channels: int, ny: int, nx: int, block_bytes: int) -> None:
+    """The image of channels x ny x nx numbers that begins at that byte of a file of its whole length."""
+    deep = max(1, min(channels, 64, block_bytes // (4 * nx)))  # channels and rows of a block
+    high = max(1, min(ny, block_bytes // (4 * nx * deep)))
+    n_deep, n_high = -(-channels // deep), -(-ny // high)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spectra = batch.column("s").cast(pa.large_list(pa.float64()))
+            y, x = batch.column("y").to_numpy(zero_copy_only=False), batch.column("x").to_numpy(zero_copy_only=False)
+            if spectra.null_count or (np.diff(spectra.offsets.to_numpy()) != channels).any():
+                raise FitsError(f"the cube has spectra that do not have {channels} channels")
+            if len(y) and (min(y.min(), x.min()) < 0 or y.max() >= ny or x.max() >= nx):
+                raise FitsError("the cube has pixels outside its frame")
+            values = spectra.flatten().to_numpy(zero_copy_only=False).reshape(-1, channels).astype(">f4")
+            for c in range(n_deep):
+                part = values[:, c * deep : (c + 1) * deep]
+                yield pa.RecordBatch.from_arrays([pa.array(c * n_high + y // high, pa.int64()), pa.array(y, pa.int32()), pa.array(x, pa.int32()), pa.array([v.tobytes() for v in part], pa.binary())], ["key", "y", "x", "v"])
+
+    def write(table: pa.Table) -> pa.Table:
+        key = table.column("key")[0].as_py()
+        c, row = key // n_high * deep, key % n_high * high
+        n, rows = min(deep, channels - c), min(high, ny - row)
+        image = np.full((n, rows, nx), np.nan, ">f4")
+        known = table.filter(table.column("v").is_valid())
+        if known.num_rows:
+            values = np.frombuffer(b"".join(known.column("v").to_pylist()), ">f4").reshape(-1, n)
+            image[:, known.column("y").to_numpy() - row, known.column("x").to_numpy()] = values.T
+        with open(path, "r+b") as f:
+            for i, plane in enumerate(image):
+                f.seek(start + 4 * nx * ((c + i) * ny + row))
+                f.write(plane.tobytes())
+            f.flush()
+            os.fsync(f.fileno())
+        return pa.table({"blocks": pa.array([1], pa.int64())})
+
+    kind = "key long, y int, x int, v binary"
+    dealt = cube.select(F.col("y").cast("int").alias("y"), F.col("x").cast("int").alias("x"), F.col("spectrum").cast("array<double>").alias("s")).mapInArrow(deal, kind)
+    every = cube.sparkSession.range(n_deep * n_high).select(F.col("id").alias("key"), F.lit(None).cast("int").alias("y"), F.lit(None).cast("int").alias("x"), F.lit(None).cast("binary").alias("v"))
+    done = dealt.unionByName(every).groupBy("key").applyInArrow(write, "blocks long").agg(F.sum("blocks")).first()[0]
+    if done != n_deep * n_high:
+        raise FitsError(f"{done} of {n_deep * n_high} blocks were written")
