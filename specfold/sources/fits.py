@@ -347,6 +347,14 @@ def read_index(index: str) -> dict[str, tuple[tuple[int, int], dict[int, Table],
     return out
 
 
+def load_list(spark: SparkSession, listed: str, index: str | None = None, must: str = "spectrum", **wanted: object) -> DataFrame:
+    """The rows of all tables in the files that a list names, one a line, in its order; paths that are not absolute are beside the list. As load."""
+    files = [os.path.join(os.path.dirname(listed), p) for p in read_manifest(spark, listed)]
+    if not files:
+        raise FitsError(f"{listed} names no file")
+    return load(spark, ",".join(files), index, must, **wanted)
+
+
 def load(spark: SparkSession, path: str, index: str | None = None, must: str = "spectrum", **wanted: object) -> DataFrame:
     """The rows of path with the wanted values: one, a list of them, or a pair (from, to), both included and either of them None for no limit."""
     reader = register(spark).read.format("fits").option("path", path).option("with", must)

@@ -118,3 +118,13 @@ def test_files_that_changed_or_came_later_are_read_whole(spark, folder):
         f.truncate(6_000)
     with pytest.raises(Exception, match="cut short"):
         fits.load(spark, str(folder), index, mission_id="F2").count()
+
+
+def test_files_of_a_list(spark, folder):
+    (folder / "list").write_text("F3.fits # first\n\n# none\n" + str(folder / "F1.fits") + "\n")
+    rows = fits.load_list(spark, str(folder / "list"))
+    assert rows.count() == 250 and fits.load_list(spark, str(folder / "list"), scan=(None, 9)).count() == 10
+    assert {r["mission_id"]: r["n"] for r in rows.groupBy("mission_id").agg(F.min(F.shiftright("row_id", 40)).alias("n")).collect()} == {"F3": 0, "F1": 1}
+    (folder / "none").write_text("# nothing\n")
+    with pytest.raises(fits.FitsError):
+        fits.load_list(spark, str(folder / "none"))
