@@ -100,8 +100,8 @@ def test_sweep_of_a_table(spark, most_bytes):
 def test_many_settings_cost_less_than_three_corrections():
     y, model = model_and_rows(3, n=1_500, channels=512)
     given = (model.components, model.ratio, model.first, model.last)
-    settings = sweeps.settings_of([2, 4, 6], [0.0, 0.03, 0.1], [0.0, 1.0, 4.0], [np.inf, 2.0], [5], [True, False, True])
-    assert len(settings) == 162
+    settings = sweeps.settings_of([2, 4, 6], [0.0, 0.03, 0.1], [0.0, 1.0, 4.0], [np.inf, 2.0, 0.7], [3, 5])
+    assert len(set(settings)) == 162
     y = y[40:]  # spectra without missing channels
     begin = time.process_time()
     sweeps.left_by(y, given, settings, WINDOW)
